@@ -25,7 +25,8 @@ LENIENT_FORMATS = (
     "d.M.yyyy[ ][H:m][:s]",
 )
 
-EPOCH0 = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def epoch0() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 # Range of a nanosecond-precision timestamp (about 1677..2262), in microseconds.
 _MAX_MICROS = 9_223_372_036_854_775
 MS_THRESHOLD = 1e12
@@ -76,7 +77,7 @@ def epoch_to_ts(x: Column, unit_ms: Column | bool) -> Column:
     unit = unit_ms if isinstance(unit_ms, Column) else F.lit(bool(unit_ms))
     micros = x * F.when(unit, F.lit(1000.0)).otherwise(F.lit(1_000_000.0))
     ok = micros.isNotNull() & (F.abs(micros) <= F.lit(float(_MAX_MICROS)))
-    return F.when(ok, F.timestamp_add("MICROSECOND", micros.cast("long"), EPOCH0))
+    return F.when(ok, F.timestamp_add("MICROSECOND", micros.cast("long"), epoch0()))
 
 
 def median_above(df: DataFrame, x: str, threshold: float = MS_THRESHOLD) -> DataFrame:

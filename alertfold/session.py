@@ -60,15 +60,17 @@ def checkpoint_root(spark: SparkSession) -> str:
             return existing.rstrip("/")
         conf_dir = tempfile.mkdtemp(prefix="alertfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
-    # setCheckpointDir appends a random sub-folder; keep our own layout under the root
+    if not spark.sparkContext.getCheckpointDir():
+        # DataFrame.checkpoint() needs the context-level setting (it adds a sub-folder)
+        spark.sparkContext.setCheckpointDir(conf_dir)
     return conf_dir.rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh sub-folder of the shared checkpoint root (never a machine-local path on a cluster)."""
     root = checkpoint_root(spark)
-    return f"{root}/alertfold/{name or uuid.uuid4().hex}"
+    suffix = uuid.uuid4().hex
+    return f"{root}/alertfold/scratch/{name}-{suffix}" if name else f"{root}/alertfold/scratch/{suffix}"
 
 
 def stable_dir(spark: SparkSession, *parts: str) -> str:
