@@ -124,15 +124,20 @@ def q_union_all(spark, sf):
     return a.unionByName(b).select(F.col("ord").cast("long").alias("ord"), F.col(C.SOURCE).alias("src"))
 
 
-@query("new_files", "U3 T1", f"""
-with a0 as ({alerts_sql(1, 0)}), a7 as ({alerts_sql(1, 7)})
-select substr(src, 10, 4) || '/' || src as rel_path from a7 except select substr(src, 10, 4) || '/' || src from a0""")
+@query("new_files", "U3", _with("""
+select distinct 'outputs/alertes_' || substr(src, 10, 4) || '_' || substr(src, 15, 2) || '.csv' as rel_path
+from alerts where substr(src, 10, 4) = '1995'
+union all select 'outputs/ALERTES_SANS_DATE.CSV' where exists (select 1 from alerts where date_raw = 'inconnue')
+union all select 'weekly/' || src from (select distinct src from weekly)"""))
 def q_new_files(spark, sf):
+    """Files present in the later snapshot of the export folder and not in the earlier one
+    (same sources in both; the later one also holds outputs and a weekly export)."""
     prepare(spark)
-    before, after = stage(spark, sf, "base"), stage(spark, sf, "shifted")
+    before, after = stage(spark, sf, "drift"), stage(spark, sf, "base")
     rel = F.concat_ws("/", F.element_at(F.split("path", "/"), -2), F.element_at(F.split("path", "/"), -1))
-    b = C.listing(spark, before, INCLUDE).select(rel.alias("rel_path"))
-    a = C.listing(spark, after, INCLUDE).select(rel.alias("rel_path"))
+    opts = C.CsvOptions(exclude=())
+    b = C.listing(spark, before, opts).select(rel.alias("rel_path"))
+    a = C.listing(spark, after, opts).select(rel.alias("rel_path"))
     return a.join(b, "rel_path", "left_anti")
 
 

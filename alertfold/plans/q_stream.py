@@ -1,0 +1,51 @@
+"""Registered streaming queries over ``events`` staged as one export per day."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from alertfold.functions import dates as D
+from alertfold.plans.registry import query
+from alertfold.plans.staging import stage
+from alertfold.session import prepare, scratch_dir
+from alertfold.streaming import files as ST
+
+EVENT_COLUMNS = ("event_id", "Date", "user_id", "event_type", "value")
+
+
+@query("stream_new_files", "T1 U3", """
+select event_id, 'events_' || strftime(ts, '%Y-%m-%d') || '.csv' as file_name from events""")
+def q_stream_new_files(spark, sf):
+    prepare(spark)
+    src = stage(spark, sf, "events")
+    out, ck = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ck")
+    s = ST.read_exports(spark, src, EVENT_COLUMNS, max_files_per_trigger=8)
+    ST.run_available(s.select(F.col("event_id").cast("long").alias("event_id"), F.col("_src").alias("file_name")),
+                     out, ck)
+    return spark.read.parquet(out)
+
+
+@query("stream_monthly", "T2 W1 W4", """
+select strftime(ts, '%Y_%m') as ym, count(*) as n_rows from events group by 1""")
+def q_stream_monthly(spark, sf):
+    prepare(spark)
+    src = stage(spark, sf, "events")
+    out, ck = scratch_dir(spark, "stream-monthly"), scratch_dir(spark, "stream-monthly-ck")
+    s = ST.read_exports(spark, src, EVENT_COLUMNS, max_files_per_trigger=8)
+    s = s.withColumn("dt", D.parse_strict(F.col("Date")))
+    ST.run_monthly(s, out, ck, key="event_id")
+    back = spark.read.option("sep", ";").option("header", True).csv(out)
+    return back.groupBy("ym").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("stream_dedup", "T3 D1", """
+select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as dt from events""")
+def q_stream_dedup(spark, sf):
+    prepare(spark)
+    src = stage(spark, sf, "events_overlap")
+    out, ck = scratch_dir(spark, "stream-dedup"), scratch_dir(spark, "stream-dedup-ck")
+    s = ST.read_exports(spark, src, EVENT_COLUMNS, max_files_per_trigger=4)
+    s = s.withColumn("dt", D.parse_strict(F.col("Date"))).withColumn("event_id", F.col("event_id").cast("long"))
+    d = ST.dedup_stream(s, ["event_id"], "dt", "35 days")
+    ST.run_available(d.select("event_id", "dt"), out, ck)
+    return spark.read.parquet(out).select("event_id", F.date_format("dt", "yyyy-MM-dd HH:mm:ss").alias("dt"))

@@ -102,6 +102,17 @@ def stage(spark: SparkSession, sf_dir: str, variant: str) -> str:
             F.date_format("ts", "dd/MM/yyyy HH:mm:ss").alias("Date"),
             F.col("user_id").cast("string").alias("user_id"), "event_type",
             F.col("value").cast("string").alias("value")), root, "__file", order=["__o"], drop=["__o"], bom=False)
+    elif variant == "events_overlap":
+        # every event in the export of its day and in the export of the next day
+        e = read_table(spark, sf_dir, "events")
+        cols = [F.col("event_id").cast("string").alias("event_id"),
+                F.date_format("ts", "dd/MM/yyyy HH:mm:ss").alias("Date"),
+                F.col("user_id").cast("string").alias("user_id"), "event_type",
+                F.col("value").cast("string").alias("value")]
+        both = e.select(F.explode(F.array(F.lit(0), F.lit(1))).alias("__shift"), "*").select(
+            F.concat(F.lit("events_"), F.date_format(F.date_add(F.to_date("ts"), F.col("__shift")), "yyyy-MM-dd"),
+                     F.lit(".csv")).alias("__file"), *cols)
+        write_named_csv(both, root, "__file", order=[F.col("event_id").cast("long")], bom=False)
     else:
         raise ValueError(f"unknown staging variant {variant!r}")
     touch(spark, root + "/_READY")

@@ -75,7 +75,8 @@ def write_named_csv(df: DataFrame, root: str, name_col: str, order: Sequence[str
     fs, jvm = _fs(spark, root)
     Path = jvm.org.apache.hadoop.fs.Path
     written = []
-    for st in fs.globStatus(Path(f"{tmp}/{name_col}=*/part-*")):
+    parts = sorted(fs.globStatus(Path(f"{tmp}/{name_col}=*/part-*")), key=lambda s: s.getPath().toString())
+    for st in parts:  # renamed in name order, so modification times follow names
         src = st.getPath()
         rel = unquote(src.getParent().getName().split("=", 1)[1])
         dst = Path(f"{root.rstrip('/')}/{rel}")
