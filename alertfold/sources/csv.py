@@ -81,9 +81,13 @@ def listing(spark: SparkSession, root: str | Sequence[str], opts: CsvOptions = C
 
 def discover(spark: SparkSession, root: str | Sequence[str], opts: CsvOptions = CsvOptions()) -> list[str]:
     """Sorted source paths after the glob, exclusion and inclusion rules."""
+    from pyspark.errors import AnalysisException
     roots = [root] if isinstance(root, str) else list(root)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", opts.glob)
-             .option("recursiveFileLookup", opts.recursive).load(roots).inputFiles())
+    try:
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", opts.glob)
+                 .option("recursiveFileLookup", opts.recursive).load(roots).inputFiles())
+    except AnalysisException as e:
+        raise NoSourceFiles(f"no source folder {roots}: {e}") from e
     kept = sorted(p for p in files if name_allowed(posixpath.basename(p), opts))
     if not kept:
         raise NoSourceFiles(f"no source file under {roots}")
@@ -188,7 +192,8 @@ def read_positional(spark: SparkSession, files: Sequence[str], header: Sequence[
     name), ``_ord`` (input order) and ``_cells`` (cell count when it differs from the
     header, else NULL)."""
     df = opts.reader(spark).schema(_string_schema(header)).option("header", True).csv(list(files))
-    df = with_file_order(df).withColumn(SOURCE, F.col("_metadata.file_name"))
+    df = (with_file_order(df).withColumn(SOURCE, F.col("_metadata.file_name"))
+          .withColumn(PATH, F.col("_metadata.file_path")))
     # Empty prefixes of every data column keep them all in the scan's required schema:
     # Spark refuses a CSV scan returning only the corrupt-record column, and with
     # column pruning a row's cell count is only checked against the columns read.
