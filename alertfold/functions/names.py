@@ -17,8 +17,10 @@ AUDIT_INVALID = "lignes_invalides.csv"
 AUDIT_FILTERED = "lignes_filtrees.csv"
 AUDIT_INVALID_FULL = "alertes_lignes_invalides.csv"
 
-# Own outputs never read back as sources (case-insensitive).
+# Own outputs never read back as sources (case-insensitive).
 EXCLUDE_OUTPUTS = (r"^alertes_\d{4}_\d{2}\.csv$", r"^alertes_sans_date\.csv$")
+# Extra parts of a month split over several files by this library.
+EXCLUDE_PARTS = r"^alertes_\d{4}_\d{2}_p\d{3}\.csv$"
 INCLUDE_SOURCES = r"^Alertes_-\d{4}(?:-\d{2})?.*\.csv$"
 
 

@@ -99,34 +99,27 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(jvm.org.apache.hadoop.fs.Path(path), True).close()
 
 
-def rename_month_files(spark: SparkSession, out: str, target: str, partition_col: str = "ym",
-                       pattern: str = "alertes_{ym}.csv") -> list[str]:
-    """Optional exact names: copy each month's part files into ``target/alertes_YYYY_MM.csv``.
-
-    A month written by several tasks (a split hot month) has several parts; they are
-    concatenated header-once through Hadoop streams.  This is the only driver-side step
-    and is bounded by the number of months."""
+def publish_month_files(spark: SparkSession, out: str, target: str, partition_col: str = "ym",
+                        pattern: str = "alertes_{ym}.csv", part_pattern: str = "alertes_{ym}_p{n:03d}.csv") -> list[str]:
+    """Optional exact names: move each month's part files to ``target/alertes_YYYY_MM.csv``.
+
+    Metadata only (one rename per file, bounded by the number of output files; no
+    byte goes through the driver).  A month written by several tasks (a hot month
+    split by the rebalance) keeps one file per part: the first gets the exact name,
+    the others ``alertes_YYYY_MM_pNNN.csv``; every file has its own header.  The
+    partitioned dataset under ``out`` is consumed by the move."""
     fs, jvm = _fs(spark, out)
     Path = jvm.org.apache.hadoop.fs.Path
     names = []
     fs.mkdirs(Path(target))
     for d in fs.globStatus(Path(f"{out.rstrip('/')}/{partition_col}=*")):
         ym = unquote(d.getPath().getName().split("=", 1)[1])
-        parts = sorted(fs.globStatus(Path(d.getPath().toString() + "/part-*")), key=lambda s: s.getPath().getName())
-        dst = Path(f"{target.rstrip('/')}/{pattern.format(ym=ym)}")
-        os_ = fs.create(dst, True)
-        try:
-            for i, st in enumerate(parts):
-                ins = fs.open(st.getPath())
-                try:
-                    if i > 0:  # drop the header line of later parts
-                        b = ins.read()
-                        while b not in (-1, 10):
-                            b = ins.read()
-                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(ins, os_, 1 << 16, False)
-                finally:
-                    ins.close()
-        finally:
-            os_.close()
-        names.append(dst.getName())
+        parts = sorted(fs.globStatus(Path(d.getPath().toString() + "/part-*")), key=lambda st: st.getPath().getName())
+        for n, st in enumerate(parts):
+            name = pattern.format(ym=ym) if n == 0 else part_pattern.format(ym=ym, n=n)
+            dst = Path(f"{target.rstrip('/')}/{name}")
+            if fs.exists(dst):
+                fs.delete(dst, False)
+            fs.rename(st.getPath(), dst)
+            names.append(name)
     return sorted(names)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alertfold.functions.names import EXCLUDE_OUTPUTS
+from alertfold.functions.names import EXCLUDE_OUTPUTS, EXCLUDE_PARTS
 from alertfold.functions.text import repair_mojibake, repair_mojibake_name, strip_accents_name
 from alertfold.operators.order import ORDER_COL, with_file_order
 
@@ -41,7 +41,7 @@ class CsvOptions:
     encoding: str = "UTF-8"
     recursive: bool = True
     glob: str = "*.[cC][sS][vV]"                 # case-insensitive .csv suffix
-    exclude: Sequence[str] = EXCLUDE_OUTPUTS     # file-name regexes, case-insensitive
+    exclude: Sequence[str] = (*EXCLUDE_OUTPUTS, EXCLUDE_PARTS)  # file-name regexes, case-insensitive
     include: str | None = None                   # file-name regex, case-insensitive
     multiline: bool = False                      # quoted newlines (stops file splitting)
     header_from: str = "path_max"                # or "mtime": most recently modified file
@@ -95,12 +95,58 @@ def discover(spark: SparkSession, root: str | Sequence[str], opts: CsvOptions =
 
 
 # ---------------------------------------------------------------- headers
-def header_lines(spark: SparkSession, files: Sequence[str], opts: CsvOptions) -> DataFrame:
+def _arrow_path(path: str) -> str:
+    """Spark writes local paths as 'file:/x'; Arrow wants 'file:///x'."""
+    if path.startswith("file:/") and not path.startswith("file:///"):
+        return "file:///" + path[len("file:/"):].lstrip("/")
+    return path
+
+
+def _first_lines(encoding: str):
+    """Per-partition function: for each path, the first non-blank line of the file,
+    reading only the first bytes (Arrow file systems: local, HDFS, S3, ...)."""
+
+    def run(batches):
+        import pandas as pd
+        from pyarrow import fs as pafs
+        for pdf in batches:
+            out = []
+            for path in pdf["path"]:
+                filesystem, inner = pafs.FileSystem.from_uri(_arrow_path(path))
+                buf = b""
+                with filesystem.open_input_stream(inner) as f:
+                    while True:
+                        chunk = f.read(1 << 16)
+                        buf += chunk
+                        lines = buf.split(b"\n")
+                        done = [ln for ln in lines[:-1] if ln.strip(b"\r\t ")]
+                        if done or not chunk:
+                            break
+                cand = done[0] if done else (buf if buf.strip() else None)
+                if cand is not None and cand.startswith(b"\xef\xbb\xbf"):
+                    cand = cand[3:]   # a UTF-8 byte-order mark, whatever the declared encoding
+                line = None if cand is None else cand.rstrip(b"\r").decode(encoding, errors="replace")
+                out.append((path, line))
+            yield pd.DataFrame(out, columns=["path", "line"])
+
+    return run
+
+
+def header_lines(spark: SparkSession, files: Sequence[str], opts: CsvOptions, method: str = "auto") -> DataFrame:
     """(path, line): the first non-blank line of every file, decoded with the file encoding.
 
-    One distributed pass over the files' first blocks as single-column text; only
-    one short line per file reaches the result.
+    method='arrow': the file list is spread over tasks and each task opens its files
+    and reads only their first bytes, so the cost is one short read per file however
+    large the files are.  method='scan': a single-column text scan keeping the first
+    line of each file (reads every byte; for file systems Arrow cannot open).
     """
+    if method == "auto":
+        method = "arrow" if _arrow_can_open(files[0] if files else "") else "scan"
+    if method == "arrow":
+        n = max(1, min(len(files) // 64 + 1, spark.sparkContext.defaultParallelism * 4))
+        paths = spark.createDataFrame([(p,) for p in files], "path string").repartition(n)
+        out = paths.mapInPandas(_first_lines(_py_encoding(opts.encoding)), "path string, line string")
+        return out.where(F.col("line").isNotNull())
     raw = (spark.read.schema("line string").option("sep", "\u0001").option("quote", "")
            .option("encoding", opts.encoding).option("header", False).csv(list(files)))
     return (raw.where(F.col("_metadata.file_block_start") == 0)
@@ -109,6 +155,19 @@ def header_lines(spark: SparkSession, files: Sequence[str], opts: CsvOptions) ->
             .groupBy("path").agg(F.min_by("line", "__pos").alias("line")))
 
 
+def _py_encoding(enc: str) -> str:
+    return {"UTF-8": "utf-8-sig", "utf-8": "utf-8-sig"}.get(enc, enc)
+
+
+def _arrow_can_open(path: str) -> bool:
+    try:
+        from pyarrow import fs as pafs
+        pafs.FileSystem.from_uri(_arrow_path(path))
+        return True
+    except Exception:  # noqa: BLE001 - unknown scheme or missing client: use the scan
+        return False
+
+
 def split_header(line: str, opts: CsvOptions) -> list[str]:
     """Header text -> trimmed, repaired, unique column names."""
     line = line.lstrip("\ufeff")
@@ -120,7 +179,7 @@ def split_header(line: str, opts: CsvOptions) -> list[str]:
             c = repair_mojibake_name(c)
         elif opts.header_fix == "accents":
             c = strip_accents_name(c)
-        names.append(c)
+        names.append(c.lstrip("\ufeff"))
     return mangle(names)
 
 

@@ -73,10 +73,20 @@ def test_exact_month_names(spark, tmp_path):
     df = spark.createDataFrame([(str(i), "2025_01" if i < 5 else "2025_02") for i in range(8)], "v string, ym string")
     out = str(tmp_path / "m")
     W.write_partitioned(df.repartition(4), out, ["ym"], bom=True)
-    names = W.rename_month_files(spark, out, str(tmp_path / "named"))
-    assert names == ["alertes_2025_01.csv", "alertes_2025_02.csv"]
-    text = open(tmp_path / "named" / "alertes_2025_01.csv", encoding="utf-8-sig").read().splitlines()
-    assert text[0] == "v" and sorted(text[1:]) == ["0", "1", "2", "3", "4"]
+    names = W.publish_month_files(spark, out, str(tmp_path / "named"))
+    assert names[0] == "alertes_2025_01.csv" and "alertes_2025_02.csv" in names
+    got = []
+    for n in names:
+        if n.startswith("alertes_2025_01"):
+            text = open(tmp_path / "named" / n, encoding="utf-8-sig").read().splitlines()
+            assert text[0] == "v"
+            got += text[1:]
+    assert sorted(got) == ["0", "1", "2", "3", "4"]
+    # published outputs (exact names and extra parts) are never read back as sources
+    import pytest
+    from alertfold.sources import csv as C
+    with pytest.raises(C.NoSourceFiles):
+        C.discover(spark, str(tmp_path / "named"))
 
 
 def test_write_named_csv(spark, tmp_path):
