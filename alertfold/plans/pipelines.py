@@ -162,3 +162,26 @@ def route(spark: SparkSession, files: Sequence[str], date_index: int = 1, sep: s
     dt = D.parse_with(stripped, D.DMY_HM)
     ok = (F.size(cells) >= 2) & (F.length("value") > 0) & dt.isNotNull()
     return lines.withColumn("ok", F.coalesce(ok, F.lit(False))).withColumn("ym", F.when(ok, D.month_key(dt)))
+
+
+# ---------------------------------------------------------------- writers of the other variants
+def write_capped(df: DataFrame, out: str, drop: Sequence[str] = ("dt",), bom: bool = False) -> None:
+    """Months sorted by date (then input order) under ``status=ok/ym=...``; audits of
+    undated and over-cap rows (key, parsed date, source file) under their own status."""
+    keep = [c for c in df.columns if not c.startswith("_") and c not in ("status", "dt")]
+    ok = (df.where(F.col("status") == quality.OK)
+          .select(*[F.col(f"`{c}`") for c in keep], F.date_format("dt", "yyyy-MM-dd HH:mm:ss").alias("Date_iso"),
+                  "status", D.month_key(F.col("dt")).alias("ym"), "dt", ORDER_COL))
+    write_partitioned(ok, out, ["status", "ym"], order=["dt", ORDER_COL], bom=bom, drop=["dt", ORDER_COL])
+    audit = quality.audit_rows(df.where(F.col("status") != quality.OK), [KEY, DATE], F.col(C.SOURCE))
+    audit = audit.withColumn("status", F.when(F.col(DATE).isNull(), F.lit(quality.UNDATED)).otherwise(F.lit(quality.OVER_CAP)))
+    write_partitioned(audit.withColumn("ym", F.lit(None).cast("string")), out + "/_audit", ["status"], bom=bom,
+                      drop=["ym"])
+
+
+def write_merged(kept: DataFrame, out: str) -> None:
+    """Merger output: one dataset per ``ym`` (YYYY-MM), date column first as ISO text."""
+    cols = [c for c in kept.columns if not c.startswith("_") and c not in ("dt", "ym", "date_column")]
+    data = kept.select(F.date_format("dt", "yyyy-MM-dd HH:mm:ss").alias("date"), *[F.col(f"`{c}`") for c in cols],
+                       "ym", ORDER_COL)
+    write_partitioned(data, out, ["ym"], order=[ORDER_COL], sep=",", bom=False, drop=[ORDER_COL])
