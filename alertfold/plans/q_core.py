@@ -168,7 +168,7 @@ def q_audit_over_cap(spark, sf):
     return out.withColumnRenamed("Référence", "ref")
 
 
-@query("audit_invalid", "P9 P3 W3", _LEN_SQL + """
+@query("audit_invalid", "P9 P3 W3 U2", _LEN_SQL + """
 select ref, cast(null as varchar) as Date, src as Source from r where dt is null""")
 def q_audit_invalid(spark, sf):
     c = quality.undated(capped(spark, sf)).withColumnRenamed("ref", "Référence")
