@@ -32,9 +32,27 @@ _MAX_MICROS = 9_223_372_036_854_775
 MS_THRESHOLD = 1e12
 
 
+# Anchored shape of the texts each layout can accept (a superset: the formatter still
+# validates).  A failed parse costs a Java exception, so texts of another shape are
+# sent to NULL without calling the formatter.  Years are exactly four digits.
+_T = r"[ T0-9:]*"
+GUARDS = {
+    DMY_HMS: r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$",
+    DMY_HM: r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$",
+    YMD_HM: r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{1,2}$",
+    LENIENT_FORMATS[0]: r"^\d{4}-\d{1,2}-\d{1,2}" + _T + "$",
+    LENIENT_FORMATS[1]: r"^\d{4}/\d{1,2}/\d{1,2}" + _T + "$",
+    LENIENT_FORMATS[2]: r"^\d{1,2}/\d{1,2}/\d{4}" + _T + "$",
+    LENIENT_FORMATS[3]: r"^\d{1,2}-\d{1,2}-\d{4}" + _T + "$",
+    LENIENT_FORMATS[4]: r"^\d{1,2}\.\d{1,2}\.\d{4}" + _T + "$",
+}
+
+
 def parse_with(c: Column, pattern: str) -> Column:
     """Text -> TIMESTAMP_NTZ with one pattern, NULL when it does not fit."""
-    return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
+    parsed = F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
+    guard = GUARDS.get(pattern)
+    return F.when(c.rlike(guard), parsed) if guard else parsed
 
 
 def parse_strict(c: Column) -> Column:

@@ -34,9 +34,13 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: str,
         group.append(F.when(any_null, _q(order)).alias("__solo"))
     elif null_key != "collapse":
         raise ValueError(f"null_key must be 'collapse' or 'keep', not {null_key!r}")
+    # the payload carries only the non-key columns: keys come back from the grouping
+    payload = [c for c in cols if c not in keys]
     picked = (df.groupBy(*group)
-              .agg(F.min_by(F.struct(*[_q(c) for c in cols]), _q(order)).alias("__row")))
-    return picked.select("__row.*")
+              .agg(F.min_by(F.struct(*[_q(c) for c in payload]), _q(order)).alias("__row")))
+    back = {c: F.col(f"__row.`{c}`") for c in payload}
+    back.update({k: _q(k) for k in keys})
+    return picked.select(*[back[c].alias(c) for c in cols])
 
 
 def dedup_first_window(df: DataFrame, keys: Sequence[str], order: str,
