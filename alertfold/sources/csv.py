@@ -102,32 +102,34 @@ def _arrow_path(path: str) -> str:
     return path
 
 
+def first_line(path: str, encoding: str) -> str | None:
+    """First non-blank line of a file, reading only its first bytes (Arrow file systems)."""
+    from pyarrow import fs as pafs
+    filesystem, inner = pafs.FileSystem.from_uri(_arrow_path(path))
+    buf, done = b"", []
+    with filesystem.open_input_stream(inner) as f:
+        while True:
+            chunk = f.read(1 << 16)
+            buf += chunk
+            lines = buf.split(b"\n")
+            done = [ln for ln in lines[:-1] if ln.strip(b"\r\t ")]
+            if done or not chunk:
+                break
+    cand = done[0] if done else (buf if buf.strip() else None)
+    if cand is None:
+        return None
+    if cand.startswith(b"\xef\xbb\xbf"):
+        cand = cand[3:]   # a UTF-8 byte-order mark, whatever the declared encoding
+    return cand.rstrip(b"\r").decode(encoding, errors="replace")
+
+
 def _first_lines(encoding: str):
-    """Per-partition function: for each path, the first non-blank line of the file,
-    reading only the first bytes (Arrow file systems: local, HDFS, S3, ...)."""
+    """Per-partition function over a file list: (path, first line)."""
 
     def run(batches):
         import pandas as pd
-        from pyarrow import fs as pafs
         for pdf in batches:
-            out = []
-            for path in pdf["path"]:
-                filesystem, inner = pafs.FileSystem.from_uri(_arrow_path(path))
-                buf = b""
-                with filesystem.open_input_stream(inner) as f:
-                    while True:
-                        chunk = f.read(1 << 16)
-                        buf += chunk
-                        lines = buf.split(b"\n")
-                        done = [ln for ln in lines[:-1] if ln.strip(b"\r\t ")]
-                        if done or not chunk:
-                            break
-                cand = done[0] if done else (buf if buf.strip() else None)
-                if cand is not None and cand.startswith(b"\xef\xbb\xbf"):
-                    cand = cand[3:]   # a UTF-8 byte-order mark, whatever the declared encoding
-                line = None if cand is None else cand.rstrip(b"\r").decode(encoding, errors="replace")
-                out.append((path, line))
-            yield pd.DataFrame(out, columns=["path", "line"])
+            yield pd.DataFrame([(p, first_line(p, encoding)) for p in pdf["path"]], columns=["path", "line"])
 
     return run
 
@@ -209,10 +211,14 @@ def reference_header(spark: SparkSession, files: Sequence[str], opts: CsvOptions
                .agg(F.max_by("path", F.struct("mtime", "path")).alias("p")).first()["p"])
     else:
         ref = max(files)
-    row = header_lines(spark, [ref], opts).first()
-    if row is None:
+    if _arrow_can_open(ref):
+        line = first_line(ref, _py_encoding(opts.encoding))   # one short read on the driver
+    else:
+        row = header_lines(spark, [ref], opts, method="scan").first()
+        line = row["line"] if row else None
+    if line is None:
         raise NoSourceFiles(f"reference file {ref} is empty")
-    return split_header(row["line"], opts)
+    return split_header(line, opts)
 
 
 def _string_schema(names: Sequence[str], corrupt: bool = True) -> T.StructType:
@@ -245,12 +251,17 @@ def cell_count(line: Column, sep: str) -> Column:
 
 # ---------------------------------------------------------------- scans
 def read_positional(spark: SparkSession, files: Sequence[str], header: Sequence[str],
-                    opts: CsvOptions = CsvOptions()) -> DataFrame:
+                    opts: CsvOptions = CsvOptions(), name_filter=None) -> DataFrame:
     """Every file mapped to ``header`` by position: each file's own header line is
     skipped, extra cells are dropped, missing cells are NULL.  Adds ``_src`` (file
     name), ``_ord`` (input order) and ``_cells`` (cell count when it differs from the
     header, else NULL)."""
-    df = opts.reader(spark).schema(_string_schema(header)).option("header", True).csv(list(files))
+    reader = opts.reader(spark).schema(_string_schema(header)).option("header", True)
+    if name_filter is not None:   # ``files`` are roots: list them with the glob, prune by name
+        df = (reader.option("pathGlobFilter", opts.glob).option("recursiveFileLookup", opts.recursive)
+              .csv(list(files)).where(name_filter))
+    else:
+        df = reader.csv(list(files))
     df = (with_file_order(df).withColumn(SOURCE, F.col("_metadata.file_name"))
           .withColumn(PATH, F.col("_metadata.file_path")))
     # Empty prefixes of every data column keep them all in the scan's required schema:
@@ -262,13 +273,29 @@ def read_positional(spark: SparkSession, files: Sequence[str], header: Sequence[
     return _finish(df.drop(CORRUPT), header, opts)
 
 
+def name_predicate(opts: CsvOptions):
+    """The file-name rules as a predicate on ``_metadata.file_name`` (Spark prunes the
+    files it rejects while listing, before opening them)."""
+    name = F.col("_metadata.file_name")
+    cond = F.lit(True)
+    if opts.exclude:
+        cond = cond & ~name.rlike("(?i)" + "|".join(f"(?:{p})" for p in opts.exclude))
+    if opts.include:
+        cond = cond & name.rlike("(?i)" + opts.include)
+    return cond
+
+
 def read_aligned(spark: SparkSession, root: str | Sequence[str], opts: CsvOptions = CsvOptions(),
                  bad_files: str = "keep") -> tuple[DataFrame, list[str]]:
     """Discovery + reference header + positional read.  ``bad_files='drop'`` removes whole
-    files holding a row longer than the header (the strict reading of such files)."""
+    files holding a row longer than the header (the strict reading of such files).
+
+    The scan reads the roots themselves (recursive, glob) with the name rules as a
+    file-name predicate, so the files are listed once by the scan's own file index."""
     files = discover(spark, root, opts)
     header = reference_header(spark, files, opts)
-    df = read_positional(spark, files, header, opts)
+    roots = [root] if isinstance(root, str) else list(root)
+    df = read_positional(spark, roots, header, opts, name_filter=name_predicate(opts))
     if bad_files == "drop":
         too_long = (df.where(F.col("_cells") > len(header)).select(F.col(PATH).alias("__bad")).distinct())
         df = df.join(too_long, df[PATH] == too_long["__bad"], "left_anti")
