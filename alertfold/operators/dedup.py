@@ -69,10 +69,14 @@ def content_key(cols: Sequence[str]) -> Column:
 
 
 def dedup_content(df: DataFrame, cols: Sequence[str], order: str) -> DataFrame:
-    """Rows equal on the text of ``cols`` (names ignored) keep their first occurrence."""
-    keyed = df.withColumn("__content", content_key(cols))
-    out = dedup_first(keyed, ["__content"], order)
-    return out.drop("__content")
+    """Rows equal on the text of ``cols`` (names ignored) keep their first occurrence.
+
+    The group key leads with a 64-bit hash of the content: the aggregation sorts on a
+    fixed-width prefix instead of comparing arrays, while the exact content stays in
+    the key, so hash collisions cannot merge different rows."""
+    keyed = df.withColumn("__content", content_key(cols)).withColumn("__h", F.xxhash64("__content"))
+    out = dedup_first(keyed, ["__h", "__content"], order)
+    return out.drop("__content", "__h")
 
 
 def dedup_stats(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -106,7 +106,7 @@ def capped(spark: SparkSession, source: str | Sequence[str], cap: str,
     ok / undated / over_cap against ``cap``."""
     prepare(spark)
     files = C.discover(spark, source, csv)
-    df = C.read_by_name(spark, files, csv)
+    df = C.read_by_name(spark, files, csv, roots=[source] if isinstance(source, str) else list(source))
     ts = "Timestamp" if "Timestamp" in df.columns else None
     date = DATE if DATE in df.columns else None
     df = resolve_date(df, date, ts, cascade="strict", unit="length", file_col=C.SOURCE, order_col=ORDER_COL)
@@ -132,23 +132,24 @@ def merge(spark: SparkSession, sources: Sequence[str], csv: C.CsvOptions = C.Csv
     """Generic merger: returns (kept rows with ``dt`` and ``ym``, per-file detection table)."""
     prepare(spark)
     files = C.discover(spark, list(sources), csv)
-    df = C.read_by_name(spark, files, csv)
+    df = C.read_by_name(spark, files, csv, roots=list(sources))
     cols = [c for c in df.columns if not c.startswith("_")]
     detected = detect_date_columns(df, cols, file_col=C.PATH)
-    # one date expression per candidate column, chosen per row by its file's detection
-    pick = None
+    # the text of the file's detected column, then one parse (a parse per candidate
+    # column would multiply the generated code for no benefit)
+    raw = None
     for c in cols:
-        e = D.parse_lenient(normalize_ws(F.col(f"`{c}`")))
         cond = F.col("date_column") == c
-        pick = F.when(cond, e) if pick is None else pick.when(cond, e)
+        raw = F.when(cond, F.col(f"`{c}`")) if raw is None else raw.when(cond, F.col(f"`{c}`"))
     rows = (df.join(F.broadcast(detected) if len(files) <= 100_000 else detected,
                     df[C.PATH] == detected["file_name"], "inner")
-            .withColumn("dt", pick).where(F.col("dt").isNotNull()))
+            .withColumn("dt", D.parse_lenient(normalize_ws(raw))).where(F.col("dt").isNotNull()))
     # content with the normalised date in place of the detected column's text
     content = [F.when(F.col("date_column") == c, F.date_format("dt", "yyyy-MM-dd HH:mm:ss"))
                .otherwise(F.col(f"`{c}`")) for c in cols]
     rows = rows.withColumn("__content", F.array(*[F.coalesce(x, F.lit("nan")) for x in content]))
-    kept = dedup.dedup_first(rows, ["__content"], ORDER_COL).drop("__content", "file_name")
+    rows = rows.withColumn("__h", F.xxhash64("__content"))   # fixed-width sort prefix, exact key kept
+    kept = dedup.dedup_first(rows, ["__h", "__content"], ORDER_COL).drop("__content", "__h", "file_name")
     return kept.withColumn("ym", F.format_string("%04d-%02d", F.year("dt"), F.month("dt"))), detected
 
 

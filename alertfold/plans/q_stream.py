@@ -31,7 +31,7 @@ def q_stream_monthly(spark, sf):
     prepare(spark)
     src = stage(spark, sf, "events")
     out, ck = scratch_dir(spark, "stream-monthly"), scratch_dir(spark, "stream-monthly-ck")
-    s = ST.read_exports(spark, src, EVENT_COLUMNS, max_files_per_trigger=8)
+    s = ST.read_exports(spark, src, EVENT_COLUMNS, max_files_per_trigger=16)
     s = s.withColumn("dt", D.parse_strict(F.col("Date")))
     ST.run_monthly(s, out, ck, key="event_id")
     back = spark.read.option("sep", ";").option("header", True).csv(out)

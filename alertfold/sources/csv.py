@@ -88,12 +88,19 @@ def discover(spark: SparkSession, root: str | Sequence[str], opts: CsvOptions =
                  .option("recursiveFileLookup", opts.recursive).load(roots).inputFiles())
     except AnalysisException as e:
         raise NoSourceFiles(f"no source folder {roots}: {e}") from e
-    kept = sorted(p for p in files if name_allowed(posixpath.basename(p), opts))
+    kept = sorted(hadoop_path(p) for p in files if name_allowed(posixpath.basename(p), opts))
     if not kept:
         raise NoSourceFiles(f"no source file under {roots}")
     return kept
 
 
+def hadoop_path(path: str) -> str:
+    """The spelling ``_metadata.file_path`` uses (local files: 'file:/x', not 'file:///x')."""
+    if path.startswith("file:///"):
+        return "file:/" + path[len("file:///"):]
+    return path
+
+
 # ---------------------------------------------------------------- headers
 def _arrow_path(path: str) -> str:
     """Spark writes local paths as 'file:/x'; Arrow wants 'file:///x'."""
@@ -302,9 +309,14 @@ def read_aligned(spark: SparkSession, root: str | Sequence[str], opts: CsvOption
     return df, header
 
 
-def read_by_name(spark: SparkSession, files: Sequence[str], opts: CsvOptions = CsvOptions()) -> DataFrame:
+def read_by_name(spark: SparkSession, files: Sequence[str], opts: CsvOptions = CsvOptions(),
+                 roots: Sequence[str] | None = None) -> DataFrame:
     """Each file with its own (trimmed) header; files are grouped by header so that one
-    scan runs per distinct header, then the scans are unioned by name (missing -> NULL)."""
+    scan runs per distinct header, then the scans are unioned by name (missing -> NULL).
+
+    With ``roots``, each scan lists the roots (glob, recursive) and keeps its files by a
+    ``_metadata.file_path`` membership predicate, pruned while listing; without, the
+    explicit paths are listed (a parallel listing job for long lists)."""
     lines = header_lines(spark, files, opts).collect()      # one short row per file
     by_header: dict[tuple[str, ...], list[str]] = {}
     for r in lines:
@@ -313,7 +325,12 @@ def read_by_name(spark: SparkSession, files: Sequence[str], opts: CsvOptions = C
         raise NoSourceFiles("every source file is empty")
     out = None
     for names, paths in sorted(by_header.items(), key=lambda kv: min(kv[1])):
-        part = opts.reader(spark).schema(_string_schema(names)).option("header", True).csv(sorted(paths))
+        reader = opts.reader(spark).schema(_string_schema(names)).option("header", True)
+        if roots:
+            part = (reader.option("pathGlobFilter", opts.glob).option("recursiveFileLookup", opts.recursive)
+                    .csv(list(roots)).where(F.col("_metadata.file_path").isin(sorted(paths))))
+        else:
+            part = reader.csv(sorted(paths))
         part = (with_file_order(part).withColumn(SOURCE, F.col("_metadata.file_name"))
                 .withColumn(PATH, F.col("_metadata.file_path")).drop(CORRUPT))
         part = _finish(part, names, opts)

@@ -64,6 +64,9 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";"):
         from alertfold.operators.dedup import dedup_first
         rows = dedup_first(rows.withColumn("__o", F.struct("_src", F.monotonically_increasing_id())),
                            [key], "__o").drop("__o")
+        # a micro-batch is bounded by maxFilesPerTrigger: keep it for the two uses below
+        from pyspark import StorageLevel
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         from alertfold.sinks.files import csv_writer, exists
         if exists(spark, out):
             months = [r["ym"] for r in rows.select("ym").distinct().collect()]   # months of one batch
@@ -72,6 +75,7 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";"):
             rows = rows.join(seen, rows[key] == seen["__k"], "left_anti")
         data = rows.drop(dt).hint("rebalance", "ym")
         csv_writer(data, sep).mode("append").partitionBy("ym").csv(out)
+        rows.unpersist()
 
     return handle
 
