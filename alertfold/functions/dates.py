@@ -123,13 +123,11 @@ def with_epoch_by_median(df: DataFrame, ts_col: str, out: str = "ts_dt",
                          threshold: float = MS_THRESHOLD) -> DataFrame:
     """Add ``out`` = epoch text of ``ts_col`` converted with a unit chosen by the global median.
 
-    The unit is one aggregate row joined back by broadcast (its size is one row).
+    The unit is a scalar subquery over one aggregate row (computed once per query).
     """
     num = df.withColumn("__ts_num", to_numeric(F.col(ts_col)))
-    unit = F.broadcast(median_above(num, "__ts_num", threshold).select("unit_ms"))
-    return (num.crossJoin(unit)
-            .withColumn(out, epoch_to_ts(F.col("__ts_num"), F.col("unit_ms")))
-            .drop("__ts_num", "unit_ms"))
+    unit = median_above(num, "__ts_num", threshold).select("unit_ms").scalar()
+    return num.withColumn(out, epoch_to_ts(F.col("__ts_num"), unit)).drop("__ts_num")
 
 
 def unit_ms_by_length(sample_text: Column) -> Column:

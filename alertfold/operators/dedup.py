@@ -81,6 +81,6 @@ def dedup_content(df: DataFrame, cols: Sequence[str], order: str) -> DataFrame:
 
 def dedup_stats(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row: rows before, after, removed."""
-    b = before.agg(F.count(F.lit(1)).alias("rows_before"))
-    a = after.agg(F.count(F.lit(1)).alias("rows_after"))
-    return b.crossJoin(a).withColumn("removed", F.col("rows_before") - F.col("rows_after"))
+    a = after.agg(F.count(F.lit(1))).scalar()
+    return (before.agg(F.count(F.lit(1)).alias("rows_before"))
+            .select("rows_before", a.alias("rows_after"), (F.col("rows_before") - a).alias("removed")))

@@ -57,9 +57,6 @@ def exact_median(df: DataFrame, col: str, out: str = "median") -> DataFrame:
     values for an even count; NULL when there is no value."""
     vals = df.select(F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull())
     ranked = rank_within(vals.withColumn("__all", F.lit(1)), ["__all"], ["__v"], out="__r")
-    n = vals.agg(F.count(F.lit(1)).alias("__n"))
-    picked = (ranked.crossJoin(F.broadcast(n))
-              .where((F.col("__r") == F.floor((F.col("__n") + 1) / 2)) |
-                     (F.col("__r") == F.floor(F.col("__n") / 2) + 1)))
-    return (n.crossJoin(picked.agg(F.avg("__v").alias(out)))
-            .select(F.when(F.col("__n") > 0, F.col(out)).alias(out)))
+    n = vals.agg(F.count(F.lit(1)).alias("__n")).scalar()
+    picked = ranked.where((F.col("__r") == F.floor((n + 1) / 2)) | (F.col("__r") == F.floor(n / 2) + 1))
+    return picked.agg(F.avg("__v").alias(out))

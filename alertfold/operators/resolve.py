@@ -18,7 +18,7 @@ def resolve_date(df: DataFrame, date_col: str | None, ts_col: str | None, *,
     """Add ``out`` (TIMESTAMP_NTZ): parsed ``date_col``, else the converted ``ts_col``.
 
     unit='median'    seconds vs milliseconds by the exact median of the whole column
-                     (one aggregate row, broadcast back);
+                     (one aggregate row, used as a scalar subquery);
     unit='length'    by the text length of the first row of each file whose date is
                      missing and whose epoch is present (per-file table, size-checked join);
     unit='magnitude' per row (no global statistic; the streaming form).
@@ -30,8 +30,8 @@ def resolve_date(df: DataFrame, date_col: str | None, ts_col: str | None, *,
     text = F.col(f"`{ts_col}`")
     dated = dated.withColumn("__x", to_numeric(text))
     if unit == "median":
-        flag = F.broadcast(median_above(dated, "__x", threshold).select(F.col("unit_ms").alias("__ms")))
-        dated = dated.crossJoin(flag)
+        flag = median_above(dated, "__x", threshold).select("unit_ms").scalar()   # one-row scalar subquery
+        dated = dated.withColumn("__ms", flag)
     elif unit == "magnitude":
         dated = dated.withColumn("__ms", unit_ms_by_magnitude(F.col("__x"), threshold))
     elif unit == "length":

@@ -304,10 +304,9 @@ where dt >= cast(t.lo as timestamp) and dt < cast(t.lo as timestamp) + interval
     extra=S.DEDUP_CTE + S.resolved_cte()))
 def q_week_filter(spark, sf):
     r = recomposed(spark, sf)
-    lo = F.broadcast(r.agg(D.previous_week_start(F.max("dt")).alias("lo")))
-    start = D.day_start(F.col("lo"))
-    return (r.crossJoin(lo)
-            .where((F.col("dt") >= start) & (F.col("dt") < F.timestamp_add("DAY", F.lit(7), start)))
+    lo = r.agg(D.previous_week_start(F.max("dt")).alias("lo")).scalar()   # one-row scalar subquery
+    start = D.day_start(lo)
+    return (r.where((F.col("dt") >= start) & (F.col("dt") < F.timestamp_add("DAY", F.lit(7), start)))
             .select("ord", _ts("dt").alias("dt")))
 
 
