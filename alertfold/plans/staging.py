@@ -9,8 +9,9 @@ base:    one ';' CSV per ``src`` (BOM header ``ord;Référence;Date;Timestamp;Pr
 drift:   same rows, headers drifting by year (extra column, reordered columns,
          blanks around names, a ``(timestamp)``-suffixed epoch column).
 comma:   ',' separated copy of base sources.
-shifted: sources named 7 days later (exports overlapping month ends).
+shifted_comma: ',' sources named 7 days later (exports overlapping month ends).
 events:  ``events`` as one export per day, dates as ``dd/MM/yyyy HH:mm:ss`` text.
+events_overlap: every event in the export of its day and of the next day.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from alertfold.plans.alerts import alerts, read_table
 from alertfold.session import stable_dir
-from alertfold.sinks.files import exists, touch, write_named_csv
+from alertfold.sinks.files import delete_dir, exists, rename_dir, touch, write_named_csv
 
 BASE_HEADER = ("ord", "Référence", "Date", "Timestamp", "Priorité")
 SCRAPER_DECOY = "alertes_1995-01-02_1995-01-08.csv"
@@ -43,13 +44,30 @@ def _year_path(src: str = "src"):
 
 
 # bump when the staged layout changes, so that folders of older layouts are not reused
-STAGING_VERSION = "v3"
+STAGING_VERSION = "v4"
 
 
 def stage(spark: SparkSession, sf_dir: str, variant: str) -> str:
-    root = stable_dir(spark, "exports", STAGING_VERSION, _tag(sf_dir), variant)
-    if exists(spark, root + "/_READY"):
-        return root
+    """Folder of the staged exports, built on first use.
+
+    It is built in a private folder and published with one directory rename, so a
+    concurrent caller either sees the complete folder or builds its own copy and
+    discards it."""
+    final = stable_dir(spark, "exports", STAGING_VERSION, _tag(sf_dir), variant)
+    if exists(spark, final + "/_READY"):
+        return final
+    import uuid
+    root = f"{final}.building-{uuid.uuid4().hex}"
+    _build(spark, sf_dir, variant, root)
+    touch(spark, root + "/_READY")
+    if not rename_dir(spark, root, final):
+        delete_dir(spark, root)          # another caller published first
+        if not exists(spark, final + "/_READY"):
+            raise RuntimeError(f"could not publish staged folder {final}")
+    return final
+
+
+def _build(spark: SparkSession, sf_dir: str, variant: str, root: str) -> None:
     if variant == "base":
         a = alerts(spark, sf_dir)
         write_named_csv(a.select(_year_path().alias("__file"), *_base_cols(a)), root, "__file",
@@ -77,9 +95,6 @@ def stage(spark: SparkSession, sf_dir: str, variant: str) -> str:
         a = alerts(spark, sf_dir, src_shift_days=7)
         write_named_csv(a.select(F.col("src").alias("__file"), *_base_cols(a)), root, "__file",
                         order=["__o"], drop=["__o"], sep=",", bom=False)
-    elif variant == "shifted":
-        a = alerts(spark, sf_dir, src_shift_days=7)
-        write_named_csv(a.select(_year_path().alias("__file"), *_base_cols(a)), root, "__file", order=["__o"], drop=["__o"])
     elif variant == "drift":
         a = alerts(spark, sf_dir)
         year = F.substring(F.col("src"), 10, 4).cast("int")
@@ -115,5 +130,3 @@ def stage(spark: SparkSession, sf_dir: str, variant: str) -> str:
         write_named_csv(both, root, "__file", order=[F.col("event_id").cast("long")], bom=False)
     else:
         raise ValueError(f"unknown staging variant {variant!r}")
-    touch(spark, root + "/_READY")
-    return root

@@ -94,6 +94,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm.org.apache.hadoop.fs.Path(path))
 
 
+def rename_dir(spark: SparkSession, src: str, dst: str) -> bool:
+    """Atomic directory rename; False when ``dst`` already exists."""
+    fs, jvm = _fs(spark, src)
+    Path = jvm.org.apache.hadoop.fs.Path
+    if fs.exists(Path(dst)):
+        return False
+    fs.mkdirs(Path(dst).getParent())
+    return bool(fs.rename(Path(src), Path(dst)))
+
+
+def delete_dir(spark: SparkSession, path: str) -> None:
+    fs, jvm = _fs(spark, path)
+    fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+
+
 def touch(spark: SparkSession, path: str) -> None:
     fs, jvm = _fs(spark, path)
     fs.create(jvm.org.apache.hadoop.fs.Path(path), True).close()
