@@ -219,6 +219,11 @@ def q_dedup_key_first_window(spark, sf):
     return dedup.dedup_first_window(alerts(spark, sf), ["ref"], "ord")
 
 
+@query("dedup_key_first_agg", "D1", S.with_alerts("select * from d1", extra=S.DEDUP_CTE))
+def q_dedup_key_first_agg(spark, sf):
+    return dedup.dedup_first_agg(alerts(spark, sf), ["ref"], "ord")
+
+
 @query("dedup_key_keep_null", "D1", S.with_alerts("""
 select * exclude (rn) from (select *, row_number() over (partition by ref, case when ref is null then ord end order by ord) as rn
 from alerts) where rn = 1"""))
