@@ -66,11 +66,13 @@ def recompose(spark: SparkSession, source: str | Sequence[str],
     prepare(spark)
     df, header = C.read_aligned(spark, source, opts.csv, bad_files=opts.bad_files)
     has_key = opts.key in header
+    # a whole-table statistic (median unit) follows: the aggregate form shares its exchange
+    method = "agg" if opts.unit == "median" else "window"
     if opts.dedup_scope == "global":
         if has_key:
-            df = dedup.dedup_first(df, [opts.key], ORDER_COL, opts.null_key)
+            df = dedup.dedup_first(df, [opts.key], ORDER_COL, opts.null_key, method)
         else:
-            df = dedup.dedup_first(df, header, ORDER_COL, "collapse")   # whole-row dedup, first wins
+            df = dedup.dedup_first(df, header, ORDER_COL, "collapse", method)   # whole-row dedup, first wins
     ts = detect_ts_name(header)
     df = resolve_date(df, opts.date if opts.date in header else None, ts,
                       cascade=opts.cascade, unit=opts.unit, file_col=C.SOURCE, order_col=ORDER_COL)

@@ -22,13 +22,14 @@ def _ts(c: str):
     return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss")
 
 
-def deduped(spark, sf, null_key="collapse") -> DataFrame:
-    return dedup.dedup_first(alerts(spark, sf), ["ref"], "ord", null_key)
+def deduped(spark, sf, null_key="collapse", method="window") -> DataFrame:
+    return dedup.dedup_first(alerts(spark, sf), ["ref"], "ord", null_key, method)
 
 
 def recomposed(spark, sf) -> DataFrame:
-    """Current pipeline up to the month split: key dedup, cascade, median-unit epoch."""
-    return resolve_date(deduped(spark, sf), "date_raw", "ts_raw", cascade="dmy", unit="median")
+    """Current pipeline up to the month split: key dedup, cascade, median-unit epoch.
+    The aggregate dedup lets the median statistics reuse its exchange (one scan)."""
+    return resolve_date(deduped(spark, sf, method="agg"), "date_raw", "ts_raw", cascade="dmy", unit="median")
 
 
 # ------------------------------------------------------------------ flagship
