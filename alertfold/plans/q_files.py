@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from alertfold.functions import dates as D
 from alertfold.functions import names as N
 from alertfold.operators import quality, rank
-from alertfold.operators.order import ORDER_COL
 from alertfold.plans import pipelines as P
 from alertfold.plans import sqlfrag as S
 from alertfold.plans.alerts import alerts_sql, read_table

@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from alertfold.functions.names import INCLUDE_SOURCES
 from alertfold.sources import csv as C
