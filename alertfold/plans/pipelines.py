@@ -75,7 +75,7 @@ def recompose(spark: SparkSession, source: str | Sequence[str],
             df = dedup.dedup_first(df, header, ORDER_COL, "collapse", method)   # whole-row dedup, first wins
     ts = detect_ts_name(header)
     df = resolve_date(df, opts.date if opts.date in header else None, ts,
-                      cascade=opts.cascade, unit=opts.unit, file_col=C.SOURCE, order_col=ORDER_COL)
+                      cascade=opts.cascade, unit=opts.unit, file_col=C.PATH, order_col=ORDER_COL)
     df = df.withColumn("ym", D.month_key(F.col("dt")))
     if opts.dedup_scope == "month" and has_key:
         dated = dedup.dedup_first(df.where(F.col("dt").isNotNull()), ["ym", opts.key], ORDER_COL, opts.null_key)
@@ -111,7 +111,7 @@ def capped(spark: SparkSession, source: str | Sequence[str], cap: str,
     df = C.read_by_name(spark, files, csv, roots=[source] if isinstance(source, str) else list(source))
     ts = "Timestamp" if "Timestamp" in df.columns else None
     date = DATE if DATE in df.columns else None
-    df = resolve_date(df, date, ts, cascade="strict", unit="length", file_col=C.SOURCE, order_col=ORDER_COL)
+    df = resolve_date(df, date, ts, cascade="strict", unit="length", file_col=C.PATH, order_col=ORDER_COL)
     return quality.classify(df, "dt", cap)
 
 

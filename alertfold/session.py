@@ -58,6 +58,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         existing = spark.sparkContext.getCheckpointDir()
         if existing:
             return existing.rstrip("/")
+        if not spark.sparkContext.master.startswith("local"):
+            # executors on other machines cannot see a folder of the driver's disk
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) "
+                               "before running on a cluster")
         conf_dir = tempfile.mkdtemp(prefix="alertfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if not spark.sparkContext.getCheckpointDir():

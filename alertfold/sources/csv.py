@@ -341,8 +341,10 @@ def read_by_name(spark: SparkSession, files: Sequence[str], opts: CsvOptions = C
 def read_raw_lines(spark: SparkSession, files: Sequence[str], opts: CsvOptions = CsvOptions()) -> DataFrame:
     """Data lines as text (header dropped, blank lines kept), for row-level validation."""
     df = spark.read.text(list(files))
-    df = with_file_order(df).withColumn(SOURCE, F.col("_metadata.file_name"))
-    first = (df.groupBy(SOURCE).agg(F.min(ORDER_COL).alias("__first")))
+    df = (with_file_order(df).withColumn(SOURCE, F.col("_metadata.file_name"))
+          .withColumn(PATH, F.col("_metadata.file_path")))
+    # the path is the file identity: equal names may sit in different sub-folders
+    first = (df.groupBy(F.col(PATH).alias("__p")).agg(F.min(ORDER_COL).alias("__first")))
     first = F.broadcast(first) if len(files) <= 100_000 else first
-    return (df.join(first, SOURCE).where(F.col(ORDER_COL) != F.col("__first"))
-            .drop("__first"))
+    return (df.join(first, df[PATH] == first["__p"]).where(F.col(ORDER_COL) != F.col("__first"))
+            .drop("__p", "__first"))

@@ -120,3 +120,42 @@ def test_oracle_at_smallest_scale(spark, name):
     duck = [dict(zip(cols, r)) for r in res.fetchall()]
     duck_rows = sorted((tuple(r[c] for c in sorted(cols)) for r in duck), key=key)
     assert spark_rows == duck_rows
+
+
+def test_same_file_name_in_two_folders_is_two_files(spark, tmp_path):
+    # per-file epoch unit: seconds in one a.csv, milliseconds in the other
+    write_text(str(tmp_path / "c" / "x" / "a.csv"), "Référence;Date;Timestamp\nS;;1735776000\n")
+    write_text(str(tmp_path / "c" / "y" / "a.csv"), "Référence;Date;Timestamp\nM;;1735776000000\n")
+    df = P.capped(spark, str(tmp_path / "c"), "2030-01-01 00:00:00")
+    got = sorted((r["Référence"], str(r["dt"])) for r in df.collect())
+    assert got == [("M", "2025-01-02 00:00:00"), ("S", "2025-01-02 00:00:00")]
+    # row router: each file's own header line is dropped
+    a = write_text(str(tmp_path / "r" / "x" / "a.csv"), "Référence;Date\nR1;02/01/2025 10:00\n")
+    b = write_text(str(tmp_path / "r" / "y" / "a.csv"), "Référence;Date\nR2;03/01/2025 11:00\n")
+    routed = P.route(spark, [a, b], date_index=1)
+    assert sorted((r["value"], r["ok"]) for r in routed.collect()) == [
+        ("R1;02/01/2025 10:00", True), ("R2;03/01/2025 11:00", True)]
+
+
+def test_checkpoint_root_refuses_a_local_folder_on_a_cluster():
+    from alertfold.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        master = "spark://cluster:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
