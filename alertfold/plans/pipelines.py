@@ -146,12 +146,22 @@ def merge(spark: SparkSession, sources: Sequence[str], csv: C.CsvOptions = C.Csv
     rows = (df.join(F.broadcast(detected) if len(files) <= 100_000 else detected,
                     df[C.PATH] == detected["file_name"], "inner")
             .withColumn("dt", D.parse_lenient(normalize_ws(raw))).where(F.col("dt").isNotNull()))
-    # content with the normalised date in place of the detected column's text
-    content = [F.when(F.col("date_column") == c, F.date_format("dt", "yyyy-MM-dd HH:mm:ss"))
-               .otherwise(F.col(f"`{c}`")) for c in cols]
-    rows = rows.withColumn("__content", F.array(*[F.coalesce(x, F.lit("nan")) for x in content]))
-    rows = rows.withColumn("__h", F.xxhash64("__content"))   # fixed-width sort prefix, exact key kept
-    kept = dedup.dedup_first(rows, ["__h", "__content"], ORDER_COL).drop("__content", "__h", "file_name")
+    # the detected column holds the normalised date (ISO text) from here on, as the
+    # reference overwrites it; the row content is then the columns themselves, so the
+    # dedup exchange carries each row once instead of a row plus a copy of its text
+    iso = F.date_format("dt", "yyyy-MM-dd HH:mm:ss")
+    rows = rows.select(*[F.when(F.col("date_column") == c, iso).otherwise(F.col(f"`{c}`")).alias(c) for c in cols],
+                       *[x for x in rows.columns if x not in cols])
+    if csv.na_tokens:
+        # 'nan' text is already NULL, and grouping treats NULLs as equal: exact as is
+        key = [F.col(f"`{c}`") for c in cols]
+    else:
+        key = [F.coalesce(F.col(f"`{c}`"), F.lit("nan")) for c in cols]
+    rows = rows.select("*", *[k.alias(f"__k{i}") for i, k in enumerate(key) if not csv.na_tokens],
+                       F.xxhash64(*key).alias("__h"))   # fixed-width sort prefix, exact key kept
+    knames = cols if csv.na_tokens else [f"__k{i}" for i in range(len(key))]
+    kept = dedup.dedup_first(rows, ["__h", *knames], ORDER_COL)
+    kept = kept.drop("__h", "file_name", *[f"__k{i}" for i in range(len(key))])
     return kept.withColumn("ym", F.format_string("%04d-%02d", F.year("dt"), F.month("dt"))), detected
 
 

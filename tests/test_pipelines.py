@@ -159,3 +159,14 @@ def test_checkpoint_root_refuses_a_local_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(Session())
+
+
+@pytest.mark.parametrize("na_tokens", [True, False])
+def test_merge_missing_column_equals_nan_text(spark, tmp_path, na_tokens):
+    # a missing column and the text 'nan' are the same content (both read as missing)
+    write_text(str(tmp_path / "m" / "a.csv"), "id,when,x\n1,02/01/2025 10:00,nan\n")
+    write_text(str(tmp_path / "m" / "b.csv"), "id,when\n1,2025-01-02 10:00:00\n2,2025-01-03 10:00:00\n")
+    from alertfold.sources.csv import CsvOptions
+    kept, _ = P.merge(spark, [str(tmp_path / "m")], CsvOptions(sep=",", exclude=(), na_tokens=na_tokens))
+    got = sorted((r["id"], r["when"], r["_src"]) for r in kept.collect())
+    assert got == [("1", "2025-01-02 10:00:00", "a.csv"), ("2", "2025-01-03 10:00:00", "b.csv")]
