@@ -28,6 +28,7 @@ from alertfold.functions.text import WS_RUN, normalize_ws
 from alertfold.operators import dedup, quality
 from alertfold.operators.order import ORDER_COL
 from alertfold.operators.resolve import resolve_date
+from alertfold.operators.small import per_file_broadcast
 from alertfold.session import prepare
 from alertfold.sinks.files import write_partitioned
 from alertfold.sources import csv as C
@@ -143,7 +144,7 @@ def merge(spark: SparkSession, sources: Sequence[str], csv: C.CsvOptions = C.Csv
     for c in cols:
         cond = F.col("date_column") == c
         raw = F.when(cond, F.col(f"`{c}`")) if raw is None else raw.when(cond, F.col(f"`{c}`"))
-    rows = (df.join(F.broadcast(detected) if len(files) <= 100_000 else detected,
+    rows = (df.join(per_file_broadcast(detected, len(files)),
                     df[C.PATH] == detected["file_name"], "inner")
             .withColumn("dt", D.parse_lenient(normalize_ws(raw))).where(F.col("dt").isNotNull()))
     # the detected column holds the normalised date (ISO text) from here on, as the

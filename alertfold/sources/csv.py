@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from alertfold.functions.names import EXCLUDE_OUTPUTS, EXCLUDE_PARTS
 from alertfold.functions.text import repair_mojibake, repair_mojibake_name, strip_accents_name
 from alertfold.operators.order import ORDER_COL, with_file_order
+from alertfold.operators.small import per_file_broadcast
 
 CORRUPT = "_corrupt_record"
 SOURCE = "_src"     # file name
@@ -305,6 +306,9 @@ def read_aligned(spark: SparkSession, root: str | Sequence[str], opts: CsvOption
     df = read_positional(spark, roots, header, opts, name_filter=name_predicate(opts))
     if bad_files == "drop":
         too_long = (df.where(F.col("_cells") > len(header)).select(F.col(PATH).alias("__bad")).distinct())
+        # at most one row per file: broadcast under the driver's own file count, so a
+        # hot file never meets a shuffle join
+        too_long = per_file_broadcast(too_long, len(files))
         df = df.join(too_long, df[PATH] == too_long["__bad"], "left_anti")
     return df, header
 
@@ -345,6 +349,6 @@ def read_raw_lines(spark: SparkSession, files: Sequence[str], opts: CsvOptions =
           .withColumn(PATH, F.col("_metadata.file_path")))
     # the path is the file identity: equal names may sit in different sub-folders
     first = (df.groupBy(F.col(PATH).alias("__p")).agg(F.min(ORDER_COL).alias("__first")))
-    first = F.broadcast(first) if len(files) <= 100_000 else first
+    first = per_file_broadcast(first, len(files))
     return (df.join(first, df[PATH] == first["__p"]).where(F.col(ORDER_COL) != F.col("__first"))
             .drop("__p", "__first"))
