@@ -2,9 +2,10 @@
 
 Month outputs are one dataset partitioned by ``ym`` (and ``status`` for audits), so a
 run is one pass over the data and replaces only the months it carries (dynamic
-partition overwrite: stale months of earlier runs stay).  Rows are *rebalanced*
-by month: AQE gives each month its own task and splits a month that is larger
-than the advisory size, so a hot month is written by several tasks instead of one.
+partition overwrite: stale months of earlier runs stay).  Ordered outputs are
+range-partitioned by (month, order): a hot month is cut into contiguous ranges
+written by several tasks, and its part files in part-number order keep the row
+order.  Unordered outputs (audits) are rebalanced, and AQE splits large months.
 """
 
 from __future__ import annotations
@@ -37,10 +38,20 @@ def with_bom_header(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
 def write_partitioned(df: DataFrame, out: str, partition_cols: Sequence[str], order: Sequence[str] = (),
                       sep: str = ";", bom: bool = True, mode: str = "overwrite",
                       drop: Sequence[str] = ()) -> None:
-    """One pass: rebalance by the partition columns (skew-split by AQE), sort inside each
-    task, write CSV partitioned by those columns (dynamic overwrite)."""
+    """One pass: spread rows over tasks by the partition columns, sort inside each task,
+    write CSV partitioned by those columns (dynamic overwrite).
+
+    With an ``order``, rows are range-partitioned by (partition columns, order): a large
+    month is cut into contiguous ranges at sampled bounds, so it is written by several
+    tasks, and its part files taken in part-number order hold its rows in order.
+    Without one, a rebalance lets AQE split a large month at any point."""
     parts = [F.col(c) for c in partition_cols]
-    data = df.repartition(*parts) if not _aqe(df.sparkSession) else df.hint("rebalance", *partition_cols)
+    if order:
+        data = df.repartitionByRange(*parts, *[F.col(c) for c in order])
+    elif _aqe(df.sparkSession):
+        data = df.hint("rebalance", *partition_cols)
+    else:
+        data = df.repartition(*parts)
     data = data.sortWithinPartitions(*parts, *[F.col(c) for c in order])
     if drop:
         data = data.drop(*drop)

@@ -103,3 +103,24 @@ def test_c24_router_counts(spark, tmp_path):
     st = quality.file_stats(routed, "_src", F.col("ok")).first()
     assert (st["total"], st["ok"], st["errors"]) == (4, 1, 3)
     assert [r[0] for r in routed.where("ok").select("ym").collect()] == ["2024_12"]
+
+
+def test_split_month_parts_keep_order(spark, tmp_path):
+    # one month over several writer tasks: the parts, in name order, hold the rows in order
+    df = spark.createDataFrame([(i, "2025_01") for i in range(400)], "o int, ym string").orderBy(F.rand(7))
+    out = str(tmp_path / "m")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
+                                             "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        W.write_partitioned(df, out, ["ym"], order=["o"], bom=False)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    names = W.publish_month_files(spark, out, str(tmp_path / "named"))
+    assert len(names) > 1 and names[0] == "alertes_2025_01.csv"
+    got = []
+    for n in names:   # exact name first, then _p001, _p002 ...
+        got += [int(x) for x in open(tmp_path / "named" / n).read().splitlines()[1:]]
+    assert got == list(range(400))
