@@ -52,34 +52,78 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str, delay: str
             .drop("__event_time"))
 
 
+KEYS = "_keys"        # parquet key index of the month output: ym=/batch=/ (key text only)
+STAGING = "_staging"  # a batch's CSV before it is published into the month folders
+
+
 def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";"):
-    """``foreachBatch`` function: append each batch's rows under ``ym=YYYY_MM``, minus the
-    keys already written for the months the batch touches (so a replayed batch adds
-    nothing, and a key re-exported later is not duplicated)."""
+    """``foreachBatch`` function: add each batch's rows under ``out/ym=YYYY_MM/``, minus
+    the keys already written for the months the batch touches (a key re-exported later
+    is not duplicated).
+
+    The keys written so far are kept in a parquet index next to the months, so a batch
+    reads one narrow column of the touched months (partition-pruned) instead of
+    re-parsing all their CSV text.  A batch commits in steps that are each
+    safe to repeat: stage its CSV (overwrite), write its keys (dynamic overwrite of its
+    own ``batch=`` partitions), move the staged files to names derived from the batch
+    id (earlier copies of that batch removed first), then write a marker.  A replayed
+    batch either finds its marker and stops, or redoes every step with the same result
+    (its own keys are excluded from the anti-join)."""
+    root = out.rstrip("/")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        from pyspark import StorageLevel
+
+        from alertfold.operators.dedup import dedup_first
+        from alertfold.sinks.files import csv_writer, delete_dir, exists, touch
         spark = batch.sparkSession
+        done = f"{root}/{KEYS}/_done/{batch_id}"
+        if exists(spark, done):
+            return
         rows = batch.withColumn("ym", D.month_key(F.col(dt)))
         # first occurrence inside the batch
-        from alertfold.operators.dedup import dedup_first
         rows = dedup_first(rows.withColumn("__o", F.struct("_src", F.monotonically_increasing_id())),
                            [key], "__o").drop("__o")
-        # a micro-batch is bounded by maxFilesPerTrigger: keep it for the two uses below
-        from pyspark import StorageLevel
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        from alertfold.sinks.files import csv_writer, exists
-        if exists(spark, out):
+        keys_root = f"{root}/{KEYS}"
+        if exists(spark, keys_root):
             months = [r["ym"] for r in rows.select("ym").distinct().collect()]   # months of one batch
-            seen = (spark.read.option("sep", sep).option("header", True).csv(out)
-                    .where(F.col("ym").isin(months)).select(F.col(key).alias("__k")))
-            rows = rows.join(seen, rows[key] == seen["__k"], "left_anti")
-        data = rows.drop(dt).hint("rebalance", "ym")
-        csv_writer(data, sep).mode("append").partitionBy("ym").csv(out)
+            in_months = F.col("ym").isin([m for m in months if m is not None])
+            if None in months:
+                in_months = in_months | F.col("ym").isNull()
+            seen = (spark.read.schema("k string, ym string, batch long").parquet(keys_root)
+                    .where(in_months & (F.col("batch") != batch_id)).select(F.col("k").alias("__k")))
+            rows = rows.join(seen, F.col(f"`{key}`").cast("string") == seen["__k"], "left_anti")
+        # a micro-batch is bounded by maxFilesPerTrigger: keep it for the two writes below
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        staged = f"{root}/{STAGING}/{batch_id}"
+        csv_writer(rows.drop(dt).hint("rebalance", "ym"), sep).mode("overwrite").partitionBy("ym").csv(staged)
+        (rows.select(F.col(f"`{key}`").cast("string").alias("k"), "ym", F.lit(batch_id).cast("long").alias("batch"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("ym", "batch").parquet(keys_root))
         rows.unpersist()
+        _publish_batch(spark, staged, root, batch_id)
+        delete_dir(spark, staged)
+        touch(spark, done)
 
     return handle
 
 
+def _publish_batch(spark: SparkSession, staged: str, root: str, batch_id: int) -> None:
+    """Move a staged batch's part files to ``root/ym=.../b<batch>-<n>.csv`` (metadata
+    only; the file count is bounded by the batch's tasks and months)."""
+    from alertfold.sinks.files import _fs
+    fs, jvm = _fs(spark, root)
+    Path = jvm.org.apache.hadoop.fs.Path
+    prefix = f"b{batch_id:012d}-"
+    for old in fs.globStatus(Path(f"{root}/ym=*/{prefix}*")) or []:   # a replay's earlier copies
+        fs.delete(old.getPath(), False)
+    parts = sorted(fs.globStatus(Path(f"{staged}/ym=*/part-*")) or [], key=lambda st: st.getPath().toString())
+    for n, st in enumerate(parts):
+        month_dir = Path(f"{root}/{st.getPath().getParent().getName()}")
+        fs.mkdirs(month_dir)
+        fs.rename(st.getPath(), Path(month_dir, f"{prefix}{n:05d}.csv"))
+
+
 def run_monthly(df: DataFrame, out: str, checkpoint: str, key: str) -> None:
     q = (df.writeStream.foreachBatch(monthly_router(out, key)).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

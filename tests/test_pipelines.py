@@ -170,3 +170,28 @@ def test_merge_missing_column_equals_nan_text(spark, tmp_path, na_tokens):
     kept, _ = P.merge(spark, [str(tmp_path / "m")], CsvOptions(sep=",", exclude=(), na_tokens=na_tokens))
     got = sorted((r["id"], r["when"], r["_src"]) for r in kept.collect())
     assert got == [("1", "2025-01-02 10:00:00", "a.csv"), ("2", "2025-01-03 10:00:00", "b.csv")]
+
+
+def test_month_router_replay_is_exactly_once(spark, tmp_path):
+    from alertfold.functions import dates as D
+    from alertfold.sinks.files import delete_dir
+    from alertfold.streaming import files as ST
+    out = str(tmp_path / "o")
+    handle = ST.monthly_router(out, "id")
+
+    def batch(rows):
+        return (spark.createDataFrame(rows, "id string, Date string, _src string")
+                .withColumn("dt", D.parse_strict(F.col("Date"))))
+
+    handle(batch([("1", "02/01/2025 10:00:00", "a.csv"), ("2", "03/02/2025 10:00:00", "a.csv")]), 0)
+    b1 = batch([("1", "05/01/2025 10:00:00", "b.csv"), ("3", "04/01/2025 10:00:00", "b.csv"),
+                ("3", "06/01/2025 10:00:00", "b.csv")])
+    handle(b1, 1)
+    delete_dir(spark, out + "/_keys/_done/1")   # as if the run died before the marker
+    handle(b1, 1)
+    handle(b1, 1)                                # marker present: nothing happens
+    back = spark.read.option("sep", ";").option("header", True).csv(out)
+    assert sorted((r["id"], r["Date"], str(r["ym"])) for r in back.collect()) == [
+        ("1", "02/01/2025 10:00:00", "2025_01"), ("2", "03/02/2025 10:00:00", "2025_02"),
+        ("3", "04/01/2025 10:00:00", "2025_01")]
+    assert not os.path.exists(tmp_path / "o" / "_staging" / "1")
