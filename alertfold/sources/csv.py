@@ -23,6 +23,9 @@ from alertfold.operators.order import ORDER_COL, with_file_order
 from alertfold.operators.small import per_file_broadcast
 
 CORRUPT = "_corrupt_record"
+# Largest file list written into a scan's plan as a path predicate (larger lists go
+# to the file index, so task binaries stay small).
+MAX_PATH_PREDICATE = 10_000
 SOURCE = "_src"     # file name
 PATH = "_path"      # full file path (the file identity)
 
@@ -318,9 +321,11 @@ def read_by_name(spark: SparkSession, files: Sequence[str], opts: CsvOptions = C
     """Each file with its own (trimmed) header; files are grouped by header so that one
     scan runs per distinct header, then the scans are unioned by name (missing -> NULL).
 
-    With ``roots``, each scan lists the roots (glob, recursive) and keeps its files by a
-    ``_metadata.file_path`` membership predicate, pruned while listing; without, the
-    explicit paths are listed (a parallel listing job for long lists)."""
+    With ``roots``, a scan of up to ``MAX_PATH_PREDICATE`` files lists the roots (glob,
+    recursive) and keeps its files by a ``_metadata.file_path`` membership predicate,
+    pruned while listing.  A larger group, or no ``roots``, hands its paths to the file
+    index instead (a parallel listing job for long lists): the plan, shipped with every
+    task, then carries no list of paths."""
     lines = header_lines(spark, files, opts).collect()      # one short row per file
     by_header: dict[tuple[str, ...], list[str]] = {}
     for r in lines:
@@ -330,7 +335,7 @@ def read_by_name(spark: SparkSession, files: Sequence[str], opts: CsvOptions = C
     out = None
     for names, paths in sorted(by_header.items(), key=lambda kv: min(kv[1])):
         reader = opts.reader(spark).schema(_string_schema(names)).option("header", True)
-        if roots:
+        if roots and len(paths) <= MAX_PATH_PREDICATE:
             part = (reader.option("pathGlobFilter", opts.glob).option("recursiveFileLookup", opts.recursive)
                     .csv(list(roots)).where(F.col("_metadata.file_path").isin(sorted(paths))))
         else:

@@ -48,6 +48,20 @@ def test_c13_by_name(spark, tmp_path):
     assert got == [("1", "2", None), (None, "3", "4")]
 
 
+@pytest.mark.parametrize("limit", [10_000, 1])
+def test_by_name_from_roots_predicate_or_file_index(spark, tmp_path, monkeypatch, limit):
+    # small groups: root scan + path predicate; large groups: paths given to the file index
+    monkeypatch.setattr(C, "MAX_PATH_PREDICATE", limit)
+    write_text(str(tmp_path / "x" / "1.csv"), "a;b\n1;2\n")
+    write_text(str(tmp_path / "x" / "2.csv"), "a;b\n5;6\n")
+    write_text(str(tmp_path / "y" / "3.csv"), "b;c\n3;4\n")
+    write_text(str(tmp_path / "y" / "alertes_2025_01.csv"), "a;b\n9;9\n")   # own output: excluded
+    root = str(tmp_path)
+    df = C.read_by_name(spark, C.discover(spark, root), roots=[root])
+    got = sorted((tuple(r) for r in df.select("a", "b", "c", C.SOURCE).collect()), key=repr)
+    assert got == [("1", "2", None, "1.csv"), ("5", "6", None, "2.csv"), (None, "3", "4", "3.csv")]
+
+
 def test_c14_long_row_kept_or_file_dropped(spark, tmp_path):
     write_text(str(tmp_path / "a.csv"), "k;d\n1;x\n2;y;extra\n")
     write_text(str(tmp_path / "b.csv"), "k;d\n3;z\n")
