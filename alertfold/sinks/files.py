@@ -74,7 +74,11 @@ def write_named_csv(df: DataFrame, root: str, name_col: str, order: Sequence[str
                     sep: str = ";", bom: bool = True, drop: Sequence[str] = ()) -> list[str]:
     """Write one CSV per distinct value of ``name_col`` (a relative file path), named
     exactly.  Spark names its part files itself, so each single-part directory is
-    renamed afterwards on the driver (one metadata call per output file)."""
+    renamed afterwards on the driver (one metadata call per output file).
+
+    One file has one writer, so all rows of a name go to one task: meant for files of
+    export size (the staged inputs).  Month outputs use ``write_partitioned``, which
+    splits a large month over tasks."""
     spark = df.sparkSession
     tmp = root.rstrip("/") + "/_tmp_named"
     data = df.repartition(F.col(name_col)).sortWithinPartitions(name_col, *order)
