@@ -101,7 +101,7 @@ def q_exclude_outputs(spark, sf):
     df = C.read_positional(spark, files, C.reference_header(spark, files, opts), opts)
     excl = "|".join(f"({p})" for p in N.EXCLUDE_OUTPUTS)
     # the predicate on the file-name metadata prunes whole files before they are opened
-    kept = df.where(~F.col("_metadata.file_name").rlike(f"(?i){excl}"))
+    kept = df.where(~C.file_name().rlike(f"(?i){excl}"))
     return kept.groupBy(F.col(C.SOURCE).alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 

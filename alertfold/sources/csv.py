@@ -12,6 +12,7 @@ import posixpath
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,7 +93,7 @@ def discover(spark: SparkSession, root: str | Sequence[str], opts: CsvOptions =
                  .option("recursiveFileLookup", opts.recursive).load(roots).inputFiles())
     except AnalysisException as e:
         raise NoSourceFiles(f"no source folder {roots}: {e}") from e
-    kept = sorted(hadoop_path(p) for p in files if name_allowed(posixpath.basename(p), opts))
+    kept = sorted(hadoop_path(p) for p in files if name_allowed(unquote(posixpath.basename(p)), opts))
     if not kept:
         raise NoSourceFiles(f"no source file under {roots}")
     return kept
@@ -105,18 +106,61 @@ def hadoop_path(path: str) -> str:
     return path
 
 
+_GLOB_CHARS = re.compile(r"([\\\[\]{}*?])")
+
+
+def reader_path(path: str) -> str:
+    """A discovered path, spelled as ``_metadata.file_path`` spells it (URI escapes such
+    as ``%20``), as a literal path for ``spark.read``: escapes decoded, glob characters
+    quoted (the reader expands globs in the paths it is given)."""
+    return _GLOB_CHARS.sub(r"\\\1", unquote(path))
+
+
+def file_name() -> Column:
+    """The source file's name as on disk.  ``_metadata.file_name`` is URI-escaped
+    ('x%20y.csv'); '+' is protected first, since URL decoding would read it as a space."""
+    raw = F.col("_metadata.file_name")
+    return F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw)
+
+
 # ---------------------------------------------------------------- headers
-def _arrow_path(path: str) -> str:
-    """Spark writes local paths as 'file:/x'; Arrow wants 'file:///x'."""
-    if path.startswith("file:/") and not path.startswith("file:///"):
-        return "file:///" + path[len("file:/"):].lstrip("/")
-    return path
+# Hadoop scheme -> the name Arrow's file systems use
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def _arrow_uri(path: str) -> str:
+    """A discovered path as a URI Arrow parses: 'file:/x' -> 'file:///x', Hadoop-only
+    scheme names mapped, every non-ASCII or reserved character percent-escaped."""
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = "file://" + path[len("file:"):]
+    scheme, sep, rest = path.partition("://")
+    if not sep:
+        return path
+    return f"{_ARROW_SCHEMES.get(scheme, scheme)}://" + quote(unquote(rest), safe="/:@")
+
+
+_ARROW_FS: dict[str, tuple] = {}
+
+
+def _arrow_open(path: str):
+    """(file system, path inside it); one file system per scheme and authority and per
+    process, since resolving one may cost a remote call (an S3 bucket's region)."""
+    from pyarrow import fs as pafs
+    uri = _arrow_uri(path)
+    scheme, _, rest = uri.partition("://")
+    authority, _, local = rest.partition("/")
+    local = unquote("/" + local)
+    key = f"{scheme}://{authority}"
+    if key not in _ARROW_FS:
+        filesystem, inner = pafs.FileSystem.from_uri(uri)
+        _ARROW_FS[key] = (filesystem, inner[: len(inner) - len(local)])   # e.g. 'bucket' for S3
+    filesystem, prefix = _ARROW_FS[key]
+    return filesystem, prefix + local
 
 
 def first_line(path: str, encoding: str) -> str | None:
     """First non-blank line of a file, reading only its first bytes (Arrow file systems)."""
-    from pyarrow import fs as pafs
-    filesystem, inner = pafs.FileSystem.from_uri(_arrow_path(path))
+    filesystem, inner = _arrow_open(path)
     buf, done = b"", []
     with filesystem.open_input_stream(inner) as f:
         while True:
@@ -135,12 +179,19 @@ def first_line(path: str, encoding: str) -> str | None:
 
 
 def _first_lines(encoding: str):
-    """Per-partition function over a file list: (path, first line)."""
+    """Per-partition function over a file list: (path, first line, read).  A file Arrow
+    cannot open is reported with read=False instead of failing the task."""
 
     def run(batches):
         import pandas as pd
         for pdf in batches:
-            yield pd.DataFrame([(p, first_line(p, encoding)) for p in pdf["path"]], columns=["path", "line"])
+            out = []
+            for p in pdf["path"]:
+                try:
+                    out.append((p, first_line(p, encoding), True))
+                except (OSError, ValueError):    # not found, no access, unparsable URI
+                    out.append((p, None, False))
+            yield pd.DataFrame(out, columns=["path", "line", "read"])
 
     return run
 
@@ -156,26 +207,44 @@ def header_lines(spark: SparkSession, files: Sequence[str], opts: CsvOptions, me
     if method == "auto":
         method = "arrow" if _arrow_can_open(files[0] if files else "") else "scan"
     if method == "arrow":
-        n = max(1, min(len(files) // 64 + 1, spark.sparkContext.defaultParallelism * 4))
-        paths = spark.createDataFrame([(p,) for p in files], "path string").repartition(n)
-        out = paths.mapInPandas(_first_lines(_py_encoding(opts.encoding)), "path string, line string")
-        return out.where(F.col("line").isNotNull())
+        out = _arrow_lines(spark, files, opts)
+        return out.where(F.col("read") & F.col("line").isNotNull()).select("path", "line")
     raw = (spark.read.schema("line string").option("sep", "\u0001").option("quote", "")
-           .option("encoding", opts.encoding).option("header", False).csv(list(files)))
+           .option("encoding", opts.encoding).option("header", False).csv([reader_path(p) for p in files]))
     return (raw.where(F.col("_metadata.file_block_start") == 0)
             .select(F.col("_metadata.file_path").alias("path"), "line",
                     F.monotonically_increasing_id().alias("__pos"))
             .groupBy("path").agg(F.min_by("line", "__pos").alias("line")))
 
 
+def _arrow_lines(spark: SparkSession, files: Sequence[str], opts: CsvOptions) -> DataFrame:
+    n = max(1, min(len(files) // 64 + 1, spark.sparkContext.defaultParallelism * 4))
+    paths = spark.createDataFrame([(p,) for p in files], "path string").repartition(n)
+    return paths.mapInPandas(_first_lines(_py_encoding(opts.encoding)), "path string, line string, read boolean")
+
+
+def collect_header_lines(spark: SparkSession, files: Sequence[str], opts: CsvOptions) -> list[tuple[str, str]]:
+    """(path, first line) of every non-empty file, on the driver: one short row per file.
+    Short reads through Arrow; only the files Arrow could not open are scanned."""
+    if not files:
+        return []
+    if not _arrow_can_open(files[0]):
+        return [(r["path"], r["line"]) for r in header_lines(spark, files, opts, method="scan").collect()]
+    got = _arrow_lines(spark, files, opts).collect()
+    lines = [(r["path"], r["line"]) for r in got if r["read"] and r["line"] is not None]
+    failed = [r["path"] for r in got if not r["read"]]
+    if failed:
+        lines += [(r["path"], r["line"]) for r in header_lines(spark, failed, opts, method="scan").collect()]
+    return lines
+
+
 def _py_encoding(enc: str) -> str:
     return {"UTF-8": "utf-8-sig", "utf-8": "utf-8-sig"}.get(enc, enc)
 
 
 def _arrow_can_open(path: str) -> bool:
     try:
-        from pyarrow import fs as pafs
-        pafs.FileSystem.from_uri(_arrow_path(path))
+        _arrow_open(path)
         return True
     except Exception:  # noqa: BLE001 - unknown scheme or missing client: use the scan
         return False
@@ -218,12 +287,17 @@ def mangle(names: Sequence[str]) -> list[str]:
 def reference_header(spark: SparkSession, files: Sequence[str], opts: CsvOptions = CsvOptions()) -> list[str]:
     """Names of the reference file: last path in sorted order, or most recent by mtime."""
     if opts.header_from == "mtime":
-        ref = (listing(spark, list(files), opts)
+        ref = (listing(spark, [reader_path(p) for p in files], opts)
                .agg(F.max_by("path", F.struct("mtime", "path")).alias("p")).first()["p"])
     else:
         ref = max(files)
+    line = None
     if _arrow_can_open(ref):
-        line = first_line(ref, _py_encoding(opts.encoding))   # one short read on the driver
+        try:
+            line = first_line(ref, _py_encoding(opts.encoding))   # one short read on the driver
+        except (OSError, ValueError):
+            line = header_lines(spark, [ref], opts, method="scan").first()
+            line = line["line"] if line else None
     else:
         row = header_lines(spark, [ref], opts, method="scan").first()
         line = row["line"] if row else None
@@ -272,8 +346,8 @@ def read_positional(spark: SparkSession, files: Sequence[str], header: Sequence[
         df = (reader.option("pathGlobFilter", opts.glob).option("recursiveFileLookup", opts.recursive)
               .csv(list(files)).where(name_filter))
     else:
-        df = reader.csv(list(files))
-    df = (with_file_order(df).withColumn(SOURCE, F.col("_metadata.file_name"))
+        df = reader.csv([reader_path(p) for p in files])
+    df = (with_file_order(df).withColumn(SOURCE, file_name())
           .withColumn(PATH, F.col("_metadata.file_path")))
     # Empty prefixes of every data column keep them all in the scan's required schema:
     # Spark refuses a CSV scan returning only the corrupt-record column, and with
@@ -285,9 +359,10 @@ def read_positional(spark: SparkSession, files: Sequence[str], header: Sequence[
 
 
 def name_predicate(opts: CsvOptions):
-    """The file-name rules as a predicate on ``_metadata.file_name`` (Spark prunes the
-    files it rejects while listing, before opening them)."""
-    name = F.col("_metadata.file_name")
+    """The file-name rules as a predicate on the file name, an expression of
+    ``_metadata.file_name`` only (Spark prunes the files it rejects while listing,
+    before opening them)."""
+    name = file_name()
     cond = F.lit(True)
     if opts.exclude:
         cond = cond & ~name.rlike("(?i)" + "|".join(f"(?:{p})" for p in opts.exclude))
@@ -326,10 +401,9 @@ def read_by_name(spark: SparkSession, files: Sequence[str], opts: CsvOptions = C
     pruned while listing.  A larger group, or no ``roots``, hands its paths to the file
     index instead (a parallel listing job for long lists): the plan, shipped with every
     task, then carries no list of paths."""
-    lines = header_lines(spark, files, opts).collect()      # one short row per file
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for r in lines:
-        by_header.setdefault(tuple(split_header(r["line"], opts)), []).append(r["path"])
+    for path, line in collect_header_lines(spark, files, opts):   # one short row per file
+        by_header.setdefault(tuple(split_header(line, opts)), []).append(path)
     if not by_header:
         raise NoSourceFiles("every source file is empty")
     out = None
@@ -339,8 +413,8 @@ def read_by_name(spark: SparkSession, files: Sequence[str], opts: CsvOptions = C
             part = (reader.option("pathGlobFilter", opts.glob).option("recursiveFileLookup", opts.recursive)
                     .csv(list(roots)).where(F.col("_metadata.file_path").isin(sorted(paths))))
         else:
-            part = reader.csv(sorted(paths))
-        part = (with_file_order(part).withColumn(SOURCE, F.col("_metadata.file_name"))
+            part = reader.csv([reader_path(p) for p in sorted(paths)])
+        part = (with_file_order(part).withColumn(SOURCE, file_name())
                 .withColumn(PATH, F.col("_metadata.file_path")).drop(CORRUPT))
         part = _finish(part, names, opts)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
@@ -349,8 +423,8 @@ def read_by_name(spark: SparkSession, files: Sequence[str], opts: CsvOptions = C
 
 def read_raw_lines(spark: SparkSession, files: Sequence[str], opts: CsvOptions = CsvOptions()) -> DataFrame:
     """Data lines as text (header dropped, blank lines kept), for row-level validation."""
-    df = spark.read.text(list(files))
-    df = (with_file_order(df).withColumn(SOURCE, F.col("_metadata.file_name"))
+    df = spark.read.text([reader_path(p) for p in files])
+    df = (with_file_order(df).withColumn(SOURCE, file_name())
           .withColumn(PATH, F.col("_metadata.file_path")))
     # the path is the file identity: equal names may sit in different sub-folders
     first = (df.groupBy(F.col(PATH).alias("__p")).agg(F.min(ORDER_COL).alias("__first")))

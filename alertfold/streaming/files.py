@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from alertfold.functions import dates as D
 from alertfold.session import prepare
-from alertfold.sources.csv import NA_TOKENS
+from alertfold.sources.csv import NA_TOKENS, file_name
 
 
 def read_exports(spark: SparkSession, folder: str, columns: Sequence[str], sep: str = ";",
@@ -27,7 +27,7 @@ def read_exports(spark: SparkSession, folder: str, columns: Sequence[str], sep:
     df = (spark.readStream.schema(schema).option("sep", sep).option("header", True)
           .option("escape", '"').option("pathGlobFilter", glob)
           .option("maxFilesPerTrigger", max_files_per_trigger).csv(folder))
-    df = df.withColumn("_src", F.col("_metadata.file_name"))
+    df = df.withColumn("_src", file_name())
     return df.select(*[F.when(F.col(f"`{c}`").isin(*NA_TOKENS), None).otherwise(F.col(f"`{c}`")).alias(c)
                        for c in columns], "_src")
 

@@ -112,3 +112,35 @@ def test_file_order_across_blocks(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert ordered == list(range(20000))
+
+
+def test_file_names_with_spaces_accents_and_brackets(spark, tmp_path):
+    # discovered paths are URI-escaped ('%20'): every read must still find the files, and
+    # the provenance column shows the name as on disk
+    names = {"Alertes_2024-01 à 03.csv": "a;b\n1;2\n", "x y.csv": "b;c\n5;6\n", "br[1]+.csv": "a;b\n7;8\n"}
+    for n, body in names.items():
+        write_text(str(tmp_path / n), body)
+    files = C.discover(spark, str(tmp_path))
+    assert len(files) == 3
+    for method in ("arrow", "scan"):
+        got = sorted(r["line"] for r in C.header_lines(spark, files, C.CsvOptions(), method=method).collect())
+        assert got == ["a;b", "a;b", "b;c"], method
+    assert sorted(line for _, line in C.collect_header_lines(spark, files, C.CsvOptions())) == ["a;b", "a;b", "b;c"]
+    want = [("1", "2", None, "Alertes_2024-01 à 03.csv"), ("7", "8", None, "br[1]+.csv"), (None, "5", "6", "x y.csv")]
+    for roots in ([str(tmp_path)], None):
+        df = C.read_by_name(spark, files, roots=roots)
+        assert sorted((tuple(r) for r in df.select("a", "b", "c", C.SOURCE).collect()), key=repr) == sorted(want, key=repr)
+    assert sorted(r["value"] for r in C.read_raw_lines(spark, files).collect()) == ["1;2", "5;6", "7;8"]
+    aligned, header = C.read_aligned(spark, str(tmp_path))
+    assert sorted(r[C.SOURCE] for r in aligned.collect()) == sorted(names)
+    # name rules see the decoded name
+    opts = C.CsvOptions(include=r"^Alertes_\d{4}-\d{2} à \d{2}\.csv$")
+    assert [p.rsplit("/", 1)[-1] for p in C.discover(spark, str(tmp_path), opts)] == ["Alertes_2024-01%20à%2003.csv"]
+    only, _ = C.read_aligned(spark, str(tmp_path), opts)
+    assert [r[C.SOURCE] for r in only.collect()] == ["Alertes_2024-01 à 03.csv"]
+
+
+def test_reader_path_and_arrow_uri():
+    assert C.reader_path("file:/d/x%20y%5B1%5D.csv") == "file:/d/x y\\[1\\].csv"
+    assert C._arrow_uri("file:/d/a%20à.csv") == "file:///d/a%20%C3%A0.csv"
+    assert C._arrow_uri("s3a://bucket/k%20e y.csv") == "s3://bucket/k%20e%20y.csv"
