@@ -80,7 +80,7 @@ def listing(spark: SparkSession, root: str | Sequence[str], opts: CsvOptions = C
     roots = [root] if isinstance(root, str) else list(root)
     df = (spark.read.format("binaryFile").option("pathGlobFilter", opts.glob)
           .option("recursiveFileLookup", opts.recursive).load(roots))
-    return df.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"),
+    return df.select("path", unescape(F.element_at(F.split("path", "/"), -1)).alias("file_name"),
                      F.col("modificationTime").alias("mtime"), "length")
 
 
@@ -116,11 +116,15 @@ def reader_path(path: str) -> str:
     return _GLOB_CHARS.sub(r"\\\1", unquote(path))
 
 
+def unescape(c: Column) -> Column:
+    """URI-escaped path text ('x%20y.csv') as on disk; '+' is protected first, since URL
+    decoding would read it as a space."""
+    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+
+
 def file_name() -> Column:
-    """The source file's name as on disk.  ``_metadata.file_name`` is URI-escaped
-    ('x%20y.csv'); '+' is protected first, since URL decoding would read it as a space."""
-    raw = F.col("_metadata.file_name")
-    return F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw)
+    """The source file's name as on disk (``_metadata.file_name`` is URI-escaped)."""
+    return unescape(F.col("_metadata.file_name"))
 
 
 # ---------------------------------------------------------------- headers
