@@ -10,6 +10,7 @@ positions into exact positions inside the group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -52,11 +53,64 @@ def rank_within(df: DataFrame, group: Sequence[str | Column], order: Sequence[st
     return joined.select(*keep, pos.alias(out))
 
 
-def exact_median(df: DataFrame, col: str, out: str = "median") -> DataFrame:
+def exact_median(df: DataFrame, col: str, out: str = "median", accuracy: int = 10_000,
+                 max_collect: int = 100_000, rounds: int = 6) -> DataFrame:
     """One row: the exact median of ``col`` (NULLs ignored), mean of the two middle
-    values for an even count; NULL when there is no value."""
+    values for an even count; NULL when there is no value.
+
+    Selection by narrowing, without sorting the column: ``percentile_approx`` places a
+    value within n/accuracy ranks of its target, so two quantiles just around the
+    middle bracket both middle values.  One count gives how many values lie below the
+    bracket; the bracket (about 4n/accuracy values, checkpointed) is narrowed again
+    until it holds at most ``max_collect`` values, which are sorted on the driver.
+    Every bracket is checked against the counts; a check that fails (few values, heavy
+    ties) hands the current bracket to ``exact_median_sorted``, so the result is exact."""
+    spark = df.sparkSession
+    vals = df.select(F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    n = vals.count()
+    if n == 0:
+        return spark.createDataFrame([(None,)], f"`{out}` double")
+    k1, k2 = (n + 1) // 2, n // 2 + 1          # 1-based ranks of the middle values
+    band, below, m = vals, 0, n                  # the middle values are in ``band``
+    v = F.col("__v")
+    for _ in range(rounds):
+        if m <= max_collect:
+            # at most max_collect values; NaN sorts last, as in Spark
+            xs = sorted((r[0] for r in band.collect()), key=lambda x: (math.isnan(x), x))
+            return spark.createDataFrame([((xs[k1 - below - 1] + xs[k2 - below - 1]) / 2,)], f"`{out}` double")
+        qs = [max(0.0, (k1 - below) / m - 2.0 / accuracy), min(1.0, (k2 - below) / m + 2.0 / accuracy)]
+        lo, hi = band.agg(F.percentile_approx(v, qs, accuracy)).first()[0]
+        st = band.agg(F.count_if(v < lo).alias("lt"), F.count_if((v >= lo) & (v <= hi)).alias("inside")).first()
+        if not (below + st["lt"] < k1 and below + st["lt"] + st["inside"] >= k2):
+            break                                        # the bracket is not proven
+        if lo == hi:                                     # both middle values equal lo
+            return spark.createDataFrame([(float(lo),)], f"`{out}` double")
+        if st["inside"] == m:
+            break                                        # no further narrowing (ties)
+        below, m = below + st["lt"], st["inside"]
+        from alertfold.session import checkpoint_root
+        checkpoint_root(spark)
+        band = band.where((v >= lo) & (v <= hi)).checkpoint(eager=True)   # cut the lineage
+    return _median_of_band(band, below, n, out)
+
+
+def _median_of_band(band: DataFrame, below: int, n: int, out: str) -> DataFrame:
+    """The middle values of the whole column, found by rank inside ``band`` (which holds
+    them, with ``below`` values of the column smaller than the band)."""
+    k1, k2 = (n + 1) // 2, n // 2 + 1
+    # the row id breaks ties, so a block of equal values can still be split over tasks
+    keyed = band.withColumn("__all", F.lit(1)).withColumn("__t", F.monotonically_increasing_id())
+    ranked = rank_within(keyed, ["__all"], ["__v", "__t"], out="__r")
+    picked = ranked.where((F.col("__r") + below == k1) | (F.col("__r") + below == k2))
+    return picked.agg(F.avg("__v").alias(out))
+
+
+def exact_median_sorted(df: DataFrame, col: str, out: str = "median") -> DataFrame:
+    """The same median through positions of the whole column (range partitioning and
+    a sort of every value; no single task)."""
     vals = df.select(F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    ranked = rank_within(vals.withColumn("__all", F.lit(1)), ["__all"], ["__v"], out="__r")
+    keyed = vals.withColumn("__all", F.lit(1)).withColumn("__t", F.monotonically_increasing_id())
+    ranked = rank_within(keyed, ["__all"], ["__v", "__t"], out="__r")
     n = vals.agg(F.count(F.lit(1)).alias("__n")).scalar()
     picked = ranked.where((F.col("__r") == F.floor((n + 1) / 2)) | (F.col("__r") == F.floor(n / 2) + 1))
     return picked.agg(F.avg("__v").alias(out))

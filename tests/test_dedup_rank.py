@@ -63,3 +63,24 @@ def test_exact_median(spark, n):
     df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double")
     got = rank.exact_median(df, "x").first()["median"]
     assert got == (float(np.median(vals)) if vals else None)
+
+
+@pytest.mark.parametrize("case", ["spread", "ties", "one_value", "hot_block", "even"])
+def test_exact_median_by_narrowing(spark, case):
+    # small accuracy and collect limit force several narrowing rounds (and the fallbacks)
+    rnd = random.Random(11)
+    if case == "spread":
+        vals = [rnd.random() * 1e6 for _ in range(3001)]
+    elif case == "ties":
+        vals = [float(rnd.randint(0, 20)) for _ in range(3000)]
+    elif case == "one_value":
+        vals = [7.0] * 2000
+    elif case == "hot_block":     # a third of the values in one tie block just off the middle
+        vals = [5.0] * 1000 + [rnd.uniform(5.5, 10) for _ in range(1100)] + [rnd.uniform(0, 4.5) for _ in range(900)]
+    else:
+        vals = [float(i) for i in range(4000)]
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double").repartition(4)
+    for kw in ({"accuracy": 50, "max_collect": 10}, {"accuracy": 1000, "max_collect": 200}, {}):
+        got = rank.exact_median(df, "x", **kw).first()["median"]
+        assert got == float(np.median(vals)), (case, kw)
+    assert rank.exact_median_sorted(df, "x").first()["median"] == float(np.median(vals))
