@@ -97,8 +97,9 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";"):
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         staged = f"{root}/{STAGING}/{batch_id}"
         csv_writer(rows.drop(dt).hint("rebalance", "ym"), sep).mode("overwrite").partitionBy("ym").csv(staged)
+        # rebalanced by month: a few files per month and batch, not one per shuffle partition
         (rows.select(F.col(f"`{key}`").cast("string").alias("k"), "ym", F.lit(batch_id).cast("long").alias("batch"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .hint("rebalance", "ym").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("ym", "batch").parquet(keys_root))
         rows.unpersist()
         _publish_batch(spark, staged, root, batch_id)
