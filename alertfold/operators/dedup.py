@@ -89,14 +89,28 @@ def content_key(cols: Sequence[str]) -> Column:
 
 
 def dedup_content(df: DataFrame, cols: Sequence[str], order: str) -> DataFrame:
-    """Rows equal on the text of ``cols`` (names ignored) keep their first occurrence.
-
-    The group key leads with a 64-bit hash of the content: the aggregation sorts on a
-    fixed-width prefix instead of comparing arrays, while the exact content stays in
-    the key, so hash collisions cannot merge different rows."""
-    keyed = df.withColumn("__content", content_key(cols)).withColumn("__h", F.xxhash64("__content"))
-    out = dedup_first(keyed, ["__h", "__content"], order)
-    return out.drop("__content", "__h")
+    """Rows equal on the text of ``cols`` (names ignored, NULL equal to 'nan') keep their
+    first occurrence.
+
+    The key leads with a 64-bit hash of the content, a fixed-width sort prefix, while
+    the exact texts stay in the key, so hash collisions cannot merge different rows.
+    A text column travels through the shuffle only as its key text plus one bit of a
+    NULL mask (carried, not grouped on), from which the survivor's NULLs come back: the
+    exchange carries each text once, not a row plus a copy of its text."""
+    from pyspark.sql import types as T
+    names = list(df.columns)
+    text = [c for c in cols if c != order and isinstance(df.schema[c].dataType, T.StringType)][:63]
+    keys = {c: f"__k{i}" for i, c in enumerate(cols)}
+    keyed = df.select("*", *[F.coalesce(_q(c).cast("string"), F.lit("nan")).alias(keys[c]) for c in cols])
+    mask = F.lit(0).cast("long")
+    for j, c in enumerate(text):
+        mask = mask.bitwiseOR(F.when(_q(c).isNull(), F.lit(1 << j)).otherwise(F.lit(0)).cast("long"))
+    keyed = (keyed.withColumn("__nulls", mask)
+             .withColumn("__h", F.xxhash64(*[F.col(keys[c]) for c in cols])).drop(*text))
+    out = dedup_first(keyed, ["__h", *[keys[c] for c in cols]], order)
+    back = {c: F.when((F.col("__nulls").bitwiseAND(F.lit(1 << j))) != 0, F.lit(None).cast("string"))
+            .otherwise(F.col(keys[c])) for j, c in enumerate(text)}
+    return out.select(*[back[c].alias(c) if c in back else _q(c) for c in names])
 
 
 def dedup_stats(before: DataFrame, after: DataFrame) -> DataFrame:

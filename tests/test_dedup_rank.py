@@ -26,6 +26,16 @@ def test_c10_global_vs_month(spark):
     assert dedup.dedup_first(df, ["ym", "k"], "o").count() == 2
 
 
+def test_content_dedup_null_equals_nan_text_and_survivor_keeps_its_values(spark):
+    # NULL and 'nan' are the same content; the first row is kept exactly as it was
+    rows = [(1, None, "x", 5), (2, "nan", "x", 5), (3, "nan", None, 6), (4, None, "nan", 6),
+            (5, "a", "b", 7), (6, "a", "b", 8), (7, "", "b", 7)]
+    df = spark.createDataFrame(rows, "o long, v string, w string, n int").repartition(3)
+    got = sorted(tuple(r) for r in dedup.dedup_content(df, ["v", "w", "n"], "o").collect())
+    assert got == [(1, None, "x", 5), (3, "nan", None, 6), (5, "a", "b", 7), (6, "a", "b", 8), (7, "", "b", 7)]
+    assert dedup.dedup_content(df, ["v", "w", "n"], "o").columns == ["o", "v", "w", "n"]
+
+
 def test_c11_content_first_file_wins(spark):
     df = spark.createDataFrame([("b.csv", 1, "x", None), ("a.csv", 7, "x", None), ("a.csv", 8, "y", "1")],
                                "f string, pos long, v string, w string")
