@@ -119,7 +119,8 @@ def reader_path(path: str) -> str:
 def unescape(c: Column) -> Column:
     """URI-escaped path text ('x%20y.csv') as on disk; '+' is protected first, since URL
     decoding would read it as a space."""
-    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    decoded = F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    return F.when(c.contains("%"), decoded).otherwise(c)   # most names need no decoding
 
 
 def file_name() -> Column:
