@@ -90,7 +90,9 @@ def write_recomposed(df: DataFrame, header: Sequence[str], out: str, bom: bool =
     rows keep input order inside each file."""
     cols = [F.col(f"`{c}`") for c in header]
     data = df.select(*cols, "status", "ym", F.col(ORDER_COL))
-    write_partitioned(data, out, ["status", "ym"], order=[ORDER_COL], bom=bom, drop=[ORDER_COL])
+    # rows come out of the dedup shuffle: ordered parts cost no extra pass
+    write_partitioned(data, out, ["status", "ym"], order=[ORDER_COL], bom=bom, drop=[ORDER_COL],
+                      ordered_parts=True)
 
 
 def read_written(spark: SparkSession, out: str, header: Sequence[str], sep: str = ";") -> DataFrame:
@@ -198,4 +200,5 @@ def write_merged(kept: DataFrame, out: str) -> None:
     cols = [c for c in kept.columns if not c.startswith("_") and c not in ("dt", "ym", "date_column")]
     data = kept.select(F.date_format("dt", "yyyy-MM-dd HH:mm:ss").alias("date"), *[F.col(f"`{c}`") for c in cols],
                        "ym", ORDER_COL)
-    write_partitioned(data, out, ["ym"], order=[ORDER_COL], sep=",", bom=False, drop=[ORDER_COL])
+    write_partitioned(data, out, ["ym"], order=[ORDER_COL], sep=",", bom=False, drop=[ORDER_COL],
+                      ordered_parts=True)   # after the content-dedup shuffle

@@ -3,9 +3,10 @@
 Month outputs are one dataset partitioned by ``ym`` (and ``status`` for audits), so a
 run is one pass over the data and replaces only the months it carries (dynamic
 partition overwrite: stale months of earlier runs stay).  Ordered outputs are
-range-partitioned by (month, order): a hot month is cut into contiguous ranges
+range-partitioned by (month, order) where the rows were already shuffled (the
+sampling pass then reads shuffle output): a hot month is cut into contiguous ranges
 written by several tasks, and its part files in part-number order keep the row
-order.  Unordered outputs (audits) are rebalanced, and AQE splits large months.
+order.  Other outputs are rebalanced (one pass), and AQE splits large months.
 """
 
 from __future__ import annotations
@@ -37,16 +38,20 @@ def with_bom_header(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
 
 def write_partitioned(df: DataFrame, out: str, partition_cols: Sequence[str], order: Sequence[str] = (),
                       sep: str = ";", bom: bool = True, mode: str = "overwrite",
-                      drop: Sequence[str] = ()) -> None:
-    """One pass: spread rows over tasks by the partition columns, sort inside each task,
-    write CSV partitioned by those columns (dynamic overwrite).
-
-    With an ``order``, rows are range-partitioned by (partition columns, order): a large
-    month is cut into contiguous ranges at sampled bounds, so it is written by several
-    tasks, and its part files taken in part-number order hold its rows in order.
-    Without one, a rebalance lets AQE split a large month at any point."""
+                      drop: Sequence[str] = (), ordered_parts: bool = False) -> None:
+    """Spread rows over tasks by the partition columns, sort each task's rows by
+    (partition columns, ``order``), write CSV partitioned by those columns (dynamic
+    overwrite).
+
+    ordered_parts=False: a rebalance; AQE splits a large month at any point, so each part
+    file is in order but the parts of a split month are not ordered among themselves.
+    ordered_parts=True: range partitioning by (partition columns, order); a large month
+    is cut into contiguous ranges, and its part files in part-number order hold its rows
+    in order.  The range bounds come from a sampling pass over the input of the
+    exchange: free when that input is an earlier shuffle's output (a dedup before the
+    write), a second pass over the data when it is a scan."""
     parts = [F.col(c) for c in partition_cols]
-    if order:
+    if order and ordered_parts:
         data = df.repartitionByRange(*parts, *[F.col(c) for c in order])
     elif _aqe(df.sparkSession):
         data = df.hint("rebalance", *partition_cols)
@@ -134,9 +139,10 @@ def publish_month_files(spark: SparkSession, out: str, target: str, partition_co
     """Optional exact names: move each month's part files to ``target/alertes_YYYY_MM.csv``.
 
     Metadata only (one rename per file, bounded by the number of output files; no
-    byte goes through the driver).  A month written by several tasks (a hot month
-    split by the rebalance) keeps one file per part: the first gets the exact name,
-    the others ``alertes_YYYY_MM_pNNN.csv``; every file has its own header.  The
+    byte goes through the driver).  A month written by several tasks (a hot month)
+    keeps one file per part: the first gets the exact name, the others
+    ``alertes_YYYY_MM_pNNN.csv``; every file has its own header.  Written with
+    ``ordered_parts``, the files in name order hold the month's rows in order.  The
     partitioned dataset under ``out`` is consumed by the move."""
     fs, jvm = _fs(spark, out)
     Path = jvm.org.apache.hadoop.fs.Path
