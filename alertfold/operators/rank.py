@@ -66,20 +66,28 @@ def exact_median(df: DataFrame, col: str, out: str = "median", accuracy: int = 1
     Every bracket is checked against the counts; a check that fails (few values, heavy
     ties) hands the current bracket to ``exact_median_sorted``, so the result is exact."""
     spark = df.sparkSession
-    vals = df.select(F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    n = vals.count()
+    v = F.col("__v")
+    vals = df.select(F.col(col).cast("double").alias("__v")).where(v.isNotNull())
+    # the count and the first bracket in one pass: the middle ranks are within 1/n of
+    # one half, which a margin of 3/accuracy covers once n >= accuracy (the counts
+    # below check the bracket whatever n is)
+    first = vals.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(
+        v, [max(0.0, 0.5 - 3.0 / accuracy), min(1.0, 0.5 + 3.0 / accuracy)], accuracy).alias("b")).first()
+    n = first["n"]
     if n == 0:
         return spark.createDataFrame([(None,)], f"`{out}` double")
     k1, k2 = (n + 1) // 2, n // 2 + 1          # 1-based ranks of the middle values
     band, below, m = vals, 0, n                  # the middle values are in ``band``
-    v = F.col("__v")
-    for _ in range(rounds):
+    for i in range(rounds):
         if m <= max_collect:
             # at most max_collect values; NaN sorts last, as in Spark
             xs = sorted((r[0] for r in band.collect()), key=lambda x: (math.isnan(x), x))
             return spark.createDataFrame([((xs[k1 - below - 1] + xs[k2 - below - 1]) / 2,)], f"`{out}` double")
-        qs = [max(0.0, (k1 - below) / m - 2.0 / accuracy), min(1.0, (k2 - below) / m + 2.0 / accuracy)]
-        lo, hi = band.agg(F.percentile_approx(v, qs, accuracy)).first()[0]
+        if i == 0:
+            lo, hi = first["b"]
+        else:
+            qs = [max(0.0, (k1 - below) / m - 2.0 / accuracy), min(1.0, (k2 - below) / m + 2.0 / accuracy)]
+            lo, hi = band.agg(F.percentile_approx(v, qs, accuracy)).first()[0]
         st = band.agg(F.count_if(v < lo).alias("lt"), F.count_if((v >= lo) & (v <= hi)).alias("inside")).first()
         if not (below + st["lt"] < k1 and below + st["lt"] + st["inside"] >= k2):
             break                                        # the bracket is not proven
