@@ -75,6 +75,7 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";"):
         from pyspark import StorageLevel
 
         from alertfold.operators.dedup import dedup_first
+        from alertfold.operators.small import MAX_BROADCAST_ROWS, bounded_broadcast
         from alertfold.sinks.files import csv_writer, delete_dir, exists, touch
         spark = batch.sparkSession
         done = f"{root}/{KEYS}/_done/{batch_id}"
@@ -84,7 +85,10 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";"):
         # first occurrence inside the batch
         rows = dedup_first(rows.withColumn("__o", F.struct("_src", F.monotonically_increasing_id())),
                            [key], "__o").drop("__o")
+        # a micro-batch is bounded by maxFilesPerTrigger: keep it for the uses below
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         keys_root = f"{root}/{KEYS}"
+        kcol = F.col(f"`{key}`").cast("string")
         if exists(spark, keys_root):
             months = [r["ym"] for r in rows.select("ym").distinct().collect()]   # months of one batch
             in_months = F.col("ym").isin([m for m in months if m is not None])
@@ -92,13 +96,21 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";"):
                 in_months = in_months | F.col("ym").isNull()
             seen = (spark.read.schema("k string, ym string, batch long").parquet(keys_root)
                     .where(in_months & (F.col("batch") != batch_id)).select(F.col("k").alias("__k")))
-            rows = rows.join(seen, F.col(f"`{key}`").cast("string") == seen["__k"], "left_anti")
-        # a micro-batch is bounded by maxFilesPerTrigger: keep it for the two writes below
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            if rows.count() <= MAX_BROADCAST_ROWS:
+                # the batch's keys are the small side: the month keys are filtered against
+                # them map-side (no shuffle of the month), and the hits -- at most one per
+                # batch key -- are materialised and broadcast into the anti-join
+                mine = F.broadcast(rows.select(kcol.alias("__k")))
+                hits = bounded_broadcast(seen.join(mine, "__k", "left_semi").distinct())
+                new = rows.join(hits, kcol == hits["__k"], "left_anti")
+            else:
+                new = rows.join(seen, kcol == seen["__k"], "left_anti")
+        else:
+            new = rows
         staged = f"{root}/{STAGING}/{batch_id}"
-        csv_writer(rows.drop(dt).hint("rebalance", "ym"), sep).mode("overwrite").partitionBy("ym").csv(staged)
+        csv_writer(new.drop(dt).hint("rebalance", "ym"), sep).mode("overwrite").partitionBy("ym").csv(staged)
         # rebalanced by month: a few files per month and batch, not one per shuffle partition
-        (rows.select(F.col(f"`{key}`").cast("string").alias("k"), "ym", F.lit(batch_id).cast("long").alias("batch"))
+        (new.select(kcol.alias("k"), "ym", F.lit(batch_id).cast("long").alias("batch"))
          .hint("rebalance", "ym").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("ym", "batch").parquet(keys_root))
         rows.unpersist()

@@ -172,7 +172,10 @@ def test_merge_missing_column_equals_nan_text(spark, tmp_path, na_tokens):
     assert got == [("1", "2025-01-02 10:00:00", "a.csv"), ("2", "2025-01-03 10:00:00", "b.csv")]
 
 
-def test_month_router_replay_is_exactly_once(spark, tmp_path):
+@pytest.mark.parametrize("broadcast_limit", [None, 0])   # batch keys broadcast, or a shuffle anti-join
+def test_month_router_replay_is_exactly_once(spark, tmp_path, monkeypatch, broadcast_limit):
+    if broadcast_limit is not None:
+        monkeypatch.setattr("alertfold.operators.small.MAX_BROADCAST_ROWS", broadcast_limit)
     from alertfold.functions import dates as D
     from alertfold.sinks.files import delete_dir
     from alertfold.streaming import files as ST
