@@ -83,11 +83,6 @@ def dedup_full_row(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def content_key(cols: Sequence[str]) -> Column:
-    """Exact content key of a row: the text of every value, NULL spelled 'nan'."""
-    return F.array(*[F.coalesce(_q(c).cast("string"), F.lit("nan")) for c in cols])
-
-
 def dedup_content(df: DataFrame, cols: Sequence[str], order: str) -> DataFrame:
     """Rows equal on the text of ``cols`` (names ignored, NULL equal to 'nan') keep their
     first occurrence.
