@@ -137,6 +137,50 @@ def _publish_batch(spark: SparkSession, staged: str, root: str, batch_id: int) -
         fs.rename(st.getPath(), Path(month_dir, f"{prefix}{n:05d}.csv"))
 
 
+def compact_key_index(spark: SparkSession, out: str) -> int:
+    """Merge the key files of every committed batch (one with a marker) into one
+    ``batch=-1`` partition per month; returns the number of batches merged.
+
+    A long-running stream adds a ``batch=`` partition per month and batch, which every
+    later batch lists; run this between triggers or with the stream stopped.  The merged
+    files are written first, moved in under names of their own, and only then are the
+    batches they replace deleted: an interruption leaves some keys present twice, which
+    the anti-join does not mind, and a rerun finishes the work.  Batches without a
+    marker are left alone (they may still be replayed)."""
+    import uuid
+
+    from alertfold.sinks.files import _fs, delete_dir, exists
+    root = out.rstrip("/")
+    keys_root = f"{root}/{KEYS}"
+    if not exists(spark, f"{keys_root}/_done"):
+        return 0
+    fs, jvm = _fs(spark, root)
+    Path = jvm.org.apache.hadoop.fs.Path
+    done = sorted(int(st.getPath().getName()) for st in fs.listStatus(Path(f"{keys_root}/_done")))
+    if not done:
+        return 0
+    tag = uuid.uuid4().hex[:12]
+    staged = f"{keys_root}/_compact/{tag}"
+    (spark.read.schema("k string, ym string, batch long").parquet(keys_root)
+     .where(F.col("batch").isin(done + [-1])).select("k", "ym").distinct()
+     .withColumn("batch", F.lit(-1).cast("long")).hint("rebalance", "ym")
+     .write.partitionBy("ym", "batch").parquet(staged))
+    old = [st.getPath() for st in fs.globStatus(Path(f"{keys_root}/ym=*/batch=-1/*.parquet")) or []]
+    for n, st in enumerate(sorted(fs.globStatus(Path(f"{staged}/ym=*/batch=-1/*.parquet")) or [],
+                                  key=lambda st: st.getPath().toString())):
+        month = st.getPath().getParent().getParent().getName()
+        target = Path(f"{keys_root}/{month}/batch=-1")
+        fs.mkdirs(target)
+        fs.rename(st.getPath(), Path(target, f"c{tag}-{n:05d}.parquet"))
+    for p in old:
+        fs.delete(p, False)
+    for b in done:
+        for st in fs.globStatus(Path(f"{keys_root}/ym=*/batch={b}")) or []:
+            fs.delete(st.getPath(), True)
+    delete_dir(spark, f"{keys_root}/_compact")
+    return len(done)
+
+
 def run_monthly(df: DataFrame, out: str, checkpoint: str, key: str) -> None:
     q = (df.writeStream.foreachBatch(monthly_router(out, key)).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

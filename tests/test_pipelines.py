@@ -198,3 +198,29 @@ def test_month_router_replay_is_exactly_once(spark, tmp_path, monkeypatch, broad
         ("1", "02/01/2025 10:00:00", "2025_01"), ("2", "03/02/2025 10:00:00", "2025_02"),
         ("3", "04/01/2025 10:00:00", "2025_01")]
     assert not os.path.exists(tmp_path / "o" / "_staging" / "1")
+
+
+def test_key_index_compaction(spark, tmp_path):
+    from alertfold.functions import dates as D
+    from alertfold.streaming import files as ST
+    out = str(tmp_path / "o")
+    handle = ST.monthly_router(out, "id")
+
+    def batch(rows):
+        return (spark.createDataFrame(rows, "id string, Date string, _src string")
+                .withColumn("dt", D.parse_strict(F.col("Date"))))
+
+    b0 = batch([("1", "02/01/2025 10:00:00", "a.csv"), ("2", "03/02/2025 10:00:00", "a.csv")])
+    handle(b0, 0)
+    handle(batch([("3", "04/01/2025 10:00:00", "b.csv")]), 1)
+    assert ST.compact_key_index(spark, out) == 2
+    parts = sorted(os.path.relpath(p, out + "/_keys") for p in glob.glob(out + "/_keys/ym=*/batch=*"))
+    assert parts == ["ym=2025_01/batch=-1", "ym=2025_02/batch=-1"]
+    assert ST.compact_key_index(spark, out) == 2          # repeatable: same keys, same layout
+    handle(batch([("1", "09/01/2025 10:00:00", "c.csv"), ("4", "05/01/2025 10:00:00", "c.csv")]), 2)
+    handle(b0, 0)                                         # committed before: still skipped
+    back = spark.read.option("sep", ";").option("header", True).csv(out)
+    assert sorted((r["id"], r["ym"]) for r in back.collect()) == [
+        ("1", "2025_01"), ("2", "2025_02"), ("3", "2025_01"), ("4", "2025_01")]
+    keys = spark.read.parquet(out + "/_keys")
+    assert sorted(r["k"] for r in keys.collect()) == ["1", "2", "3", "4"]
