@@ -75,7 +75,7 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";"):
         from pyspark import StorageLevel
 
         from alertfold.operators.dedup import dedup_first
-        from alertfold.operators.small import MAX_BROADCAST_ROWS, bounded_broadcast
+        from alertfold.operators.small import MAX_BROADCAST_ROWS
         from alertfold.sinks.files import csv_writer, delete_dir, exists, touch
         spark = batch.sparkSession
         done = f"{root}/{KEYS}/_done/{batch_id}"
@@ -89,30 +89,33 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";"):
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         keys_root = f"{root}/{KEYS}"
         kcol = F.col(f"`{key}`").cast("string")
+        new = rows
         if exists(spark, keys_root):
-            months = [r["ym"] for r in rows.select("ym").distinct().collect()]   # months of one batch
-            in_months = F.col("ym").isin([m for m in months if m is not None])
-            if None in months:
+            # one small aggregate: the batch size and the months it touches
+            st = rows.agg(F.count(F.lit(1)).alias("n"), F.collect_set("ym").alias("months"),
+                          F.bool_or(F.col("ym").isNull()).alias("undated")).first()
+            in_months = F.col("ym").isin(list(st["months"]))
+            if st["undated"]:
                 in_months = in_months | F.col("ym").isNull()
             seen = (spark.read.schema("k string, ym string, batch long").parquet(keys_root)
                     .where(in_months & (F.col("batch") != batch_id)).select(F.col("k").alias("__k")))
-            if rows.count() <= MAX_BROADCAST_ROWS:
+            # a key is in the index at most once per month, so the hits are bounded by
+            # batch rows x months touched
+            if st["n"] * (len(st["months"]) + 1) <= MAX_BROADCAST_ROWS:
                 # the batch's keys are the small side: the month keys are filtered against
-                # them map-side (no shuffle of the month), and the hits -- at most one per
-                # batch key -- are materialised and broadcast into the anti-join
-                mine = F.broadcast(rows.select(kcol.alias("__k")))
-                hits = bounded_broadcast(seen.join(mine, "__k", "left_semi").distinct())
-                new = rows.join(hits, kcol == hits["__k"], "left_anti")
+                # them map-side (no shuffle of the month); the hits go to the anti-join
+                hits = seen.join(F.broadcast(rows.select(kcol.alias("__k"))), "__k", "left_semi")
+                new = rows.join(F.broadcast(hits), kcol == hits["__k"], "left_anti")
             else:
                 new = rows.join(seen, kcol == seen["__k"], "left_anti")
-        else:
-            new = rows
+            new = new.persist(StorageLevel.MEMORY_AND_DISK)   # the two writes share the anti-join
         staged = f"{root}/{STAGING}/{batch_id}"
         csv_writer(new.drop(dt).hint("rebalance", "ym"), sep).mode("overwrite").partitionBy("ym").csv(staged)
         # rebalanced by month: a few files per month and batch, not one per shuffle partition
         (new.select(kcol.alias("k"), "ym", F.lit(batch_id).cast("long").alias("batch"))
          .hint("rebalance", "ym").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("ym", "batch").parquet(keys_root))
+        new.unpersist()
         rows.unpersist()
         _publish_batch(spark, staged, root, batch_id)
         delete_dir(spark, staged)
