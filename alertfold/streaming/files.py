@@ -99,9 +99,9 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";"):
                 in_months = in_months | F.col("ym").isNull()
             seen = (spark.read.schema("k string, ym string, batch long").parquet(keys_root)
                     .where(in_months & (F.col("batch") != batch_id)).select(F.col("k").alias("__k")))
-            # a key is in the index at most once per month, so the hits are bounded by
-            # batch rows x months touched
-            if st["n"] * (len(st["months"]) + 1) <= MAX_BROADCAST_ROWS:
+            # a key is in the index once per month (twice after an interrupted compaction),
+            # so the hits are bounded by 2 x batch rows x months touched
+            if 2 * st["n"] * (len(st["months"]) + int(bool(st["undated"]))) <= MAX_BROADCAST_ROWS:
                 # the batch's keys are the small side: the month keys are filtered against
                 # them map-side (no shuffle of the month); the hits go to the anti-join
                 hits = seen.join(F.broadcast(rows.select(kcol.alias("__k"))), "__k", "left_semi")
