@@ -69,3 +69,18 @@ def test_block_splitting_changes_nothing(spark, tmp_path):
     # keys are unique after the global dedup (missing keys collapsed into one)
     keys = [k for k, _, _ in base]
     assert len(keys) == len(set(keys))
+
+
+def test_exact_median_property(spark):
+    # random columns (duplicates, negatives, one value, tiny and large accuracies) against numpy
+    import numpy as np
+
+    from alertfold.operators import rank
+    rnd = random.Random(2024)
+    for _ in range(8):
+        n = rnd.choice([1, 2, 3, 50, 777, 2000])
+        width = rnd.choice([1, 5, 1000, 10 ** 9])
+        vals = [float(rnd.randint(-width, width)) for _ in range(n)]
+        df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(rnd.randint(1, 6))
+        kw = rnd.choice([{"accuracy": 20, "max_collect": 3}, {"accuracy": 100, "max_collect": 50}, {}])
+        assert rank.exact_median(df, "x", **kw).first()["median"] == float(np.median(vals)), (n, width, kw)
