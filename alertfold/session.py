@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -82,3 +83,22 @@ def stable_dir(spark: SparkSession, *parts: str) -> str:
     root = checkpoint_root(spark)
     safe = [p.strip("/").replace("/", "_") for p in parts]
     return os.path.join(root, "alertfold", "staged", *safe)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of all executors: a zip of its
+    sources goes out with the session's files, once per Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_alertfold_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="alertfold-zip-")  # read by the driver's own file service
+    archive = os.path.join(folder, "alertfold_src.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for at, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(at, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._alertfold_shipped = True
