@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import public_tokenizers
 
-from alertfold.llm import exact_dedup, mixing
+from alertfold.llm import exact_dedup, mixing, piece_bpe
 from alertfold.llm.common import table
 from alertfold.plans.registry import Query
 
@@ -35,3 +35,10 @@ FROM (SELECT doc_id, norm, max(doc_id) OVER (PARTITION BY norm) AS keep_id,
 def op4(spark, sf_dir):
     """Exact copies of all documents; the largest doc_id of equal texts stays."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op5_piece_bpe", "SentencePiece encoding and decoding")
+def op5(spark, sf_dir):
+    """Ids and round trip of every text; not SQL: subword merges."""
+    return piece_bpe.encode_documents(table(spark, sf_dir, "documents"),
+                                      public_tokenizers.path("piece_bpe_32k.model"), digests=True)
