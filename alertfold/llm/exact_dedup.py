@@ -39,8 +39,9 @@ def content_hash(norm: Column) -> Column:
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  hash_of: Callable[[Column], Column] = content_hash) -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``."""
-    norm = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    texts = docs.select(F.col(id_col).alias("doc_id"), norm.alias("norm"))
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    norm = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
+    texts = docs.select("doc_id", norm.alias("norm"))
     members = cut(
         texts.select("doc_id", hash_of(F.col("norm")).alias("h"), F.sha2("norm", 256).alias("sha"))
         .groupBy("h", "sha", "doc_id").agg(F.count("*").alias("n")))
@@ -55,7 +56,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     single = tagged.filter("parts IS NULL").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.col("n").alias("size"), "n", "sha")
     multi = tagged.filter("parts IS NOT NULL")
-    checked = cut(_compare(texts, multi, hash_of))
+    checked = cut(_compare(docs, norm, multi, hash_of))
 
     # texts that share a hash with others but not their bytes: grouped again by the bytes
     odd = checked.filter("NOT same")
@@ -72,19 +73,18 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     F.col("sha").alias("text_sha256")))
 
 
-def _compare(texts: DataFrame, multi: DataFrame, hash_of) -> DataFrame:
+def _compare(docs: DataFrame, norm: Column, multi: DataFrame, hash_of) -> DataFrame:
     """Members with ``same``: whether their bytes are their keeper's.  Only differing rows
     carry their text on."""
     wanted = multi.hint("shuffle_hash")
-    hashed = texts.withColumn("h", hash_of(F.col("norm"))).withColumn("sha", F.sha2("norm", 256))
-    one = hashed.alias("t").join(
-        wanted.alias("m"),
-        F.col("t.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("t.h") == F.col("m.h"))
-        & (F.col("t.sha") == F.col("m.sha")))
+    # the one pass that moves texts; what it computes, it computes for members alone
+    found = (docs.alias("t").join(wanted.alias("m"), F.col("t.doc_id").eqNullSafe(F.col("m.doc_id")))
+             .select("m.doc_id", "h", "sha", "n", "keep_id", "size", norm.alias("norm"))
+             .filter((hash_of(F.col("norm")) == F.col("h")) & (F.sha2("norm", 256) == F.col("sha"))))
+    found = cut(found)
     # a repeated row fetches its text as often as it is repeated; one is enough
-    one = one.select("t.doc_id", "t.h", "t.sha", "t.norm", "m.n", "m.keep_id", "m.size")
-    one = one.filter("n = 1").unionByName(
-        one.filter("n > 1").dropDuplicates(["doc_id", "h", "sha"]))
+    one = found.filter("n = 1").unionByName(
+        found.filter("n > 1").dropDuplicates(["doc_id", "h", "sha"]))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     is_keeper = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     # of several texts under the keeper's id and hash, the smallest digest stands for it
