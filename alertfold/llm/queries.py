@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from alertfold.llm import exact_dedup, mixing, piece_bpe
+from alertfold.llm import exact_dedup, mixing, ngram_join, piece_bpe
 from alertfold.llm.common import table
 from alertfold.plans.registry import Query
 
@@ -42,3 +42,9 @@ def op5(spark, sf_dir):
     """Ids and round trip of every text; not SQL: subword merges."""
     return piece_bpe.encode_documents(table(spark, sf_dir, "documents"),
                                       public_tokenizers.path("piece_bpe_32k.model"), digests=True)
+
+
+@query("op2_ngram_jaccard", "n-gram Jaccard join")
+def op2(spark, sf_dir):
+    """Near copies of all documents: 4-word shingles, Jaccard 0.85.  Not SQL: components."""
+    return ngram_join.near_groups(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
