@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from alertfold.llm import exact_dedup, mixing, ngram_join, piece_bpe
+from alertfold.llm import exact_dedup, mixing, ngram_join, piece_bpe, toxicity
 from alertfold.llm.common import table
 from alertfold.plans.registry import Query
 
@@ -48,3 +48,9 @@ def op5(spark, sf_dir):
 def op2(spark, sf_dir):
     """Near copies of all documents: 4-word shingles, Jaccard 0.85.  Not SQL: components."""
     return ngram_join.near_groups(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+
+
+@query("op6_toxicity", "toxicity")
+def op6(spark, sf_dir):
+    """Toxicity of every document.  Not SQL: a trained network."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
