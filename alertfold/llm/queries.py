@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from alertfold.llm import exact_dedup, mixing, ngram_join, piece_bpe, toxicity
+from alertfold.llm import ann, exact_dedup, mixing, ngram_join, piece_bpe, toxicity
 from alertfold.llm.common import table
 from alertfold.plans.registry import Query
 
@@ -54,3 +54,10 @@ def op2(spark, sf_dir):
 def op6(spark, sf_dir):
     """Toxicity of every document.  Not SQL: a trained network."""
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_cross_polytope", "approximate nearest neighbours")
+def op8(spark, sf_dir):
+    """The 10 nearest vectors of every hundredth id among all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
