@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from alertfold.llm import ann, exact_dedup, mixing, ngram_join, piece_bpe, toxicity
+from alertfold.llm import ann, exact_dedup, mixing, ngram_join, pii, piece_bpe, toxicity, url_filter
 from alertfold.llm.common import table
 from alertfold.plans.registry import Query
 
@@ -61,3 +61,15 @@ def op8(spark, sf_dir):
     """The 10 nearest vectors of every hundredth id among all others."""
     vectors = table(spark, sf_dir, "embeddings")
     return ann.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+@query("op9_pii", "PII")
+def op9(spark, sf_dir):
+    """Personal data in every document.  Not SQL: learned spans."""
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
+@query("op10_url_filter", "URL filters")
+def op10(spark, sf_dir):
+    """Verdict on every page's URL.  Not SQL: language models."""
+    return url_filter.judge(table(spark, sf_dir, "pages"))
