@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from alertfold.llm import ann, exact_dedup, mixing, ngram_join, pii, piece_bpe, toxicity, url_filter
+from alertfold.llm import (
+    ann, chat_format, exact_dedup, line_dedup, mixing, ngram_join, pii, piece_bpe, toxicity, url_filter,
+)
 from alertfold.llm.common import table
 from alertfold.plans.registry import Query
 
@@ -73,3 +76,16 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """Verdict on every page's URL.  Not SQL: language models."""
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op3_line_templates", "line dedup", line_dedup.ORACLE)
+def op3(spark, sf_dir):
+    """All documents without the lines whose template recurs across documents."""
+    clean = line_dedup.drop_recurring_lines(table(spark, sf_dir, "documents").filter("text IS NOT NULL"))
+    return clean.select("doc_id", "n_lines", "n_dropped", F.sha2("clean", 256).alias("clean_sha256"))
+
+
+@query("op7_chat_repair", "chat formatting")
+def op7(spark, sf_dir):
+    """All conversations in legal turn order.  Not SQL: a dynamic program."""
+    return chat_format.repair_conversations(table(spark, sf_dir, "conversations"))
