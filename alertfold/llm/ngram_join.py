@@ -247,6 +247,14 @@ def near_groups(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col:
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
 
 
+def drop_near_copies(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """One document of each component, that with the smallest id, with all its columns."""
+    gone = (near_groups(docs, n, num, den, id_col, text_col).filter("doc_id <> component_id")
+            .select(F.col("doc_id").alias("_near_id")).distinct())
+    return docs.join(gone.hint("shuffle_hash"), F.col(id_col) == F.col("_near_id"), "left_anti")
+
+
 def set_links(texts: DataFrame, described: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Links ``a, b`` between set ids: a forest or more of each component's links, enough
     for every component to hold together."""

@@ -82,7 +82,7 @@ def window_logits(net: Gru, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _features(top, mean, n) -> np.ndarray:
-    return np.stack([np.ones(len(n)), top, mean, np.log(np.maximum(n, 1))], 1)
+    return np.stack([np.ones(len(n)), np.where(n > 0, top, 0), mean, np.log(np.maximum(n, 1))], 1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -127,6 +127,11 @@ def _scorer(net):
     return run
 
 
+def _probability(weights, top, mean, n) -> np.ndarray:
+    z = np.where(n > 0, _features(top, mean, n) @ weights, -np.inf) if len(n) else np.empty(0)
+    return 1 / (1 + np.exp(-np.clip(z, -700, 700))) * (n > 0)
+
+
 def fit(docs: DataFrame, labels: DataFrame):
     """The trained network (a broadcast) and the logistic weights, or the constant score."""
     spark = docs.sparkSession
@@ -161,9 +166,31 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         out = docs.select("doc_id", held_out, F.lit(weights).alias("score"))
     else:
         kind = docs.schema["doc_id"].dataType.simpleString()
-        w = [float(x) for x in weights]
-        z = F.lit(w[0]) + w[1] * F.col("top") + w[2] * F.col("mean") + w[3] * F.log(F.greatest("n", F.lit(1)))
-        out = (docs.mapInArrow(_scorer(net), f"key {kind}, top double, mean double, n bigint")
-               .withColumnRenamed("key", "doc_id")
-               .select("doc_id", held_out, F.when(F.col("n") == 0, 0.0).otherwise(1 / (1 + F.exp(-z))).alias("score")))
+        out = (docs.mapInArrow(_scored(net, weights), f"doc_id {kind}, score double")
+               .select("doc_id", held_out, "score"))
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def _scored(net, weights):
+    def run(batches):
+        own = Gru(net.value)
+        for batch in batches:
+            p = _probability(weights, *window_logits(own, batch.column(1).to_pylist()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64())], names=["doc_id", "score"])
+    return run
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
+    """The documents of ``docs`` that score below the threshold, with all their columns."""
+    net, weights = fit(docs.select("doc_id", F.col(text_col).alias("text")), labels)
+    if net is None:
+        return docs if weights < THRESHOLD else docs.limit(0)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        own = Gru(net.value)
+        for batch in batches:
+            p = _probability(weights, *window_logits(own, batch.column(at).to_pylist()))
+            yield batch.filter(pa.array(p < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)

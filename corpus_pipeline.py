@@ -6,26 +6,46 @@ folder and reads it back for the next stage.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from alertfold.llm import exact_dedup, mixing
+from alertfold.llm import exact_dedup, mixing, ngram_join, piece_bpe, toxicity
 from alertfold.llm.common import table
 from alertfold.session import scratch_dir
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the network finds toxic go."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal after lower-casing A-Z, the document with the largest id stays."""
     return exact_dedup.drop_exact_copies(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a Jaccard similarity of 0.8 or more on five-word shingles, over
+    any chain, the one with the smallest id stays."""
+    return ngram_join.drop_near_copies(docs, n=5, num=4, den=5)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources weigh 5, 2, 1 in turn; documents are repeated or left out accordingly."""
     return mixing.mixed_documents(docs)
 
 
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the text they decode to."""
+    return piece_bpe.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 STAGES = [
+    ("toxicity", toxicity_stage),
     ("exact dedup", exact_stage),
+    ("n-gram Jaccard join", near_stage),
     ("mixing sources to target weights", mixing_stage),
+    ("SentencePiece encoding and decoding", encoding_stage),
 ]
 
 #: Random rounding, learned scores and subword encoding have no SQL form.
