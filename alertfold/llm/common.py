@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertfold.session import checkpoint_root
+from alertfold.session import checkpoint_root, scratch_dir
 
 #: What counts as a word in the sizes and shingles of this folder: a run of anything but
 #: space, tab, line feed, vertical tab, form feed and carriage return.
@@ -23,6 +23,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder.  For the tables of a loop: a checkpoint
+    keeps what the optimizer knew of its plan (constraints, orders, ways of partitioning),
+    and round by round that grows until planning takes longer than the jobs."""
+    out = scratch_dir(df.sparkSession, "loop")
+    df.write.parquet(out)
+    return df.sparkSession.read.schema(df.schema).parquet(out)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only.  ``lower`` equals that on pure ASCII and is much faster than
     ``translate``, which remains for texts with other characters."""

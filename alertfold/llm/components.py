@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alertfold.llm.common import cut
+from alertfold.llm.common import written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,9 +13,9 @@ def components(links: DataFrame) -> DataFrame:
     smallest node.  Rounds of hooking to the smallest neighbour's label and jumping to the
     label's own label; a round costs two joins and the number of rounds grows with the
     logarithm of the longest chain.  Only a count comes to the driver."""
-    both = cut(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
                .filter("a <> b").distinct())
-    labels = cut(both.groupBy("a").agg(F.min("b").alias("least"))
+    labels = written(both.groupBy("a").agg(F.min("b").alias("least"))
                  .select(F.col("a").alias("node"), F.least("a", "least").alias("component")))
     while True:
         near = (both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("least"))
@@ -23,7 +23,7 @@ def components(links: DataFrame) -> DataFrame:
         hooked = labels.join(near, "node").select(
             "node", F.col("component").alias("old"), F.least("component", "least").alias("hook"))
         to = labels.select(F.col("node").alias("hook"), F.col("component").alias("jump"))
-        new = cut(hooked.join(to, "hook").select("node", "old", F.least("hook", "jump").alias("component")))
+        new = written(hooked.join(to, "hook").select("node", "old", F.least("hook", "jump").alias("component")))
         labels = new.select("node", "component")
         if new.filter("old <> component").isEmpty():
             return labels

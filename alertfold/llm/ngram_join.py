@@ -7,16 +7,16 @@ counts common n-grams does so fragment by fragment and sums the partial counts.
 1. **Sets.**  A document's set gets an id, the hash of the whole set, so that documents
    with equal sets are one set from here on, however many they are.
 2. **Document counts by fragment.**  A fragment's task sees all segments in its range and
-   counts the sets that hold each n-gram.  An n-gram of one set alone is in no overlap and
+   counts how often each n-gram comes.  An n-gram of one set alone is in no overlap and
    goes no further.  The other segments' sizes, summed per set, bound its overlap with any
    other; sets that fall short of the threshold are linked with nothing and end here.
 3. **Candidates.**  The remaining n-grams of a set are put in order of their counts, rare
    ones first.  Two linked sets share one of their first few (prefix filter), and sizes
    and the position of the shared n-gram bound the overlap further.  First each n-gram's
-   list is compared with two of its members only, and the links found make components.
-   Then all pairs that share a list but no component yet pass the same filters; so a
-   group of copies costs a pair per member, not all its pairs, and still no link between
-   two components is missed.
+   list is compared with two of its members only, in a few rounds, and the links found
+   make components.  Then all pairs that share a list but no component yet pass the same
+   filters; so a group of copies costs a few pairs per member, not all its pairs, and
+   still no link between two components is missed.
 4. **Verification.**  Candidate pairs meet their segments in every fragment; the partial
    overlaps are summed per pair and held against the threshold, in whole numbers.
 
@@ -24,7 +24,8 @@ Words are what ``bytes.split`` separates, A-Z lower-cased.  With fewer words tha
 whole sequence is one n-gram; texts that are NULL or without words have the empty set and
 are linked with nothing.  Rows with a NULL id get a NULL component and link nothing.  Rows
 that repeat an id are the same node.  An empty table gives no rows; other columns are
-ignored.  Set ids and n-grams are told apart by 64-bit hashes.
+ignored.  Set ids are told apart by 64-bit hashes, n-grams by their fragment and 48 bits
+more.
 """
 
 from __future__ import annotations
@@ -35,11 +36,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alertfold.llm.common import cut
+from alertfold.llm.common import cut, written
 from alertfold.llm.components import components
 
 FRAGMENT_GRAMS = 500_000   # n-grams that a fragment's task holds, about
-FLUSH_GRAMS = 4_000_000    # n-grams that a reading task gathers before it deals them out
+HAUL_GRAMS = 4_000_000     # n-grams, and sets, that a reading task gathers before it deals them out
+HAUL_SETS = 60_000
+ROUNDS = 4                 # at most so many rounds of two members per list
 CHECK_FRAGMENTS = 4        # fragments of the verification
 SALTS = 16
 
@@ -81,24 +84,23 @@ def _describe(n: int):
 
 
 def _deal(n: int, fragments: int):
-    """(text) batches -> segments, packed per fragment: the sets' ids and sizes, how many
-    n-grams each has here, and the n-grams one set after the other."""
+    """(text) batches -> what a fragment's task needs.
+
+    A reading task gathers some sets, a *haul*, and sends each fragment their n-grams in its
+    range with the set's number in the haul; of a hash only the bits below the fragment's
+    travel.  Groups below zero get the sets' ids, dealt by id, so that equal sets meet.
+    """
     def flush(held):
         if not held:
             return
         sids = np.array([s for s, _ in held], np.int64)
-        sizes = np.array([len(g) for _, g in held], np.int32)
+        sizes = np.array([len(g) for _, g in held], np.int64)
+        haul = xxhash.xxh3_64_intdigest(sids.tobytes()) >> 1
         grams = np.concatenate([g for _, g in held])
-        owner = np.repeat(np.arange(len(held), dtype=np.int32), sizes)
-        frag = _fragment(grams, fragments)
-        order = np.argsort(frag, kind="stable")
-        grams, owner, frag = grams[order], owner[order], frag[order]
-        starts = np.flatnonzero(np.r_[True, frag[1:] != frag[:-1]])
-        for lo, hi in zip(starts, np.r_[starts[1:], len(frag)]):
-            own, counts = np.unique(owner[lo:hi], return_counts=True)
-            yield pa.RecordBatch.from_pylist([{
-                "frag": int(frag[lo]), "sids": sids[own].tobytes(), "sizes": sizes[own].tobytes(),
-                "counts": counts.astype(np.int32).tobytes(), "grams": grams[lo:hi].tobytes()}], schema=_PACK)
+        owner = np.repeat(np.arange(len(held), dtype=np.uint16), sizes)
+        yield from _packed(_fragment(grams, fragments), haul, owner, _low(grams))
+        group = -1 - (sids.astype(np.uint64) % np.uint64(fragments)).astype(np.int32)
+        yield from _packed(group, haul, np.arange(len(held), dtype=np.uint16), sids, sizes)
 
     def run(batches):
         held, total, seen = [], 0, set()
@@ -108,25 +110,23 @@ def _deal(n: int, fragments: int):
                 if not len(grams):
                     continue
                 sid = set_id(grams)
-                if sid in seen:  # equal sets: once per flush
+                if sid in seen:  # equal sets: once per haul
                     continue
                 seen.add(sid)
                 held.append((sid, grams))
                 total += len(grams)
-                if total >= FLUSH_GRAMS:
+                if total >= HAUL_GRAMS or len(held) >= HAUL_SETS:
                     yield from flush(held)
                     held, total, seen = [], 0, set()
         yield from flush(held)
     return run
 
 
-_PACK = pa.schema([("frag", pa.int32()), ("sids", pa.binary()), ("sizes", pa.binary()),
-                   ("counts", pa.binary()), ("grams", pa.binary())])
-_PACK_DDL = "frag int, sids binary, sizes binary, counts binary, grams binary"
-_SHARED = pa.schema([("bucket", pa.int32()), ("sids", pa.binary()), ("sizes", pa.binary()),
-                     ("counts", pa.binary()), ("grams", pa.binary()), ("dfs", pa.binary())])
-_SHARED_DDL = "bucket int, sids binary, sizes binary, counts binary, grams binary, dfs binary"
+_PACK = pa.schema([("grp", pa.int32()), ("haul", pa.int64()), ("owners", pa.binary()), ("a", pa.binary()),
+                   ("b", pa.binary())])
+_PACK_DDL = "grp int, haul long, owners binary, a binary, b binary"
 _SETS_DDL = "sid long, n long, shared long, prefix array<long>, segments array<array<long>>"
+LOW_BITS = 48
 
 
 def _fragment(grams: np.ndarray, fragments: int) -> np.ndarray:
@@ -134,70 +134,100 @@ def _fragment(grams: np.ndarray, fragments: int) -> np.ndarray:
     return ((grams >> np.uint64(40)) * np.uint64(fragments) >> np.uint64(24)).astype(np.int32)
 
 
-def _column(table: pa.Table, name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-
-
-def _count(buckets: int):
-    """A fragment: n-grams in two sets or more, per set, with their counts of sets."""
-    def run(table: pa.Table) -> pa.Table:
-        sids, sizes = _column(table, "sids", np.int64), _column(table, "sizes", np.int32)
-        counts, grams = _column(table, "counts", np.int32), _column(table, "grams", np.uint64)
-        owner = np.repeat(np.arange(len(sids)), counts)
-        # a set read by several tasks has one segment for each; the first stands for all
-        _, first = np.unique(sids, return_index=True)
-        once = np.zeros(len(sids), bool)
-        once[first] = True
-        keep = once[owner]
-        grams, owner = grams[keep], owner[keep]
-        _, inverse, df = np.unique(grams, return_inverse=True, return_counts=True)
-        df = df[inverse].astype(np.int32)
-        keep = df > 1
-        grams, owner, df = grams[keep], owner[keep], df[keep]
-        bucket = (sids.astype(np.uint64) % np.uint64(buckets)).astype(np.int32)
-        order = np.lexsort((owner, bucket[owner]))
-        grams, owner, df = grams[order], owner[order], df[order]
-        at = bucket[owner]
+def _low(grams: np.ndarray) -> np.ndarray:
+    """The low 48 bits of each hash, as six bytes."""
+    return np.ascontiguousarray(grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :LOW_BITS // 8])
+
+
+def _whole(low: bytes, fragment: int) -> np.ndarray:
+    """N-gram numbers: the fragment above the low bits; their order is the global one of the
+    fragments."""
+    out = np.zeros((len(low) // (LOW_BITS // 8), 8), np.uint8)
+    out[:, :LOW_BITS // 8] = np.frombuffer(low, np.uint8).reshape(len(out), -1)
+    return out.view("<u8").reshape(-1).astype(np.int64) | (fragment << LOW_BITS)
+
+
+def _packed(group: np.ndarray, haul, owner: np.ndarray, a: np.ndarray, b: np.ndarray | None = None):
+    """Rows of packed columns, one for each group (and haul, where that is an array)."""
+    order = np.argsort(group, kind="stable")
+    at = group[order]
+    bounds = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.empty(0, int)
+    for lo, hi in zip(bounds, np.r_[bounds[1:], len(at)].astype(int)):
+        rows = order[lo:hi]
+        yield pa.RecordBatch.from_pylist([{
+            "grp": int(at[lo]), "haul": int(haul), "owners": owner[rows].tobytes(), "a": a[rows].tobytes(),
+            "b": None if b is None else b[rows].tobytes()}], schema=_PACK)
+
+
+def _count():
+    """A fragment: n-grams of two sets or more, back to their hauls with a rank that rises
+    with their count.  A group of ids: of equal sets, the one that stands for them."""
+    def run(key, table):
+        group = key[0].as_py()
+        hauls, owners = table.column("haul").to_pylist(), table.column("owners").to_pylist()
+        first = table.column("a").to_pylist()
+        sizes = [len(o) // 2 for o in owners]
+        ends = np.cumsum(sizes)
+        owner = np.frombuffer(b"".join(owners), np.uint16)
+        if group >= 0:
+            a = _whole(b"".join(first), group)
+            _, inverse, count = np.unique(a, return_inverse=True, return_counts=True)
+            rank = np.minimum(255, np.floor(8 * np.log2(count))).astype(np.uint8)
+            keep, b = count[inverse] > 1, rank[inverse]
+        else:
+            a = np.frombuffer(b"".join(first), np.int64)
+            b = np.frombuffer(b"".join(table.column("b").to_pylist()), np.int64)
+            place = np.repeat(np.array(hauls), sizes)
+            order = np.lexsort((owner, place, a))
+            keep = np.zeros(len(a), bool)
+            keep[order[np.r_[True, a[order][1:] != a[order][:-1]]] if len(a) else []] = True
         rows = []
-        starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else []
-        for lo, hi in zip(starts, np.r_[starts[1:], len(at)] if len(at) else []):
-            own, have = np.unique(owner[lo:hi], return_counts=True)
-            rows.append({"bucket": int(at[lo]), "sids": sids[own].tobytes(), "sizes": sizes[own].tobytes(),
-                         "counts": have.astype(np.int32).tobytes(), "grams": grams[lo:hi].tobytes(),
-                         "dfs": df[lo:hi].tobytes()})
-        return pa.Table.from_pylist(rows, schema=_SHARED)
+        for haul, hi, size in zip(hauls, ends, sizes):
+            part = np.arange(hi - size, hi)
+            part = part[keep[part]]
+            if len(part):
+                rows.append({"grp": group, "haul": haul, "owners": owner[part].tobytes(), "a": a[part].tobytes(),
+                             "b": b[part].tobytes()})
+        return pa.Table.from_pylist(rows, schema=_PACK)
     return run
 
 
-def _gather(num: int, den: int):
-    """A bucket of sets: sum the partial counts; keep the sets that can reach the threshold."""
+def _gather(num: int, den: int, fragments: int):
+    """A haul: sum the partial counts of each set; keep the sets that can reach the threshold."""
+    cuts = min(CHECK_FRAGMENTS, fragments)
+
     def run(table: pa.Table) -> pa.Table:
-        sids, sizes = _column(table, "sids", np.int64), _column(table, "sizes", np.int32)
-        counts, grams = _column(table, "counts", np.int32), _column(table, "grams", np.uint64)
-        dfs = _column(table, "dfs", np.int32)
-        known, at = np.unique(sids, return_inverse=True)
-        size = np.zeros(len(known), np.int64)
-        size[at] = sizes
-        shared = np.bincount(at, weights=counts, minlength=len(known)).astype(np.int64)
+        group = np.array(table.column("grp").to_pylist())
+        owners, a, b = (table.column(c).to_pylist() for c in ("owners", "a", "b"))
+
+        def joined(parts, kind, of):
+            return np.frombuffer(b"".join(x for x, g in zip(parts, group) if (g >= 0) == of), kind)
+
+        owner, grams, rank = joined(owners, np.uint16, True), joined(a, np.int64, True), joined(b, np.uint8, True)
+        known = np.full(1 << 16, -1, np.int64)   # number in the haul -> place among the sets that stand
+        stands, sids, size = joined(owners, np.uint16, False), joined(a, np.int64, False), joined(b, np.int64, False)
+        known[stands] = np.arange(len(stands))
+        at = known[owner]
+        shared = np.bincount(at[at >= 0], minlength=len(sids))
         need = -(-num * size // den)
-        able = shared >= need
-        owner = np.repeat(at, counts)
-        keep = able[owner]
-        grams, dfs, owner = grams[keep], dfs[keep], owner[keep]
-        order = np.lexsort((grams, dfs, owner))
-        grams, owner = grams[order], owner[order]
-        ends = np.searchsorted(owner, np.flatnonzero(able), "right")
+        able = np.r_[shared >= need, False]      # the last place is that of sets that do not stand
+        keep = able[at]
+        grams, rank, at = grams[keep], rank[keep], at[keep]
+        order = np.lexsort((grams, rank, at))
+        grams, at = grams[order], at[order]
+        chosen = np.flatnonzero(able)
+        ends = np.searchsorted(at, chosen, "right")
         out: dict[str, list] = {"sid": [], "n": [], "shared": [], "prefix": [], "segments": []}
         lo = 0
-        for k, hi in zip(np.flatnonzero(able), ends):
+        for k, hi in zip(chosen, ends):
             own = grams[lo:hi]
             lo = hi
-            out["sid"].append(int(known[k]))
+            out["sid"].append(int(sids[k]))
             out["n"].append(int(size[k]))
             out["shared"].append(int(shared[k]))
-            out["prefix"].append(own[:shared[k] - need[k] + 1].view(np.int64))
-            part = _fragment(own, CHECK_FRAGMENTS)
-            out["segments"].append([own[part == f].view(np.int64) for f in range(CHECK_FRAGMENTS)])
+            out["prefix"].append(own[:shared[k] - need[k] + 1])
+            part = (own >> LOW_BITS) * cuts // fragments
+            out["segments"].append([own[part == f] for f in range(cuts)])
         return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), (
             pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))))})
     return run
@@ -260,35 +290,53 @@ def set_links(texts: DataFrame, described: DataFrame, n: int, num: int, den: int
     for every component to hold together."""
     grams = described.agg(F.sum("n_shingles")).first()[0] or 0
     fragments = max(1, -(-grams // FRAGMENT_GRAMS))
-    shared = (texts.mapInArrow(_deal(n, fragments), _PACK_DDL)
-              .groupBy("frag").applyInArrow(_count(fragments), _SHARED_DDL))
-    able = cut(shared.groupBy("bucket").applyInArrow(_gather(num, den), _SETS_DDL))
+    shared = texts.mapInArrow(_deal(n, fragments), _PACK_DDL).groupBy("grp").applyInArrow(_count(), _PACK_DDL)
+    able = cut(shared.groupBy("haul").applyInArrow(_gather(num, den, fragments), _SETS_DDL))
     segments = able.select("sid", "n", F.posexplode("segments").alias("frag", "seg"))
-    lists = able.select(F.posexplode("prefix").alias("pos", "g"), "sid", "n", "shared")
+    lists = able.select(F.posexplode("prefix").alias("pos", "g"), "sid", "n", "shared", F.col("sid").alias("comp"))
+    links = None
+
+    # rounds: the lists whose members are not in one component yet, against two of their members
+    for k in range(ROUNDS):
+        lists = _mixed(lists)
+        new = written(_verify(_star(lists, k, num, den), segments, num, den).select("a", "b"))
+        if k and new.isEmpty():
+            break
+        links = new if links is None else written(links.unionByName(new))
+        lists = _in_components(lists, links)
+
+    # all pairs of a list that are still in two components
+    lists = written(_mixed(lists))
+    left, right = (lists.select("g", *[F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "shared", "pos", "comp")])
+                   for s in "ab")
+    rest = (left.join(right, (left.g == right.g) & (F.col("sid_a") < F.col("sid_b"))
+                      & (F.col("comp_a") != F.col("comp_b")) & _can_link(num, den))
+            .select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct())
+    return written(links.unionByName(_verify(rest, segments, num, den).select("a", "b")))
 
-    # first pass: each list against its first and last member
-    member = F.struct("sid", "n", "shared", "pos")
+
+def _mixed(lists: DataFrame) -> DataFrame:
+    """The lists with members of two components or more."""
+    mixed = (lists.groupBy("g").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+             .filter("c0 < c1").select(F.col("g").alias("mixed")))
+    return lists.join(mixed, lists.g == F.col("mixed"), "left_semi")
+
+
+def _in_components(lists: DataFrame, links: DataFrame) -> DataFrame:
+    comp = components(links).select("node", F.col("component").alias("named"))
+    return written(lists.join(comp, lists.sid == comp.node, "left")
+                   .select("pos", "g", "sid", "n", "shared", F.coalesce("named", "sid").alias("comp")))
+
+
+def _star(lists: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Pairs of each list's members with its first and last in the order of round ``k``, where
+    they are in different components and can link."""
+    place = F.col("sid") if k == 0 else F.xxhash64(F.lit(k), "sid")
+    member = F.struct(place.alias("place"), "sid", "n", "shared", "pos", "comp")
     ends = (lists.groupBy("g").agg(F.min(member).alias("lo"), F.max(member).alias("hi"))
-            .filter(F.col("lo.sid") < F.col("hi.sid"))
-            .select("g", F.explode(F.array("lo", "hi")).alias("end")))
-    met = lists.join(ends, "g").select(
+            .select(F.col("g").alias("of"), F.explode(F.array("lo", "hi")).alias("end")))
+    met = lists.join(ends, lists.g == ends.of).filter(F.col("comp") != F.col("end.comp")).select(
         F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("shared_a"), F.col("pos").alias("pos_a"),
         F.col("end.sid").alias("b"), F.col("end.n").alias("n_b"), F.col("end.shared").alias("shared_b"),
         F.col("end.pos").alias("pos_b"))
-    star = (met.filter((F.col("a") != F.col("b")) & _can_link(num, den))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    first = cut(_verify(star, segments, num, den).select("a", "b"))
-
-    # second pass: members of the same list that are not in one component yet
-    comp = components(first)
-    in_list = (lists.join(comp, lists.sid == comp.node, "left")
-               .select("g", "sid", "n", "shared", "pos", F.coalesce("component", "sid").alias("comp")))
-    mixed = in_list.groupBy("g").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1").select("g")
-    in_list = cut(in_list.join(mixed, "g"))
-    left, right = (in_list.select("g", *[F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "shared", "pos", "comp")])
-                   for s in "ab")
-    rest = (left.join(right, (left.g == right.g) & (F.col("sid_a") < F.col("sid_b"))
-                      & (F.col("comp_a") != F.col("comp_b")) & _can_link(num, den))
-            .select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct())
-    second = _verify(rest, segments, num, den).select("a", "b")
-    return cut(first.unionByName(second))
+    return met.filter(_can_link(num, den)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
