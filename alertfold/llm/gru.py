@@ -15,7 +15,7 @@ import xxhash
 
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 15, 1 << 16
 DIM, HIDDEN = 8, 8
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 TOKEN = re.compile(r"\w+")
 
 
@@ -27,23 +27,59 @@ def word_bucket(word: str) -> int:
     return xxhash.xxh32_intdigest(word.encode()) % WORD_BUCKETS
 
 
-def char_buckets(word: str) -> list[int]:
-    w = f"^{word[:64]}$"
-    return [xxhash.xxh32_intdigest(w[i:i + n].encode(), n) % CHAR_BUCKETS
-            for n in (3, 4, 5) for i in range(max(1, len(w) - n + 1))]
+def char_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(word, bucket) pairs of the words' character 3- to 5-grams, word by word within each
+    length; a word is read up to its 64th character, with a mark at either end."""
+    marked = [f"^{w[:64]}$" for w in words]
+    code = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    owner = np.repeat(np.arange(len(marked)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(code))  # characters to the word's end
+    of, bucket = [], []
+    for n in (3, 4, 5):
+        at = np.flatnonzero(left >= n)
+        h = np.full(len(at), n, np.uint64)
+        for k in range(n):
+            h = (h + code[at + k]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(32)
+        of.append(owner[at])
+        bucket.append((h % np.uint64(CHAR_BUCKETS)).astype(np.int64))
+    return np.concatenate(of), np.concatenate(bucket)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+def mean_chars(table: np.ndarray, owner: np.ndarray, bucket: np.ndarray, n: int) -> np.ndarray:
+    """Mean vector of each word's n-grams."""
+    total, count = np.zeros((n, DIM), np.float32), np.bincount(owner, minlength=n)
+    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else []
+    if len(starts):  # each length's pairs are in order of words, so a word has one run per length
+        np.add.at(total, owner[starts], np.add.reduceat(table[bucket], starts, axis=0))
+    return total / np.maximum(count, 1)[:, None].astype(np.float32)
+
+
+class _Rows(dict):
+    """Word -> place, in order of first use; ``new`` lists those not projected yet."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class Gru:
     """Parameters in ``p``: names to float32 arrays."""
 
     def __init__(self, p: dict[str, np.ndarray]):
         self.p = p
-        self.row: dict[str, int] = {}
-        self.inputs = np.zeros((1024, 6 * HIDDEN), np.float32)
+        self.row = _Rows()
+        # per direction and gate, a word's projected input
+        self.inputs = [np.zeros((1024, HIDDEN), np.float32) for _ in range(6)]
 
     @staticmethod
     def fresh(rng: np.random.Generator) -> Gru:
@@ -61,61 +97,76 @@ class Gru:
     # -- scoring ---------------------------------------------------------------------
 
     def rows(self, words: list[str]) -> np.ndarray:
-        """Rows of ``inputs`` (both directions' projected inputs) for the words."""
-        row = self.row
-        new = [w for w in dict.fromkeys(words) if w not in row]
-        if new:
-            if len(row) + len(new) > CACHE_WORDS and row:
-                row.clear()
-                new = list(dict.fromkeys(words))
-            self._project(new)
-        return np.fromiter(map(row.__getitem__, words), np.int32, len(words))
-
-    def _project(self, new: list[str]) -> None:
-        p, start = self.p, len(self.row)
-        grams = [char_buckets(w) for w in new]
-        sizes = np.fromiter(map(len, grams), np.int64, len(grams))
-        flat = np.fromiter((b for g in grams for b in g), np.int64, int(sizes.sum()))
-        chars = np.add.reduceat(p["char"][flat], np.r_[0, np.cumsum(sizes)[:-1]], axis=0) / sizes[:, None]
-        x = np.hstack([p["word"][[word_bucket(w) for w in new]], chars]).astype(np.float32)
-        got = np.hstack([x @ p["xf"] + p["cf"], x @ p["xb"] + p["cb"]])
-        while start + len(new) > len(self.inputs):
-            self.inputs = np.vstack([self.inputs, np.zeros_like(self.inputs)])
-        self.inputs[start:start + len(new)] = got
-        self.row.update(zip(new, range(start, start + len(new))))
+        """Places of the words in ``inputs``; they hold until ``forget``."""
+        got = np.fromiter(map(self.row.__getitem__, words), np.int32, len(words))
+        return got
+
+    def full(self) -> bool:
+        return len(self.row) > CACHE_WORDS
+
+    def forget(self) -> None:
+        self.row.clear()
+        self.row.new.clear()
+
+    def project(self) -> None:
+        """Inputs of the words that came since the last call.  The gates' inputs are halved:
+        a sigmoid is taken as a tanh of half its argument."""
+        new, p = self.row.new, self.p
+        if not new:
+            return
+        start = len(self.row) - len(new)
+        x = np.hstack([p["word"][[word_bucket(w) for w in new]], mean_chars(p["char"], *char_grams(new), len(new))])
+        while start + len(new) > len(self.inputs[0]):
+            self.inputs = [np.vstack([i, np.zeros_like(i)]) for i in self.inputs]
+        for k, d in enumerate("fb"):
+            got = x @ p["x" + d] + p["c" + d]
+            for g, half in enumerate((0.5, 0.5, 1)):
+                self.inputs[3 * k + g][start:start + len(new)] = half * got[:, g * HIDDEN:(g + 1) * HIDDEN]
+        new.clear()
+
+    def states(self, at: np.ndarray, active: np.ndarray, k: int) -> np.ndarray:
+        """States of one direction; ``at[t, w]`` is the place of window w's t-th word."""
+        r_in, z_in, n_in = self.inputs[3 * k:3 * k + 3]
+        into = self.p["hfhb"[2 * k:2 * k + 2]]
+        ur, uz, un = (np.ascontiguousarray(0.5 * into[:, g * HIDDEN:(g + 1) * HIDDEN]) for g in range(3))
+        out = np.zeros((*at.shape, HIDDEN), np.float32)
+        h = np.zeros((at.shape[1], HIDDEN), np.float32)
+        for t, live in enumerate(active):
+            h, i = h[:live], at[t, :live]
+            r = r_in.take(i, axis=0)
+            r += h @ ur
+            np.tanh(r, out=r)
+            r += 1                      # twice the reset gate; the half is in un
+            r *= h @ un
+            z = z_in.take(i, axis=0)
+            z += h @ uz
+            np.tanh(z, out=z)
+            z += 1                      # twice the update gate
+            n = n_in.take(i, axis=0)
+            n += r
+            np.tanh(n, out=n)
+            z *= h - n
+            z *= np.float32(0.5)
+            n += z
+            h = out[t, :live] = n
+        return out
 
     def logits(self, index: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """Logit of each window; ``index[w, t]`` is the row of its t-th token, ``length`` falls
+        """Logit of each window; ``index[w, t]`` is the place of its t-th word, ``length`` falls
         from window to window."""
+        self.project()
         p, (n, steps) = self.p, index.shape
         active = np.searchsorted(-length, -np.arange(steps), "left")  # windows longer than t
-        score = np.full((steps, n), -np.inf, np.float32)              # attention
-        value = np.zeros((steps, n), np.float32)                      # what a state adds to the logit
         back = np.clip(length[:, None] - 1 - np.arange(steps), 0, None)
-        reverse = np.take_along_axis(index, back, axis=1)
-        for d, at, half in (("f", index, 0), ("b", reverse, HIDDEN)):
-            h = np.zeros((n, HIDDEN), np.float32)
-            columns = slice(0, 3 * HIDDEN) if d == "f" else slice(3 * HIDDEN, 6 * HIDDEN)
-            inputs, into = np.ascontiguousarray(self.inputs[:, columns]), p["h" + d]
-            heads = np.stack([p["att"][half:half + HIDDEN], p["out"][half:half + HIDDEN]], 1)
-            for t in range(steps):
-                k = active[t]
-                if not k:
-                    break
-                a, u = inputs[at[:k, t]], h[:k] @ into
-                g = _sigmoid(a[:, :2 * HIDDEN] + u[:, :2 * HIDDEN])
-                new = np.tanh(a[:, 2 * HIDDEN:] + g[:, :HIDDEN] * u[:, 2 * HIDDEN:])
-                h[:k] = new + g[:, HIDDEN:] * (h[:k] - new)
-                got = h[:k] @ heads
-                where = np.full(k, t) if d == "f" else length[:k] - 1 - t
-                rows = np.arange(k)
-                if d == "f":
-                    score[t, :k], value[t, :k] = got[:, 0], got[:, 1]
-                else:
-                    score[where, rows] += got[:, 0]
-                    value[where, rows] += got[:, 1]
+        heads = np.stack([p["att"], p["out"]], 1)
+        forward = self.states(np.ascontiguousarray(index.T), active, 0) @ heads[:HIDDEN]
+        turned = np.take_along_axis(index, back, axis=1)
+        backward = self.states(np.ascontiguousarray(turned.T), active, 1) @ heads[HIDDEN:]
+        both = forward + np.take_along_axis(backward, back.T[:, :, None], axis=0)
+        mask = np.arange(steps)[:, None] < length
+        score = np.where(mask, both[:, :, 0], -np.inf)
         weight = np.exp(score - score.max(0))
-        return (weight * value).sum(0) / weight.sum(0) + p["bias"][0]
+        return (weight * both[:, :, 1]).sum(0) / weight.sum(0) + p["bias"][0]
 
     # -- training --------------------------------------------------------------------
 
@@ -129,9 +180,7 @@ class Gru:
         p, (n, steps) = self.p, words.shape
         vocab = gram_of
         share = np.bincount(grams[0], minlength=len(vocab)).astype(np.float32)
-        chars = np.zeros((len(vocab), DIM), np.float32)
-        np.add.at(chars, grams[0], p["char"][grams[1]])
-        x_vocab = np.hstack([p["word"][vocab], chars / share[:, None]])
+        x_vocab = np.hstack([p["word"][vocab], mean_chars(p["char"], *grams, len(vocab))])
         mask = np.arange(steps)[:, None] < length[None, :]
         saved, states = {}, {}
         for d in "fb":
@@ -204,7 +253,9 @@ def train(windows: list[list[str]], y: np.ndarray, steps: int = 500, batch: int
     ids = {w: i for i, w in enumerate(dict.fromkeys(w for win in windows for w in win))}
     names = list(ids)
     buckets = np.array([word_bucket(w) for w in names], np.int64)
-    grams = [np.array(char_buckets(w), np.int64) for w in names]
+    of, bucket = char_grams(names)
+    of, bucket = (x[np.argsort(of, kind="stable")] for x in (of, bucket))
+    grams = np.split(bucket, np.flatnonzero(of[1:] != of[:-1]) + 1)
     coded = [np.fromiter((ids[w] for w in win), np.int64, len(win)) for win in windows]
     _informed_start(net, coded, y, buckets, grams)
     of_class = [np.flatnonzero(y == c) for c in (0, 1)]
@@ -220,7 +271,6 @@ def train(windows: list[list[str]], y: np.ndarray, steps: int = 500, batch: int
         local = local.reshape(padded.shape)
         sizes = [len(grams[i]) for i in used]
         pairs = (np.repeat(np.arange(len(used)), sizes), np.concatenate([grams[i] for i in used]))
-        # some words lose their word vector, so that the characters must do
         _, g = net.gradients(local, pairs, buckets[used], length, y[pick].astype(np.float32),
                              np.ones(len(pick), np.float32))
         for k in first:

@@ -68,9 +68,9 @@ def window_logits(net: Gru, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         many.append(len(starts(len(words))) if words else 0)
         if not words:
             continue
-        if held and len(net.row) + len(words) > 150_000:
-            flush()  # rows of the word table must stay while windows refer to them
-            net.row.clear()
+        if net.full():
+            flush()  # places hold while windows refer to them
+            net.forget()
         rows = net.rows(words)
         for s in starts(len(words)):
             held.append((doc, rows[s:s + WINDOW]))
