@@ -42,7 +42,7 @@ from alertfold.llm.components import components
 FRAGMENT_GRAMS = 500_000   # n-grams that a fragment's task holds, about
 HAUL_GRAMS = 4_000_000     # n-grams, and sets, that a reading task gathers before it deals them out
 HAUL_SETS = 60_000
-ROUNDS = 4                 # at most so many rounds of two members per list
+ROUNDS = 3                 # at most so many rounds of two members per list
 CHECK_FRAGMENTS = 4        # fragments of the verification
 SALTS = 16
 
@@ -125,7 +125,7 @@ def _deal(n: int, fragments: int):
 _PACK = pa.schema([("grp", pa.int32()), ("haul", pa.int64()), ("owners", pa.binary()), ("a", pa.binary()),
                    ("b", pa.binary())])
 _PACK_DDL = "grp int, haul long, owners binary, a binary, b binary"
-_SETS_DDL = "sid long, n long, shared long, prefix array<long>, segments array<array<long>>"
+_SETS_DDL = "sid long, n long, shared long, weight long, prefix array<long>, segments array<array<long>>"
 LOW_BITS = 48
 
 
@@ -214,14 +214,17 @@ def _gather(num: int, den: int, fragments: int):
         keep = able[at]
         grams, rank, at = grams[keep], rank[keep], at[keep]
         order = np.lexsort((grams, rank, at))
-        grams, at = grams[order], at[order]
+        grams, rank, at = grams[order], rank[order], at[order]
         chosen = np.flatnonzero(able)
         ends = np.searchsorted(at, chosen, "right")
-        out: dict[str, list] = {"sid": [], "n": [], "shared": [], "prefix": [], "segments": []}
+        out: dict[str, list] = {"sid": [], "n": [], "shared": [], "weight": [], "prefix": [], "segments": []}
+        # how common a set's n-grams are on the whole: highest for what others were copied from
+        weight = np.bincount(at, weights=rank, minlength=len(sids) + 1)[:len(sids)] * 1000 // np.maximum(size, 1)
         lo = 0
         for k, hi in zip(chosen, ends):
             own = grams[lo:hi]
             lo = hi
+            out["weight"].append(int(weight[k]))
             out["sid"].append(int(sids[k]))
             out["n"].append(int(size[k]))
             out["shared"].append(int(shared[k]))
@@ -229,7 +232,7 @@ def _gather(num: int, den: int, fragments: int):
             part = (own >> LOW_BITS) * cuts // fragments
             out["segments"].append([own[part == f] for f in range(cuts)])
         return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), (
-            pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))))})
+            pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))))})
     return run
 
 
@@ -293,7 +296,7 @@ def set_links(texts: DataFrame, described: DataFrame, n: int, num: int, den: int
     shared = texts.mapInArrow(_deal(n, fragments), _PACK_DDL).groupBy("grp").applyInArrow(_count(), _PACK_DDL)
     able = cut(shared.groupBy("haul").applyInArrow(_gather(num, den, fragments), _SETS_DDL))
     segments = able.select("sid", "n", F.posexplode("segments").alias("frag", "seg"))
-    lists = able.select(F.posexplode("prefix").alias("pos", "g"), "sid", "n", "shared", F.col("sid").alias("comp"))
+    lists = able.select(F.posexplode("prefix").alias("pos", "g"), "sid", "n", "shared", "weight", F.col("sid").alias("comp"))
     links = None
 
     # rounds: the lists whose members are not in one component yet, against two of their members
@@ -325,16 +328,17 @@ def _mixed(lists: DataFrame) -> DataFrame:
 def _in_components(lists: DataFrame, links: DataFrame) -> DataFrame:
     comp = components(links).select("node", F.col("component").alias("named"))
     return written(lists.join(comp, lists.sid == comp.node, "left")
-                   .select("pos", "g", "sid", "n", "shared", F.coalesce("named", "sid").alias("comp")))
+                   .select("pos", "g", "sid", "n", "shared", "weight", F.coalesce("named", "sid").alias("comp")))
 
 
 def _star(lists: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Pairs of each list's members with its first and last in the order of round ``k``, where
-    they are in different components and can link."""
-    place = F.col("sid") if k == 0 else F.xxhash64(F.lit(k), "sid")
-    member = F.struct(place.alias("place"), "sid", "n", "shared", "pos", "comp")
-    ends = (lists.groupBy("g").agg(F.min(member).alias("lo"), F.max(member).alias("hi"))
-            .select(F.col("g").alias("of"), F.explode(F.array("lo", "hi")).alias("end")))
+    """Pairs of each list's members with two of them, the one of the most common n-grams and
+    one by a hash that changes with the round, where they are in different components and
+    can link."""
+    member = F.struct("sid", "n", "shared", "pos", "comp")
+    ends = (lists.groupBy("g").agg(F.max_by(member, F.struct("weight", "sid")).alias("common"),
+                                   F.max_by(member, F.struct(F.xxhash64(F.lit(k), "sid"), "sid")).alias("other"))
+            .select(F.col("g").alias("of"), F.explode(F.array("common", "other")).alias("end")))
     met = lists.join(ends, lists.g == ends.of).filter(F.col("comp") != F.col("end.comp")).select(
         F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("shared_a"), F.col("pos").alias("pos_a"),
         F.col("end.sid").alias("b"), F.col("end.n").alias("n_b"), F.col("end.shared").alias("shared_b"),
