@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alertfold.functions.text import normalize_ws, to_numeric
+from alertfold.functions.text import normalize_ws, strip_ws, to_numeric
 
 # The date layouts of the exports.  Single-letter fields because the
 # strict layouts of the exports accept one-digit days, months, hours and minutes.
@@ -16,14 +16,21 @@ YMD_HM = "yyyy/M/d H:m"         # 2024/12/31 21:59
 # Lenient day-first fallback: a fixed, ordered list instead of per-column format
 # inference, so that the result of a row never depends on other rows.  ISO forms
 # are always year-month-day; slash, dash and dot forms with the year last are
-# day-first.
+# day-first.  A time may have a fraction and a zone; with a zone, the result is the
+# UTC wall clock.  Two-digit years are 1970 to 2069.
+_TIME = "[H:m][:s][.SSSSSSSSS][ ][XXX][X]"
 LENIENT_FORMATS = (
-    "yyyy-M-d[ ]['T'][H:m][:s]",
-    "yyyy/M/d[ ][H:m][:s]",
-    "d/M/yyyy[ ][H:m][:s]",
-    "d-M-yyyy[ ][H:m][:s]",
-    "d.M.yyyy[ ][H:m][:s]",
+    "yyyy-M-d[ ]['T']" + _TIME,
+    "yyyy/M/d[ ]" + _TIME,
+    "d/M/yyyy[ ]" + _TIME,
+    "d-M-yyyy[ ]" + _TIME,
+    "d.M.yyyy[ ]" + _TIME,
 )
+TWO_DIGIT_FORMATS = ("d/M/yy[ ]" + _TIME, "d-M-yy[ ]" + _TIME, "d.M.yy[ ]" + _TIME)
+# month names in English, short or long, in any case
+NAMED_FORMATS = ("d MMM yyyy[ ]" + _TIME, "d MMMM yyyy[ ]" + _TIME, "MMM d yyyy[ ]" + _TIME, "MMMM d yyyy[ ]" + _TIME)
+COMPACT_FORMATS = ("yyyyMMdd", "yyyyMMdd HHmmss")
+
 
 def epoch0() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
@@ -35,7 +42,8 @@ MS_THRESHOLD = 1e12
 # Anchored shape of the texts each layout can accept (a superset: the formatter still
 # validates).  A failed parse costs a Java exception, so texts of another shape are
 # sent to NULL without calling the formatter.  Years are exactly four digits.
-_T = r"[ T0-9:]*"
+_T = r"[ T]?([0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]{1,9})?)?( ?(Z|[+-][0-9]{2}(:?[0-9]{2})?))?)?"
+_NAME = "[A-Z][a-z]+"
 GUARDS = {
     DMY_HMS: r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$",
     DMY_HM: r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$",
@@ -45,6 +53,15 @@ GUARDS = {
     LENIENT_FORMATS[2]: r"^\d{1,2}/\d{1,2}/\d{4}" + _T + "$",
     LENIENT_FORMATS[3]: r"^\d{1,2}-\d{1,2}-\d{4}" + _T + "$",
     LENIENT_FORMATS[4]: r"^\d{1,2}\.\d{1,2}\.\d{4}" + _T + "$",
+    TWO_DIGIT_FORMATS[0]: r"^\d{1,2}/\d{1,2}/\d{2}" + _T + "$",
+    TWO_DIGIT_FORMATS[1]: r"^\d{1,2}-\d{1,2}-\d{2}" + _T + "$",
+    TWO_DIGIT_FORMATS[2]: r"^\d{1,2}\.\d{1,2}\.\d{2}" + _T + "$",
+    NAMED_FORMATS[0]: r"^\d{1,2} [A-Z][a-z]{2} \d{4}" + _T + "$",
+    NAMED_FORMATS[1]: r"^\d{1,2} " + _NAME + r" \d{4}" + _T + "$",
+    NAMED_FORMATS[2]: r"^[A-Z][a-z]{2} \d{1,2} \d{4}" + _T + "$",
+    NAMED_FORMATS[3]: "^" + _NAME + r" \d{1,2} \d{4}" + _T + "$",
+    COMPACT_FORMATS[0]: r"^\d{8}$",
+    COMPACT_FORMATS[1]: r"^\d{8} \d{6}$",
 }
 
 
@@ -61,12 +78,21 @@ def parse_strict(c: Column) -> Column:
 
 
 def parse_minutes(c: Column) -> Column:
-    """``dd/mm/yyyy HH:MM`` after trimming."""
-    return parse_with(F.trim(c), DMY_HM)
+    """``dd/mm/yyyy HH:MM`` after trimming all white space, as Python's ``strip`` does."""
+    return parse_with(strip_ws(c), DMY_HM)
 
 
 def parse_lenient(c: Column) -> Column:
-    return F.coalesce(*[parse_with(c, p) for p in LENIENT_FORMATS])
+    plain = F.coalesce(*[parse_with(c, p) for p in LENIENT_FORMATS])
+    short = F.coalesce(*[parse_with(c, p) for p in TWO_DIGIT_FORMATS])   # read as 2000 to 2099
+    short = F.when(F.year(short) < 2070, short).otherwise(F.add_months(short.cast("date"), -1200).cast("timestamp_ntz")
+                                                         + (short - F.date_trunc("day", short).cast("timestamp_ntz")))
+    named = F.regexp_replace(F.initcap(F.regexp_replace(c, ",", " ")), " +", " ")
+    # with lower-case marks lost to initcap put back
+    named = F.regexp_replace(F.regexp_replace(named, "([0-9])t([0-9])", "$1T$2"), "([0-9])z$", "$1Z")
+    by_name = F.when(c.rlike("[A-Za-z]{3}"), F.coalesce(*[parse_with(named, p) for p in NAMED_FORMATS]))
+    compact = F.coalesce(*[parse_with(c, p) for p in COMPACT_FORMATS])
+    return F.coalesce(plain, short, by_name, compact)
 
 
 def parse_cascade(c: Column) -> Column:

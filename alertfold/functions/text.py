@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import lru_cache
 
@@ -40,6 +41,11 @@ def normalize_ws(c: Column) -> Column:
     return F.trim(F.regexp_replace(blanks, "  +", " "))
 
 
+def strip_ws(c: Column) -> Column:
+    """Python's ``str.strip``, zero-width spaces included."""
+    return F.regexp_replace(c, f"^{WS_RUN}|{WS_RUN}$", "")
+
+
 # A decimal number as accepted by a numeric coercion: optional sign, digits with an
 # optional fraction, optional exponent, surrounding blanks allowed.  Spark's own
 # cast would also accept 'nan', 'Infinity' and suffixes such as '1d'.
@@ -52,25 +58,25 @@ def to_numeric(c: Column) -> Column:
 
 
 # ---------------------------------------------------------------- accent stripping
-# Built by rule: NFKD decomposition of every character in the Latin blocks
-# (U+0080..U+024F) with non-ASCII marks removed.  One-to-one results become a
-# translate() map, one-to-many results a short replace chain; everything else that
-# is non-ASCII is removed, as an ASCII re-encoding with errors ignored would do.
-_LATIN_LO, _LATIN_HI = 0x80, 0x24F
-
-
+# Built by rule: the ASCII part of the NFKD decomposition of every character that has
+# one.  One-to-one results make a translate() map.  Rows that hold a character with a
+# longer result are taken character by character.  Everything else that is non-ASCII is
+# removed, as an ASCII re-encoding with errors ignored would do.
 @lru_cache(maxsize=1)
-def accent_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    src, dst, multi = [], [], []
-    for cp in range(_LATIN_LO, _LATIN_HI + 1):
+def accent_tables() -> tuple[str, str, str, tuple[str, ...]]:
+    src, dst, keys, longer = [], [], [], []
+    for cp in range(0x80, sys.maxunicode + 1):
+        if 0xD800 <= cp <= 0xDFFF:
+            continue
         ch = chr(cp)
         out = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
         if len(out) == 1:
             src.append(ch)
             dst.append(out)
         elif len(out) > 1:
-            multi.append((ch, out))
-    return "".join(src), "".join(dst), tuple(multi)
+            keys.append(ch)
+            longer.append(out)
+    return "".join(src), "".join(dst), "".join(keys), tuple(longer)
 
 
 def strip_accents_name(name: str) -> str:
@@ -78,23 +84,29 @@ def strip_accents_name(name: str) -> str:
     return unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode("ascii")
 
 
+def _char_class(chars: str) -> str:
+    """A regex class of the characters, neighbouring code points as ranges."""
+    out, codes = [], sorted(map(ord, chars))
+    start = prev = codes[0]
+    for cp in codes[1:] + [-1]:
+        if cp != prev + 1:
+            out.append(f"\\x{{{start:X}}}" + (f"-\\x{{{prev:X}}}" if prev > start else ""))
+            start = cp
+        prev = cp
+    return "[" + "".join(out) + "]"
+
+
 def strip_accents(c: Column) -> Column:
-    src, dst, multi = accent_tables()
-    out = c
-    for ch, rep in multi:
-        out = F.replace(out, F.lit(ch), F.lit(rep))
-    out = F.translate(out, src, dst)
-    return F.regexp_replace(out, r"[^\x{0000}-\x{007F}]", "")
-
-
-def strip_accents_sql(expr: str) -> str:
-    """The same transformation as DuckDB SQL text (used by the oracle)."""
-    src, dst, multi = accent_tables()
-    out = expr
-    for ch, rep in multi:
-        out = f"replace({out}, '{ch}', '{rep}')"
-    out = f"translate({out}, '{src}', '{dst}')"
-    return f"regexp_replace({out}, '[^\\x{{0000}}-\\x{{007F}}]', '', 'g')"
+    """NFKD to ASCII; what has no ASCII form is removed."""
+    src, dst, keys, longer = accent_tables()
+    outputs = F.array(*[F.lit(x) for x in longer])
+
+    def longer_form(ch: Column) -> Column:
+        return F.coalesce(F.get(outputs, F.position(ch, F.lit(keys)) - 1), ch)
+
+    spelled = F.array_join(F.transform(F.regexp_extract_all(c, F.lit("(?s)."), 0), longer_form), "")
+    out = F.when(c.rlike(_char_class(keys)), spelled).otherwise(c)
+    return F.regexp_replace(F.translate(out, src, dst), r"[^\x{0000}-\x{007F}]", "")
 
 
 # ---------------------------------------------------------------- mojibake

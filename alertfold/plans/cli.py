@@ -33,11 +33,11 @@ def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="alertfold", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     sub = p.add_subparsers(dest="cmd", required=True)
 
-    def io(sp, out_default="alertes_merged"):
+    def io(sp, out_default="alertes_merged", sep=";"):
         sp.add_argument("--input", "-i", default="alertes", nargs="+", help="input folder(s)")
         sp.add_argument("--output", "-o", default=out_default, help="output folder")
         sp.add_argument("--dry-run", action="store_true", help="plan and count, write nothing")
-        sp.add_argument("--sep", default=";")
+        sp.add_argument("--sep", default=sep)
         sp.add_argument("--encoding", default="UTF-8")
 
     r = sub.add_parser("recompose")
@@ -55,7 +55,7 @@ def main(argv=None) -> int:
     c.add_argument("--header-fix", choices=["mojibake", "accents"])
 
     m = sub.add_parser("merge")
-    io(m)
+    io(m, sep=",")
 
     ro = sub.add_parser("route")
     io(ro, "output_by_month")
@@ -90,24 +90,23 @@ def main(argv=None) -> int:
         if a.dry_run:
             _print_counts(df, "status")
             return 0
-        P.write_capped(df, a.output)
+        P.write_capped(df, a.output, header_fix=a.header_fix)
     elif a.cmd == "merge":
-        kept, det = P.merge(spark, a.input, C.CsvOptions(sep=a.sep if a.sep != ";" else ",", encoding=a.encoding, exclude=()))
+        kept, det = P.merge(spark, a.input, C.CsvOptions(sep=a.sep, encoding=a.encoding, exclude=()))
         if a.dry_run:
             _print_counts(kept)
             return 0
-        P.write_merged(kept, a.output)
+        P.write_merged(kept, a.output, det)
     elif a.cmd == "route":
         files = C.discover(spark, a.input, C.CsvOptions(sep=a.sep, exclude=()))
-        routed = P.route(spark, files, a.date_index, a.sep)
+        routed = P.route(spark, files, a.date_index, a.sep, a.encoding)
         from alertfold.operators import quality
         stats = quality.file_stats(routed, C.SOURCE, F.col("ok"))
         for row in stats.orderBy("file_name").collect():     # one row per file
             print(json.dumps(row.asDict()))
         if not a.dry_run:
-            from alertfold.sinks.files import write_partitioned
-            write_partitioned(routed.where("ok").select("value", "ym", "_ord"), a.output, ["ym"], order=["_ord"],
-                              bom=False, drop=["_ord"])
+            header = C.header_lines(spark, files[:1], C.CsvOptions(sep=a.sep)).first()
+            P.write_routed(routed, header["line"].lstrip("\ufeff") if header else "value", a.output)
     elif a.cmd == "rename":
         from alertfold.functions.names import rewrite_name
         listing = C.listing(spark, a.input, C.CsvOptions(exclude=()))

@@ -12,7 +12,8 @@ merge      (generic merger)    per-file date-column detection -> lenient parse -
 route      (row router)        raw lines -> cell-count and date checks -> per-file
            counters -> months.
 
-Each returns lazy DataFrames; ``write_*`` helpers run the single write action.
+Each returns DataFrames; headers are read and, for ``capped`` and ``merge``, per-file
+statistics are computed before.  ``write_*`` helpers write.
 """
 
 from __future__ import annotations
@@ -20,11 +21,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertfold.functions import dates as D
-from alertfold.functions.text import WS_RUN, normalize_ws
+from alertfold.functions.text import normalize_ws, strip_accents_name, strip_ws
 from alertfold.operators import dedup, quality
 from alertfold.operators.order import ORDER_COL
 from alertfold.operators.resolve import resolve_date
@@ -37,16 +38,25 @@ KEY = "Référence"
 DATE = "Date"
 
 
+TS_NAME, TS_SUFFIX = "timestamp", "(timestamp)"   # fixed values: names of the epoch column
+
+
+def ts_column(names: Column) -> Column:
+    """Of an array of column names the epoch column's: a name that is ``TS_NAME`` (trimmed,
+    any case) ranks before one that ends in ``TS_SUFFIX``, then the leftmost."""
+    def candidate(name: Column, at: Column) -> Column:
+        plain = F.lower(strip_ws(name))
+        rank = F.when(plain == TS_NAME, 0).when(plain.endswith(TS_SUFFIX), 1)
+        return F.when(rank.isNotNull(), F.struct(rank.alias("rank"), at.alias("at"), name.alias("name")))
+    return F.array_min(F.transform(names, candidate))["name"]
+
+
 def detect_ts_name(columns: Sequence[str]) -> str | None:
-    """Exact 'timestamp' (trimmed, any case) first, else a name ending in '(timestamp)'."""
-    for c in columns:
-        if c.strip().lower() == "timestamp":
-            return c
-    import re
-    for c in columns:
-        if re.search(r"\(timestamp\)\s*$", c.strip(), flags=re.IGNORECASE):
-            return c
-    return None
+    """``ts_column`` for the names of one header."""
+    ranked = ((0 if n == TS_NAME else 1, at) for at, n in enumerate(c.strip().lower() for c in columns)
+              if n == TS_NAME or n.endswith(TS_SUFFIX))
+    best = min(ranked, default=None)
+    return None if best is None else columns[best[1]]
 
 
 @dataclass(frozen=True)
@@ -169,36 +179,61 @@ def merge(spark: SparkSession, sources: Sequence[str], csv: C.CsvOptions = C.Csv
 
 
 # ---------------------------------------------------------------- row router
-def route(spark: SparkSession, files: Sequence[str], date_index: int = 1, sep: str = ";") -> DataFrame:
-    """Raw data lines with ``ok`` (>= 2 cells and a ``dd/mm/yyyy HH:MM`` date in cell
-    ``date_index``) and ``ym``."""
-    lines = C.read_raw_lines(spark, files)
-    cells = F.split(F.col("value"), sep)
-    stripped = F.regexp_replace(F.get(cells, date_index), f"^{WS_RUN}|{WS_RUN}$", "")
-    dt = D.parse_with(stripped, D.DMY_HM)
-    ok = (F.size(cells) >= 2) & (F.length("value") > 0) & dt.isNotNull()
-    return lines.withColumn("ok", F.coalesce(ok, F.lit(False))).withColumn("ym", F.when(ok, D.month_key(dt)))
+def route(spark: SparkSession, files: Sequence[str], date_index: int = 1, sep: str = ";",
+          encoding: str = "UTF-8") -> DataFrame:
+    """Raw data lines with ``ok`` (a ``dd/mm/yyyy HH:MM`` date in cell ``date_index``) and
+    ``ym``.  Cells are read as CSV: the separator is taken literally, quoted cells may hold
+    it."""
+    lines = C.read_raw_lines(spark, files, C.CsvOptions(sep=sep, encoding=encoding))
+    cells = ", ".join(f"c{i} string" for i in range(max(1, date_index) + 1))
+    parsed = F.from_csv(F.col("value"), cells, {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    dt = D.parse_minutes(parsed[f"c{date_index}"])
+    ok = parsed["c1"].isNotNull() & dt.isNotNull()
+    return lines.withColumn("ok", F.coalesce(ok, F.lit(False))).withColumn("ym", F.when(F.col("ok"), D.month_key(dt)))
+
+
+def write_routed(routed: DataFrame, header: str, out: str) -> None:
+    """The accepted lines per month, as they were read, under the original header line."""
+    data = routed.where("ok").select(F.col("value").alias(header), "ym", ORDER_COL)
+    write_partitioned(data, out, ["ym"], order=[ORDER_COL], bom=False, drop=[ORDER_COL], raw=True)
 
 
 # ---------------------------------------------------------------- writers of the other variants
-def write_capped(df: DataFrame, out: str, drop: Sequence[str] = ("dt",), bom: bool = False) -> None:
-    """Months sorted by date (then input order) under ``status=ok/ym=...``; audits of
-    undated and over-cap rows (key, parsed date, source file) under their own status."""
-    keep = [c for c in df.columns if not c.startswith("_") and c not in ("status", "dt")]
+def write_capped(df: DataFrame, out: str, drop: Sequence[str] = ("dt",), bom: bool = False,
+                 header_fix: str | None = None) -> None:
+    """Months sorted by date (then input order) under ``status=ok/ym=...``, the date column
+    as ISO text in its own place; audits of undated and over-cap rows (key, parsed date,
+    source file) under ``_audit/status=...``.  The key is looked up under the name that the
+    header repair gives it."""
+    key = strip_accents_name(KEY) if header_fix == "accents" else KEY
+    keep = [c for c in df.columns if not c.startswith("_") and c not in ("status", "dt", *drop)]
+    iso = F.date_format("dt", "yyyy-MM-dd HH:mm:ss")
     ok = (df.where(F.col("status") == quality.OK)
-          .select(*[F.col(f"`{c}`") for c in keep], F.date_format("dt", "yyyy-MM-dd HH:mm:ss").alias("Date_iso"),
+          .select(*[iso.alias(c) if c == DATE else F.col(f"`{c}`") for c in keep],
                   "status", D.month_key(F.col("dt")).alias("ym"), "dt", ORDER_COL))
     write_partitioned(ok, out, ["status", "ym"], order=["dt", ORDER_COL], bom=bom, drop=["dt", ORDER_COL])
-    audit = quality.audit_rows(df.where(F.col("status") != quality.OK), [KEY, DATE], F.col(C.SOURCE))
+    audit = quality.audit_rows(df.where(F.col("status") != quality.OK), [key, DATE], F.col(C.SOURCE))
     audit = audit.withColumn("status", F.when(F.col(DATE).isNull(), F.lit(quality.UNDATED)).otherwise(F.lit(quality.OVER_CAP)))
     write_partitioned(audit.withColumn("ym", F.lit(None).cast("string")), out + "/_audit", ["status"], bom=bom,
                       drop=["ym"])
 
 
-def write_merged(kept: DataFrame, out: str) -> None:
-    """Merger output: one dataset per ``ym`` (YYYY-MM), date column first as ISO text."""
+def write_merged(kept: DataFrame, out: str, detected: DataFrame | None = None) -> None:
+    """Merger output: one dataset per ``ym`` (YYYY-MM).  The detected date column moves to the
+    front as ISO text, under its own name; where files differ in that column the front one
+    is ``date``, and a detected column keeps its place only for the files in which it is an
+    ordinary one."""
+    source = kept if detected is None else detected
+    # at most one row per column name
+    names = sorted(r[0] for r in source.select("date_column").distinct().collect() if r[0] is not None)
     cols = [c for c in kept.columns if not c.startswith("_") and c not in ("dt", "ym", "date_column")]
-    data = kept.select(F.date_format("dt", "yyyy-MM-dd HH:mm:ss").alias("date"), *[F.col(f"`{c}`") for c in cols],
-                       "ym", ORDER_COL)
+    first = names[0] if len(names) == 1 else "date"
+    others = []
+    for c in cols:
+        if len(names) == 1 and c == first:
+            continue
+        value = F.when(F.col("date_column") != c, F.col(f"`{c}`")) if c in names else F.col(f"`{c}`")
+        others.append(value.alias(f"{c}_1" if c.lower() == first.lower() else c))
+    data = kept.select(F.date_format("dt", "yyyy-MM-dd HH:mm:ss").alias(first), *others, "ym", ORDER_COL)
     write_partitioned(data, out, ["ym"], order=[ORDER_COL], sep=",", bom=False, drop=[ORDER_COL],
                       ordered_parts=True)   # after the content-dedup shuffle

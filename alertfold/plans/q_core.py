@@ -79,9 +79,7 @@ def q_parse_strict(spark, sf):
 @query("parse_minutes", "F3", S.with_alerts(f"""
 select ord, {S.ts_text(f"try_strptime({S.py_strip('date_raw')}, '{S.D_DMY_HM}')")} as dt from alerts"""))
 def q_parse_minutes(spark, sf):
-    a = alerts(spark, sf)
-    stripped = F.regexp_replace(F.col("date_raw"), f"^{T.WS_RUN}|{T.WS_RUN}$", "")
-    return a.select("ord", F.date_format(D.parse_with(stripped, D.DMY_HM), "yyyy-MM-dd HH:mm:ss").alias("dt"))
+    return alerts(spark, sf).select("ord", F.date_format(D.parse_minutes(F.col("date_raw")), "yyyy-MM-dd HH:mm:ss").alias("dt"))
 
 
 @query("parse_cascade", "F4", S.with_alerts(f"""
@@ -426,7 +424,8 @@ def q_normalize_ws(spark, sf):
     return read_table(spark, sf, "documents").select("doc_id", T.normalize_ws(F.col("text")).alias("text"))
 
 
-@query("strip_accents", "S14", f"select doc_id, {T.strip_accents_sql('text')} as text from documents")
+@query("strip_accents", "S14", r"""
+select doc_id, regexp_replace(strip_accents(text), '[^\x{0000}-\x{007F}]', '', 'g') as text from documents""")
 def q_strip_accents(spark, sf):
     prepare(spark)
     return read_table(spark, sf, "documents").select("doc_id", T.strip_accents(F.col("text")).alias("text"))

@@ -204,11 +204,9 @@ def q_detect_ts_column(spark, sf):
     prepare(spark)
     files = C.discover(spark, stage(spark, sf, "drift"))
     lines = C.header_lines(spark, files, C.CsvOptions())
-    names = F.transform(F.split(F.regexp_replace("line", "^﻿", ""), ";"), lambda x: F.trim(x))
-    exact = F.filter(names, lambda x: F.lower(x) == "timestamp")
-    suffix = F.filter(names, lambda x: x.rlike(r"(?i)\(timestamp\)\s*$"))
-    return lines.select(F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                        F.coalesce(F.get(exact, 0), F.get(suffix, 0)).alias("ts_column"))
+    names = F.transform(F.split(F.regexp_replace("line", "^\ufeff", ""), ";"), lambda x: F.trim(x))
+    return lines.select(C.unescape(F.element_at(F.split("path", "/"), -1)).alias("file_name"),
+                        P.ts_column(names).alias("ts_column"))
 
 
 # ------------------------------------------------------------------ generic merger

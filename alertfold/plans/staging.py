@@ -23,14 +23,21 @@ from pyspark.sql import functions as F
 
 from alertfold.plans.alerts import alerts, read_table
 from alertfold.session import stable_dir
-from alertfold.sinks.files import delete_dir, exists, rename_dir, touch, write_named_csv
+from alertfold.sinks.files import _fs, delete_dir, exists, rename_dir, touch, write_named_csv
 
 BASE_HEADER = ("ord", "Référence", "Date", "Timestamp", "Priorité")
 SCRAPER_DECOY = "alertes_1995-01-02_1995-01-08.csv"
 
 
-def _tag(sf_dir: str) -> str:
-    return hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:10]
+def _tag(spark: SparkSession, sf_dir: str) -> str:
+    """Names the tables' state: path, and every file's name, size and modification time (a
+    metadata listing), so that replaced tables are staged anew."""
+    fs, jvm = _fs(spark, sf_dir)
+    files, found = fs.listFiles(jvm.org.apache.hadoop.fs.Path(sf_dir), True), []
+    while files.hasNext():
+        st = files.next()
+        found.append(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
+    return hashlib.sha1("|".join([sf_dir.rstrip("/"), *sorted(found)]).encode()).hexdigest()[:10]
 
 
 def _base_cols(a: DataFrame) -> list:
@@ -53,7 +60,7 @@ def stage(spark: SparkSession, sf_dir: str, variant: str) -> str:
     It is built in a private folder and published with one directory rename, so a
     concurrent caller either sees the complete folder or builds its own copy and
     discards it."""
-    final = stable_dir(spark, "exports", STAGING_VERSION, _tag(sf_dir), variant)
+    final = stable_dir(spark, "exports", STAGING_VERSION, _tag(spark, sf_dir), variant)
     if exists(spark, final + "/_READY"):
         return final
     import uuid

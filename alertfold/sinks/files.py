@@ -38,7 +38,7 @@ def with_bom_header(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
 
 def write_partitioned(df: DataFrame, out: str, partition_cols: Sequence[str], order: Sequence[str] = (),
                       sep: str = ";", bom: bool = True, mode: str = "overwrite",
-                      drop: Sequence[str] = (), ordered_parts: bool = False) -> None:
+                      drop: Sequence[str] = (), ordered_parts: bool = False, raw: bool = False) -> None:
     """Spread rows over tasks by the partition columns, sort each task's rows by
     (partition columns, ``order``), write CSV partitioned by those columns (dynamic
     overwrite).
@@ -62,7 +62,10 @@ def write_partitioned(df: DataFrame, out: str, partition_cols: Sequence[str], or
         data = data.drop(*drop)
     if bom:
         data = with_bom_header(data, skip=partition_cols)
-    csv_writer(data, sep).mode(mode).partitionBy(*partition_cols).csv(out)
+    writer = csv_writer(data, sep)
+    if raw:   # one column of whole lines, header line included: no separator, no quoting
+        writer = writer.option("sep", "\x01").option("quote", "\u0000").option("escapeQuotes", False)
+    writer.mode(mode).partitionBy(*partition_cols).csv(out)
 
 
 def _aqe(spark: SparkSession) -> bool:

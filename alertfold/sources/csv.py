@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from alertfold.functions.names import EXCLUDE_OUTPUTS, EXCLUDE_PARTS
 from alertfold.functions.text import repair_mojibake, repair_mojibake_name, strip_accents_name
-from alertfold.operators.order import ORDER_COL, with_file_order
+from alertfold.operators.order import ORDER_COL, path_key, path_sort_key, with_file_order
 from alertfold.operators.small import per_file_broadcast
 
 CORRUPT = "_corrupt_record"
@@ -93,7 +93,8 @@ def discover(spark: SparkSession, root: str | Sequence[str], opts: CsvOptions =
                  .option("recursiveFileLookup", opts.recursive).load(roots).inputFiles())
     except AnalysisException as e:
         raise NoSourceFiles(f"no source folder {roots}: {e}") from e
-    kept = sorted(hadoop_path(p) for p in files if name_allowed(unquote(posixpath.basename(p)), opts))
+    kept = sorted((hadoop_path(p) for p in files if name_allowed(unquote(posixpath.basename(p)), opts)),
+                  key=path_sort_key)
     if not kept:
         raise NoSourceFiles(f"no source file under {roots}")
     return kept
@@ -306,9 +307,9 @@ def reference_header(spark: SparkSession, files: Sequence[str], opts: CsvOptions
     """Names of the reference file: last path in sorted order, or most recent by mtime."""
     if opts.header_from == "mtime":
         ref = (listing(spark, [reader_path(p) for p in files], opts)
-               .agg(F.max_by("path", F.struct("mtime", "path")).alias("p")).first()["p"])
+               .agg(F.max_by("path", F.struct("mtime", path_key(F.col("path")).alias("key"))).alias("p")).first()["p"])
     else:
-        ref = max(files)
+        ref = max(files, key=path_sort_key)
     line = None
     if _arrow_can_open(ref):
         try:

@@ -56,10 +56,15 @@ KEYS = "_keys"        # parquet key index of the month output: ym=/batch=/ (key
 STAGING = "_staging"  # a batch's CSV before it is published into the month folders
 
 
-def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";"):
+def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";", scope: str = "month",
+                   null_key: str = "collapse"):
     """``foreachBatch`` function: add each batch's rows under ``out/ym=YYYY_MM/``, minus
-    the keys already written for the months the batch touches (a key re-exported later
-    is not duplicated).
+    the keys already written (a key re-exported later is not duplicated).
+
+    ``scope`` says where a key counts as written: ``month``, in the row's own month (so
+    which rows stay does not depend on how the input is cut into batches), or ``global``,
+    in any month.  ``null_key``: missing keys ``collapse`` into one row per scope, or all
+    rows without a key are kept (``keep``).
 
     The keys written so far are kept in a parquet index next to the months, so a batch
     reads one narrow column of the touched months (partition-pruned) instead of
@@ -84,7 +89,8 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";"):
         rows = batch.withColumn("ym", D.month_key(F.col(dt)))
         # first occurrence inside the batch
         rows = dedup_first(rows.withColumn("__o", F.struct("_src", F.monotonically_increasing_id())),
-                           [key], "__o").drop("__o")
+                           ["ym", key] if scope == "month" else [key], "__o").drop("__o") \
+            if null_key == "collapse" else _dedup_keyed(rows, key, scope)
         # a micro-batch is bounded by maxFilesPerTrigger: keep it for the uses below
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         keys_root = f"{root}/{KEYS}"
@@ -94,20 +100,27 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";"):
             # one small aggregate: the batch size and the months it touches
             st = rows.agg(F.count(F.lit(1)).alias("n"), F.collect_set("ym").alias("months"),
                           F.bool_or(F.col("ym").isNull()).alias("undated")).first()
-            in_months = F.col("ym").isin(list(st["months"]))
-            if st["undated"]:
-                in_months = in_months | F.col("ym").isNull()
             seen = (spark.read.schema("k string, ym string, batch long").parquet(keys_root)
-                    .where(in_months & (F.col("batch") != batch_id)).select(F.col("k").alias("__k")))
+                    .where(F.col("batch") != batch_id).select(F.col("k").alias("__k"), F.col("ym").alias("__ym")))
+            if scope == "month":   # other months cannot match: only the touched ones are read
+                in_months = F.col("__ym").isin(list(st["months"]))
+                seen = seen.where(in_months | F.col("__ym").isNull() if st["undated"] else in_months)
+            if null_key == "keep":
+                seen = seen.where("__k IS NOT NULL")
+            same = kcol.eqNullSafe(F.col("__k"))
+            if scope == "month":
+                same = same & F.col("ym").eqNullSafe(F.col("__ym"))
             # a key is in the index once per month (twice after an interrupted compaction),
-            # so the hits are bounded by 2 x batch rows x months touched
-            if 2 * st["n"] * (len(st["months"]) + int(bool(st["undated"]))) <= MAX_BROADCAST_ROWS:
+            # so the hits of one scope are bounded by 2 x batch rows x months
+            if scope == "month" and 2 * st["n"] <= MAX_BROADCAST_ROWS:
                 # the batch's keys are the small side: the month keys are filtered against
                 # them map-side (no shuffle of the month); the hits go to the anti-join
-                hits = seen.join(F.broadcast(rows.select(kcol.alias("__k"))), "__k", "left_semi")
-                new = rows.join(F.broadcast(hits), kcol == hits["__k"], "left_anti")
+                mine = rows.select(kcol.alias("__bk"), F.col("ym").alias("__bym")).distinct()
+                hits = seen.join(F.broadcast(mine), F.col("__k").eqNullSafe(F.col("__bk"))
+                                 & F.col("__ym").eqNullSafe(F.col("__bym")), "left_semi")
+                new = rows.join(F.broadcast(hits), same, "left_anti")
             else:
-                new = rows.join(seen, kcol == seen["__k"], "left_anti")
+                new = rows.join(seen, same, "left_anti")
             new = new.persist(StorageLevel.MEMORY_AND_DISK)   # the two writes share the anti-join
         staged = f"{root}/{STAGING}/{batch_id}"
         csv_writer(new.drop(dt).hint("rebalance", "ym"), sep).mode("overwrite").partitionBy("ym").csv(staged)
@@ -124,6 +137,15 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";"):
     return handle
 
 
+def _dedup_keyed(rows: DataFrame, key: str, scope: str) -> DataFrame:
+    """First row per key and scope; rows without a key all stay."""
+    from alertfold.operators.dedup import dedup_first
+    keyed = rows.where(F.col(f"`{key}`").isNotNull()).withColumn(
+        "__o", F.struct("_src", F.monotonically_increasing_id()))
+    kept = dedup_first(keyed, ["ym", key] if scope == "month" else [key], "__o").drop("__o")
+    return kept.unionByName(rows.where(F.col(f"`{key}`").isNull()))
+
+
 def _publish_batch(spark: SparkSession, staged: str, root: str, batch_id: int) -> None:
     """Move a staged batch's part files to ``root/ym=.../b<batch>-<n>.csv`` (metadata
     only; the file count is bounded by the batch's tasks and months)."""

@@ -88,3 +88,19 @@ def test_day_bounds_and_formats(spark):
 def test_unit_by_length(spark):
     df = spark.createDataFrame([("1735689600",), ("1735689600000",), (" 1735689600.0",)], "t string")
     assert [r[0] for r in df.select(D.unit_ms_by_length(F.col("t"))).collect()] == [False, True, False]
+
+
+def test_lenient_accepts_fractions_zones_names_and_short_years(spark):
+    forms = {"2025-01-31 10:00:00.123": "2025-01-31 10:00:00.123", "2025-01-31T10:00:00Z": "2025-01-31 10:00:00",
+             "2025-01-31T10:00:00+01:00": "2025-01-31 09:00:00", "31/01/2025 10:00:00.5": "2025-01-31 10:00:00.5",
+             "31/01/25 10:00": "2025-01-31 10:00:00", "31.01.99": "1999-01-31 00:00:00", "31 Jan 2025 10:00": "2025-01-31 10:00:00",
+             "31 january 2025": "2025-01-31 00:00:00", "Jan 31, 2025 10:00:05": "2025-01-31 10:00:05",
+             "20250131": "2025-01-31 00:00:00", "12345678": None, "2025-13-01": None, "31/01/2025 10": None}
+    df = spark.createDataFrame([(x,) for x in forms], "x string")
+    got = {r.x: r.d for r in df.select("x", D.parse_lenient(F.col("x")).cast("string").alias("d")).collect()}
+    assert got == forms
+
+
+def test_minutes_strips_like_python(spark):
+    df = spark.createDataFrame([("\xa031/12/2024 21:59 \t",), ("\n31/12/2024 21:59",)], "x string")
+    assert {str(r[0]) for r in df.select(D.parse_minutes(F.col("x"))).collect()} == {"2024-12-31 21:59:00"}

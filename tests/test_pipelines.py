@@ -1,5 +1,6 @@
 """End-to-end pipelines on small hand-written folders, invariants, and the driver contract."""
 
+import datetime as dt
 import glob
 import os
 
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from alertfold.plans import pipelines as P
+from alertfold.streaming import files as ST
 from conftest import write_text
 
 BOM = "﻿"
@@ -224,3 +226,54 @@ def test_key_index_compaction(spark, tmp_path):
         ("1", "2025_01"), ("2", "2025_02"), ("3", "2025_01"), ("4", "2025_01")]
     keys = spark.read.parquet(out + "/_keys")
     assert sorted(r["k"] for r in keys.collect()) == ["1", "2", "3", "4"]
+
+
+def test_router_reads_quoted_cells_and_takes_the_separator_literally(spark, tmp_path):
+    a = write_text(str(tmp_path / "a.csv"), 'Lieu;Date\n"Gare; quai 2";31/12/2024 21:59\nPort;31/12/2024 22:00;v\nx\n\n')
+    b = write_text(str(tmp_path / "b.csv"), "Lieu|Date\nGare|31/12/2024 21:59\n")
+    routed = P.route(spark, [a])
+    assert sorted((r["value"][:5], r["ok"]) for r in routed.collect()) == [("", False), ('"Gare', True), ("Port;", True), ("x", False)]
+    assert [r["ok"] for r in P.route(spark, [b], sep="|").collect()] == [True]
+    out = str(tmp_path / "out")
+    P.write_routed(routed, "Lieu;Date", out)
+    lines = [r.value for r in spark.read.text(out + "/ym=2024_12").collect()]
+    assert sorted(lines) == sorted(["Lieu;Date", '"Gare; quai 2";31/12/2024 21:59', "Port;31/12/2024 22:00;v"])
+
+
+def test_merged_output_moves_the_date_column(spark, tmp_path):
+    write_text(str(tmp_path / "in" / "a.csv"), "id,Date,x\n1,31/01/2025 10:00,p\n2,01/02/2025,q\n")
+    kept, detected = P.merge(spark, [str(tmp_path / "in")])
+    P.write_merged(kept, str(tmp_path / "out"), detected)
+    back = spark.read.option("header", True).csv(str(tmp_path / "out"))
+    assert back.columns == ["Date", "id", "x", "ym"]
+    assert sorted(tuple(r) for r in back.select("Date", "id").collect()) == [("2025-01-31 10:00:00", "1"), ("2025-02-01 00:00:00", "2")]
+
+
+def test_capped_output_replaces_the_date_and_finds_the_key_after_accent_repair(spark, tmp_path):
+    write_text(str(tmp_path / "in" / "a.csv"), "Référence;Date;Timestamp\nR1;03/01/2025 10:00:00;\nR2;03/01/2099 10:00:00;\nR3;?;\n")
+    df = P.capped(spark, str(tmp_path / "in"), "2025-11-16 23:59:59", P.C.CsvOptions(header_fix="accents"))
+    out = str(tmp_path / "out")
+    P.write_capped(df, out, header_fix="accents")
+    month = spark.read.option("sep", ";").option("header", True).csv(out + "/status=ok")
+    assert "Date_iso" not in month.columns and [r["Date"] for r in month.collect()] == ["2025-01-03 10:00:00"]
+    audit = spark.read.option("sep", ";").option("header", True).csv(out + "/_audit")
+    assert sorted(r["Reference"] for r in audit.collect()) == ["R2", "R3"]
+
+
+def test_month_router_does_not_depend_on_batches(spark, tmp_path):
+    rows = [("a", 1, "1", dt.datetime(2025, 1, 1)), ("a", 2, "2", dt.datetime(2025, 1, 2)), ("b", 3, "1", dt.datetime(2025, 2, 1)),
+            ("b", 4, None, dt.datetime(2025, 1, 5)), ("c", 5, None, dt.datetime(2025, 2, 5)), ("c", 6, "1", dt.datetime(2025, 1, 9))]
+    for scope, want in (("month", 5), ("global", 3)):
+        counts = []
+        for k, cuts in enumerate(([[0, 1, 2, 3, 4, 5]], [[0, 1], [2, 3], [4, 5]], [[0], [1], [2], [3], [4], [5]])):
+            out = str(tmp_path / f"{scope}{k}")
+            handle = ST.monthly_router(out, "id", scope=scope)
+            for n, part in enumerate(cuts):
+                handle(spark.createDataFrame([rows[i] for i in part], "_src string, n int, id string, dt timestamp_ntz"), n)
+            counts.append(spark.read.option("sep", ";").option("header", True).csv(out).where("n is not null").count())
+        assert counts == [want] * 3
+
+
+def test_ts_name_prefers_the_exact_name():
+    assert P.detect_ts_name(["a (timestamp)", " TimeStamp "]) == " TimeStamp "
+    assert P.detect_ts_name(["x", "Epoch (Timestamp) "]) == "Epoch (Timestamp) " and P.detect_ts_name(["x"]) is None

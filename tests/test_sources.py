@@ -144,3 +144,14 @@ def test_reader_path_and_arrow_uri():
     assert C.reader_path("file:/d/x%20y%5B1%5D.csv") == "file:/d/x y\\[1\\].csv"
     assert C._arrow_uri("file:/d/a%20à.csv") == "file:///d/a%20%C3%A0.csv"
     assert C._arrow_uri("s3a://bucket/k%20e y.csv") == "s3://bucket/k%20e%20y.csv"
+
+
+def test_files_are_ordered_by_path_components(spark, tmp_path):
+    for name in ("2025/x.csv", "2025-b/x.csv", "2025.csv"):
+        write_text(str(tmp_path / name), f"k;v\nsame;{name}\n")
+    files = C.discover(spark, str(tmp_path), C.CsvOptions())
+    assert [f[f.index("2025"):] for f in files] == ["2025/x.csv", "2025-b/x.csv", "2025.csv"]
+    from alertfold.operators.dedup import dedup_first
+    from alertfold.operators.order import ORDER_COL
+    df, header = C.read_aligned(spark, str(tmp_path), C.CsvOptions())
+    assert [r.v for r in dedup_first(df, ["k"], ORDER_COL).collect()] == ["2025/x.csv"]

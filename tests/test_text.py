@@ -37,3 +37,11 @@ def test_c16_accents(spark):
     text = "".join(chr(c) for c in range(0x20, 0x250) if unicodedata.category(chr(c))[0] != "C")
     want = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode()
     assert col(spark, [text], X.strip_accents) == [want]
+
+
+def test_strip_accents_equals_nfkd_everywhere(spark):
+    texts = ["Tiếng oﬃce ™ … Ａ", "é ß½⑩ ﬁ\n①", "日本", "", None, "plain"]
+    texts += ["".join(chr(c) for c in range(lo, lo + 300) if not 0xD800 <= c <= 0xDFFF) for lo in range(0x80, 0x30000, 4001)]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    for r in df.select("x", X.strip_accents(F.col("x")).alias("y")).collect():
+        assert r.y == (None if r.x is None else unicodedata.normalize("NFKD", r.x).encode("ascii", "ignore").decode())
