@@ -26,10 +26,10 @@ LENIENT_FORMATS = (
     "d-M-yyyy[ ]" + _TIME,
     "d.M.yyyy[ ]" + _TIME,
 )
-TWO_DIGIT_FORMATS = ("d/M/yy[ ]" + _TIME, "d-M-yy[ ]" + _TIME, "d.M.yy[ ]" + _TIME)
-# month names in English, short or long, in any case
-NAMED_FORMATS = ("d MMM yyyy[ ]" + _TIME, "d MMMM yyyy[ ]" + _TIME, "MMM d yyyy[ ]" + _TIME, "MMMM d yyyy[ ]" + _TIME)
-COMPACT_FORMATS = ("yyyyMMdd", "yyyyMMdd HHmmss")
+# English month names, short or long, in any case
+NAMED_FORMATS = ("d MMM yyyy[ ]" + _TIME, "MMM d yyyy[ ]" + _TIME)
+# One shape for the rarer numeric forms, which are rewritten to it.
+REWRITTEN = "d/M/yyyy[ ]" + _TIME
 
 
 def epoch0() -> Column:
@@ -53,16 +53,11 @@ GUARDS = {
     LENIENT_FORMATS[2]: r"^\d{1,2}/\d{1,2}/\d{4}" + _T + "$",
     LENIENT_FORMATS[3]: r"^\d{1,2}-\d{1,2}-\d{4}" + _T + "$",
     LENIENT_FORMATS[4]: r"^\d{1,2}\.\d{1,2}\.\d{4}" + _T + "$",
-    TWO_DIGIT_FORMATS[0]: r"^\d{1,2}/\d{1,2}/\d{2}" + _T + "$",
-    TWO_DIGIT_FORMATS[1]: r"^\d{1,2}-\d{1,2}-\d{2}" + _T + "$",
-    TWO_DIGIT_FORMATS[2]: r"^\d{1,2}\.\d{1,2}\.\d{2}" + _T + "$",
     NAMED_FORMATS[0]: r"^\d{1,2} [A-Z][a-z]{2} \d{4}" + _T + "$",
-    NAMED_FORMATS[1]: r"^\d{1,2} " + _NAME + r" \d{4}" + _T + "$",
-    NAMED_FORMATS[2]: r"^[A-Z][a-z]{2} \d{1,2} \d{4}" + _T + "$",
-    NAMED_FORMATS[3]: "^" + _NAME + r" \d{1,2} \d{4}" + _T + "$",
-    COMPACT_FORMATS[0]: r"^\d{8}$",
-    COMPACT_FORMATS[1]: r"^\d{8} \d{6}$",
+    NAMED_FORMATS[1]: r"^[A-Z][a-z]{2} \d{1,2} \d{4}" + _T + "$",
 }
+_SHORT_YEAR = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{2})(?![0-9/.-])"
+_COMPACT = r"^(\d{4})(\d{2})(\d{2})(?: (\d{2})(\d{2})(\d{2}))?$"
 
 
 def parse_with(c: Column, pattern: str) -> Column:
@@ -84,15 +79,23 @@ def parse_minutes(c: Column) -> Column:
 
 def parse_lenient(c: Column) -> Column:
     plain = F.coalesce(*[parse_with(c, p) for p in LENIENT_FORMATS])
-    short = F.coalesce(*[parse_with(c, p) for p in TWO_DIGIT_FORMATS])   # read as 2000 to 2099
-    short = F.when(F.year(short) < 2070, short).otherwise(F.add_months(short.cast("date"), -1200).cast("timestamp_ntz")
-                                                         + (short - F.date_trunc("day", short).cast("timestamp_ntz")))
-    named = F.regexp_replace(F.initcap(F.regexp_replace(c, ",", " ")), " +", " ")
-    # with lower-case marks lost to initcap put back
+    # the rarer forms in one lookup per row: whatever the others do not take
+    return F.coalesce(plain, F.get(F.transform(F.array(c), _parse_rare), 0))
+
+
+def _parse_rare(c: Column) -> Column:
+    """Two-digit years, compact dates and month names.  Called through ``transform``, which
+    binds the text once and keeps these branches out of the generated code."""
+    short = parse_with(F.regexp_replace(c, _SHORT_YEAR, "$1/$2/20$3"), REWRITTEN)   # 2000 to 2099
+    old = F.make_timestamp_ntz(F.year(short) - 100, F.month(short), F.day(short), F.hour(short), F.minute(short),
+                               F.extract(F.lit("SECOND"), short))
+    short = F.when(F.year(short) < 2070, short).otherwise(old)
+    compact = parse_with(F.regexp_replace(F.regexp_replace(c, _COMPACT, "$3/$2/$1 $4:$5:$6"), " ::$", ""), REWRITTEN)
+    # day and month names as the formatter spells them, letters of zones in upper case
+    named = F.regexp_replace(F.initcap(F.regexp_replace(c, ",? +|,", " ")), "([A-Z][a-z]{2})[a-z]+", "$1")
     named = F.regexp_replace(F.regexp_replace(named, "([0-9])t([0-9])", "$1T$2"), "([0-9])z$", "$1Z")
-    by_name = F.when(c.rlike("[A-Za-z]{3}"), F.coalesce(*[parse_with(named, p) for p in NAMED_FORMATS]))
-    compact = F.coalesce(*[parse_with(c, p) for p in COMPACT_FORMATS])
-    return F.coalesce(plain, short, by_name, compact)
+    return (F.when(c.rlike(_SHORT_YEAR), short).when(c.rlike(_COMPACT), compact)
+            .when(c.rlike("[A-Za-z]{3}"), F.coalesce(*[parse_with(named, p) for p in NAMED_FORMATS])))
 
 
 def parse_cascade(c: Column) -> Column:

@@ -158,7 +158,8 @@ def merge(spark: SparkSession, sources: Sequence[str], csv: C.CsvOptions = C.Csv
         raw = F.when(cond, F.col(f"`{c}`")) if raw is None else raw.when(cond, F.col(f"`{c}`"))
     rows = (df.join(per_file_broadcast(detected, len(files)),
                     df[C.PATH] == detected["file_name"], "inner")
-            .withColumn("dt", D.parse_lenient(normalize_ws(raw))).where(F.col("dt").isNotNull()))
+            .withColumn("__text", normalize_ws(raw))   # named once: the parser uses it many times
+            .withColumn("dt", D.parse_lenient(F.col("__text"))).where(F.col("dt").isNotNull()).drop("__text"))
     # the detected column holds the normalised date (ISO text) from here on, as the
     # reference overwrites it; the row content is then the columns themselves, so the
     # dedup exchange carries each row once instead of a row plus a copy of its text
