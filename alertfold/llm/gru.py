@@ -223,7 +223,7 @@ class Gru:
             at, keep = saved[d]
             part = d_state[:, :, half:half + HIDDEN]
             part = part if d == "f" else np.where(mask[..., None], part[turn, cols], 0)
-            d_ax = np.zeros((len(vocab), 3 * HIDDEN), np.float32)
+            into = np.zeros((steps, n, 3 * HIDDEN), np.float32)
             d_h = np.zeros((n, HIDDEN), np.float32)
             for t in range(steps - 1, -1, -1):
                 h, u, g, new, live = keep[t]
@@ -235,9 +235,14 @@ class Gru:
                 d_r = d_new * u[:, 2 * HIDDEN:] * r * (1 - r)
                 d_a = np.hstack([d_r, d_z, d_new])
                 d_u = np.hstack([d_r, d_z, d_new * r])
-                np.add.at(d_ax, at[t], d_a)
+                into[t] = d_a
                 grad["h" + d] += h.T @ d_u
                 d_h = np.where(live, d_in * z + d_u @ p["h" + d].T, d_h)
+            order = np.argsort(at, axis=None, kind="stable")
+            placed = at.reshape(-1)[order]
+            starts = np.flatnonzero(np.r_[True, placed[1:] != placed[:-1]])
+            d_ax = np.zeros((len(vocab), 3 * HIDDEN), np.float32)
+            d_ax[placed[starts]] = np.add.reduceat(into.reshape(-1, 3 * HIDDEN)[order], starts, axis=0)
             grad["x" + d] = x_vocab.T @ d_ax
             grad["c" + d] = d_ax.sum(0)
             d_x += d_ax @ p["x" + d].T
