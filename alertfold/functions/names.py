@@ -57,6 +57,24 @@ def with_suffix(base: Column, n: Column, ext: str = ".csv") -> Column:
                     F.lit(ext))
 
 
+def free_number(n: Column, taken: Column) -> Column:
+    """The n-th (from 0) suffix number that is not among ``taken``, the numbers of files that
+    exist for the base already (0: the bare name).
+
+    With the taken numbers in order, the i-th of them pushes the result on by one when its
+    value less i is at most n, so no row walks through the numbers before it."""
+    order = F.array_sort(F.array_distinct(F.coalesce(taken.cast("array<long>"), F.array().cast("array<long>"))))
+    pushes = F.filter(F.transform(order, lambda x, i: x - i), lambda x: x <= n)
+    return n + F.size(pushes)
+
+
+def taken_number(name: Column, base: Column, ext: str = ".csv") -> Column:
+    """The suffix number under which an existing file uses ``base``; NULL when it does not."""
+    stem = F.when(F.endswith(name, F.lit(ext)), F.substring(name, F.lit(1), F.length(name) - len(ext)))
+    rest = F.when(F.startswith(stem, base), F.substring(stem, F.length(base) + 1, F.length(stem)))
+    return F.when(rest == "", F.lit(0)).when(rest.rlike("^_[1-9][0-9]*$"), F.substring(rest, 2, 18).try_cast("long")).cast("long")
+
+
 # ---------------------------------------------------------------- rename rules
 # The rename rules, in priority order (case-insensitive).  The first
 # rule is written in its documented form: the second date is the one right before

@@ -11,6 +11,7 @@ order.  Other outputs are rebalanced (one pass), and AQE splits large months.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -146,19 +147,29 @@ def publish_month_files(spark: SparkSession, out: str, target: str, partition_co
     keeps one file per part: the first gets the exact name, the others
     ``alertes_YYYY_MM_pNNN.csv``; every file has its own header.  Written with
     ``ordered_parts``, the files in name order hold the month's rows in order.  The
-    partitioned dataset under ``out`` is consumed by the move."""
+    partitioned dataset under ``out`` is consumed by the move.
+
+    The new files arrive under temporary names; only then do the month's earlier files
+    go, all its parts included, and the new ones get their names."""
     fs, jvm = _fs(spark, out)
     Path = jvm.org.apache.hadoop.fs.Path
-    names = []
+    root, names = target.rstrip("/"), []
     fs.mkdirs(Path(target))
     for d in fs.globStatus(Path(f"{out.rstrip('/')}/{partition_col}=*")):
         ym = unquote(d.getPath().getName().split("=", 1)[1])
         parts = sorted(fs.globStatus(Path(d.getPath().toString() + "/part-*")), key=lambda st: st.getPath().getName())
+        arrived = []
         for n, st in enumerate(parts):
             name = pattern.format(ym=ym) if n == 0 else part_pattern.format(ym=ym, n=n)
-            dst = Path(f"{target.rstrip('/')}/{name}")
-            if fs.exists(dst):
-                fs.delete(dst, False)
-            fs.rename(st.getPath(), dst)
-            names.append(name)
+            fs.rename(st.getPath(), Path(f"{root}/_new_{name}"))
+            arrived.append(name)
+        old = re.compile(re.escape(part_pattern).replace(re.escape("{ym}"), re.escape(ym))
+                         .replace(re.escape("{n:03d}"), "[0-9]{3,}"))
+        for st in fs.listStatus(Path(target)):
+            name = st.getPath().getName()
+            if name == pattern.format(ym=ym) or old.fullmatch(name):
+                fs.delete(st.getPath(), False)
+        for name in arrived:
+            fs.rename(Path(f"{root}/_new_{name}"), Path(f"{root}/{name}"))
+        names += arrived
     return sorted(names)

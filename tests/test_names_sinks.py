@@ -124,3 +124,24 @@ def test_split_month_parts_keep_order(spark, tmp_path):
     for n in names:   # exact name first, then _p001, _p002 ...
         got += [int(x) for x in open(tmp_path / "named" / n).read().splitlines()[1:]]
     assert got == list(range(400))
+
+
+def test_free_numbers_skip_existing_files(spark):
+    taken = [0, 1, 3, 7, 8]
+    df = spark.range(8).select(F.col("id").alias("n"), F.array(*[F.lit(x) for x in taken]).alias("t"))
+    got = [r[0] for r in df.select(N.free_number(F.col("n"), F.col("t"))).collect()]
+    free = [x for x in range(40) if x not in taken]
+    assert got == free[:8]
+    assert [r[0] for r in df.limit(2).select(N.free_number(F.col("n"), F.lit(None).cast("array<int>"))).collect()] == [0, 1]
+    names = spark.createDataFrame([("x.csv",), ("x_1.csv",), ("x_1_1.csv",), ("x_a.csv",), ("x_12.csv",), ("x.txt",), ("y.csv",)], "f string")
+    assert [r[0] for r in names.select(N.taken_number(F.col("f"), F.lit("x"))).collect()] == [0, 1, None, None, 12, None, None]
+
+
+def test_publishing_again_removes_stale_parts(spark, tmp_path):
+    from alertfold.sinks import files as S
+    target = tmp_path / "final"
+    for parts in (3, 1):
+        out = str(tmp_path / f"out{parts}")
+        spark.range(30).selectExpr("id", "'2025_01' as ym").repartition(parts).write.partitionBy("ym").option("header", True).csv(out)
+        S.publish_month_files(spark, out, str(target))
+    assert sorted(p.name for p in target.glob("*.csv")) == ["alertes_2025_01.csv"]
