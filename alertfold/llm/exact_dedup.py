@@ -58,15 +58,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     multi = tagged.filter("parts IS NOT NULL")
     checked = cut(_compare(docs, norm, multi, hash_of))
 
-    # texts that share a hash with others but not their bytes: grouped again by the bytes
-    odd = checked.filter("NOT same")
-    odd_keep = odd.groupBy("norm").agg(F.max("doc_id").alias("keep_id"), F.sum("n").alias("size"))
-    odd_rows = odd.select("doc_id", "n", "sha", "norm").join(odd_keep, "norm")
-    lost = odd.groupBy("h").agg(F.sum("n").alias("lost"))
-    same = (checked.filter("same").join(lost, "h", "left")
-            .withColumn("size", F.col("size") - F.coalesce("lost", F.lit(0))))
     cols = ["doc_id", "keep_id", "size", "n", "sha"]
-    out = single.select(cols).unionByName(same.select(cols)).unionByName(odd_rows.select(cols))
+    odd, same = checked.filter("NOT same"), checked.filter("same")
+    out = single.select(cols)
+    if not odd.isEmpty():
+        # texts that share a hash with others but not their bytes: grouped again by the bytes
+        odd_keep = odd.groupBy("norm").agg(F.max("doc_id").alias("keep_id"), F.sum("n").alias("size"))
+        out = out.unionByName(odd.select("doc_id", "n", "sha", "norm").join(odd_keep, "norm").select(cols))
+        lost = odd.groupBy("h").agg(F.sum("n").alias("lost"))
+        same = (same.join(lost, "h", "left")
+                .withColumn("size", F.col("size") - F.coalesce("lost", F.lit(0))))
+    out = out.unionByName(same.select(cols))
     return (out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
             .select("doc_id", "keep_id", F.col("size").alias("group_size"),
                     (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
