@@ -24,13 +24,15 @@ import hashlib
 import re
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"  # how a space is written inside the vocabulary
-CACHE_ENTRIES = 600_000
-PAIR_ENTRIES = 1_000_000
+CACHE_ENTRIES = 400_000
+PAIR_ENTRIES = 300_000
+SLICE_BYTES = 1 << 20
 
 #: Texts on which the model must behave as this encoder assumes (no character is
 #: normalised, spaces are kept, one space is put in front).
@@ -247,6 +249,18 @@ def encode_text(cache: _Cache, text: str) -> tuple[str, str]:
     return ",".join([i for i, _ in got]), decoded[1:] if decoded.startswith(" ") else decoded
 
 
+def _slices(batch: pa.RecordBatch):
+    """Runs of rows of about ``SLICE_BYTES`` of text, so that what a worker holds does not
+    follow the batch's size."""
+    ends = np.cumsum([len(t.as_buffer() or b"") if t.is_valid else 0 for t in batch.column(1)])
+    lo = 0
+    while lo < batch.num_rows:
+        before = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
                      digests: bool = False) -> DataFrame:
     """Encode every text and decode the ids again.
@@ -258,20 +272,18 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     def run(batches):
         cache = _cache(model_path)
         for batch in batches:
-            n, ids, decoded = [], [], []
-            for text in batch.column(1):
-                a, b = encode_text(cache, text.as_py() or "")
-                n.append(a.count(",") + 1 if a else 0)
-                if digests:
-                    ids.append(hashlib.sha256(a.encode()).hexdigest())
-                    decoded.append(hashlib.sha256(b.encode()).hexdigest())
-                else:
-                    ids.append([int(i) for i in a.split(",")] if a else [])
-                    decoded.append(b)
-            ids_type = pa.string() if digests else pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, ids_type), pa.array(decoded, pa.string())],
-                names=names)
+            for part in _slices(batch):
+                n, ids, decoded = [], [], []
+                for text in part.column(1):
+                    a, b = encode_text(cache, text.as_py() or "")
+                    n.append(a.count(",") + 1 if a else 0)
+                    ids.append(hashlib.sha256(a.encode()).hexdigest() if digests
+                               else np.fromstring(a, np.int32, sep=",") if a else np.empty(0, np.int32))
+                    decoded.append(hashlib.sha256(b.encode()).hexdigest() if digests else b)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(n, pa.int64()),
+                     pa.array(ids, pa.string() if digests else pa.list_(pa.int32())), pa.array(decoded, pa.string())],
+                    names=names)
 
     names = ["doc_id", "n_tokens"] + (["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"])
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
