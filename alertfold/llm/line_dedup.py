@@ -9,8 +9,8 @@ template.  A template found in ``min_docs`` documents or more, with at least ``s
 its tokens fixed, recurs; its lines are dropped from every document.
 
 Documents are counted once per template.  Equal lines are generalised once, however many
-documents hold them; leaves count by map-side sums of one row per document and leaf.
-Joins on a leaf or line have a plain shuffle on both sides, which AQE splits when skewed.
+documents hold them; leaves count by map-side sums of one row per document and leaf,
+and go to the lines as a broadcast up to ``BROADCAST_LEAVES``.  Joins on a leaf or line have a plain shuffle on both sides, which AQE splits when skewed.
 
 NULL texts have no lines and stay NULL; empty texts have one empty line.  Rows without an
 id count as one document.  Rows that repeat an id share their lines' counts, each row is
@@ -23,20 +23,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertfold.llm.common import cut
+from alertfold.operators.small import bounded_broadcast
 
 DEPTH = 3
 MIN_TOKENS = 4
 MIN_DOCS = 5
 SHARE = 0.5
 WILD = "<*>"
+BROADCAST_LEAVES = 200_000
 
 
 def masked(line: Column) -> Column:
     """The line's tokens, separated by single spaces, those with a digit as ``<*>``."""
-    flat = F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))
+    # most lines have single spaces only and need no pattern
+    uneven = line.contains("  ")
+    for c in "\t\x0b\x0c\r":
+        uneven = uneven | line.contains(c)
+    flat = F.trim(F.when(uneven, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line))
     return F.when(F.regexp_like(flat, F.lit("[0-9]")), F.regexp_replace(flat, "[^ ]*[0-9][^ ]*", WILD)).otherwise(flat)
 
 
+def line_key(line: Column) -> Column:
+    return F.unhex(F.md5(line))
+
+
 def n_tokens(flat: Column) -> Column:
     return F.when(flat == "", 0).otherwise(F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit(""))) + 1)
 
@@ -50,28 +60,30 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
-    """``doc_id, line`` for the masked lines that are dropped."""
+    """``doc_id, key`` for the lines that are dropped; ``key`` is the masked line's 128-bit hash."""
     leaf = ["n", "lead"]
     lines = _lines(docs)
     leaves = (lines.select("doc_id", *leaf).distinct().groupBy(*leaf).agg(F.count("*").alias("docs"))
               .filter(F.col("docs") >= min_docs).select(*leaf))
-    near = cut(lines.select("doc_id", *leaf, "line").join(cut(leaves), leaf).distinct())
-    once = near.groupBy(*leaf, "line").agg(F.count("*").alias("pairs"))
-    tokens = cut(once.select(*leaf, "line", "pairs", F.posexplode(F.split("line", " ")).alias("pos", "token")))
+    # few leaves spare the other lines a shuffle; beyond the bound both sides are shuffled
+    near = cut(lines.select("doc_id", *leaf, "line").join(bounded_broadcast(leaves, BROADCAST_LEAVES), leaf).distinct()
+               .withColumn("key", line_key(F.col("line"))))
+    once = near.groupBy(*leaf, "key").agg(F.count("*").alias("pairs"), F.any_value("line").alias("line"))
+    tokens = cut(once.select(*leaf, "key", "pairs", F.posexplode(F.split("line", " ")).alias("pos", "token")))
     fixed = (tokens.groupBy(*leaf, "pos", "token").agg(F.sum("pairs").alias("support"))
              .filter(F.col("support") >= min_docs))
     told = tokens.join(fixed, [*leaf, "pos", "token"], "left")
     is_fixed = F.col("support").isNotNull() & (F.col("token") != WILD)
-    templates = (told.groupBy(*leaf, "line").agg(
+    templates = (told.groupBy("key").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.when(is_fixed, F.col("token"))
                                                                       .otherwise(WILD).alias("token")))),
                                  lambda x: x["token"]), " ").alias("template"),
         F.avg(is_fixed.cast("double")).alias("fixed"))
-        .filter(F.col("fixed") >= share).select(*leaf, "line", "template"))
-    of_doc = cut(near.join(templates, [*leaf, "line"]).select("doc_id", "line", "template"))
+        .filter(F.col("fixed") >= share).select("key", "template"))
+    of_doc = cut(near.select("doc_id", "key").join(templates, "key"))
     often = (of_doc.select("doc_id", "template").distinct().groupBy("template").agg(F.count("*").alias("docs"))
              .filter(F.col("docs") >= min_docs).select("template"))
-    return of_doc.join(often, "template").select("doc_id", "line")
+    return of_doc.join(often, "template").select("doc_id", "key")
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -79,10 +91,10 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``doc_id, n_lines, n_dropped, clean``: the text without its recurring lines."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     drop = (recurring_lines(docs.filter("text IS NOT NULL"), min_docs, share)
-            .groupBy(F.col("doc_id").alias("of")).agg(F.collect_set("line").alias("gone")))
+            .groupBy(F.col("doc_id").alias("of")).agg(F.collect_set("key").alias("gone")))
     lines = F.split("text", "\n")
     kept = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(
-        F.filter("lines", lambda x: ~F.array_contains("gone", masked(x))))
+        F.filter("lines", lambda x: ~F.array_contains("gone", line_key(masked(x)))))
     return (docs.join(drop.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("of")), "left")
             .withColumn("lines", lines).withColumn("kept", kept)
             .select("doc_id", F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
