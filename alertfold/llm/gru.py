@@ -15,7 +15,7 @@ import xxhash
 
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 15, 1 << 16
 DIM, HIDDEN = 8, 8
-CACHE_WORDS = 400_000
+CACHE_WORDS = 120_000
 TOKEN = re.compile(r"\w+")
 
 

@@ -29,10 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from alertfold.llm.arrow import slices
+
 SPACE = "▁"  # how a space is written inside the vocabulary
 CACHE_ENTRIES = 400_000
-PAIR_ENTRIES = 300_000
-SLICE_BYTES = 1 << 20
+PAIR_ENTRIES = 100_000
 
 #: Texts on which the model must behave as this encoder assumes (no character is
 #: normalised, spaces are kept, one space is put in front).
@@ -66,6 +67,7 @@ class PieceBpe:
             if len(p) == 1 or self.merge(p) == [p]:  # others never come out of the merges
                 self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
+        self.inside = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.cut_at = re.compile("|".join((
             f"{SPACE}+[^{SPACE}\n]*", f"[^{SPACE}\n]+", "\n+")))
@@ -222,6 +224,10 @@ class _Cache(dict):
 
     def __missing__(self, chunk: str):
         got = self.older.get(chunk)
+        if got is None and 2 < len(chunk) <= 64 and chunk[-2:] not in self.bpe.inside:
+            # no token holds the last two characters together, so none crosses there
+            (head, text), (tail, end) = self[chunk[:-1]], self[chunk[-1]]
+            return f"{head},{tail}", text + end
         if got is None:
             ids = self.bpe.tokens(chunk)
             got = (",".join(map(str, ids)), self.bpe.decode_part(ids))
@@ -249,18 +255,6 @@ def encode_text(cache: _Cache, text: str) -> tuple[str, str]:
     return ",".join([i for i, _ in got]), decoded[1:] if decoded.startswith(" ") else decoded
 
 
-def _slices(batch: pa.RecordBatch):
-    """Runs of rows of about ``SLICE_BYTES`` of text, so that what a worker holds does not
-    follow the batch's size."""
-    ends = np.cumsum([len(t.as_buffer() or b"") if t.is_valid else 0 for t in batch.column(1)])
-    lo = 0
-    while lo < batch.num_rows:
-        before = ends[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
-        yield batch.slice(lo, hi - lo)
-        lo = hi
-
-
 def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
                      digests: bool = False) -> DataFrame:
     """Encode every text and decode the ids again.
@@ -272,7 +266,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     def run(batches):
         cache = _cache(model_path)
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch, 1):
                 n, ids, decoded = [], [], []
                 for text in part.column(1):
                     a, b = encode_text(cache, text.as_py() or "")

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from alertfold.llm.arrow import slices
 from alertfold.llm.gru import Gru, train, words_of
 
 WINDOW, STRIDE = 128, 64
@@ -174,7 +175,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def _scored(net, weights):
     def run(batches):
         own = Gru(net.value)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             p = _probability(weights, *window_logits(own, batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64())], names=["doc_id", "score"])
     return run
@@ -189,7 +190,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> Da
 
     def run(batches):
         own = Gru(net.value)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, at)):
             p = _probability(weights, *window_logits(own, batch.column(at).to_pylist()))
             yield batch.filter(pa.array(p < THRESHOLD))
 
