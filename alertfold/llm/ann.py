@@ -9,7 +9,9 @@ A query looks into the buckets whose axes it lies nearest to, ``probes`` per tab
 vectors found there are ranked by their exact Euclidean distance, in double precision.  How
 many probes it takes is measured: for at most ``CALIBRATE`` queries the exact neighbours
 are found in one pass over all vectors, and the smallest number of probes that finds
-``RECALL`` of them is used.
+``RECALL`` of them is used.  Where ``MAX_PROBES`` do not find that many, buckets are made
+``WIDER`` times as wide and measured again; where buckets cannot get wider, all queries are
+answered by exact passes.
 
 Equal vectors are indexed once, with their smallest ids (as many as a result can name), so
 a vector that fills a third of the table is one entry.  A bucket is dealt to blocks of about
@@ -35,6 +37,7 @@ TABLES = 16
 CALIBRATE = 64
 RECALL = 0.96
 MAX_PROBES = 4096
+WIDER = 4
 BLOCK = 4096
 CHUNK = 2000        # queries of one exact pass
 ROWS_PER_BUCKET = 10
@@ -43,11 +46,12 @@ ROWS_PER_BUCKET = 10
 class CrossPolytope:
     """Signs of the rotations and the axes each hash uses, from the vectors' length and number."""
 
-    def __init__(self, length: int, count: int, tables: int = TABLES, seed: int = 11):
+    def __init__(self, length: int, count: int, tables: int = TABLES, seed: int = 11,
+                 per_bucket: int = ROWS_PER_BUCKET):
         self.length = length
         self.dim = max(2, 1 << (length - 1).bit_length())
         self.axes = [self.dim]  # per hash; a hash over d axes has 2 d values
-        wanted = max(1.0, count / ROWS_PER_BUCKET / (2 * self.dim))
+        wanted = max(1.0, count / per_bucket / (2 * self.dim))
         while wanted >= 4 and len(self.axes) < 4:
             d = min(self.dim, 1 << int(np.log2(wanted / 2)))
             self.axes.append(d)
@@ -158,28 +162,46 @@ def _best(found: DataFrame, top: int) -> DataFrame:
     return found.distinct().withColumn("r", F.row_number().over(order)).filter(F.col("r") <= top).drop("r")
 
 
-def _probes_needed(lsh: CrossPolytope, sample: DataFrame, index: DataFrame, top: int) -> int:
-    """The smallest number of probes that finds ``RECALL`` of the sample's true neighbours."""
+def _calibrated(count: int, sample: DataFrame, index: DataFrame, top: int) -> tuple[CrossPolytope, int | None]:
+    """The hash with the narrowest buckets in which at most ``MAX_PROBES`` probes find ``RECALL``
+    of the sample's true neighbours, and the smallest such number; None where there is none."""
+    one = index.select(F.size("vec").alias("n")).first()
+    length, per_bucket = one["n"] if one else 1, ROWS_PER_BUCKET
+    lsh = CrossPolytope(length, count)
     got = sample.toPandas().sort_values("rep")
     if not len(got):
-        return 1
+        return lsh, 1
     ids, vecs = got["rep"].to_numpy(), np.array(got["vec"].tolist(), np.float64)
     true = _exact(index, ids, vecs, top).filter("q <> rep")
     near = true.join(index.select("rep", "vec"), "rep").toPandas()
     if not len(near):
-        return 1
+        return lsh, 1
     at = np.searchsorted(ids, near["q"].to_numpy())
     units, others = _unit(vecs), _unit(np.array(near["vec"].tolist(), np.float64))
-    rank = np.full(len(near), MAX_PROBES)
+    while True:
+        most = _probes_needed(lsh, units, others, at)
+        if most is not None or len(lsh.axes) == 1:
+            return lsh, most
+        axes = lsh.axes
+        while lsh.axes == axes:
+            per_bucket *= WIDER
+            lsh = CrossPolytope(length, count, per_bucket=per_bucket)
+
+
+def _probes_needed(lsh: CrossPolytope, units: np.ndarray, others: np.ndarray, at: np.ndarray) -> int | None:
+    """The smallest number of probes that finds ``RECALL`` of the neighbours ``others`` of the
+    queries ``units[at]``, or None if ``MAX_PROBES`` do not."""
+    rank = np.full(len(others), np.inf)
     for table in range(len(lsh.signs)):
         first, rest = lsh.codes(others, table)
         probes = lsh.probes(units, table, MAX_PROBES)
-        for k in range(len(near)):
+        for k in range(len(others)):
             a, b = probes[at[k]]
             hit = np.flatnonzero((a == first[k]) & (b == rest[k]))
             if len(hit):
                 rank[k] = min(rank[k], hit[0] + 1)
-    return int(np.sort(rank)[min(len(rank) - 1, int(np.ceil(RECALL * len(rank))) - 1)])
+    needed = np.sort(rank)[min(len(rank) - 1, int(np.ceil(RECALL * len(rank))) - 1)]
+    return int(needed) if np.isfinite(needed) else None
 
 
 def _entries(lsh: CrossPolytope):
@@ -264,11 +286,26 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ve
     asked = cut(asked.join(reps, asked.vec == reps.v).select("query_id", "rep", "vec"))
     search = asked.select("rep", "vec").distinct()
     count = index.count()
-    one = index.select(F.size("vec").alias("n")).first()
-    lsh = CrossPolytope(one["n"] if one else 1, count)
     sample = search.orderBy(F.xxhash64("rep"), "rep").limit(CALIBRATE)
-    most = _probes_needed(lsh, sample, index, top)
+    lsh, most = _calibrated(count, sample, index, top)
+    if most is None:
+        none = index.sparkSession.createDataFrame([], _FOUND_DDL)
+        found = _complete(none, cut(search), index, top)
+    else:
+        found = _looked_up(lsh, most, search, index, count, top)
+
+    # every member of the nearest entries, ranked by distance and id, without the query
+    members = found.join(index.select("rep", F.explode("ids").alias("vec_id")), "rep")
+    pairs = (asked.select("query_id", F.col("rep").alias("q")).join(members, "q")
+             .filter("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.min("d").alias("score")))
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return (pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
+
 
+def _looked_up(lsh: CrossPolytope, most: int, search: DataFrame, index: DataFrame, count: int, top: int) -> DataFrame:
+    """The nearest entries in the buckets of ``most`` probes a table; queries that find too few
+    are answered exactly."""
     entries = index.select("rep", "vec").mapInArrow(_entries(lsh), "t int, h bigint, rest bigint, rep bigint, vec array<double>")
     looks = search.mapInArrow(_looks(lsh, most), "t int, h bigint, rests array<bigint>, q bigint, qvec array<double>")
     entries = cut(entries)
@@ -284,15 +321,7 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ve
     found = cut(_best(entries.groupBy(*keys).cogroup(looks.groupBy(*keys)).applyInArrow(_rank_block(top), _FOUND_DDL), top))
     few = (search.join(found.groupBy("q").count(), search.rep == F.col("q"), "left")
            .filter(F.coalesce("count", F.lit(0)) < min(top, count)).select("rep", "vec"))
-    found = _complete(found, cut(few), index, top)
-
-    # every member of the nearest entries, ranked by distance and id, without the query
-    members = found.join(index.select("rep", F.explode("ids").alias("vec_id")), "rep")
-    pairs = (asked.select("query_id", F.col("rep").alias("q")).join(members, "q")
-             .filter("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.min("d").alias("score")))
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return (pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    return _complete(found, cut(few), index, top)
 
 
 def _complete(found: DataFrame, few: DataFrame, index: DataFrame, top: int) -> DataFrame:

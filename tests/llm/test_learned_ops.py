@@ -133,3 +133,17 @@ def test_nearest_of_few_vectors(spark):
     got = [(r.query_id, r["rank"], r.vec_id) for r in ann.nearest(table, table.filter("vec_id % 100 = 0")).collect()]
     assert sorted(got) == [(0, 1, 1), (0, 2, 2), (0, 3, 100), (100, 1, 2), (100, 2, 1), (100, 3, 0)]
     assert ann.nearest(table.limit(0), table.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("most,exact", [(1, True), (2, False)])
+def test_nearest_recall_holds_where_the_probes_do_not_suffice(spark, monkeypatch, most, exact):
+    monkeypatch.setattr(ann, "MAX_PROBES", most)
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(6000, 24)))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(table, table.filter("vec_id % 100 = 0")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute_nearest(rows)
+    recall = sum(len({j for _, j in near} & got[q]) for q, near in want.items()) / (10 * len(want))
+    assert recall == 1 if exact else recall >= 0.93
