@@ -215,6 +215,59 @@ def test_markov_ratio_separates_held_out_urls():
     assert url_filter.ratio(models, ["", "a"])[0] == 0
 
 
+@pytest.fixture(scope="module")
+def pages(spark):
+    rng = random.Random(8)
+    rows = [f"http://{rng.choice('abc')}.com/{side}/{word}{rng.randint(1, 10 ** 6)}" for _ in range(300)
+            for side, word in (("fr", rng.choice(["story", "news"])), ("de", rng.choice(["cash", "pills"])))]
+    rows += [f"http://x.net/{w}{i}" for w in ("story", "pills") for i in range(40)] + ["", None, rows[0], "http://é.net/𝒳"]
+    return spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+
+
+def test_url_models_count_all_ruled_urls_and_agree_in_both_ways(spark, pages, monkeypatch):
+    ruled = [r.url for r in pages.collect() if r.url and ".com/" in r.url]
+    urls = spark.createDataFrame([(u, "allow" if "/fr/" in u else "block", False) for u in set(ruled)],
+                                 "url string, verdict string, held boolean")
+    ratios = url_filter.window_ratios(urls)
+    local = {r.w: r.f / url_filter.UNIT for r in ratios.collect()}
+    monkeypatch.setattr(url_filter, "BUCKETS", 1 << 22)  # hashed arrays nearly free of collisions
+    models = [url_filter.Markov().fit([u for u in set(ruled) if side in u]) for side in ("/fr/", "/de/")]
+    some = sorted(set(ruled))[:50]
+    for u, want in zip(some, url_filter.ratio(models, some)):
+        assert np.mean([local[w] for w in url_filter.windows([u])[0].tolist()]) == pytest.approx(want, abs=0.02)
+    got = {r.page_id: r for r in url_filter.judge(pages).collect()}
+    assert len(got) == pages.count()
+    assert sum(r.verdict == ("allow" if r.path.startswith("/story") else "block")
+               for r in got.values() if r.host == "x.net") >= 72
+    assert [r.score for r in got.values() if not r.host] == [0.0, 0.0]
+    monkeypatch.setattr(url_filter, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(url_filter, "CUTS", 5)
+    monkeypatch.setattr(url_filter, "BINS", 8)
+    assert {r.page_id: r for r in url_filter.judge(pages).collect()} == got
+
+
+def test_url_models_use_urls_beyond_any_sample(spark, monkeypatch):
+    """One rejected spelling among thousands of accepted and rejected URLs counts."""
+    monkeypatch.setattr(url_filter, "SAMPLE", 20, raising=False)
+    rng = random.Random(3)
+    rows = [f"http://a.com/{side}/{rng.randint(1, 10 ** 9)}" for _ in range(2000) for side in ("fr", "de")]
+    rows += [f"http://a.com/de/{i}-zqzq" for i in range(8)] + ["http://b.net/7-zqzq", "http://b.net/7"]
+    got = {r.page_id: r.score for r in url_filter.judge(
+        spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")).collect()}
+    assert got[len(rows) - 2] < got[len(rows) - 1] - 0.1
+
+
+def test_threshold_of_histograms_is_that_of_all_scores(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    good, bad = rng.normal(1, 1, 400), np.r_[rng.normal(-1, 1, 300), [-1e9, 1e9]]
+    scores = spark.createDataFrame([("allow", float(x)) for x in good] + [("block", float(x)) for x in bad], "verdict string, score double")
+    whole = url_filter.threshold(scores)
+    assert abs((good < whole).mean() - (bad >= whole).mean()) < 0.01
+    monkeypatch.setattr(url_filter, "CUTS", 5)
+    monkeypatch.setattr(url_filter, "BINS", 8)
+    assert url_filter.threshold(scores) == pytest.approx(whole, abs=1e-12)
+
+
 # -- chat ------------------------------------------------------------------------------
 
 def brute_cost(roles):
