@@ -101,11 +101,24 @@ def _compare(docs: DataFrame, norm: Column, multi: DataFrame, hash_of) -> DataFr
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents of ``docs`` that stay, with all their columns."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha")).distinct()
+    """The documents of ``docs`` that stay, with all their columns; of rows that repeat a kept
+    id and its text, NULL ids among them, one stays."""
+    kept = cut(exact_groups(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+               .groupBy(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"))
+               .agg(F.count("*").alias("_keep_n")))
     norm = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    hit = docs.withColumn("_row_sha", F.sha2(norm, 256)).join(
-        kept.hint("shuffle_hash"),
-        F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.col("_row_sha") == F.col("_keep_sha")), "left_semi")
-    return hit.drop("_row_sha")
+
+    def hit(keys: DataFrame) -> DataFrame:
+        return docs.withColumn("_row_sha", F.sha2(norm, 256)).join(
+            keys.hint("shuffle_hash"),
+            F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.col("_row_sha") == F.col("_keep_sha")), "left_semi")
+
+    repeated = kept.filter("_keep_n > 1")
+    out = hit(kept.filter("_keep_n = 1")).drop("_row_sha")
+    if repeated.isEmpty():
+        return out
+    # map-side sums of one row per task and key; the smallest hash of a row decides, so reruns agree
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    one = (hit(repeated).groupBy(F.col(id_col).alias("_id"), "_row_sha")
+           .agg(F.min_by(row, F.md5(F.to_json(row))).alias("_row")).select("_row.*"))
+    return out.unionByName(one)

@@ -47,6 +47,13 @@ def test_drop_exact_copies_keeps_columns_and_one_of_each(spark):
     assert sorted(r.doc_id for r in left.collect()) == [2, 4, 5, 7, 10, 11]
 
 
+def test_drop_exact_copies_keeps_one_of_repeated_rows_and_null_ids(spark):
+    rows = ROWS * 2 + [(None, "No id"), (None, "no ID"), (None, "no id"), (8, "another text")]
+    left = exact_dedup.drop_exact_copies(docs(spark, rows))
+    assert left.columns == [c.split()[0] for c in SCHEMA.split(", ")]
+    assert sorted(str(r.doc_id) for r in left.collect()) == sorted(["2", "4", "5", "7", "8", "8", "10", "11", "None"])
+
+
 def test_exact_groups_of_an_empty_table(spark):
     assert exact_dedup.exact_groups(docs(spark, [])).collect() == []
 
