@@ -15,12 +15,18 @@ import xxhash
 
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 15, 1 << 16
 DIM, HIDDEN = 8, 8
+PIECE, OVERLAP = 64, 4  # no 5-gram is lost between pieces
 CACHE_WORDS = 120_000
 TOKEN = re.compile(r"\w+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return TOKEN.findall(text.lower()) if text else []
+    """The text's words; a run of more than ``PIECE`` word characters as overlapping pieces."""
+    found = TOKEN.findall(text.lower()) if text else []
+    if all(len(w) <= PIECE for w in found):
+        return found
+    step = PIECE - OVERLAP
+    return [w[i:i + PIECE] for w in found for i in range(0, max(1, len(w) - OVERLAP), step)]
 
 
 def word_bucket(word: str) -> int:
@@ -29,8 +35,8 @@ def word_bucket(word: str) -> int:
 
 def char_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(word, bucket) pairs of the words' character 3- to 5-grams, word by word within each
-    length; a word is read up to its 64th character, with a mark at either end."""
-    marked = [f"^{w[:64]}$" for w in words]
+    length, with a mark at either end."""
+    marked = [f"^{w}$" for w in words]
     code = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
     sizes = np.fromiter(map(len, marked), np.int64, len(marked))
     owner = np.repeat(np.arange(len(marked)), sizes)

@@ -52,6 +52,18 @@ def test_windows_cover_whole_texts():
         assert seen.all() and len(set(at)) == len(at)
 
 
+def test_pieces_of_long_tokens_cover_the_whole_text():
+    rng = random.Random(2)
+    for n in (1, 64, 65, 68, 124, 125, 300, 5000):
+        token = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(n))
+        words = gru.words_of(f"a {token} b")
+        assert words[0] == "a" and words[-1] == "b" and max(map(len, words)) <= 64
+        grams = {w[i:i + k] for w in words for k in (3, 4, 5) for i in range(len(w) - k + 1)}
+        assert all(token[i:i + k] in grams for k in (3, 4, 5) for i in range(n - k + 1))
+        joined = words[1] + "".join(w[4:] for w in words[2:-1])
+        assert joined == token
+
+
 @pytest.fixture(scope="module")
 def corpus():
     rng = random.Random(7)
