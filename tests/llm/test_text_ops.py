@@ -182,6 +182,29 @@ def test_detect_adds_other_spellings_and_leaves_clean_text(spark):
     assert pii.detect(docs.limit(0)).collect() == []
 
 
+def test_wide_proposals_stand_beside_base_spans():
+    text = "call 555 123 4567 10.0.0.1 now"
+    base = pii.base_spans(text)
+    assert [s[0] for s in base] == ["ip"]
+    assert any(k == "phone" and text[a:b].startswith("555 123 4567") for k, a, b in pii.propose(text, base))
+    assert all(b <= x or y <= a for _, a, b in pii.propose(text, base) for _, x, y in base)
+
+
+def test_plausible_spellings_are_no_negatives():
+    respelled = "write to user at mail dot example dot com or call 555-123-4567, thanks"
+    assert pii.propose(respelled, []) and all(label for _, label, _ in pii.examples("1", respelled))
+    assert any(k == "ip" and not label for k, label, _ in pii.examples("1", "see 999.300.400.500 there"))
+
+
+def test_a_rare_kind_is_sampled(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SAMPLE", 40)
+    rows = [(i, f"nothing here but words {'and words ' * (i % 3)}") for i in range(3000)]
+    rows += [(5000 + i, f"write to user{i}@mail{i % 9}.example.com today") for i in range(30)]
+    rows += [(6000 + i, f"the host 10.{i}.3.4 is up") for i in range(30)]
+    model = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert model is not None and model[1]["email"] <= 1
+
+
 # -- URLs ------------------------------------------------------------------------------
 
 def test_url_parts_and_rules(spark):
