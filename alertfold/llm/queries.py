@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from alertfold.llm import (
-    ann, chat_format, exact_dedup, line_dedup, mixing, ngram_join, pii, piece_bpe, toxicity, url_filter,
+    ann, chat_format, exact_dedup, line_dedup, mixing, ngram_join, pii, piece_bpe, quality_rules, toxicity, url_filter,
 )
 from alertfold.llm.common import table
 from alertfold.plans.registry import Query
@@ -89,3 +89,10 @@ def op3(spark, sf_dir):
 def op7(spark, sf_dir):
     """All conversations in legal turn order.  Not SQL: a dynamic program."""
     return chat_format.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_rule_ledger", "quality rules", quality_rules.ORACLE)
+def op13(spark, sf_dir):
+    """Measurements, failure bits and the current policy's verdict on every document."""
+    entries = quality_rules.ledger(table(spark, sf_dir, "documents"))
+    return quality_rules.apply_policy(entries, quality_rules.POLICIES[quality_rules.CURRENT])
