@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from alertfold.llm import (
-    ann, chat_format, exact_dedup, line_dedup, mixing, ngram_join, pii, piece_bpe, quality_rules, toxicity, url_filter,
+    ann, chat_format, exact_dedup, line_dedup, mixing, ngram_join, pii, piece_bpe, quality_rules, spelling, toxicity,
+    url_filter,
 )
 from alertfold.llm.common import table
 from alertfold.plans.registry import Query
@@ -96,3 +97,9 @@ def op13(spark, sf_dir):
     """Measurements, failure bits and the current policy's verdict on every document."""
     entries = quality_rules.ledger(table(spark, sf_dir, "documents"))
     return quality_rules.apply_policy(entries, quality_rules.POLICIES[quality_rules.CURRENT])
+
+
+@query("op12_spelling_variants", "spelling variant grouping")
+def op12(spark, sf_dir):
+    """Words of all documents with their form and root.  Not SQL: CRC-32 and chains."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
