@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from alertfold.llm import (
     ann, chat_format, exact_dedup, line_dedup, mixing, ngram_join, pii, piece_bpe, quality_rules, spelling, toxicity,
-    url_filter,
+    url_filter, va_cluster,
 )
 from alertfold.llm.common import table
 from alertfold.plans.registry import Query
@@ -103,3 +103,10 @@ def op13(spark, sf_dir):
 def op12(spark, sf_dir):
     """Words of all documents with their form and root.  Not SQL: CRC-32 and chains."""
     return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query("op11_va_clusters", "centroid clustering")
+def op11(spark, sf_dir):
+    """16 centroids over all vectors, three rounds.  Not SQL: whole-number means in rounds of
+    approximations."""
+    return va_cluster.va_clusters(table(spark, sf_dir, "embeddings"))
