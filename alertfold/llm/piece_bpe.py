@@ -3,9 +3,11 @@
 A token sequence is what the merges produce exactly when every two neighbours are: the
 merges of the two tokens' joined text give the same two tokens back.  So a text is encoded
 greedily with the longest token at each position (one Aho-Corasick pass finds all tokens),
-each choice is checked against its left neighbour by re-merging (cached per pair), and a
-choice that fails falls back to the next shorter token, or drops the last token.  A
-bitfield of positions known to fail keeps the search linear.
+each choice is checked against its left neighbour by re-merging at their boundary (the
+two tokens' last merges are taken back in turn, latest first, until a merge across the
+boundary would have come earlier; cached per pair), and a choice that fails falls back to
+the next shorter token, or drops the last token.  A bitfield of positions known to fail
+keeps the search linear.
 
 Texts are cut where no token can cross: before a run of spaces that follows another
 character, and around characters that no token holds (these become byte tokens, or the
@@ -31,9 +33,12 @@ from pyspark.sql import functions as F
 
 from alertfold.llm.arrow import slices
 
+INFINITE = float("inf")
 SPACE = "▁"  # how a space is written inside the vocabulary
-CACHE_ENTRIES = 400_000
-PAIR_ENTRIES = 100_000
+CACHE_BYTES = 200_000_000  # of a worker's chunks, about
+ENTRY_BYTES = 230          # of an entry beside its characters
+ODD_ENTRIES = 50_000
+PAIR_ENTRIES = 150_000
 
 #: Texts on which the model must behave as this encoder assumes (no character is
 #: normalised, spaces are kept, one space is put in front).
@@ -62,21 +67,26 @@ class PieceBpe:
         self.plain = {p for p in self.ids if len(p) == 1}
         if any(SPACE in p.lstrip(SPACE) or not self.plain.issuperset(p) for p in self.ids):
             raise ValueError("a token of this model crosses a space or holds a character that is no token")
+        self.text_of = [None if i in special else p.replace(SPACE, " ") for i, p in enumerate(self.names)]
+        # others never come out of the merges
+        self.usable = {p for p in self.ids if len(p) == 1 or self.merge(p) == [p]}
         self.automaton = ahocorasick.Automaton()
-        for p in self.ids:
-            if len(p) == 1 or self.merge(p) == [p]:  # others never come out of the merges
-                self.automaton.add_word(p, len(p))
+        for p in self.usable:
+            self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
+        self.prefixes: dict[str, str | None] = {}
         self.inside = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.splits: dict[str, tuple[int, str, str]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.older_pairs: dict[tuple[str, str], bool] = {}
         self.cut_at = re.compile("|".join((
             f"{SPACE}+[^{SPACE}\n]*", f"[^{SPACE}\n]+", "\n+")))
 
-    def merge(self, text: str) -> list[str]:
+    def merge(self, text: str, until: int = 1) -> list[str]:
         """The merges themselves: join the neighbours whose joined text scores best, the
-        leftmost of equals, until no joined text is a token."""
+        leftmost of equals, until no joined text is a token or ``until`` parts are left."""
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > until:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 s = self.score.get(parts[i] + parts[i + 1])
@@ -87,47 +97,84 @@ class PieceBpe:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def split(self, token: str) -> tuple[float, str, str]:
+        """A token's score and the two parts its last merge joined; one character has none and
+        was there before all merges."""
+        known = self.splits.get(token)
+        if known is None:
+            parts = (self.score[token], *self.merge(token, 2)) if len(token) > 1 else (INFINITE, token, "")
+            known = self.splits[token] = parts
+        return known
+
+    def boundary_holds(self, left: str, right: str) -> bool:
+        """Whether no merge across the boundary of two tokens comes before their own merges.
+        Merges come by falling score and, of equal ones, from the left; so the later of the
+        two tokens' last merges is taken back first, and what is left meets again."""
+        before, strict = -INFINITE, True  # the merge taken back last: one across has to come before it
+        while True:
+            across = self.score.get(left + right)
+            if across is not None and (across > before or not strict and across == before):
+                return False
+            (score_l, _, inner_l), (score_r, inner_r, _) = self.split(left), self.split(right)
+            if score_l == score_r == INFINITE:
+                return True
+            if score_l < score_r:
+                before, strict, left = score_l, True, inner_l
+            else:
+                before, strict, right = score_r, False, inner_r
+
     def agree(self, left: str, right: str) -> bool:
         """Whether two tokens can stand side by side: re-merging their text keeps them."""
         key = (left, right)
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= PAIR_ENTRIES:
-                self.pairs.clear()
-            known = self.pairs[key] = self.merge(left + right) == [left, right]
+            known = self.older_pairs.get(key)
+            if known is None:
+                known = self.boundary_holds(left, right)
+            if len(self.pairs) >= PAIR_ENTRIES // 2:
+                self.older_pairs, self.pairs = self.pairs, {}
+            self.pairs[key] = known
+        return known
+
+    def shorter(self, token: str) -> str | None:
+        """The longest token that a token starts with, itself left out."""
+        known = self.prefixes.get(token, "")
+        if known == "":
+            known = next((token[:k] for k in range(len(token) - 1, 0, -1) if token[:k] in self.usable), None)
+            self.prefixes[token] = known
         return known
 
     def backtrack(self, text: str) -> list[str]:
         """The tokens of a text all of whose characters are tokens."""
-        n = len(text)
-        if text in self.automaton:
+        if text in self.usable:
             return [text]
-        lengths: list[list[int]] = [[] for _ in range(n)]  # of the tokens from each position
+        n = len(text)
+        longest = [1] * n                 # size of the longest token from each position
         for end, size in self.automaton.iter(text):
-            lengths[end - size + 1].append(size)  # shorter ones end earlier, so they come first
-        failed = 0                                # bit i: no valid encoding goes on from i
+            longest[end - size + 1] = size  # longer ones end later, so they come last
+        failed = 0                        # bit i: no valid encoding goes on from i
         tokens: list[str] = []
-        choice: list[int] = []                    # per token: index into lengths at its start
-        pos, pick = 0, len(lengths[0]) - 1
-        while pos < n:
-            while pick >= 0:
-                size = lengths[pos][pick]
-                token = text[pos:pos + size]
-                if not failed >> (pos + size) & 1 and (not tokens or self.agree(tokens[-1], token)):
+        pos, last = 0, None
+        token: str | None = text[:longest[0]]
+        while True:
+            while token is not None:
+                end = pos + len(token)
+                if not (failed and failed >> end & 1) and (last is None or self.agree(last, token)):
                     break
-                pick -= 1
-            if pick >= 0:
+                token = self.shorter(token)
+            if token is not None:
                 tokens.append(token)
-                choice.append(pick)
-                pos += size
-                pick = len(lengths[pos]) - 1 if pos < n else -1
+                if end == n:
+                    return tokens
+                pos, last = end, token
+                token = text[pos:pos + longest[pos]]
             elif tokens:
                 failed |= 1 << pos
-                pos -= len(tokens.pop())
-                pick = choice.pop() - 1
+                token = tokens.pop()
+                pos -= len(token)
+                token, last = self.shorter(token), tokens[-1] if tokens else None
             else:
                 return self.merge(text)  # cannot happen with a consistent vocabulary
-        return tokens
 
     def tokens(self, chunk: str) -> list[int]:
         """Ids of a stretch of text between two cuts."""
@@ -166,6 +213,9 @@ class PieceBpe:
 
     def decode_part(self, ids: list[int]) -> str:
         """Text of ids between two cuts; the leading space is still there."""
+        out: list = [self.text_of[i] for i in ids]
+        if None not in out:
+            return "".join(out)
         out, raw = [], bytearray()
         for i in ids:
             if i in self.byte_of:
@@ -215,29 +265,53 @@ def _merge_long(text: str, score: dict[str, float]) -> list[str]:
 
 
 class _Cache(dict):
-    """Chunk -> (ids joined by commas, decoded text).  Bounded: when it is full, the
-    entries become the older half, from which those still in use come back."""
+    """Chunk -> ids joined by commas; the few chunks whose ids decode to another text than
+    their own have it in ``decodes``.  Bounded in bytes: when it is full, the entries become
+    the older half, from which those still in use come back."""
 
     def __init__(self, bpe: PieceBpe):
         self.bpe = bpe
-        self.older: dict[str, tuple[str, str]] = {}
+        self.used = 0
+        self.older: dict[str, str] = {}
+        self.decodes: dict[str, str] = {}
 
-    def __missing__(self, chunk: str):
+    def __missing__(self, chunk: str) -> str:
         got = self.older.get(chunk)
-        if got is None and 2 < len(chunk) <= 64 and chunk[-2:] not in self.bpe.inside:
-            # no token holds the last two characters together, so none crosses there
-            (head, text), (tail, end) = self[chunk[:-1]], self[chunk[-1]]
-            return f"{head},{tail}", text + end
         if got is None:
+            size = len(chunk)
+            if 2 < size <= 64 and chunk[-2:] not in self.bpe.inside:
+                # no token holds the last two characters together, so none crosses there; the
+                # parts are looked up again each time, which leaves the room to words
+                head, tail = chunk[:-1], chunk[-1]
+                got = f"{self[head]},{self[tail]}"
+                if self.decodes and (head in self.decodes or tail in self.decodes):
+                    self.decodes[chunk] = self.decoded(head) + self.decoded(tail)
+                return got
             ids = self.bpe.tokens(chunk)
-            got = (",".join(map(str, ids)), self.bpe.decode_part(ids))
+            got = ",".join(map(str, ids))
+            decoded = self.bpe.decode_part(ids)
+            if decoded != chunk.replace(SPACE, " "):
+                self.decodes[chunk] = decoded
         if len(chunk) <= 64:
-            if len(self) >= CACHE_ENTRIES // 2:
+            self.used += ENTRY_BYTES + len(chunk) + len(got)
+            if self.used >= CACHE_BYTES // 2:
                 self.older = dict(self)
                 self.clear()
+                self.used = 0
             self[chunk] = got
         return got
 
+    def decoded(self, chunk: str) -> str:
+        return self.decodes.get(chunk) or chunk.replace(SPACE, " ")
+
+    def forget(self) -> None:
+        """Between texts: what was decoded otherwise goes with all other entries."""
+        if len(self.decodes) > ODD_ENTRIES:
+            self.decodes.clear()
+            self.older.clear()
+            self.clear()
+            self.used = 0
+
 
 _loaded: dict[str, _Cache] = {}
 
@@ -250,9 +324,14 @@ def _cache(model_path: str) -> _Cache:
 
 def encode_text(cache: _Cache, text: str) -> tuple[str, str]:
     """Ids joined by commas, and the text decoded from them."""
-    got = list(map(cache.__getitem__, cache.bpe.chunks(text)))
-    decoded = "".join([d for _, d in got])
-    return ",".join([i for i, _ in got]), decoded[1:] if decoded.startswith(" ") else decoded
+    cache.forget()
+    chunks = cache.bpe.chunks(text)
+    ids = ",".join(map(cache.__getitem__, chunks))
+    if cache.decodes and not cache.decodes.keys().isdisjoint(chunks):
+        decoded = "".join(map(cache.decoded, chunks))
+    else:
+        decoded = "".join(chunks).replace(SPACE, " ")
+    return ids, decoded[1:] if decoded.startswith(" ") else decoded
 
 
 def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",

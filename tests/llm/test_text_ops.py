@@ -100,12 +100,24 @@ def test_encoding_equals_the_library():
 
 
 def test_encoding_with_small_caches(monkeypatch):
-    monkeypatch.setattr(piece_bpe, "CACHE_ENTRIES", 4)
+    monkeypatch.setattr(piece_bpe, "CACHE_BYTES", 1000)
     monkeypatch.setattr(piece_bpe, "PAIR_ENTRIES", 4)
+    monkeypatch.setattr(piece_bpe, "ODD_ENTRIES", 1)
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     cache = piece_bpe._Cache(piece_bpe.PieceBpe(MODEL))
-    for text in ["one two three four five six one two", "again one more, two"] * 2:
-        assert piece_bpe.encode_text(cache, text)[0] == ",".join(map(str, library.encode(text)))
+    odd = "".join(map(chr, (0x1F9FF, 0x3042, 0x10FFFF)))
+    for text in ["one two three four five six one two", "again one more, two", f"{odd}. x{odd}! {odd} {odd}.", "one,", odd] * 2:
+        ids = library.encode(text)
+        assert piece_bpe.encode_text(cache, text) == (",".join(map(str, ids)), library.decode(ids))
+        assert len(cache) <= 4
+
+
+def test_boundaries_of_token_pairs_agree_with_whole_merges():
+    bpe, rng = piece_bpe.PieceBpe(MODEL), random.Random(6)
+    tokens = sorted(t for t in bpe.usable if not t.startswith(piece_bpe.SPACE))
+    short = [t for t in tokens if len(t) <= 2]
+    for left, right in zip(rng.choices(tokens, k=3000) + rng.choices(short, k=3000), rng.choices(tokens, k=6000)):
+        assert bpe.boundary_holds(left, right) == (bpe.merge(left + right) == [left, right])
 
 
 def test_encode_documents_rows(spark):
