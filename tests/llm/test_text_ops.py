@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -202,6 +203,41 @@ def test_wide_proposals_stand_beside_base_spans():
     assert all(b <= x or y <= a for _, a, b in pii.propose(text, base) for _, x, y in base)
 
 
+def test_long_addresses_are_proposed_whole():
+    name, labels = "n" * 200, "sub dot " * 40
+    for spelled in (f"{name} at host dot com", f"ann at {labels}example dot org", f"{'n' * 5000} [at] host[dot]com"):
+        text = f"write, {spelled}, today"
+        assert [(k, text[a:b]) for k, a, b in pii.propose(text, [])] == [("email", spelled)]
+    text = "x at a dot b at c dot d @ e . f"
+    assert [text[a:b] for _, a, b in pii.propose(text, [])] == ["x at a dot b", "d @ e . f"]
+
+
+class Always:
+    def probability(self, x):
+        return np.linspace(0.9, 1, len(x))
+
+
+def test_spans_of_a_long_text_with_very_many_proposals():
+    model = Always(), dict.fromkeys(pii.KINDS, 0.5)
+    text = "call 555 123 4567 or ann at mail dot example dot com 10 . 0 . 0 . 1 " * 5400
+    began = time.process_time()
+    (base, added), = pii.find_spans([text], model)
+    assert time.process_time() - began < 6 and len(text) > 360_000 and len(added) > 10_000
+    added.sort(key=lambda s: s[1])
+    assert all(x[2] <= y[1] for x, y in zip(added, added[1:]))
+    (_, few), = pii.find_spans([text[:700]], model)
+    left = [s for s in pii.propose(text[:700], []) if not any(s[1] < y and x < s[2] for _, x, y in few)]
+    assert not left
+
+
+def test_long_runs_are_read_once():
+    model = Always(), dict.fromkeys(pii.KINDS, 0.5)
+    for text in ("@" * 200_000, "a" * 200_000 + "@", "@" + "a" * 200_000, "a at " * 40_000, "a@a" * 60_000, ".@" * 100_000):
+        began = time.process_time()
+        pii.find_spans([text + " dot "], model)
+        assert time.process_time() - began < 3, text[:5]
+
+
 def test_plausible_spellings_are_no_negatives():
     respelled = "write to user at mail dot example dot com or call 555-123-4567, thanks"
     assert pii.propose(respelled, []) and all(label for _, label, _ in pii.examples("1", respelled))
