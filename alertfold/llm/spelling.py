@@ -49,7 +49,7 @@ TILE = 1024
 TILE_BYTES = 1 << 20
 BLOCK_WORDS = 300        # words of a block that the number of classes aims at
 MAX_CLASSES = 10
-TASK_PAIRS = 150_000_000  # pairs of words whose distances a task computes, about
+TASK_PAIRS = 40_000_000   # pairs of words whose distances a task computes, about
 VERIFY = 200_000          # pairs verified at once
 DIMS = 32
 
