@@ -13,23 +13,34 @@ DMY_HMS = "d/M/yyyy H:m:s"      # 31/12/2024 21:59:03
 DMY_HM = "d/M/yyyy H:m"         # 31/12/2024 21:59
 YMD_HM = "yyyy/M/d H:m"         # 2024/12/31 21:59
 
-# Lenient day-first fallback: a fixed, ordered list instead of per-column format
-# inference, so that the result of a row never depends on other rows.  ISO forms
-# are always year-month-day; slash, dash and dot forms with the year last are
-# day-first.  A time may have a fraction and a zone; with a zone, the result is the
-# UTC wall clock.  Two-digit years are 1970 to 2069.
-_TIME = "[H:m][:s][.SSSSSSSSS][ ][XXX][X]"
-LENIENT_FORMATS = (
-    "yyyy-M-d[ ]['T']" + _TIME,
-    "yyyy/M/d[ ]" + _TIME,
-    "d/M/yyyy[ ]" + _TIME,
-    "d-M-yyyy[ ]" + _TIME,
-    "d.M.yyyy[ ]" + _TIME,
-)
-# English month names, short or long, in any case
-NAMED_FORMATS = ("d MMM yyyy[ ]" + _TIME, "MMM d yyyy[ ]" + _TIME)
-# One shape for the rarer numeric forms, which are rewritten to it.
-REWRITTEN = "d/M/yyyy[ ]" + _TIME
+# Lenient day-first parse.  A text is classified once: one pattern tells its shape (numeric
+# with the year first or last, compact, month name in the middle or in front) and takes its
+# parts out, so that the result of a row never depends on other rows or on which layout is
+# tried first.  ISO forms are always year-month-day; with the year last, the day comes
+# first, unless only the other order is a date (1/31/2025).  A missing day is the first.  A
+# time may have a fraction, AM or PM, and a zone; with a zone, the result is the UTC wall
+# clock.  Two-digit years are 1970 to 2069.
+
+# English names of months (by month) and weekdays, whole or short, in any case
+MONTH_NAMES = ("jan(?:uary)?", "feb(?:ruary)?", "mar(?:ch)?", "apr(?:il)?", "may", "june?", "july?", "aug(?:ust)?",
+               "sep(?:t(?:ember)?)?", "oct(?:ober)?", "nov(?:ember)?", "dec(?:ember)?")
+WEEKDAY_NAMES = ("mon(?:day)?", "tue(?:sday)?", "wed(?:nesday)?", "thu(?:rsday)?", "fri(?:day)?", "sat(?:urday)?",
+                 "sun(?:day)?")
+
+_NAME = "(" + "|".join(MONTH_NAMES) + ")"
+_YEAR = r"([0-9]{4}|[0-9]{2})"
+_SHAPE = (
+    r"^(?:(?:" + "|".join(WEEKDAY_NAMES) + r")\.?,? +)?(?:"
+    r"([0-9]{4})([-/.])([0-9]{1,2})(?:\2([0-9]{1,2}))?"                      # year first: 1 - 3 - 4
+    r"|([0-9]{1,2})([-/. ])([0-9]{1,2})\6" + _YEAR                          # year last: 5 - 7 - 8
+    + r"|([0-9]{4})([0-9]{2})([0-9]{2})"                                     # compact: 9 10 11
+    r"|([0-9]{1,2})[-/. ]" + _NAME + r"\.?,?[-/ ]" + _YEAR                   # name in the middle: 12 13 14
+    + "|" + _NAME + r"\.?[- ](?:([0-9]{1,2})(?:, ?|[- ])" + _YEAR + "|([0-9]{4}))"  # name in front: 15 16 17, 18
+    + r")(?:(?:t| |, )?(?:([0-9]{1,2}):([0-9]{1,2})(?::([0-9]{1,2})(?:\.([0-9]{1,9}))?)?"   # time: 19 20 21 22
+    r"|([0-9]{2})([0-9]{2})([0-9]{2})?|([0-9]{1,2})(?= ?[ap]m))"             # compact: 23 24 25, hour alone: 26
+    r"(?: ?([ap]m))?(?: ?(z|utc|gmt|[+-][0-9]{2}(?::?[0-9]{2})?))?|[t ])?$")  # AM or PM, zone: 27 28
+_PARTS = 28
+_MARK = "\x01"   # between the parts
 
 
 def epoch0() -> Column:
@@ -42,22 +53,11 @@ MS_THRESHOLD = 1e12
 # Anchored shape of the texts each layout can accept (a superset: the formatter still
 # validates).  A failed parse costs a Java exception, so texts of another shape are
 # sent to NULL without calling the formatter.  Years are exactly four digits.
-_T = r"[ T]?([0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]{1,9})?)?( ?(Z|[+-][0-9]{2}(:?[0-9]{2})?))?)?"
-_NAME = "[A-Z][a-z]+"
 GUARDS = {
     DMY_HMS: r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$",
     DMY_HM: r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$",
     YMD_HM: r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{1,2}$",
-    LENIENT_FORMATS[0]: r"^\d{4}-\d{1,2}-\d{1,2}" + _T + "$",
-    LENIENT_FORMATS[1]: r"^\d{4}/\d{1,2}/\d{1,2}" + _T + "$",
-    LENIENT_FORMATS[2]: r"^\d{1,2}/\d{1,2}/\d{4}" + _T + "$",
-    LENIENT_FORMATS[3]: r"^\d{1,2}-\d{1,2}-\d{4}" + _T + "$",
-    LENIENT_FORMATS[4]: r"^\d{1,2}\.\d{1,2}\.\d{4}" + _T + "$",
-    NAMED_FORMATS[0]: r"^\d{1,2} [A-Z][a-z]{2} \d{4}" + _T + "$",
-    NAMED_FORMATS[1]: r"^[A-Z][a-z]{2} \d{1,2} \d{4}" + _T + "$",
 }
-_SHORT_YEAR = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{2})(?![0-9/.-])"
-_COMPACT = r"^(\d{4})(\d{2})(\d{2})(?: (\d{2})(\d{2})(\d{2}))?$"
 
 
 def parse_with(c: Column, pattern: str) -> Column:
@@ -78,24 +78,47 @@ def parse_minutes(c: Column) -> Column:
 
 
 def parse_lenient(c: Column) -> Column:
-    plain = F.coalesce(*[parse_with(c, p) for p in LENIENT_FORMATS])
-    # the rarer forms in one lookup per row: whatever the others do not take
-    return F.coalesce(plain, F.get(F.transform(F.array(c), _parse_rare), 0))
-
-
-def _parse_rare(c: Column) -> Column:
-    """Two-digit years, compact dates and month names.  Called through ``transform``, which
-    binds the text once and keeps these branches out of the generated code."""
-    short = parse_with(F.regexp_replace(c, _SHORT_YEAR, "$1/$2/20$3"), REWRITTEN)   # 2000 to 2099
-    old = F.make_timestamp_ntz(F.year(short) - 100, F.month(short), F.day(short), F.hour(short), F.minute(short),
-                               F.extract(F.lit("SECOND"), short))
-    short = F.when(F.year(short) < 2070, short).otherwise(old)
-    compact = parse_with(F.regexp_replace(F.regexp_replace(c, _COMPACT, "$3/$2/$1 $4:$5:$6"), " ::$", ""), REWRITTEN)
-    # day and month names as the formatter spells them, letters of zones in upper case
-    named = F.regexp_replace(F.initcap(F.regexp_replace(c, ",? +|,", " ")), "([A-Z][a-z]{2})[a-z]+", "$1")
-    named = F.regexp_replace(F.regexp_replace(named, "([0-9])t([0-9])", "$1T$2"), "([0-9])z$", "$1Z")
-    return (F.when(c.rlike(_SHORT_YEAR), short).when(c.rlike(_COMPACT), compact)
-            .when(c.rlike("[A-Za-z]{3}"), F.coalesce(*[parse_with(named, p) for p in NAMED_FORMATS])))
+    """Text of any of the lenient shapes -> TIMESTAMP_NTZ, NULL for others."""
+    # bound step by step: the text, its parts and its numbers are each computed once per row
+    return F.get(F.transform(F.transform(F.array(F.lower(c)), _shape_parts), _from_parts), 0)
+
+
+def _shape_parts(text: Column) -> Column:
+    """The parts of a text by number, '' where its shape has none; a text of no shape is one part."""
+    taken = _MARK.join(f"${i}" for i in range(1, _PARTS + 1))
+    return F.split(F.regexp_replace(text, _SHAPE, taken), _MARK)
+
+
+def _from_parts(parts: Column) -> Column:
+    def part(*numbers: int) -> Column:
+        """The text of the first of the numbered parts that the shape has, else NULL."""
+        return F.coalesce(*[F.nullif(F.get(parts, i - 1), F.lit("")) for i in numbers])
+
+    def number(*numbers: int) -> Column:
+        return part(*numbers).try_cast("int")
+
+    name = part(13, 15)
+    named = F.coalesce(*[F.when(name.startswith(full[:3]), F.lit(k)) for k, full in enumerate(MONTH_NAMES, 1)])
+    short = part(8, 14, 17, 18)
+    year = F.coalesce(number(1, 9), F.when(F.length(short) == 2, F.pmod(short.try_cast("int") - 70, F.lit(100)) + 1970)
+                      .otherwise(short.try_cast("int")))
+    first, second = number(5), number(7)
+    swapped = (second > 12) & (first <= 12)
+    month = F.coalesce(number(3, 10), F.when(swapped, first).otherwise(second), named)
+    day = F.coalesce(number(4, 11), F.when(swapped, second).otherwise(first), number(12, 16), F.lit(1))
+    half = part(27)
+    hour = F.coalesce(number(19, 23, 26), F.lit(0))
+    hour = (F.when(half.isNull(), hour)
+            .when(hour.between(1, 12), hour % 12 + F.when(half == "pm", 12).otherwise(0)))
+    minute, second_of = F.coalesce(number(20, 24), F.lit(0)), F.coalesce(number(21, 25), F.lit(0))
+    micros = F.rpad(F.substring(F.coalesce(part(22), F.lit("0")), 1, 6), 6, "0").cast("int")
+    zone = F.regexp_replace(part(28), ":", "")
+    offset = F.when(zone.rlike("^[+-]"), F.concat(F.substring(zone, 1, 1), F.lit("1")).cast("int") * (
+        F.substring(zone, 2, 2).cast("int") * 60 + F.coalesce(F.nullif(F.substring(zone, 4, 2), F.lit("")).cast("int"), F.lit(0))))
+    at = F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0).cast("decimal(16,6)"))
+    at = F.timestamp_add("MICROSECOND", second_of * F.lit(1_000_000).cast("long") + micros, at)
+    at = F.when(offset.isNull(), at).otherwise(F.timestamp_add("MINUTE", -offset, at))
+    return F.when((F.size(parts) == _PARTS) & (year >= 1) & (second_of < 60), at)
 
 
 def parse_cascade(c: Column) -> Column:

@@ -100,6 +100,28 @@ def q_parse_lenient(spark, sf):
     return alerts(spark, sf).select("ord", F.date_format(D.parse_lenient(T.normalize_ws(F.col("date_raw"))), "yyyy-MM-dd HH:mm:ss").alias("dt"))
 
 
+# Layouts by key; the last is no date
+_SHAPES = ("d/M/yyyy h:mm a", "MMM d, yyyy h:mm:ss a", "EEEE, d MMMM yyyy", "yyyyMMdd'T'HHmmss", "yyyyMMdd HHmm",
+           "dd-MMM-yyyy", "d MMM yy", "dd/MM/yyyy'T'HH:mm", "yyyy-M-d H:m:s.SSS'Z'", "'31 Marxism' yyyy")
+
+
+@query("parse_lenient_shapes", "F6", """
+with o as (select o_orderkey as ord, o_orderkey % 10 as k,
+                  cast(o_orderdate as timestamp) + to_seconds(o_orderkey % 86400) as d from orders)
+select ord, strftime(case when k in (0, 4, 7) then date_trunc('minute', d) when k in (2, 5, 6) then date_trunc('day', d)
+                          when k in (1, 3, 8) then d end, '%Y-%m-%d %H:%M:%S') as dt from o""")
+def q_parse_lenient_shapes(spark, sf):
+    """Every order's moment written in one of ten layouts and parsed back; the expected moment
+    comes from the order, not from a text."""
+    prepare(spark)
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    d = F.timestamp_add("SECOND", F.col("o_orderkey") % 86400, F.col("o_orderdate").cast("timestamp_ntz"))
+    text = F.coalesce(*[F.when(F.col("o_orderkey") % 10 == k, F.date_format(d, layout))
+                        for k, layout in enumerate(_SHAPES)])
+    return o.select(F.col("o_orderkey").alias("ord"),
+                    F.date_format(D.parse_lenient(T.normalize_ws(text)), "yyyy-MM-dd HH:mm:ss").alias("dt"))
+
+
 @query("to_numeric", "F7", S.with_alerts(f"""
 select ord, {S.to_numeric('ts_raw')} as ts_num, {S.to_numeric('date_raw')} as date_num from alerts"""))
 def q_to_numeric(spark, sf):

@@ -104,3 +104,42 @@ def test_lenient_accepts_fractions_zones_names_and_short_years(spark):
 def test_minutes_strips_like_python(spark):
     df = spark.createDataFrame([("\xa031/12/2024 21:59 \t",), ("\n31/12/2024 21:59",)], "x string")
     assert {str(r[0]) for r in df.select(D.parse_minutes(F.col("x"))).collect()} == {"2024-12-31 21:59:00"}
+
+
+# texts of every shape, and some of none; what pandas reads differently is named below
+SHAPES = ["1/31/2025", "Jan 31, 2025 10:00 PM", "31/01/2025 10:00 PM", "20250131T100000", "20250131 1000", "31-Jan-2025",
+          "31 Jan 25", "Friday, 31 January 2025", "2025-1", "31/01/2025T10:00", "31 Marxism 2025", "31 janvier 2025",
+          "5 juin 2025", "5 mai 2025", "12/11/2025 12:30 AM", "12/11/2025 12 PM", "12/11/2025 13:00 PM", "5 May, 2025",
+          "May 5 2025 3:04:05.5", "2025.01.31", "31.01.2025 10:00:00+0100", "2025-01-31 10:00 UTC", "Sept 5, 2025",
+          "September 5, 2025", "5-sep-25", "Fri 31 Jan 2025", "2025-02-30", "29/02/2024", "29/02/2023", "31/12/69",
+          "2025-01-31T10:00:00.123456789Z", "", "x", "2025-01-31 24:00", "2025-01-31 23:59:60", "Jan 2025", "31 12 2025",
+          "31/01/2025,10:00", "31/01/2025 10:00:00 -05:30", "13/13/2025", "1-Mar-99 9:05 am", "mayor 5 2025", "5 marchand 2025",
+          "Tue 5 Feb 2030 1 AM", "Junes 5 2025", "2025-01-31T10"]
+
+
+def test_lenient_shapes_agree_with_pandas(spark):
+    pd = pytest.importorskip("pandas")
+    got = parse(spark, SHAPES, lambda c: D.parse_lenient(c).cast("string"))
+    for text, mine in zip(SHAPES, got):
+        want = pd.to_datetime(text, dayfirst=True, errors="coerce")
+        if text == "2025-01-31T10":   # an hour alone only with AM or PM
+            want = pd.NaT
+        if want is pd.NaT:
+            assert mine is None, text
+        else:
+            want = want.tz_convert("UTC").tz_localize(None) if want.tzinfo else want
+            assert pd.Timestamp(mine) == want.floor("us"), text
+
+
+def test_lenient_decisions_of_its_own(spark):
+    # ISO order whatever dayfirst says, a fixed century, no date without one
+    texts = ["2025/1/5", "31/12/70", "10:00", "2025", "1|2|2025", "20251301"]
+    want = [T(2025, 1, 5), T(1970, 12, 31), None, None, None, None]
+    assert parse(spark, texts, D.parse_lenient) == want
+
+
+def test_a_lenient_parse_does_not_depend_on_other_rows(spark):
+    texts = SHAPES * 3
+    by_text = dict(zip(texts, parse(spark, texts, D.parse_lenient)))
+    for text in SHAPES[::7]:
+        assert parse(spark, [text], D.parse_lenient) == [by_text[text]]
