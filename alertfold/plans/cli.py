@@ -74,9 +74,12 @@ def main(argv=None) -> int:
     from alertfold.sources import csv as C
 
     if a.cmd == "recompose":
-        opts = P.RecomposeOptions(csv=C.CsvOptions(sep=a.sep, encoding=a.encoding, header_from=a.header_from),
-                                  null_key=a.null_key, dedup_scope=a.dedup_scope,
-                                  bad_files="drop" if a.drop_bad_files else "keep")
+        csv = C.CsvOptions(sep=a.sep, encoding=a.encoding, header_from=a.header_from)
+        _, failed = C.split_failed(spark, C.discover(spark, a.input, csv), csv)
+        for path, error in sorted(failed.items()):           # one line per failed file
+            print(f"{error}\t{path}", file=sys.stderr)
+        opts = P.RecomposeOptions(csv=csv, null_key=a.null_key, dedup_scope=a.dedup_scope,
+                                  bad_files="drop" if a.drop_bad_files else "keep", failed="skip" if failed else "raise")
         df, header = P.recompose(spark, a.input, opts)
         if a.dry_run:
             _print_counts(df)

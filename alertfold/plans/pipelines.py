@@ -69,13 +69,14 @@ class RecomposeOptions:
     cascade: str = "dmy"
     unit: str = "median"
     bad_files: str = "keep"
+    failed: str = "raise"             # 'skip': files of the failure ledger are left out
 
 
 def recompose(spark: SparkSession, source: str | Sequence[str],
               opts: RecomposeOptions = RecomposeOptions()) -> tuple[DataFrame, list[str]]:
     """Resolved rows (header columns + ``dt``, ``ym``, ``status``, ``_src``, ``_ord``)."""
     prepare(spark)
-    df, header = C.read_aligned(spark, source, opts.csv, bad_files=opts.bad_files)
+    df, header = C.read_aligned(spark, source, opts.csv, bad_files=opts.bad_files, failed=opts.failed)
     has_key = opts.key in header
     # a whole-table statistic (median unit) follows: the aggregate form shares its exchange
     method = "agg" if opts.unit == "median" else "window"

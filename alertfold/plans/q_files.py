@@ -12,7 +12,7 @@ from alertfold.plans import pipelines as P
 from alertfold.plans import sqlfrag as S
 from alertfold.plans.alerts import alerts_sql, read_table
 from alertfold.plans.registry import query
-from alertfold.plans.staging import SCRAPER_DECOY, stage
+from alertfold.plans.staging import EMPTY_FILE, SCRAPER_DECOY, stage
 from alertfold.session import prepare, scratch_dir
 from alertfold.sources import csv as C
 
@@ -78,6 +78,24 @@ def q_scan_latin1(spark, sf):
     return base_read(spark, sf, opts).select(*base_as())
 
 
+@query("failed_files", "S16", "with alerts as (" + alerts_sql() + f""")
+select src as file_name, case when substr(src, 10, 4) = '1997' then '{C.UNDECODABLE}' end as error,
+       case when substr(src, 10, 4) = '1997' then 0 else count(*) end as n_rows from alerts group by src
+union all select '{EMPTY_FILE}', '{C.EMPTY}', 0""")
+def q_failed_files(spark, sf):
+    """The failure ledger of a folder with undecodable files and an empty one, beside the rows
+    read from the others."""
+    prepare(spark)
+    root = stage(spark, sf, "faulty")
+    files = C.discover(spark, root, INCLUDE)
+    ledger = C.failed_files(spark, files, INCLUDE).select(
+        C.unescape(F.element_at(F.split("path", "/"), -1)).alias("file_name"), "error", F.lit(0).cast("long").alias("n_rows"))
+    df, _ = C.read_aligned(spark, root, INCLUDE, failed="skip")
+    read = df.groupBy(F.col(C.SOURCE).alias("file_name")).agg(F.lit(None).cast("string").alias("error"),
+                                                             F.count(F.lit(1)).alias("n_rows"))
+    return ledger.unionByName(read)
+
+
 @query("source_column", "S15", "with alerts as (" + alerts_sql() + ") select ord, src from alerts")
 def q_source_column(spark, sf):
     return base_read(spark, sf, INCLUDE).select(F.col("ord").cast("long").alias("ord"), F.col(C.SOURCE).alias("src"))

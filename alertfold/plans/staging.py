@@ -12,6 +12,7 @@ comma:   ',' separated copy of base sources.
 shifted_comma: ',' sources named 7 days later (exports overlapping month ends).
 events:  ``events`` as one export per day, dates as ``dd/MM/yyyy HH:mm:ss`` text.
 events_overlap: every event in the export of its day and of the next day.
+faulty:  base sources, those of 1997 in Latin-1 (which UTF-8 cannot decode), and an empty file.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from alertfold.session import stable_dir
 from alertfold.sinks.files import _fs, delete_dir, exists, rename_dir, touch, write_named_csv
 
 BASE_HEADER = ("ord", "Référence", "Date", "Timestamp", "Priorité")
+EMPTY_FILE = "Alertes_-1990-01.csv"
 SCRAPER_DECOY = "alertes_1995-01-02_1995-01-08.csv"
 
 
@@ -94,6 +96,13 @@ def _build(spark: SparkSession, sf_dir: str, variant: str, root: str) -> None:
             .between(F.lit("1995-01-02").cast("date"), F.lit("1995-01-08").cast("date")))
         write_named_csv(wk.select(F.lit("weekly/" + SCRAPER_DECOY).alias("__file"), *_base_cols(a)), root, "__file",
                         order=["__o"], drop=["__o"])
+    elif variant == "faulty":
+        a = alerts(spark, sf_dir)
+        year = F.substring(F.col("src"), 10, 4).cast("int")
+        for cond, encoding in ((year != 1997, "UTF-8"), (year == 1997, "ISO-8859-1")):
+            write_named_csv(a.where(cond).select(_year_path().alias("__file"), *_base_cols(a)), root, "__file",
+                            order=["__o"], drop=["__o"], bom=encoding == "UTF-8", encoding=encoding)
+        touch(spark, root + "/" + EMPTY_FILE)
     elif variant == "comma":
         a = alerts(spark, sf_dir)
         write_named_csv(a.select(F.col("src").alias("__file"), *_base_cols(a)), root, "__file",

@@ -13,11 +13,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from alertfold.sources.csv import display_name
+
 BOM = "\ufeff"
 
 
@@ -66,7 +69,27 @@ def write_partitioned(df: DataFrame, out: str, partition_cols: Sequence[str], or
     writer = csv_writer(data, sep)
     if raw:   # one column of whole lines, header line included: no separator, no quoting
         writer = writer.option("sep", "\x01").option("quote", "\u0000").option("escapeQuotes", False)
-    writer.mode(mode).partitionBy(*partition_cols).csv(out)
+    with _display_names(data) as (named, write_as):
+        if write_as:
+            writer = csv_writer(named, sep)
+        writer.mode(mode).partitionBy(*partition_cols).csv(out)
+
+
+@contextmanager
+def _display_names(df: DataFrame):
+    """The data under the names the headers show.  Where they differ only in case, this one
+    write tells case apart."""
+    shown = [display_name(c) for c in df.columns]
+    if shown == df.columns:
+        yield df, False
+        return
+    key = "spark.sql.caseSensitive"
+    before = df.sparkSession.conf.get(key)
+    df.sparkSession.conf.set(key, "true")
+    try:
+        yield df.toDF(*shown), True
+    finally:
+        df.sparkSession.conf.set(key, before)
 
 
 def _aqe(spark: SparkSession) -> bool:
@@ -80,7 +103,7 @@ def _fs(spark: SparkSession, path: str):
 
 
 def write_named_csv(df: DataFrame, root: str, name_col: str, order: Sequence[str] = (),
-                    sep: str = ";", bom: bool = True, drop: Sequence[str] = ()) -> list[str]:
+                    sep: str = ";", bom: bool = True, drop: Sequence[str] = (), encoding: str = "UTF-8") -> list[str]:
     """Write one CSV per distinct value of ``name_col`` (a relative file path), named
     exactly.  Spark names its part files itself, so each single-part directory is
     renamed afterwards on the driver (one metadata call per output file).
@@ -95,7 +118,7 @@ def write_named_csv(df: DataFrame, root: str, name_col: str, order: Sequence[str
         data = data.drop(*drop)
     if bom:
         data = with_bom_header(data, skip=[name_col])
-    csv_writer(data, sep).mode("overwrite").partitionBy(name_col).csv(tmp)
+    csv_writer(data, sep).option("encoding", encoding).mode("overwrite").partitionBy(name_col).csv(tmp)
     fs, jvm = _fs(spark, root)
     Path = jvm.org.apache.hadoop.fs.Path
     written = []

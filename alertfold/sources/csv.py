@@ -6,6 +6,7 @@ the header lines are the only things the driver sees: data rows stay in the scan
 
 from __future__ import annotations
 
+import codecs
 import csv as _pycsv
 import io
 import posixpath
@@ -202,7 +203,8 @@ def _first_lines(encoding: str):
     return run
 
 
-def header_lines(spark: SparkSession, files: Sequence[str], opts: CsvOptions, method: str = "auto") -> DataFrame:
+def header_lines(spark: SparkSession, files: Sequence[str], opts: CsvOptions, method: str = "auto",
+                 skip_corrupt: bool = False) -> DataFrame:
     """(path, line): the first non-blank line of every file, decoded with the file encoding.
 
     method='arrow': the file list is spread over tasks and each task opens its files
@@ -216,7 +218,8 @@ def header_lines(spark: SparkSession, files: Sequence[str], opts: CsvOptions, me
         out = _arrow_lines(spark, files, opts)
         return out.where(F.col("read") & F.col("line").isNotNull()).select("path", "line")
     raw = (spark.read.schema("line string").option("sep", "\u0001").option("quote", "")
-           .option("encoding", opts.encoding).option("header", False).csv([reader_path(p) for p in files]))
+           .option("encoding", opts.encoding).option("header", False)
+           .option("ignoreCorruptFiles", skip_corrupt).csv([reader_path(p) for p in files]))
     return (raw.where(F.col("_metadata.file_block_start") == 0)
             .select(F.col("_metadata.file_path").alias("path"), "line",
                     F.monotonically_increasing_id().alias("__pos"))
@@ -257,6 +260,68 @@ def collect_header_lines(spark: SparkSession, files: Sequence[str], opts: CsvOpt
     return lines
 
 
+# ---------------------------------------------------------------- failure ledger
+# What the ledger says of a file that gives no rows
+UNREADABLE, EMPTY, UNDECODABLE = "unreadable", "empty", "undecodable"
+LEDGER_CHUNK = 1 << 20
+
+
+def file_problem(path: str, encoding: str, whole: bool) -> str | None:
+    """Why a file cannot be read, or None: opened and decoded strictly up to its first text, or
+    to its end if ``whole``.  Memory is bounded by a chunk."""
+    blank = True
+    try:
+        filesystem, inner = _arrow_open(path)
+        with filesystem.open_input_stream(inner) as f:
+            decoder = codecs.getincrementaldecoder(encoding)("strict")
+            while chunk := f.read(LEDGER_CHUNK):
+                text = decoder.decode(chunk)
+                blank = blank and not text.strip()
+                if not (whole or blank):
+                    return None
+            blank = blank and not decoder.decode(b"", final=True).strip()
+    except UnicodeDecodeError:
+        return UNDECODABLE
+    except (OSError, ValueError):   # not found, no access, a folder, an unparsable URI
+        return UNREADABLE
+    return EMPTY if blank else None
+
+
+def _problems(encoding: str, whole: bool):
+    def run(batches):
+        import pandas as pd
+        for pdf in batches:
+            out = [(p, file_problem(p, encoding, whole)) for p in pdf["path"]]
+            yield pd.DataFrame([x for x in out if x[1]], columns=["path", "error"])
+
+    return run
+
+
+def failed_files(spark: SparkSession, files: Sequence[str], opts: CsvOptions = CsvOptions(),
+                 whole: bool = False) -> DataFrame:
+    """The failure ledger: ``path, error`` for each file that cannot be opened, has no text, or
+    does not decode in the declared encoding.  The files are opened in tasks, one short read
+    each (``whole``: read to the end, for bytes that fail later).  File systems Arrow cannot
+    open are scanned with unreadable files left out; what gives no line there is told as
+    unreadable, replacement characters as undecodable."""
+    if files and not _arrow_can_open(files[0]):
+        lines = header_lines(spark, files, opts, method="scan", skip_corrupt=True)
+        known = _paths_frame(spark, files).join(lines.withColumnRenamed("path", "seen"), F.col("path") == F.col("seen"), "left")
+        error = F.when(F.col("line").isNull(), F.lit(UNREADABLE)).when(F.col("line").contains("\ufffd"), F.lit(UNDECODABLE))
+        return known.select("path", error.alias("error")).where(F.col("error").isNotNull())
+    n = max(1, min(len(files) // 64 + 1, spark.sparkContext.defaultParallelism * 4))
+    return (_paths_frame(spark, files).repartition(n)
+            .mapInPandas(_problems(_py_encoding(opts.encoding), whole), "path string, error string"))
+
+
+def split_failed(spark: SparkSession, files: Sequence[str], opts: CsvOptions = CsvOptions(),
+                 whole: bool = False) -> tuple[list[str], dict[str, str]]:
+    """The files that can be read, and the ledger of the others (one short entry per failed
+    file, of a list the driver holds anyway)."""
+    failed = {r["path"]: r["error"] for r in failed_files(spark, files, opts, whole).collect()}
+    return [p for p in files if p not in failed], failed
+
+
 def _py_encoding(enc: str) -> str:
     return {"UTF-8": "utf-8-sig", "utf-8": "utf-8-sig"}.get(enc, enc)
 
@@ -281,7 +346,29 @@ def split_header(line: str, opts: CsvOptions) -> list[str]:
         elif opts.header_fix == "accents":
             c = strip_accents_name(c)
         names.append(c.lstrip("\ufeff"))
-    return mangle(names)
+    return distinct_names(mangle(names))
+
+
+# Names that differ only in case are one column to Spark.  The later ones carry invisible marks
+# through scan, union and write, where the writer takes them off again.
+CASE_MARK = "\u2060"
+
+
+def distinct_names(names: Sequence[str]) -> list[str]:
+    """Names that stay distinct when case is ignored: 'Date', 'date' + mark."""
+    seen: set[str] = set()
+    out = []
+    for n in names:
+        while n.lower() in seen:
+            n += CASE_MARK
+        seen.add(n.lower())
+        out.append(n)
+    return out
+
+
+def display_name(name: str) -> str:
+    """A column's name as the source file has it."""
+    return name.rstrip(CASE_MARK)
 
 
 def mangle(names: Sequence[str]) -> list[str]:
@@ -391,16 +478,29 @@ def name_predicate(opts: CsvOptions):
 
 
 def read_aligned(spark: SparkSession, root: str | Sequence[str], opts: CsvOptions = CsvOptions(),
-                 bad_files: str = "keep") -> tuple[DataFrame, list[str]]:
+                 bad_files: str = "keep", failed: str = "raise") -> tuple[DataFrame, list[str]]:
     """Discovery + reference header + positional read.  ``bad_files='drop'`` removes whole
     files holding a row longer than the header (the strict reading of such files).
+    ``failed='skip'`` (``'skip_whole'``: after reading them to the end) leaves out the files
+    of the failure ledger, the reference header included; the others are read.
 
     The scan reads the roots themselves (recursive, glob) with the name rules as a
     file-name predicate, so the files are listed once by the scan's own file index."""
     files = discover(spark, root, opts)
+    ledger: dict[str, str] = {}
+    if failed != "raise":
+        files, ledger = split_failed(spark, files, opts, whole=failed == "skip_whole")
+        if not files:
+            raise NoSourceFiles(f"no source file under {root} can be read")
     header = reference_header(spark, files, opts)
     roots = [root] if isinstance(root, str) else list(root)
-    df = read_positional(spark, roots, header, opts, name_filter=name_predicate(opts))
+    if len(ledger) > MAX_PATH_PREDICATE:
+        df = read_positional(spark, files, header, opts)
+    else:
+        wanted = name_predicate(opts)
+        if ledger:
+            wanted = wanted & ~F.col("_metadata.file_path").isin(sorted(ledger))
+        df = read_positional(spark, roots, header, opts, name_filter=wanted)
     if bad_files == "drop":
         too_long = (df.where(F.col("_cells") > len(header)).select(F.col(PATH).alias("__bad")).distinct())
         # at most one row per file: broadcast under the driver's own file count, so a
