@@ -53,6 +53,7 @@ def main(argv=None) -> int:
     io(c, "alertes_renommees")
     c.add_argument("--cap", required=True, help="e.g. '2025-11-16 23:59:59'")
     c.add_argument("--header-fix", choices=["mojibake", "accents"])
+    c.add_argument("--exact-names", metavar="DIR", help="write months and audits under their file names into DIR instead")
 
     m = sub.add_parser("merge")
     io(m, sep=",")
@@ -60,6 +61,7 @@ def main(argv=None) -> int:
     ro = sub.add_parser("route")
     io(ro, "output_by_month")
     ro.add_argument("--date-index", type=int, default=1)
+    ro.add_argument("--align", action="store_true", help="put the cells of all files in the columns of a common header")
 
     rn = sub.add_parser("rename")
     rn.add_argument("--input", "-i", default="alertes_a_renommer")
@@ -93,7 +95,10 @@ def main(argv=None) -> int:
         if a.dry_run:
             _print_counts(df, "status")
             return 0
-        P.write_capped(df, a.output, header_fix=a.header_fix)
+        if a.exact_names:
+            print(json.dumps(P.write_capped_named(df, a.exact_names, header_fix=a.header_fix)))
+        else:
+            P.write_capped(df, a.output, header_fix=a.header_fix)
     elif a.cmd == "merge":
         kept, det = P.merge(spark, a.input, C.CsvOptions(sep=a.sep, encoding=a.encoding, exclude=()))
         if a.dry_run:
@@ -102,14 +107,18 @@ def main(argv=None) -> int:
         P.write_merged(kept, a.output, det)
     elif a.cmd == "route":
         files = C.discover(spark, a.input, C.CsvOptions(sep=a.sep, exclude=()))
-        routed = P.route(spark, files, a.date_index, a.sep, a.encoding)
+        if a.align:
+            routed, header = P.route_aligned(spark, files, a.date_index, a.sep, a.encoding)
+        else:
+            routed = P.route(spark, files, a.date_index, a.sep, a.encoding)
+            first = C.header_lines(spark, files[:1], C.CsvOptions(sep=a.sep, encoding=a.encoding)).first()
+            header = first["line"].lstrip("\ufeff") if first else "value"
         from alertfold.operators import quality
         stats = quality.file_stats(routed, C.SOURCE, F.col("ok"))
         for row in stats.orderBy("file_name").collect():     # one row per file
             print(json.dumps(row.asDict()))
         if not a.dry_run:
-            header = C.header_lines(spark, files[:1], C.CsvOptions(sep=a.sep)).first()
-            P.write_routed(routed, header["line"].lstrip("\ufeff") if header else "value", a.output)
+            P.write_routed(routed, header, a.output)
     elif a.cmd == "rename":
         from alertfold.functions.names import rewrite_name
         listing = C.listing(spark, a.input, C.CsvOptions(exclude=()))

@@ -21,21 +21,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from alertfold.functions import dates as D
+from alertfold.functions.names import AUDIT_FILTERED, AUDIT_INVALID, AUDIT_INVALID_FULL
 from alertfold.functions.text import normalize_ws, strip_accents_name, strip_ws
 from alertfold.operators import dedup, quality
 from alertfold.operators.order import ORDER_COL
 from alertfold.operators.resolve import resolve_date
 from alertfold.operators.small import per_file_broadcast
-from alertfold.session import prepare
-from alertfold.sinks.files import write_partitioned
+from alertfold.session import prepare, scratch_dir
+from alertfold.sinks.files import exists, publish_month_files, write_partitioned
 from alertfold.sources import csv as C
 
 KEY = "Référence"
 DATE = "Date"
+STATUSES = (quality.OK, quality.UNDATED, quality.OVER_CAP)
 
 
 TS_NAME, TS_SUFFIX = "timestamp", "(timestamp)"   # fixed values: names of the epoch column
@@ -183,15 +185,50 @@ def merge(spark: SparkSession, sources: Sequence[str], csv: C.CsvOptions = C.Csv
 # ---------------------------------------------------------------- row router
 def route(spark: SparkSession, files: Sequence[str], date_index: int = 1, sep: str = ";",
           encoding: str = "UTF-8") -> DataFrame:
-    """Raw data lines with ``ok`` (a ``dd/mm/yyyy HH:MM`` date in cell ``date_index``) and
-    ``ym``.  Cells are read as CSV: the separator is taken literally, quoted cells may hold
-    it."""
+    """Raw data lines with ``ok`` (two cells or more, and a ``dd/mm/yyyy HH:MM`` date in cell
+    ``date_index``) and ``ym``.  Cells are read as CSV: the separator is taken literally,
+    quoted cells may hold it."""
     lines = C.read_raw_lines(spark, files, C.CsvOptions(sep=sep, encoding=encoding))
-    cells = ", ".join(f"c{i} string" for i in range(max(1, date_index) + 1))
-    parsed = F.from_csv(F.col("value"), cells, {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
-    dt = D.parse_minutes(parsed[f"c{date_index}"])
-    ok = parsed["c1"].isNotNull() & dt.isNotNull()
-    return lines.withColumn("ok", F.coalesce(ok, F.lit(False))).withColumn("ym", F.when(F.col("ok"), D.month_key(dt)))
+    parsed = _parsed(date_index + 1, sep)
+    return _routed(lines, parsed[f"c{date_index}"], parsed, sep)
+
+
+def route_aligned(spark: SparkSession, files: Sequence[str], date_index: int = 1, sep: str = ";",
+                  encoding: str = "UTF-8") -> tuple[DataFrame, str]:
+    """``route`` over files with different headers: every row's cells are put in the places of
+    the common header (``sources.csv.cell_places``), one permutation per file.  The date is the
+    column that has ``date_index`` in the common header.  Returns the rows, ``value`` being the
+    aligned line, and the header line."""
+    opts = C.CsvOptions(sep=sep, encoding=encoding)
+    header, places = C.cell_places(spark, files, opts)
+    lines = C.read_raw_lines(spark, files, opts)
+    parsed = _parsed(len(header), sep)
+    row = lines.join(places, F.col(C.PATH) == F.col("__p"), "left").withColumn("__row", parsed)
+    cells = F.array(*[F.col(f"__row.c{i}") for i in range(len(header))])
+    aligned = [F.when(F.get("__places", j) >= 0, F.get(F.col("__cells"), F.get("__places", j))).alias(f"a{j}")
+               for j in range(len(header))]
+    row = row.withColumn("__cells", cells)
+    line = F.to_csv(F.struct(*aligned), {"sep": sep, "quote": '"', "escape": '"', "emptyValue": ""})
+    routed = _routed(row, F.get("__cells", F.get("__places", date_index)), F.col("__row"), sep)
+    # the text of a row that is not routed stays as it was read
+    routed = routed.withColumn("value", F.when(F.col("ok"), line).otherwise(F.col("value")))
+    shown = spark.range(1).select(F.to_csv(F.struct(*[F.lit(C.display_name(n)).alias(f"a{j}") for j, n in enumerate(header)]),
+                                           {"sep": sep, "quote": '"', "escape": '"'})).first()[0]
+    return routed.drop("__p", "__places", "__row", "__cells"), shown
+
+
+def _parsed(cells: int, sep: str) -> Column:
+    """A line's cells c0, c1, ... (two at least)."""
+    schema = ", ".join(f"c{i} string" for i in range(max(2, cells)))
+    return F.from_csv(F.col("value"), schema, {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+
+
+def _routed(lines: DataFrame, date: Column, parsed: Column, sep: str) -> DataFrame:
+    dt = D.parse_minutes(date)
+    # an empty second cell reads as a missing one: then the separators are counted
+    two_cells = parsed["c1"].isNotNull() | (C.cell_count(F.col("value"), sep) >= 2)
+    ok = F.coalesce(two_cells & dt.isNotNull(), F.lit(False))
+    return lines.withColumn("ok", ok).withColumn("ym", F.when(F.col("ok"), D.month_key(dt)))
 
 
 def write_routed(routed: DataFrame, header: str, out: str) -> None:
@@ -220,6 +257,61 @@ def write_capped(df: DataFrame, out: str, drop: Sequence[str] = ("dt",), bom: bo
                       drop=["ym"])
 
 
+def write_capped_named(df: DataFrame, target: str, bom: bool = False, header_fix: str | None = None) -> dict[str, int]:
+    """The capped variant's files under their names in ``target``: months
+    (``alertes_YYYY_MM.csv``, by date, then input order), ``lignes_invalides.csv`` (key, date and
+    source of undated rows), ``lignes_filtrees.csv`` (of rows beyond the cap) and
+    ``alertes_lignes_invalides.csv`` (undated rows with all columns).  Returns the rows by status.
+
+    One write, partitioned by status and month, reads the input and counts it on the way; its
+    rows are whole lines, so that rejected rows can hold more cells than months do.  The audits
+    are then made from the rejected rows' own part of that output, which is all that is read
+    again."""
+    spark, sep = df.sparkSession, ";"
+    key = strip_accents_name(KEY) if header_fix == "accents" else KEY
+    keep = [c for c in df.columns if not c.startswith("_") and c not in ("status", "dt")]
+    iso = F.date_format("dt", "yyyy-MM-dd HH:mm:ss")
+    ok = F.col("status") == quality.OK
+
+    def line(*cells: Column) -> Column:
+        return F.to_csv(F.struct(*[c.alias(f"a{i}") for i, c in enumerate(cells)]),
+                        {"sep": sep, "quote": '"', "escape": '"', "emptyValue": ""})
+
+    month_line = line(*[iso if c == DATE else F.col(f"`{c}`") for c in keep])
+    audit_line = line(*[F.col(f"`{c}`") for c in keep], iso, F.col(C.SOURCE))
+    shown = spark.range(1).select(line(*[F.lit(C.display_name(c)) for c in keep])).first()[0]
+    counts = Observation()
+    data = (df.select(F.when(ok, month_line).otherwise(audit_line).alias(shown), "status",
+                      F.when(ok, D.month_key(F.col("dt"))).alias("ym"), "dt", ORDER_COL)
+            .observe(counts, *[F.count_if(F.col("status") == x).alias(x) for x in STATUSES]))
+    work = scratch_dir(spark, "capped")
+    write_partitioned(data, work, ["status", "ym"], order=["dt", ORDER_COL], bom=bom, drop=["dt", ORDER_COL], raw=True)
+    if exists(spark, f"{work}/status={quality.OK}"):
+        publish_month_files(spark, f"{work}/status={quality.OK}", target)
+    found = counts.get
+    rejected = [f"{work}/status={x}" for x in STATUSES[1:] if found[x]]
+    if rejected:
+        schema = ", ".join(f"a{i} string" for i in range(len(keep) + 2))
+        rows = (spark.read.schema(schema).option("sep", sep).option("escape", '"').option("header", True)
+                .option("basePath", work).csv(rejected)
+                .toDF(*[f"a{i}" for i in range(len(keep) + 2)], "status", "ym"))
+        undated, date, source = F.col("status") == quality.UNDATED, F.col(f"a{len(keep)}"), F.col(f"a{len(keep) + 1}")
+        of = F.when(undated, F.lit(AUDIT_INVALID)).otherwise(F.lit(AUDIT_FILTERED))
+        key_cell = [F.col(f"a{keep.index(key)}").alias(key)] if key in keep else []
+        _publish_audit(rows.select(*key_cell, date.alias(DATE), source.alias("Source"), of.alias("name")), target, bom)
+        full = [F.col(f"a{i}").alias(c) for i, c in enumerate(keep)]
+        _publish_audit(rows.where(undated).select(*full, date.alias("Date_parsed"), source.alias("Source"),
+                                                  F.lit(AUDIT_INVALID_FULL).alias("name")), target, bom)
+    return {x: int(found[x]) for x in STATUSES}
+
+
+def _publish_audit(rows: DataFrame, target: str, bom: bool) -> None:
+    """Rows under the file names of their column ``name``; a large audit keeps ``_pNNN`` parts."""
+    work = scratch_dir(rows.sparkSession, "audit")
+    write_partitioned(rows, work, ["name"], bom=bom)
+    publish_month_files(rows.sparkSession, work, target, partition_col="name", pattern="{ym}", part_pattern="{ym}_p{n:03d}.csv")
+
+
 def write_merged(kept: DataFrame, out: str, detected: DataFrame | None = None) -> None:
     """Merger output: one dataset per ``ym`` (YYYY-MM).  The detected date column moves to the
     front as ISO text, under its own name; where files differ in that column the front one

@@ -3,10 +3,9 @@
 Month outputs are one dataset partitioned by ``ym`` (and ``status`` for audits), so a
 run is one pass over the data and replaces only the months it carries (dynamic
 partition overwrite: stale months of earlier runs stay).  Ordered outputs are
-range-partitioned by (month, order) where the rows were already shuffled (the
-sampling pass then reads shuffle output): a hot month is cut into contiguous ranges
-written by several tasks, and its part files in part-number order keep the row
-order.  Other outputs are rebalanced (one pass), and AQE splits large months.
+laid out by a count of their months: ordinary months go whole to one task and one
+file, a hot month is cut into contiguous ranges written by several tasks, and its part
+files in part-number order keep the row order.  Other outputs are rebalanced (one pass), and AQE splits large months.
 """
 
 from __future__ import annotations
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from alertfold.sources.csv import display_name
 
 BOM = "\ufeff"
+MONTH_ROWS = 2_000_000   # rows above which an output month is cut into several ordered files
 
 
 def csv_writer(df: DataFrame, sep: str = ";", header: bool = True):
@@ -42,21 +42,21 @@ def with_bom_header(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
 
 def write_partitioned(df: DataFrame, out: str, partition_cols: Sequence[str], order: Sequence[str] = (),
                       sep: str = ";", bom: bool = True, mode: str = "overwrite",
-                      drop: Sequence[str] = (), ordered_parts: bool = False, raw: bool = False) -> None:
+                      drop: Sequence[str] = (), ordered_parts: bool = False, raw: bool = False,
+                      month_rows: int = MONTH_ROWS) -> None:
     """Spread rows over tasks by the partition columns, sort each task's rows by
     (partition columns, ``order``), write CSV partitioned by those columns (dynamic
     overwrite).
 
     ordered_parts=False: a rebalance; AQE splits a large month at any point, so each part
     file is in order but the parts of a split month are not ordered among themselves.
-    ordered_parts=True: range partitioning by (partition columns, order); a large month
-    is cut into contiguous ranges, and its part files in part-number order hold its rows
-    in order.  The range bounds come from a sampling pass over the input of the
-    exchange: free when that input is an earlier shuffle's output (a dedup before the
-    write), a second pass over the data when it is a scan."""
+    ordered_parts=True: the sizes of the output partitions are counted first (one short row
+    each, over the columns that tell them).  Those of up to ``month_rows`` rows are written
+    whole, one file each; larger ones are range-partitioned by (partition columns, order):
+    cut into contiguous ranges, whose files in part-number order hold the rows in order."""
     parts = [F.col(c) for c in partition_cols]
     if order and ordered_parts:
-        data = df.repartitionByRange(*parts, *[F.col(c) for c in order])
+        data = _whole_or_cut(df, partition_cols, order, month_rows)
     elif _aqe(df.sparkSession):
         data = df.hint("rebalance", *partition_cols)
     else:
@@ -75,6 +75,21 @@ def write_partitioned(df: DataFrame, out: str, partition_cols: Sequence[str], or
         writer.mode(mode).partitionBy(*partition_cols).csv(out)
 
 
+def _whole_or_cut(df: DataFrame, partition_cols: Sequence[str], order: Sequence[str], month_rows: int) -> DataFrame:
+    parts = [F.col(c) for c in partition_cols]
+    sizes = df.groupBy(*parts).count().where(F.col("count") > month_rows).collect()   # of the months, the large ones
+    if not sizes:
+        return df.repartition(*parts)
+    large = F.lit(False)
+    for r in sizes:
+        one = F.lit(True)
+        for c in partition_cols:
+            one = one & F.col(c).eqNullSafe(F.lit(r[c]))
+        large = large | one
+    cut = df.where(large).repartitionByRange(*parts, *[F.col(c) for c in order])
+    return df.where(~large).repartition(*parts).unionByName(cut)
+
+
 @contextmanager
 def _display_names(df: DataFrame):
     """The data under the names the headers show.  Where they differ only in case, this one

@@ -540,13 +540,51 @@ def read_by_name(spark: SparkSession, files: Sequence[str], opts: CsvOptions = C
     return out
 
 
+def _without_first_lines(batches):
+    """Rows (path, block, pos, value) in file order, without the first row of each file."""
+    import numpy as np
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        paths, blocks = batch.column(0), batch.column(1).to_numpy()
+        code = paths.dictionary_encode().indices.to_numpy()
+        begins = np.r_[True, (code[1:] != code[:-1]) | (blocks[1:] != blocks[:-1])]
+        begins[0] = last != (paths[0].as_py(), blocks[0])
+        last = (paths[-1].as_py(), blocks[-1])
+        yield batch.filter(_arrow_mask(~(begins & (blocks == 0))))
+
+
+def _arrow_mask(mask):
+    import pyarrow as pa
+    return pa.array(mask)
+
+
 def read_raw_lines(spark: SparkSession, files: Sequence[str], opts: CsvOptions = CsvOptions()) -> DataFrame:
-    """Data lines as text (header dropped, blank lines kept), for row-level validation."""
-    df = spark.read.text([reader_path(p) for p in files])
-    df = (with_file_order(df).withColumn(SOURCE, file_name())
-          .withColumn(PATH, F.col("_metadata.file_path")))
-    # the path is the file identity: equal names may sit in different sub-folders
-    first = (df.groupBy(F.col(PATH).alias("__p")).agg(F.min(ORDER_COL).alias("__first")))
-    first = per_file_broadcast(first, len(files))
-    return (df.join(first, df[PATH] == first["__p"]).where(F.col(ORDER_COL) != F.col("__first"))
-            .drop("__p", "__first"))
+    """Data lines as text (first line of each file dropped, blank lines kept), for row-level
+    validation.  One scan: a file block is read by one task from its start, so the task that
+    reads a file's first block drops its first row.  The text source takes bytes as UTF-8;
+    other encodings are decoded from the bytes."""
+    value = F.col("value")
+    if opts.encoding.upper().replace("_", "-") not in ("UTF-8", "UTF8"):
+        value = F.decode(value.cast("binary"), opts.encoding)
+    df = (spark.read.text([reader_path(p) for p in files])
+          .select(F.col("_metadata.file_path").alias(PATH), F.col("_metadata.file_block_start").alias("block"),
+                  F.monotonically_increasing_id().alias("pos"), value.alias("value"))
+          .mapInArrow(_without_first_lines, f"{PATH} string, block long, pos long, value string"))
+    order = F.struct(path_key(F.col(PATH)).alias("path"), "block", "pos")
+    return df.select("value", order.alias(ORDER_COL), unescape(F.element_at(F.split(PATH, "/"), -1)).alias(SOURCE), PATH)
+
+
+def cell_places(spark: SparkSession, files: Sequence[str], opts: CsvOptions = CsvOptions()
+                ) -> tuple[list[str], DataFrame]:
+    """The common header of files whose columns differ in order or number (the names of the
+    first file, then what later files add), and per file the place of each of its columns in
+    the file's own rows, -1 where it has none.  One short row per file, marked for broadcast
+    under the driver's own file count."""
+    lines = sorted(collect_header_lines(spark, files, opts), key=lambda x: path_sort_key(x[0]))
+    own = [(path, split_header(line, opts)) for path, line in lines]
+    header = list(dict.fromkeys(n for _, names in own for n in names))
+    rows = [(path, [names.index(n) if n in names else -1 for n in header]) for path, names in own]
+    places = spark.createDataFrame(rows, "__p string, __places array<int>")
+    return header, per_file_broadcast(places, len(files))

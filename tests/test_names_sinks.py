@@ -114,7 +114,7 @@ def test_split_month_parts_keep_order(spark, tmp_path):
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        W.write_partitioned(df, out, ["ym"], order=["o"], bom=False, ordered_parts=True)
+        W.write_partitioned(df, out, ["ym"], order=["o"], bom=False, ordered_parts=True, month_rows=100)
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
