@@ -104,10 +104,8 @@ def q_source_column(spark, sf):
 @query("discover_files", "S5 S6", _with("select distinct src as file_name from srcs"))
 def q_discover_files(spark, sf):
     prepare(spark)
-    opts = C.CsvOptions()
-    excl = "|".join(f"({p})" for p in opts.exclude)
-    return (C.listing(spark, stage(spark, sf, "base"), opts)
-            .where(~F.col("file_name").rlike(f"(?i){excl}")).select("file_name"))
+    paths = C.discover(spark, stage(spark, sf, "base"))
+    return C._paths_frame(spark, paths).select(C.unescape(F.element_at(F.split("path", "/"), -1)).alias("file_name"))
 
 
 @query("exclude_outputs", "S6", _with("select src as file_name, count(*) as n_rows from srcs group by src"))

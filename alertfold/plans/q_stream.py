@@ -38,6 +38,28 @@ def q_stream_monthly(spark, sf):
     return back.groupBy("ym").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+SLICINGS = (16, 64)
+
+
+@query("stream_monthly_global", "T2", """
+select n as files_per_batch, strftime(ts, '%Y_%m') as ym, count(*) as n_rows, sum(event_id) as id_sum
+from events, (values (16), (64)) as s(n) group by 1, 2""")
+def q_stream_monthly_global(spark, sf):
+    """Exports that overlap (every event comes in two of them), each key once in all months, cut
+    into batches of 16 and of 64 files: the months hold every event once either way."""
+    prepare(spark)
+    src, parts = stage(spark, sf, "events_overlap"), None
+    for n in SLICINGS:
+        out, ck = scratch_dir(spark, "stream-global"), scratch_dir(spark, "stream-global-ck")
+        s = ST.read_exports(spark, src, EVENT_COLUMNS, max_files_per_trigger=n)
+        ST.run_monthly(s.withColumn("dt", D.parse_strict(F.col("Date"))), out, ck, key="event_id", scope="global")
+        back = (spark.read.option("sep", ";").option("header", True).csv(out).groupBy("ym")
+                .agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("event_id").cast("long")).alias("id_sum"))
+                .select(F.lit(n).alias("files_per_batch"), "ym", "n_rows", "id_sum"))
+        parts = back if parts is None else parts.unionByName(back)
+    return parts
+
+
 @query("stream_dedup", "T3 D1", """
 select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as dt from events""")
 def q_stream_dedup(spark, sf):

@@ -8,6 +8,8 @@ base:    one ';' CSV per ``src`` (BOM header ``ord;Référence;Date;Timestamp;Pr
          current pipeline ingests and the include-pattern variant does not.
 drift:   same rows, headers drifting by year (extra column, reordered columns,
          blanks around names, a ``(timestamp)``-suffixed epoch column).
+drift_latin1: the same in Latin-1.
+undated: ',' sources of 1996, those of odd months without any date.
 comma:   ',' separated copy of base sources.
 shifted_comma: ',' sources named 7 days later (exports overlapping month ends).
 events:  ``events`` as one export per day, dates as ``dd/MM/yyyy HH:mm:ss`` text.
@@ -53,7 +55,7 @@ def _year_path(src: str = "src"):
 
 
 # bump when the staged layout changes, so that folders of older layouts are not reused
-STAGING_VERSION = "v4"
+STAGING_VERSION = "v5"
 
 
 def stage(spark: SparkSession, sf_dir: str, variant: str) -> str:
@@ -111,7 +113,14 @@ def _build(spark: SparkSession, sf_dir: str, variant: str, root: str) -> None:
         a = alerts(spark, sf_dir, src_shift_days=7)
         write_named_csv(a.select(F.col("src").alias("__file"), *_base_cols(a)), root, "__file",
                         order=["__o"], drop=["__o"], sep=",", bom=False)
-    elif variant == "drift":
+    elif variant == "undated":
+        a = alerts(spark, sf_dir).where(F.substring("src", 10, 4) == "1996")
+        odd = F.substring("src", 15, 2).cast("int") % 2 == 1
+        cols = [F.when(odd, F.lit(None)).otherwise(F.col("date_raw")).alias("Date") if c == "Date" else x
+                for c, x in zip(("__o", *BASE_HEADER), _base_cols(a)) if c != "Timestamp"]
+        write_named_csv(a.select(F.col("src").alias("__file"), *cols), root, "__file", order=["__o"], drop=["__o"],
+                        sep=",", bom=False)
+    elif variant in ("drift", "drift_latin1"):
         a = alerts(spark, sf_dir)
         year = F.substring(F.col("src"), 10, 4).cast("int")
         groups = {
@@ -124,7 +133,8 @@ def _build(spark: SparkSession, sf_dir: str, variant: str, root: str) -> None:
             "current": (year >= 1999, _base_cols(a)),
         }
         for cond, cols in groups.values():
-            write_named_csv(a.where(cond).select(_year_path().alias("__file"), *cols), root, "__file", order=["__o"], drop=["__o"])
+            write_named_csv(a.where(cond).select(_year_path().alias("__file"), *cols), root, "__file", order=["__o"], drop=["__o"],
+                            bom=variant == "drift", encoding="UTF-8" if variant == "drift" else "ISO-8859-1")
     elif variant == "events":
         e = read_table(spark, sf_dir, "events")
         write_named_csv(e.select(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +53,7 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str, delay: str
 
 
 KEYS = "_keys"        # parquet key index of the month output: ym=/batch=/ (key text only)
+KEY_BUCKETS = 256     # with the global scope, where the index holds hash buckets in place of months
 STAGING = "_staging"  # a batch's CSV before it is published into the month folders
 
 
@@ -68,7 +69,9 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";", scope: st
 
     The keys written so far are kept in a parquet index next to the months, so a batch
     reads one narrow column of the touched months (partition-pruned) instead of
-    re-parsing all their CSV text.  A batch commits in steps that are each
+    re-parsing all their CSV text.  With the global scope any month can hold a key, and the
+    index is laid out by the key's hash instead (``KEY_BUCKETS`` buckets, missing keys in one
+    of their own): a batch reads the buckets of its keys.  A batch commits in steps that are each
     safe to repeat: stage its CSV (overwrite), write its keys (dynamic overwrite of its
     own ``batch=`` partitions), move the staged files to names derived from the batch
     id (earlier copies of that batch removed first), then write a marker.  A replayed
@@ -95,27 +98,27 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";", scope: st
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         keys_root = f"{root}/{KEYS}"
         kcol = F.col(f"`{key}`").cast("string")
+        # where the index keeps a key: its month, or its bucket
+        place = F.col("ym") if scope == "month" else key_bucket(kcol)
         new = rows
         if exists(spark, keys_root):
             # one small aggregate: the batch size and the months it touches
-            st = rows.agg(F.count(F.lit(1)).alias("n"), F.collect_set("ym").alias("months"),
+            st = rows.agg(F.count(F.lit(1)).alias("n"), F.collect_set(place).alias("places"),
                           F.bool_or(F.col("ym").isNull()).alias("undated")).first()
             seen = (spark.read.schema("k string, ym string, batch long").parquet(keys_root)
                     .where(F.col("batch") != batch_id).select(F.col("k").alias("__k"), F.col("ym").alias("__ym")))
-            if scope == "month":   # other months cannot match: only the touched ones are read
-                in_months = F.col("__ym").isin(list(st["months"]))
-                seen = seen.where(in_months | F.col("__ym").isNull() if st["undated"] else in_months)
+            # other months, or buckets, cannot match: only the touched ones are read
+            touched = F.col("__ym").isin(list(st["places"]))
+            seen = seen.where(touched | F.col("__ym").isNull() if scope == "month" and st["undated"] else touched)
             if null_key == "keep":
                 seen = seen.where("__k IS NOT NULL")
-            same = kcol.eqNullSafe(F.col("__k"))
-            if scope == "month":
-                same = same & F.col("ym").eqNullSafe(F.col("__ym"))
-            # a key is in the index once per month (twice after an interrupted compaction),
-            # so the hits of one scope are bounded by 2 x batch rows x months
-            if scope == "month" and 2 * st["n"] <= MAX_BROADCAST_ROWS:
-                # the batch's keys are the small side: the month keys are filtered against
-                # them map-side (no shuffle of the month); the hits go to the anti-join
-                mine = rows.select(kcol.alias("__bk"), F.col("ym").alias("__bym")).distinct()
+            same = kcol.eqNullSafe(F.col("__k")) & place.eqNullSafe(F.col("__ym"))
+            # a key is in the index once per place (twice after an interrupted compaction), so
+            # the hits are bounded by 2 x batch rows
+            if 2 * st["n"] <= MAX_BROADCAST_ROWS:
+                # the batch's keys are the small side: the index is filtered against them
+                # map-side (no shuffle of it); the hits go to the anti-join
+                mine = rows.select(kcol.alias("__bk"), place.alias("__bym")).distinct()
                 hits = seen.join(F.broadcast(mine), F.col("__k").eqNullSafe(F.col("__bk"))
                                  & F.col("__ym").eqNullSafe(F.col("__bym")), "left_semi")
                 new = rows.join(F.broadcast(hits), same, "left_anti")
@@ -125,7 +128,7 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";", scope: st
         staged = f"{root}/{STAGING}/{batch_id}"
         csv_writer(new.drop(dt).hint("rebalance", "ym"), sep).mode("overwrite").partitionBy("ym").csv(staged)
         # rebalanced by month: a few files per month and batch, not one per shuffle partition
-        (new.select(kcol.alias("k"), "ym", F.lit(batch_id).cast("long").alias("batch"))
+        (new.select(kcol.alias("k"), place.alias("ym"), F.lit(batch_id).cast("long").alias("batch"))
          .hint("rebalance", "ym").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("ym", "batch").parquet(keys_root))
         new.unpersist()
@@ -137,6 +140,11 @@ def monthly_router(out: str, key: str, dt: str = "dt", sep: str = ";", scope: st
     return handle
 
 
+def key_bucket(key: Column) -> Column:
+    """The bucket of the global key index a key lies in, as the text of its partition."""
+    return F.when(key.isNull(), F.lit("none")).otherwise(F.format_string("b%03d", F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS))))
+
+
 def _dedup_keyed(rows: DataFrame, key: str, scope: str) -> DataFrame:
     """First row per key and scope; rows without a key all stay."""
     from alertfold.operators.dedup import dedup_first
@@ -206,7 +214,8 @@ def compact_key_index(spark: SparkSession, out: str) -> int:
     return len(done)
 
 
-def run_monthly(df: DataFrame, out: str, checkpoint: str, key: str) -> None:
-    q = (df.writeStream.foreachBatch(monthly_router(out, key)).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+def run_monthly(df: DataFrame, out: str, checkpoint: str, key: str, scope: str = "month",
+                null_key: str = "collapse") -> None:
+    q = (df.writeStream.foreachBatch(monthly_router(out, key, scope=scope, null_key=null_key))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
