@@ -42,3 +42,15 @@ def ascii_lower(text: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Number of words (``WORD``); NULL has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until ``df`` has no column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

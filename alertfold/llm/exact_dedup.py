@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alertfold.llm.common import ascii_lower, cut
+from alertfold.llm.common import ascii_lower, cut, fresh
 
 SALTS = 32
 BLOCK = 256
@@ -102,23 +102,28 @@ def _compare(docs: DataFrame, norm: Column, multi: DataFrame, hash_of) -> DataFr
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents of ``docs`` that stay, with all their columns; of rows that repeat a kept
-    id and its text, NULL ids among them, one stays."""
+    id and its text, NULL ids among them, one stays.  Columns may have any names."""
+    row_sha, keep_id, keep_sha, keep_n, key_id, whole = fresh(
+        docs, "_row_sha", "_keep_id", "_keep_sha", "_keep_n", "_key_id", "_whole_row")
     kept = cut(exact_groups(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-               .groupBy(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"))
-               .agg(F.count("*").alias("_keep_n")))
+               .groupBy(F.col("doc_id").alias(keep_id), F.col("text_sha256").alias(keep_sha))
+               .agg(F.count("*").alias(keep_n)))
     norm = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
 
     def hit(keys: DataFrame) -> DataFrame:
-        return docs.withColumn("_row_sha", F.sha2(norm, 256)).join(
+        return docs.withColumn(row_sha, F.sha2(norm, 256)).join(
             keys.hint("shuffle_hash"),
-            F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.col("_row_sha") == F.col("_keep_sha")), "left_semi")
+            F.col(id_col).eqNullSafe(F.col(keep_id)) & (F.col(row_sha) == F.col(keep_sha)), "left_semi")
 
-    repeated = kept.filter("_keep_n > 1")
-    out = hit(kept.filter("_keep_n = 1")).drop("_row_sha")
+    repeated = kept.filter(F.col(keep_n) > 1)
+    out = hit(kept.filter(F.col(keep_n) == 1)).drop(row_sha)
     if repeated.isEmpty():
         return out
-    # map-side sums of one row per task and key; the smallest hash of a row decides, so reruns agree
-    row = F.struct(*[F.col(c) for c in docs.columns])
-    one = (hit(repeated).groupBy(F.col(id_col).alias("_id"), "_row_sha")
-           .agg(F.min_by(row, F.md5(F.to_json(row))).alias("_row")).select("_row.*"))
-    return out.unionByName(one)
+    return out.unionByName(one_of_each(hit(repeated), [F.col(id_col).alias(key_id), F.col(row_sha)], docs.columns, whole))
+
+
+def one_of_each(rows: DataFrame, key: list[Column], columns: list[str], whole: str) -> DataFrame:
+    """One row for each key, with ``columns``: map-side sums of one row per task and key; the
+    smallest hash of a row decides, so reruns agree."""
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    return rows.groupBy(*key).agg(F.min_by(row, F.md5(F.to_json(row))).alias(whole)).select(f"{whole}.*")

@@ -10,7 +10,8 @@ do not change.  So a source's words end within one document's size of its target
 Pairs are formed inside blocks of about ``BLOCK`` documents.  A block leaves at most one
 undecided document; these residuals meet in blocks of ``FAN_IN`` on the next level, and so
 on up a reduction tree.  No block grows with a source, however hot.  The random numbers
-are hashes of the seed and the two ids, so reruns agree.
+are hashes of the seed and the two ids, so reruns agree.  What the sources' targets need is
+one short row per source, ranked in one task.
 
 NULL texts have size 0, a NULL source is a source of its own (the last), repeated rows are
 documents of their own, and an empty table gives no rows.  Documents without words take no
@@ -24,7 +25,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from alertfold.llm.common import cut, word_count
+from alertfold.llm.common import cut, fresh, word_count
+from alertfold.llm.exact_dedup import one_of_each
+from alertfold.operators.rank import rank_within
 from alertfold.operators.small import bounded_broadcast
 
 BLOCK = 4096
@@ -112,18 +115,23 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
         max_repeat: float = 3.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", block: int = BLOCK) -> DataFrame:
     """One row per document: ``doc_id, source, size, source_size, target, copies, taken``."""
+    return _mix(docs, weights, share, max_repeat, seed, id_col, text_col, source_col, block).drop("digest")
+
+
+def _mix(docs: DataFrame, weights, share, max_repeat, seed, id_col, text_col, source_col, block) -> DataFrame:
+    """``mix`` with ``digest``, a hash of the text that tells rows of one id apart."""
     sizes = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                            word_count(F.col(text_col)).alias("size")))
+                            word_count(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("digest")))
+    sizes = _keyed(sizes, seed)
     targets = bounded_broadcast(source_targets(sizes, weights, share, max_repeat))
     wide = sizes.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    wide = wide.select("d.doc_id", "d.source", "size", "source_size", "target", "n_docs", rate.alias("rate"))
+    wide = wide.select("d.doc_id", "d.source", "size", "digest", "key", "source_size", "target", "n_docs", rate.alias("rate"))
     whole = F.floor(F.col("rate") + EDGE)
-    wide = (wide.withColumn("whole", whole.cast("long")).withColumn("p", F.col("rate") - F.col("whole"))
-            .withColumn("key", F.xxhash64(F.lit(seed), "doc_id")))
+    wide = wide.withColumn("whole", whole.cast("long")).withColumn("p", F.col("rate") - F.col("whole"))
     settled = (F.col("size") == 0) | (F.col("p") <= EDGE)
     done = [wide.filter(settled).withColumn("p", F.lit(0.0))]
-    out = ["doc_id", "source", "size", "source_size", "target", "whole", "p"]
+    out = ["doc_id", "source", "size", "digest", "source_size", "target", "whole", "p"]
 
     n_blocks = F.ceil(F.col("n_docs") / block).cast("long")
     level = wide.filter(~settled).withColumn("block", F.pmod("key", n_blocks)).drop("rate").withColumn("blocks", n_blocks)
@@ -140,16 +148,52 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
         decided = decided.unionByName(part.select(out))
     copies = (F.col("whole") + F.col("p")).cast("long")
     return decided.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
-                          (F.col("size") * copies).alias("taken"))
-
-
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The mix itself: each document of ``docs`` as often as it is taken, all columns."""
-    copies = mix(docs, id_col=id_col, **options).select(F.col("doc_id").alias("_mix_id"), "copies", "size", "source")
-    # rows that repeat an id add up and share their copies evenly
-    per_id = copies.groupBy("_mix_id").agg(F.sum("copies").alias("_mix_copies"), F.count("*").alias("_mix_rows"))
-    once = per_id.filter("_mix_copies > 0").hint("shuffle_hash")
-    hit = docs.join(once, F.col(id_col).eqNullSafe(F.col("_mix_id")))
-    each = F.ceil(F.col("_mix_copies") / F.col("_mix_rows")).cast("int")
-    return hit.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), each))).drop(
-        "_mix_id", "_mix_copies", "_mix_rows", "_mix_copy")
+                          (F.col("size") * copies).alias("taken"), "digest")
+
+
+def _keyed(sizes: DataFrame, seed: int) -> DataFrame:
+    """``key``: what blocks and random numbers follow, from the id alone where it is one row's.
+    Rows of a NULL or repeated id add their text's digest and their number among equal rows, so
+    that no block grows with them; the keys do not depend on how the table is stored."""
+    own = F.xxhash64(F.lit(seed), "doc_id")
+    often = cut(sizes.groupBy("doc_id").agg(F.count("*").alias("rows"))
+                .filter("rows > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("again")))
+    if often.isEmpty():
+        return sizes.withColumn("key", own)
+    same = F.col("doc_id").eqNullSafe(F.col("again"))
+    single = sizes.join(often, same, "left_anti").withColumn("key", own)
+    # which of equal rows gets which number makes no difference
+    several = rank_within(sizes.join(often, same, "left_semi").withColumn("row", F.monotonically_increasing_id()),
+                          ["doc_id", "digest", "source", "size"], ["row"], out="nth")
+    several = several.withColumn("key", F.xxhash64(F.lit(seed), "doc_id", "digest", "nth")).drop("row", "nth")
+    return cut(single.unionByName(several))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0,
+                    max_repeat: float = 3.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source", block: int = BLOCK) -> DataFrame:
+    """The mix itself: each document of ``docs`` as often as it is taken, all columns.  Rows are
+    told apart by id, text and source; rows equal in all three stand for one another, and come
+    as often as they are taken together.  Columns may have any names."""
+    ident, digest, origin, many, rows, copy, whole = fresh(
+        docs, "_mix_id", "_mix_digest", "_mix_source", "_mix_copies", "_mix_rows", "_mix_copy", "_whole_row")
+    taken = _mix(docs, weights, share, max_repeat, seed, id_col, text_col, source_col, block)
+    per_row = cut(taken.groupBy(F.col("doc_id").alias(ident), F.col("digest").alias(digest), F.col("source").alias(origin))
+                  .agg(F.sum("copies").alias(many), F.count("*").alias(rows)).filter(F.col(many) > 0))
+
+    def hit(keys: DataFrame) -> DataFrame:
+        match = (docs[id_col].eqNullSafe(keys[ident]) & (F.xxhash64(docs[text_col]) == keys[digest])
+                 & docs[source_col].eqNullSafe(keys[origin]))
+        return docs.join(keys.hint("shuffle_hash"), match)
+
+    def repeated(found: DataFrame) -> DataFrame:
+        times = F.explode(F.sequence(F.lit(1).cast("long"), F.col(many)))
+        return found.withColumn(copy, times).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+    out = repeated(hit(per_row.filter(F.col(rows) == 1).drop(rows)))
+    several = per_row.filter(F.col(rows) > 1).drop(rows)
+    if several.isEmpty():
+        return out
+    key = [F.col(c) for c in (ident, digest, origin)]
+    one = one_of_each(hit(several), key, [*docs.columns, many], whole)
+    return out.unionByName(repeated(one))

@@ -24,8 +24,11 @@ Words are what ``bytes.split`` separates, A-Z lower-cased.  With fewer words tha
 whole sequence is one n-gram; texts that are NULL or without words have the empty set and
 are linked with nothing.  Rows with a NULL id get a NULL component and link nothing.  Rows
 that repeat an id are the same node.  An empty table gives no rows; other columns are
-ignored.  Set ids are told apart by 64-bit hashes, n-grams by their fragment and 48 bits
-more.
+ignored.  Sets and n-grams are told apart by their 64-bit hashes.
+
+An n-gram that ``HOT`` sets or more of one haul (a reading task's batch of sets) share goes to
+its fragment once, with its count, and its owners wait with the haul's other results; so a
+fragment's task holds at most ``HOT`` entries per haul of one n-gram, however common.
 """
 
 from __future__ import annotations
@@ -36,8 +39,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alertfold.llm.common import cut, written
+from alertfold.llm.common import cut, fresh, written
 from alertfold.llm.components import components
+from alertfold.llm.exact_dedup import one_of_each
 
 FRAGMENT_GRAMS = 500_000   # n-grams that a fragment's task holds, about
 HAUL_GRAMS = 4_000_000     # n-grams, and sets, that a reading task gathers before it deals them out
@@ -45,6 +49,8 @@ HAUL_SETS = 60_000
 ROUNDS = 3                 # at most so many rounds of two members per list
 CHECK_FRAGMENTS = 4        # fragments of the verification
 SALTS = 16
+HOT = 256                  # sets of a haul that make an n-gram travel as a count
+COUNTED = 0xFFFF           # the owner of such an entry; hauls hold fewer sets
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -87,8 +93,8 @@ def _deal(n: int, fragments: int):
     """(text) batches -> what a fragment's task needs.
 
     A reading task gathers some sets, a *haul*, and sends each fragment their n-grams in its
-    range with the set's number in the haul; of a hash only the bits below the fragment's
-    travel.  Groups below zero get the sets' ids, dealt by id, so that equal sets meet.
+    range with the set's number in the haul.  Groups from -1 to -fragments get the sets' ids,
+    dealt by id, so that equal sets meet; groups below pass on the owners of hot n-grams.
     """
     def flush(held):
         if not held:
@@ -98,7 +104,19 @@ def _deal(n: int, fragments: int):
         haul = xxhash.xxh3_64_intdigest(sids.tobytes()) >> 1
         grams = np.concatenate([g for _, g in held])
         owner = np.repeat(np.arange(len(held), dtype=np.uint16), sizes)
-        yield from _packed(_fragment(grams, fragments), haul, owner, _low(grams))
+        order = np.argsort(grams, kind="stable")
+        begins = np.flatnonzero(np.r_[True, grams[order][1:] != grams[order][:-1]])
+        times = np.diff(np.r_[begins, len(grams)])
+        hot = np.empty(len(grams), bool)
+        hot[order] = np.repeat(times >= HOT, times)
+        if hot.any():
+            counted = grams[order][begins[times >= HOT]]
+            yield from _packed(_fragment(counted, fragments), haul, np.full(len(counted), COUNTED, np.uint16),
+                               counted, times[times >= HOT])
+            aside = np.full(int(hot.sum()), -1 - fragments - haul % fragments, np.int32)
+            yield from _packed(aside, haul, owner[hot], grams[hot])
+            grams, owner = grams[~hot], owner[~hot]
+        yield from _packed(_fragment(grams, fragments), haul, owner, grams)
         group = -1 - (sids.astype(np.uint64) % np.uint64(fragments)).astype(np.int32)
         yield from _packed(group, haul, np.arange(len(held), dtype=np.uint16), sids, sizes)
 
@@ -126,25 +144,11 @@ _PACK = pa.schema([("grp", pa.int32()), ("haul", pa.int64()), ("owners", pa.bina
                    ("b", pa.binary())])
 _PACK_DDL = "grp int, haul long, owners binary, a binary, b binary"
 _SETS_DDL = "sid long, n long, shared long, weight long, prefix array<long>, segments array<array<long>>"
-LOW_BITS = 48
 
 
 def _fragment(grams: np.ndarray, fragments: int) -> np.ndarray:
     """Pivots at equal steps of the hash order."""
-    return ((grams >> np.uint64(40)) * np.uint64(fragments) >> np.uint64(24)).astype(np.int32)
-
-
-def _low(grams: np.ndarray) -> np.ndarray:
-    """The low 48 bits of each hash, as six bytes."""
-    return np.ascontiguousarray(grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :LOW_BITS // 8])
-
-
-def _whole(low: bytes, fragment: int) -> np.ndarray:
-    """N-gram numbers: the fragment above the low bits; their order is the global one of the
-    fragments."""
-    out = np.zeros((len(low) // (LOW_BITS // 8), 8), np.uint8)
-    out[:, :LOW_BITS // 8] = np.frombuffer(low, np.uint8).reshape(len(out), -1)
-    return out.view("<u8").reshape(-1).astype(np.int64) | (fragment << LOW_BITS)
+    return ((grams >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int32)
 
 
 def _packed(group: np.ndarray, haul, owner: np.ndarray, a: np.ndarray, b: np.ndarray | None = None):
@@ -159,24 +163,30 @@ def _packed(group: np.ndarray, haul, owner: np.ndarray, a: np.ndarray, b: np.nda
             "b": None if b is None else b[rows].tobytes()}], schema=_PACK)
 
 
-def _count():
+def _count(fragments: int):
     """A fragment: n-grams of two sets or more, back to their hauls with a rank that rises
-    with their count.  A group of ids: of equal sets, the one that stands for them."""
+    with their count.  A group of ids: of equal sets, the one that stands for them.  Owners of
+    hot n-grams: as they came."""
     def run(key, table):
         group = key[0].as_py()
+        if group < -fragments:
+            return table
         hauls, owners = table.column("haul").to_pylist(), table.column("owners").to_pylist()
-        first = table.column("a").to_pylist()
+        first, second = table.column("a").to_pylist(), table.column("b").to_pylist()
         sizes = [len(o) // 2 for o in owners]
         ends = np.cumsum(sizes)
         owner = np.frombuffer(b"".join(owners), np.uint16)
         if group >= 0:
-            a = _whole(b"".join(first), group)
-            _, inverse, count = np.unique(a, return_inverse=True, return_counts=True)
+            a = np.frombuffer(b"".join(first), np.uint64)
+            weight = np.concatenate([np.ones(n, np.int64) if x is None else np.frombuffer(x, np.int64)
+                                     for n, x in zip(sizes, second)])
+            _, inverse = np.unique(a, return_inverse=True)
+            count = np.bincount(inverse, weights=weight)
             rank = np.minimum(255, np.floor(8 * np.log2(count))).astype(np.uint8)
             keep, b = count[inverse] > 1, rank[inverse]
         else:
             a = np.frombuffer(b"".join(first), np.int64)
-            b = np.frombuffer(b"".join(table.column("b").to_pylist()), np.int64)
+            b = np.frombuffer(b"".join(second), np.int64)
             place = np.repeat(np.array(hauls), sizes)
             order = np.lexsort((owner, place, a))
             keep = np.zeros(len(a), bool)
@@ -200,12 +210,22 @@ def _gather(num: int, den: int, fragments: int):
         group = np.array(table.column("grp").to_pylist())
         owners, a, b = (table.column(c).to_pylist() for c in ("owners", "a", "b"))
 
-        def joined(parts, kind, of):
-            return np.frombuffer(b"".join(x for x, g in zip(parts, group) if (g >= 0) == of), kind)
-
-        owner, grams, rank = joined(owners, np.uint16, True), joined(a, np.int64, True), joined(b, np.uint8, True)
+        def joined(parts, kind, wanted):
+            return np.frombuffer(b"".join(x for x, w in zip(parts, wanted) if w), kind)
+
+        of_gram, of_set, aside = group >= 0, (group < 0) & (group >= -fragments), group < -fragments
+        owner, grams, rank = joined(owners, np.uint16, of_gram), joined(a, np.uint64, of_gram), joined(b, np.uint8, of_gram)
+        counted = owner == COUNTED
+        if counted.any():
+            # the ranks of hot n-grams meet their owners
+            order = np.argsort(grams[counted])
+            known_hot, hot_rank = grams[counted][order], rank[counted][order]
+            hot = joined(a, np.uint64, aside)
+            at = np.searchsorted(known_hot, hot)
+            owner = np.r_[owner[~counted], joined(owners, np.uint16, aside)]
+            grams, rank = np.r_[grams[~counted], hot], np.r_[rank[~counted], hot_rank[at]]
         known = np.full(1 << 16, -1, np.int64)   # number in the haul -> place among the sets that stand
-        stands, sids, size = joined(owners, np.uint16, False), joined(a, np.int64, False), joined(b, np.int64, False)
+        stands, sids, size = joined(owners, np.uint16, of_set), joined(a, np.int64, of_set), joined(b, np.int64, of_set)
         known[stands] = np.arange(len(stands))
         at = known[owner]
         shared = np.bincount(at[at >= 0], minlength=len(sids))
@@ -220,16 +240,16 @@ def _gather(num: int, den: int, fragments: int):
         out: dict[str, list] = {"sid": [], "n": [], "shared": [], "weight": [], "prefix": [], "segments": []}
         # how common a set's n-grams are on the whole: highest for what others were copied from
         weight = np.bincount(at, weights=rank, minlength=len(sids) + 1)[:len(sids)] * 1000 // np.maximum(size, 1)
+        numbers, part_of = grams.view(np.int64), _fragment(grams, cuts)
         lo = 0
         for k, hi in zip(chosen, ends):
-            own = grams[lo:hi]
+            own, part = numbers[lo:hi], part_of[lo:hi]
             lo = hi
             out["weight"].append(int(weight[k]))
             out["sid"].append(int(sids[k]))
             out["n"].append(int(size[k]))
             out["shared"].append(int(shared[k]))
             out["prefix"].append(own[:shared[k] - need[k] + 1])
-            part = (own >> LOW_BITS) * cuts // fragments
             out["segments"].append([own[part == f] for f in range(cuts)])
         return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), (
             pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))))})
@@ -282,10 +302,35 @@ def near_groups(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col:
 
 def drop_near_copies(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """One document of each component, that with the smallest id, with all its columns."""
-    gone = (near_groups(docs, n, num, den, id_col, text_col).filter("doc_id <> component_id")
-            .select(F.col("doc_id").alias("_near_id")).distinct())
-    return docs.join(gone.hint("shuffle_hash"), F.col(id_col) == F.col("_near_id"), "left_anti")
+    """One document of each component, with all its columns: that with the smallest id, a NULL id
+    last.  Rows that repeat an id are documents of their own, told apart by their texts; rows
+    that repeat an id and its text are one.  Texts without words are linked with nothing.
+    Columns may have any names."""
+    none, ident, digest, whole, times = fresh(docs, "_none", "_ident", "_digest", "_whole_row", "_times")
+    key = [F.col(id_col).isNull().alias(none), F.col(id_col).alias(ident), F.md5(F.coalesce(text_col, F.lit(""))).alias(digest)]
+    names = (none, ident, digest)
+    keyed = docs.select(F.struct(*key).alias("doc_id"), F.col(text_col).alias("text"))
+    groups = cut(near_groups(keyed, n, num, den).select("doc_id", "component_id").groupBy("doc_id", "component_id")
+                 .agg(F.count("*").alias(times)))
+    gone = groups.filter("doc_id <> component_id").select("doc_id.*")
+    repeated = groups.filter((F.col("doc_id") == F.col("component_id")) & (F.col(times) > 1)).select("doc_id.*")
+
+    def same(keys: DataFrame):
+        of = [c.alias(f"{k}_of") for c, k in zip((keys[none], keys[ident], keys[digest]), names)]
+        keys = keys.select(*of)
+        left = docs.select("*", *key)
+        hit = F.lit(True)
+        for k in names:
+            hit = hit & left[k].eqNullSafe(keys[f"{k}_of"])
+        return left, keys.hint("shuffle_hash"), hit
+
+    left, keys, hit = same(gone.unionByName(repeated))
+    out = left.join(keys, hit, "left_anti").select(*[left[c] for c in docs.columns])
+    if repeated.isEmpty():
+        return out
+    left, keys, hit = same(repeated)
+    rows = left.join(keys, hit, "left_semi")
+    return out.unionByName(one_of_each(rows, [F.col(k) for k in names], docs.columns, whole))
 
 
 def set_links(texts: DataFrame, described: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -293,7 +338,7 @@ def set_links(texts: DataFrame, described: DataFrame, n: int, num: int, den: int
     for every component to hold together."""
     grams = described.agg(F.sum("n_shingles")).first()[0] or 0
     fragments = max(1, -(-grams // FRAGMENT_GRAMS))
-    shared = texts.mapInArrow(_deal(n, fragments), _PACK_DDL).groupBy("grp").applyInArrow(_count(), _PACK_DDL)
+    shared = texts.mapInArrow(_deal(n, fragments), _PACK_DDL).groupBy("grp").applyInArrow(_count(fragments), _PACK_DDL)
     able = cut(shared.groupBy("haul").applyInArrow(_gather(num, den, fragments), _SETS_DDL))
     segments = able.select("sid", "n", F.posexplode("segments").alias("frag", "seg"))
     lists = able.select(F.posexplode("prefix").alias("pos", "g"), "sid", "n", "shared", "weight", F.col("sid").alias("comp"))

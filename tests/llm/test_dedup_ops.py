@@ -4,6 +4,9 @@ import hashlib
 import random
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,8 +114,61 @@ def test_near_groups_nulls_repeats_and_empty(spark):
     assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in got) == [
         ("5", 5, 5), ("5", 5, 5), ("7", 6, 5), ("9", 0, 9), ("None", 5, None)]
     assert ngram_join.near_groups(docs(spark, [])).collect() == []
+    # a row without an id loses against its near copy with one
     left = ngram_join.drop_near_copies(docs(spark, rows[2:]), 2, 1, 2)
-    assert sorted(str(r.doc_id) for r in left.collect()) == ["7", "9", "None"]
+    assert sorted(str(r.doc_id) for r in left.collect()) == ["7", "9"]
+
+
+def test_drop_near_copies_goes_by_row(spark):
+    """Rows of one id or of none are documents of their own; columns may have any names."""
+    base = "one two three four five six seven eight nine ten"
+    rows = [(3, base), (3, base + " x"), (3, "quite another text here"), (None, base + " y"), (8, base), (None, "alone in the world"),
+            (None, "alone in the world"), (9, "z z z z"), (9, "z z z z"), (10, None), (10, None), (None, None), (11, "")]
+    table = spark.createDataFrame([(i, t, "a", "b", 1) for i, t in rows],
+                                  "doc_id long, text string, _near_id string, _digest string, _ident int")
+    left = ngram_join.drop_near_copies(table, 2, 1, 2)
+    assert left.columns == table.columns
+    first = min([base, base + " x"], key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    want = [("3", first), ("3", "quite another text here"), ("None", "alone in the world"), ("9", "z z z z"), ("10", None),
+            ("None", None), ("11", "")]
+    assert sorted(((str(r.doc_id), r.text) for r in left.collect()), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("hot", [256, 3])
+def test_many_fragments_and_a_common_n_gram(spark, monkeypatch, hot):
+    """More fragments than 16 bits count, and n-grams that all sets share."""
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    assert len({int(f) for f in ngram_join._fragment(np.linspace(0, 2 ** 64 - 1, 200_000).astype(np.uint64), 40_000)}) == 40_000
+    rng = random.Random(5)
+    rows = []
+    for i in range(90):
+        words = [f"w{rng.randint(0, 30)}" for _ in range(12)]
+        rows.append((i, "all sets share this " * 2 + " ".join(words)))
+        if i % 3 == 0:
+            rows.append((1000 + i, "all sets share this " * 2 + " ".join(words[:-1])))
+    from alertfold.llm.ngram_join import gram_set
+    sets = {i: set(gram_set(t, 2).tolist()) for i, t in rows}
+    best = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and best[b] < best[a]:
+                    best[a], changed = best[b], True
+    monkeypatch.setattr(ngram_join, "FRAGMENT_GRAMS", 20)
+    got = {r.doc_id: r.component_id for r in ngram_join.near_groups(docs(spark, rows), 2, 4, 5).collect()}
+    assert got == best and len(set(best.values())) < len(best)
+
+
+def test_n_grams_are_told_apart_by_all_their_bits(monkeypatch):
+    """Two hashes that differ in their highest bit alone, in one fragment."""
+    a, b = 5, 5 + (1 << 63)
+    sets = {"p": [a, 7], "q": [b, 8]}
+    monkeypatch.setattr(ngram_join, "gram_set", lambda text, n: np.array(sorted(sets[text]), np.uint64))
+    packs = pa.Table.from_batches(list(ngram_join._deal(2, 1)([pa.RecordBatch.from_pydict({"text": ["p", "q"]})])))
+    grams = packs.filter(pa.compute.equal(packs["grp"], 0))
+    assert ngram_join._count(1)((pa.scalar(0),), grams).num_rows == 0
 
 
 def test_components_of_chains_and_stars(spark):

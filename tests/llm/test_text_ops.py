@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from alertfold.llm import chat_format, mixing, pii, piece_bpe, url_filter
 from alertfold.llm.boosting import Boosted
@@ -58,6 +59,24 @@ def test_mix_hits_targets_and_repeats_itself(spark, block):
     assert {i: c for i, c in once.items() if c} == {i: c for i, c in counts.items() if i != 5}
 
 
+def test_rows_of_no_id_and_of_one_id_are_mixed_by_row(spark):
+    rows = [(None, "w " * (i % 20 + 1), "a") for i in range(150)] + [(7, "w " * (i % 9 + 1), "b") for i in range(150)]
+    rows += [(i, "v " * 10, "c") for i in range(100, 200)]
+    docs = spark.createDataFrame([(i, t, s, 1, 2, 3) for i, t, s in rows],
+                                 "doc_id long, text string, source string, _mix_id int, _mix_copies int, copies int")
+    got = mixing.mix(docs, block=16).collect()
+    want = targets_by_hand({s: sum(len(t.split()) for _, t, x in rows if x == s) for s in "abc"})
+    mixed = mixing.mixed_documents(docs, block=16)
+    assert mixed.columns == docs.columns
+    words = {s: 0 for s in "abc"}
+    for r in mixed.collect():
+        words[r.source] += len(r.text.split())
+    taken = {s: sum(r.taken for r in got if r.source == s) for s in "abc"}
+    assert words == taken and all(abs(taken[s] - want[s]) <= 20 for s in "abc")
+    keys = mixing._keyed(docs.select("doc_id", "source", F.xxhash64("text").alias("digest"), F.lit(1).alias("size")), 17)
+    assert keys.select("key").distinct().count() == len(rows)
+
+
 def test_pivot_keeps_mass_and_expectation():
     rng = np.random.default_rng(0)
     size, p = rng.integers(1, 50, 60).astype(float), rng.uniform(0.05, 0.95, 60)
