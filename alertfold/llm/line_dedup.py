@@ -140,4 +140,5 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS clean_sha256
 FROM marked GROUP BY doc_id
+UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
 """

@@ -82,7 +82,7 @@ def op10(spark, sf_dir):
 @query("op3_line_templates", "line dedup", line_dedup.ORACLE)
 def op3(spark, sf_dir):
     """All documents without the lines whose template recurs across documents."""
-    clean = line_dedup.drop_recurring_lines(table(spark, sf_dir, "documents").filter("text IS NOT NULL"))
+    clean = line_dedup.drop_recurring_lines(table(spark, sf_dir, "documents"))
     return clean.select("doc_id", "n_lines", "n_dropped", F.sha2("clean", 256).alias("clean_sha256"))
 
 

@@ -6,7 +6,8 @@ of their number, fitted on documents that the network was not trained on.
 
 The network and the logistic function are trained on the driver, on a bounded sample: at
 most ``SAMPLE`` labelled documents of each class, those with the smallest hashes of their
-ids, with at most ``SAMPLE_WINDOWS`` windows each.  Everything else runs in tasks: the
+ids, and of all windows of their whole texts about ``SAMPLE_WINDOWS`` of each class, those
+with the smallest hashes of id and position.  Everything else runs in tasks: the
 network goes out as a broadcast of fixed size, no shuffle is needed.
 
 Texts without words score 0.  Rows with a NULL label, and labels without a document, teach
@@ -20,15 +21,17 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alertfold.llm.arrow import slices
+from alertfold.llm.common import cut
 from alertfold.llm.gru import Gru, train, words_of
 
 WINDOW, STRIDE = 128, 64
 SAMPLE = 2500
-SAMPLE_WINDOWS = 6
+SAMPLE_WINDOWS = 7500
 TRAIN_STEPS = 500
 SCORE_WINDOWS = 1024
 THRESHOLD = 0.7
@@ -104,17 +107,25 @@ def sample_labels(labels: DataFrame) -> DataFrame:
     return of[0].unionByName(of[1]).withColumn("use", F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(4)).cast("int"))
 
 
-def _sample_windows(batches):
+def _window_counts(batches):
     for batch in batches:
-        out = []
-        for i, toxic, text in zip(*(c.to_pylist() for c in batch.columns)):
-            words = words_of(text)
-            at = starts(len(words))
-            for k in sorted({round(j * (len(at) - 1) / (SAMPLE_WINDOWS - 1)) for j in range(SAMPLE_WINDOWS)}):
-                if words:
-                    out.append({"toxic": toxic, "window": " ".join(words[at[k]:at[k] + WINDOW]), "id": str(i)})
-        yield pa.RecordBatch.from_pylist(out, schema=pa.schema(
-            [("id", pa.string()), ("toxic", pa.int32()), ("window", pa.string())]))
+        n = [len(starts(len(words))) if words else 0 for words in map(words_of, batch.column(1).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["toxic", "n"])
+
+
+def _sample_windows(share: dict[int, float]):
+    """Of every class ``share`` of its windows, wherever in the texts they lie."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for i, toxic, text in zip(*(c.to_pylist() for c in batch.columns)):
+                words = words_of(text)
+                for s in starts(len(words)) if words else ():
+                    if xxhash.xxh3_64_intdigest(f"{i}:{s}") < share[toxic] * 2 ** 64:
+                        out.append({"toxic": toxic, "window": " ".join(words[s:s + WINDOW]), "id": str(i)})
+            yield pa.RecordBatch.from_pylist(out, schema=pa.schema(
+                [("id", pa.string()), ("toxic", pa.int32()), ("window", pa.string())]))
+    return run
 
 
 def _scorer(net):
@@ -142,9 +153,13 @@ def fit(docs: DataFrame, labels: DataFrame):
         return None, rate
     # the ids of the sample are bounded by 2 * SAMPLE, so they can go to every task
     ids = F.broadcast(spark.createDataFrame(picked))
-    texts = docs.join(ids, docs.doc_id == ids.id).select("id", F.col("toxic").cast("int").alias("toxic"), "use", "text")
-    windows = (texts.filter("use > 0").select("id", "toxic", "text")
-               .mapInArrow(_sample_windows, "id string, toxic int, window string").toPandas())
+    texts = cut(docs.join(ids, docs.doc_id == ids.id).select("id", F.col("toxic").cast("int").alias("toxic"), "use", "text"))
+    taught = texts.filter("use > 0")
+    many = {r.toxic: r.n for r in taught.select("toxic", "text").mapInArrow(_window_counts, "toxic int, n long")
+            .groupBy("toxic").agg(F.sum("n").alias("n")).collect()}  # a row a class
+    share = {c: min(1.0, SAMPLE_WINDOWS / n) if n else 0.0 for c, n in many.items()}
+    windows = (taught.select("id", "toxic", "text")
+               .mapInArrow(_sample_windows(share), "id string, toxic int, window string").toPandas())
     if windows["toxic"].nunique() < 2:
         return None, rate
     windows = windows.sort_values(["id", "window"], kind="stable")
