@@ -14,9 +14,13 @@ are found in one pass over all vectors, and the smallest number of probes that f
 answered by exact passes.
 
 Equal vectors are indexed once, with their smallest ids (as many as a result can name), so
-a vector that fills a third of the table is one entry.  A bucket is dealt to blocks of about
-``BLOCK`` vectors, each of which gives its own nearest ones only.  A query that finds fewer
-neighbours than asked for, while there are more vectors, is answered by an exact pass.
+a vector that fills a third of the table is one entry.  The buckets of a table that share
+their first axis are dealt by the rest of their code to blocks of about ``BLOCK`` vectors, so
+a query goes to the blocks its own buckets lie in and to no other; a bucket that would fill
+a block by itself has its own, split by id, and its queries go to each part.  A block gives its own nearest
+ones only.  Codes and ids are counted and dealt first, vectors join them afterwards.  A
+query that finds fewer neighbours than asked for, while there are more vectors, is answered
+by an exact pass.
 
 Vectors that are NULL, zero, or hold NULL or non-finite components take no part, nor do
 those whose length differs from the most frequent one (the longer on a tie).  Ids that are
@@ -28,10 +32,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from alertfold.llm.common import cut
+from alertfold.llm.common import cut, written
+from alertfold.operators.small import bounded_broadcast
 
 TABLES = 16
 CALIBRATE = 64
@@ -207,15 +212,15 @@ def _probes_needed(lsh: CrossPolytope, units: np.ndarray, others: np.ndarray, at
 def _entries(lsh: CrossPolytope):
     def run(batches):
         for batch in batches:
-            reps, vecs = batch.column(0), batch.column(1)
+            reps = batch.column(0)
             if not len(reps):
                 continue
-            unit = _unit(_matrix(vecs))
+            unit = _unit(_matrix(batch.column(1)))
             for table in range(len(lsh.signs)):
                 first, rest = lsh.codes(unit, table)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(reps), table, np.int32)), pa.array(first), pa.array(rest), reps, vecs],
-                    names=["t", "h", "rest", "rep", "vec"])
+                    [pa.array(np.full(len(reps), table, np.int32)), pa.array(first), pa.array(rest), reps],
+                    names=["t", "h", "rest", "rep"])
     return run
 
 
@@ -223,18 +228,17 @@ def _looks(lsh: CrossPolytope, most: int):
     def run(batches):
         for batch in batches:
             ids, vecs = batch.column(0).to_numpy(), _matrix(batch.column(1))
-            out = {"t": [], "h": [], "rests": [], "q": [], "qvec": []}
+            out = {"t": [], "h": [], "rests": [], "q": []}
             if len(ids):
                 unit = _unit(vecs)
                 for table in range(len(lsh.signs)):
                     for i, (a, b) in enumerate(lsh.probes(unit, table, most)):
                         for h in np.unique(a):
-                            for key, value in zip(out, (table, int(h), b[a == h], int(ids[i]), vecs[i])):
+                            for key, value in zip(out, (table, int(h), b[a == h], int(ids[i]))):
                                 out[key].append(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out["t"], pa.int32()), pa.array(out["h"], pa.int64()),
-                 pa.array(out["rests"], pa.list_(pa.int64())), pa.array(out["q"], pa.int64()),
-                 pa.array(out["qvec"], pa.list_(pa.float64()))], names=list(out))
+                 pa.array(out["rests"], pa.list_(pa.int64())), pa.array(out["q"], pa.int64())], names=list(out))
     return run
 
 
@@ -262,8 +266,9 @@ def _rank_block(top: int):
 
 
 def _vectors(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """Distinct usable (id, vector) rows, the vectors as doubles of one length."""
-    rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    """Distinct usable (id, vector) rows, the vectors of one length; floats travel as they are."""
+    kind = "array<float>" if table.schema[vec_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(kind).alias("vec"))
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     rows = rows.filter("id IS NOT NULL AND vec IS NOT NULL").filter(~bad & F.exists("vec", lambda x: x != 0))
     usual = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
@@ -303,21 +308,50 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ve
             .select("query_id", "rank", "vec_id", "score"))
 
 
+def _dealt(entries: DataFrame, looks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries ``t, h, rest, rep`` and looks ``t, h, rests, q`` with the ``block`` and ``part`` they
+    meet in."""
+    family = ["t", "h"]
+    # at most TABLES * 2 * dim rows: a fixed size
+    blocks = cut(entries.groupBy(*family).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
+    entries = entries.join(F.broadcast(blocks), family).select(
+        *family, _block(F.col("rest"), F.col("blocks")).cast("long").alias("block"), "rest", "rep")
+    to = F.array_distinct(F.transform("rests", lambda r: _block(r, F.col("blocks"))))
+    asked = looks
+    looks = (asked.join(F.broadcast(blocks), family).select(*family, "blocks", "rests", "q", F.explode(to).alias("block"))
+             .select(*family, F.col("block").cast("long").alias("block"),
+                     F.filter("rests", lambda r: _block(r, F.col("blocks")) == F.col("block")).alias("rests"), "q"))
+    # codes that fill a block by themselves; counted before they are broadcast
+    hot = bounded_broadcast(entries.groupBy(*family, "rest").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK)
+                            .select(*family, "rest", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")))
+    if hot.isEmpty():
+        return entries.withColumn("part", F.lit(0)), looks.withColumn("part", F.lit(0))
+    own = -1 - F.col("rest")   # a block of their own, below those of the others
+    part = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).otherwise(F.lit(0))
+    code = [*family, "rest"]
+    entries = entries.join(hot, code, "left").select(
+        *family, F.when(F.col("parts").isNotNull(), own).otherwise(F.col("block")).alias("block"), part.alias("part"), "rest", "rep")
+    probed = (asked.select(*family, "q", F.explode("rests").alias("rest")).join(hot, code)
+              .select(*family, own.alias("block"), F.array("rest").alias("rests"), "q",
+                      F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
+    return entries, looks.withColumn("part", F.lit(0)).unionByName(probed)
+
+
+def _block(rest: Column, blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(rest), blocks).cast("int")
+
+
 def _looked_up(lsh: CrossPolytope, most: int, search: DataFrame, index: DataFrame, count: int, top: int) -> DataFrame:
     """The nearest entries in the buckets of ``most`` probes a table; queries that find too few
     are answered exactly."""
-    entries = index.select("rep", "vec").mapInArrow(_entries(lsh), "t int, h bigint, rest bigint, rep bigint, vec array<double>")
-    looks = search.mapInArrow(_looks(lsh, most), "t int, h bigint, rests array<bigint>, q bigint, qvec array<double>")
-    entries = cut(entries)
-    # at most TABLES * 2 * dim rows: a fixed size
-    blocks = cut(entries.groupBy("t", "h").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    entries = (entries.join(F.broadcast(blocks), ["t", "h"])
-               .select("t", "h", block.alias("block"), "rest", "rep", "vec"))
-    of_look = F.explode(F.sequence(F.lit(0), F.col("of") - 1))
-    looks = (looks.join(F.broadcast(blocks.select("t", "h", F.col("blocks").alias("of"))), ["t", "h"])
-             .select("t", "h", of_look.alias("block"), "rests", "q", "qvec"))
-    keys = ["t", "h", "block"]
+    vectors = index.select("rep", "vec")
+    entries = cut(vectors.mapInArrow(_entries(lsh), "t int, h bigint, rest bigint, rep bigint"))
+    looks = search.mapInArrow(_looks(lsh, most), "t int, h bigint, rests array<bigint>, q bigint")
+    entries, looks = _dealt(entries, looks)
+    entries = entries.join(vectors, "rep").select("t", "h", "block", "part", "rest", "rep", "vec")
+    looks = (looks.join(search.select(F.col("rep").alias("of"), F.col("vec").alias("qvec")), F.col("q") == F.col("of"))
+             .select("t", "h", "block", "part", "rests", "q", "qvec"))
+    keys = ["t", "h", "block", "part"]
     found = cut(_best(entries.groupBy(*keys).cogroup(looks.groupBy(*keys)).applyInArrow(_rank_block(top), _FOUND_DDL), top))
     few = (search.join(found.groupBy("q").count(), search.rep == F.col("q"), "left")
            .filter(F.coalesce("count", F.lit(0)) < min(top, count)).select("rep", "vec"))
@@ -325,7 +359,8 @@ def _looked_up(lsh: CrossPolytope, most: int, search: DataFrame, index: DataFram
 
 
 def _complete(found: DataFrame, few: DataFrame, index: DataFrame, top: int) -> DataFrame:
-    """Answer the queries of ``few`` by exact passes of ``CHUNK`` queries each."""
+    """Answer the queries of ``few`` by exact passes of ``CHUNK`` queries each, every one written
+    before the next takes its broadcast."""
     left = few.count()
     if not left:
         return found
@@ -335,5 +370,5 @@ def _complete(found: DataFrame, few: DataFrame, index: DataFrame, top: int) -> D
         part = few.filter(F.pmod(F.xxhash64("rep"), F.lit(chunks)) == c).toPandas()
         if len(part):
             vecs = np.array(part["vec"].tolist(), np.float64)
-            found = found.unionByName(_exact(index, part["rep"].to_numpy(), vecs, top))
+            found = found.unionByName(written(_exact(index, part["rep"].to_numpy(), vecs, top)))
     return found

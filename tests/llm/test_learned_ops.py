@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from alertfold.llm import ann, gru, toxicity
 
@@ -159,3 +160,55 @@ def test_nearest_recall_holds_where_the_probes_do_not_suffice(spark, monkeypatch
     want = brute_nearest(rows)
     recall = sum(len({j for _, j in near} & got[q]) for q, near in want.items()) / (10 * len(want))
     assert recall == 1 if exact else recall >= 0.93
+
+
+def test_looks_grow_with_the_rows_and_hot_buckets_are_split(spark, monkeypatch):
+    """Blocks of few vectors stand for many: twice the entries make no look go to more blocks than
+    it probes, and a bucket with a third of all entries is split by id."""
+    monkeypatch.setattr(ann, "BLOCK", 32)
+    rng = np.random.default_rng(1)
+
+    def tables(n):
+        # 8 families; a third of the entries under one code, the others over n // 8 codes
+        rest = np.where(np.arange(n) % 3 == 0, 7, rng.integers(0, n // 8, n))
+        entries = spark.createDataFrame([(0, int(i % 8), int(r), int(i)) for i, r in enumerate(rest)],
+                                        "t int, h long, rest long, rep long")
+        looks = spark.createDataFrame([(0, q % 8, [int(x) for x in rng.integers(8, n // 8, 5)], q) for q in range(n // 100)],
+                                      "t int, h long, rests array<long>, q long")
+        return entries, looks
+
+    sizes = []
+    for n in (4000, 8000):
+        entries, looks = tables(n)
+        dealt, asked = ann._dealt(entries, looks)
+        sizes.append(asked.count())
+        key = ["t", "h", "block", "part"]
+        assert dealt.count() == n
+        assert dealt.groupBy(*key).count().agg(F.max("count")).first()[0] <= 4 * 32
+        # every probed bucket's entries meet the look
+        want = looks.select("t", "h", "q", F.explode("rests").alias("rest")).distinct().join(entries, ["t", "h", "rest"])
+        met = asked.select(*key, "q", F.explode("rests").alias("rest")).distinct().join(dealt, [*key, "rest"])
+        assert want.select("q", "rep").exceptAll(met.select("q", "rep").distinct()).isEmpty()
+        assert met.count() == want.count()
+    assert sizes[1] <= 2.6 * sizes[0] and sizes[1] <= 5 * 80 * 2
+
+
+def test_nearest_with_small_blocks_and_many_equal_vectors(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 16)
+    monkeypatch.setattr(ann, "CHUNK", 3)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 16))
+    x[::3] = x[0]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    x = x.astype(np.float32).astype(np.float64)
+    hits = total = 0
+    got = {}
+    for r in ann.nearest(table, table.filter("vec_id % 30 = 0")).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for q in range(0, 900, 30):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        order = [i for i in np.lexsort((np.arange(900), d)) if i != q][:10]
+        hits += len(set(order) & {v for _, v, _ in got[q]})
+        total += 10
+        assert all(s == d[v] for _, v, s in got[q]) and [k for k, _, _ in sorted(got[q])] == list(range(1, 11))
+    assert hits / total >= 0.9
