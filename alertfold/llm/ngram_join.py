@@ -93,7 +93,8 @@ def _deal(n: int, fragments: int):
     """(text) batches -> what a fragment's task needs.
 
     A reading task gathers some sets, a *haul*, and sends each fragment their n-grams in its
-    range with the set's number in the haul.  Groups from -1 to -fragments get the sets' ids,
+    range with the set's number in the haul; of a hash only the bytes that the fragment does
+    not tell travel.  Groups from -1 to -fragments get the sets' ids,
     dealt by id, so that equal sets meet; groups below pass on the owners of hot n-grams.
     """
     def flush(held):
@@ -112,11 +113,11 @@ def _deal(n: int, fragments: int):
         if hot.any():
             counted = grams[order][begins[times >= HOT]]
             yield from _packed(_fragment(counted, fragments), haul, np.full(len(counted), COUNTED, np.uint16),
-                               counted, times[times >= HOT])
+                               _low(counted, fragments), times[times >= HOT])
             aside = np.full(int(hot.sum()), -1 - fragments - haul % fragments, np.int32)
             yield from _packed(aside, haul, owner[hot], grams[hot])
             grams, owner = grams[~hot], owner[~hot]
-        yield from _packed(_fragment(grams, fragments), haul, owner, grams)
+        yield from _packed(_fragment(grams, fragments), haul, owner, _low(grams, fragments))
         group = -1 - (sids.astype(np.uint64) % np.uint64(fragments)).astype(np.int32)
         yield from _packed(group, haul, np.arange(len(held), dtype=np.uint16), sids, sizes)
 
@@ -151,6 +152,24 @@ def _fragment(grams: np.ndarray, fragments: int) -> np.ndarray:
     return ((grams >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int32)
 
 
+def _bytes_sent(fragments: int) -> int:
+    """Of a hash's eight bytes those that a fragment (of a power of two of them) does not tell."""
+    return 8 - (fragments.bit_length() - 1) // 8
+
+
+def _low(grams: np.ndarray, fragments: int) -> np.ndarray:
+    return np.ascontiguousarray(grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_bytes_sent(fragments)])
+
+
+def _whole(low: bytes, fragment: int, fragments: int) -> np.ndarray:
+    """The hashes again: the fragment's number is their highest bits."""
+    sent, bits = _bytes_sent(fragments), fragments.bit_length() - 1
+    out = np.zeros((len(low) // sent, 8), np.uint8)
+    out[:, :sent] = np.frombuffer(low, np.uint8).reshape(len(out), -1)
+    above = (fragment << 64 - bits) >> 8 * sent << 8 * sent
+    return out.view("<u8").reshape(-1).astype(np.uint64) | np.uint64(above)
+
+
 def _packed(group: np.ndarray, haul, owner: np.ndarray, a: np.ndarray, b: np.ndarray | None = None):
     """Rows of packed columns, one for each group (and haul, where that is an array)."""
     order = np.argsort(group, kind="stable")
@@ -177,7 +196,7 @@ def _count(fragments: int):
         ends = np.cumsum(sizes)
         owner = np.frombuffer(b"".join(owners), np.uint16)
         if group >= 0:
-            a = np.frombuffer(b"".join(first), np.uint64)
+            a = _whole(b"".join(first), group, fragments)
             weight = np.concatenate([np.ones(n, np.int64) if x is None else np.frombuffer(x, np.int64)
                                      for n, x in zip(sizes, second)])
             _, inverse = np.unique(a, return_inverse=True)
@@ -337,7 +356,7 @@ def set_links(texts: DataFrame, described: DataFrame, n: int, num: int, den: int
     """Links ``a, b`` between set ids: a forest or more of each component's links, enough
     for every component to hold together."""
     grams = described.agg(F.sum("n_shingles")).first()[0] or 0
-    fragments = max(1, -(-grams // FRAGMENT_GRAMS))
+    fragments = 1 << (max(1, -(-grams // FRAGMENT_GRAMS)) - 1).bit_length()
     shared = texts.mapInArrow(_deal(n, fragments), _PACK_DDL).groupBy("grp").applyInArrow(_count(fragments), _PACK_DDL)
     able = cut(shared.groupBy("haul").applyInArrow(_gather(num, den, fragments), _SETS_DDL))
     segments = able.select("sid", "n", F.posexplode("segments").alias("frag", "seg"))

@@ -161,6 +161,16 @@ def test_many_fragments_and_a_common_n_gram(spark, monkeypatch, hot):
     assert got == best and len(set(best.values())) < len(best)
 
 
+@pytest.mark.parametrize("bits", [0, 1, 7, 8, 9, 16, 20])
+def test_hashes_are_whole_again_in_their_fragments(bits):
+    grams = np.random.default_rng(bits).integers(0, 2 ** 64, 5000, dtype=np.uint64)
+    grams[:2] = 0, 2 ** 64 - 1
+    fragment = ngram_join._fragment(grams, 1 << bits)
+    for f in np.unique(fragment)[:300]:
+        own = grams[fragment == f]
+        assert (ngram_join._whole(ngram_join._low(own, 1 << bits).tobytes(), int(f), 1 << bits) == own).all()
+
+
 def test_n_grams_are_told_apart_by_all_their_bits(monkeypatch):
     """Two hashes that differ in their highest bit alone, in one fragment."""
     a, b = 5, 5 + (1 << 63)
