@@ -133,9 +133,11 @@ def capped(spark: SparkSession, source: str | Sequence[str], cap: str,
 
 # ---------------------------------------------------------------- generic merger
 def detect_date_columns(df: DataFrame, columns: Sequence[str], file_col: str = C.SOURCE,
-                        order_col: str = ORDER_COL) -> DataFrame:
+                        order_col: str = ORDER_COL, absent_ok: bool = False) -> DataFrame:
     """Per file, the leftmost column whose first non-missing value parses as a date
     (day-first lenient list); NULL when none does.  One aggregate over the rows."""
+    if absent_ok:
+        columns = [c for c in columns if c in df.columns]
     samples = df.groupBy(F.col(file_col).alias("file_name")).agg(*[
         F.min_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), F.col(order_col))).alias(f"__s{i}")
         for i, c in enumerate(columns)])
@@ -146,13 +148,38 @@ def detect_date_columns(df: DataFrame, columns: Sequence[str], file_col: str = C
     return samples.select("file_name", pick.alias("date_column"))
 
 
+def detect_from_heads(spark: SparkSession, files: Sequence[str], csv: C.CsvOptions, columns: Sequence[str],
+                      size: int = C.HEAD_BYTES) -> tuple[DataFrame | None, list[str]]:
+    """``detect_date_columns`` for the files whose beginnings decide it, and the other files.  A
+    beginning decides when a column's first value in it is a date and no column to its left is
+    without a value there, or when it is the whole file.  Columns are taken in the order of
+    ``columns``, the merged table's."""
+    heads = C.first_values(spark, files, csv, size)
+    at = [F.array_position("names", F.lit(c)).cast("int") for c in columns]
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), (i > 0).alias("has"),
+                               F.when(i > 0, F.get("first", i - 1)).alias("value")) for c, i in zip(columns, at)])
+    told = F.filter(cells, lambda x: x["has"])
+    # the leftmost column that is a date, or whose value is not known yet
+    is_date = F.transform(told, lambda x: F.struct(
+        x["name"].alias("name"), x["value"].isNull().alias("open"), D.parse_lenient(normalize_ws(x["value"])).isNotNull().alias("hit")))
+    stop = F.get(F.filter(is_date, lambda x: x["hit"] | (x["open"] & ~F.col("whole"))), 0)
+    found = heads.select("path", (F.col("names").isNotNull() & F.coalesce(stop["hit"], F.col("whole"))).alias("decided"),
+                         F.when(stop["hit"], stop["name"]).alias("date_column")).collect()   # one short row per file
+    decided = [(r["path"], r["date_column"]) for r in found if r["decided"]]
+    table = spark.createDataFrame(decided, "file_name string, date_column string") if decided else None
+    return table, [r["path"] for r in found if not r["decided"]]
+
+
 def merge(spark: SparkSession, sources: Sequence[str], csv: C.CsvOptions = C.CsvOptions(sep=",", exclude=())):
     """Generic merger: returns (kept rows with ``dt`` and ``ym``, per-file detection table)."""
     prepare(spark)
     files = C.discover(spark, list(sources), csv)
     df = C.read_by_name(spark, files, csv, roots=list(sources))
     cols = [c for c in df.columns if not c.startswith("_")]
-    detected = detect_date_columns(df, cols, file_col=C.PATH)
+    detected, undecided = (None, files) if csv.multiline else detect_from_heads(spark, files, csv, cols)
+    if undecided:   # only these are scanned for their first values
+        rest = detect_date_columns(C.read_by_name(spark, undecided, csv), cols, file_col=C.PATH, absent_ok=True)
+        detected = rest if detected is None else detected.unionByName(rest)
     # the text of the file's detected column, then one parse (a parse per candidate
     # column would multiply the generated code for no benefit)
     raw = None

@@ -260,6 +260,61 @@ def collect_header_lines(spark: SparkSession, files: Sequence[str], opts: CsvOpt
     return lines
 
 
+# ---------------------------------------------------------------- first values
+HEAD_BYTES = 1 << 16
+
+
+def head_lines(path: str, encoding: str, size: int = HEAD_BYTES) -> tuple[list[str], bool]:
+    """The complete non-blank lines in a file's first bytes, and whether that is all of it."""
+    filesystem, inner = _arrow_open(path)
+    buf = b""
+    with filesystem.open_input_stream(inner) as f:
+        while len(buf) <= size and (chunk := f.read(size + 1 - len(buf))):
+            buf += chunk
+    whole = len(buf) <= size
+    if not whole:
+        buf = buf[:buf.rfind(b"\n") + 1]
+    text = buf.removeprefix(b"\xef\xbb\xbf").decode(encoding, errors="replace")
+    return [line.rstrip("\r") for line in text.split("\n") if line.strip()], whole
+
+
+def _first_values(opts: CsvOptions, size: int):
+    def run(batches):
+        import pandas as pd
+        for pdf in batches:
+            out = []
+            for path in pdf["path"]:
+                try:
+                    lines, whole = head_lines(path, _py_encoding(opts.encoding), size)
+                except (OSError, ValueError):
+                    out.append((path, None, None, False))
+                    continue
+                names = split_header(lines[0], opts) if lines else []
+                first: list[str | None] = [None] * len(names)
+                for line in lines[1:]:
+                    if None not in first:
+                        break
+                    cells = next(_pycsv.reader([line], delimiter=opts.sep, quotechar='"'), [])
+                    for i, cell in enumerate(cells[:len(first)]):
+                        if first[i] is None and not (cell in NA_TOKENS if opts.na_tokens else False):
+                            first[i] = cell
+                out.append((path, names, first, whole))
+            yield pd.DataFrame(out, columns=["path", "names", "first", "whole"])
+
+    return run
+
+
+def first_values(spark: SparkSession, files: Sequence[str], opts: CsvOptions = CsvOptions(),
+                 size: int = HEAD_BYTES) -> DataFrame:
+    """``path, names, first, whole``: per file its column names and the first non-missing value of
+    each column within its first ``size`` bytes (NULL where there is none), by one short read in
+    a task; ``whole`` says that the bytes are the file.  Files that cannot be opened that way
+    have NULL names."""
+    n = max(1, min(len(files) // 64 + 1, spark.sparkContext.defaultParallelism * 4))
+    return (_paths_frame(spark, files).repartition(n)
+            .mapInPandas(_first_values(opts, size), "path string, names array<string>, first array<string>, whole boolean"))
+
+
 # ---------------------------------------------------------------- failure ledger
 # What the ledger says of a file that gives no rows
 UNREADABLE, EMPTY, UNDECODABLE = "unreadable", "empty", "undecodable"

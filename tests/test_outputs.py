@@ -109,3 +109,30 @@ def test_names_beside_a_listing(spark):
     assert got == want
     made = [n for n in got.values() if n]
     assert len(set(made)) == len(made) and not set(made) & {n for n in listing if n}
+
+
+def test_date_columns_from_the_beginnings_of_files(spark, tmp_path):
+    texts = {
+        "plain.csv": "id,when,x\n1,31/01/2025,p\n2,bad,q\n",
+        "late.csv": "id,when\n" + "7,\n" * 400 + "8,2025-01-31\n",           # the value lies beyond a short beginning
+        "left.csv": "a,b\n" + ",31/01/2025\n" * 400 + "01/02/2025,x\n",      # a column to the left is still open
+        "none.csv": "id,x\n1,y\n" + "2,z\n" * 400,
+        "short.csv": "id,x\n1,y\n", "header.csv": "id,when\n", "empty.csv": "",
+        "quoted.csv": 'x,"the, date"\n"a ""b""","5 May 2025"\n', "na.csv": "x,when\nNaN,NULL\nv,05/05/2025\n"}
+    for name, text in texts.items():
+        write_text(str(tmp_path / name), text)
+    csv = C.CsvOptions(sep=",", exclude=())
+    files = C.discover(spark, str(tmp_path), csv)
+    df = C.read_by_name(spark, files, csv)
+    columns = [c for c in df.columns if not c.startswith("_")]
+    want = {os.path.basename(r[0]): r[1] for r in P.detect_date_columns(df, columns, file_col=C.PATH).collect()}
+    for size in (100, 1 << 16):
+        detected, undecided = P.detect_from_heads(spark, files, csv, columns, size)
+        got = {os.path.basename(r[0]): r[1] for r in detected.collect()}
+        assert {k: got[k] for k in want if k in got} == {k: want[k] for k in want if k in got}
+        names = {os.path.basename(p) for p in undecided}
+        assert names == ({"late.csv", "left.csv", "none.csv"} if size == 100 else set())
+    kept, detected = P.merge(spark, [str(tmp_path)], csv)
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == len(
+        {text.split("\n")[0] for text in texts.values() if text})
+    assert kept.count() == 1 + 1 + 1 + 1 + 1
