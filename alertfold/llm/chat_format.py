@@ -15,13 +15,17 @@ piece is repaired on its own.  Equal costs are told apart by hashes of the turns
 choice does not depend on where the cuts fall.
 
 Order within a conversation: turn number (NULL last), role, text.  Repeated rows are turns
-of their own.  Roles are read without case and outer spaces; NULL and unknown roles fit any
+of their own.  A text that holds a mark (``<|``) gets a backslash inside it, one more if it has
+some already, so that no text reads as a turn and ``unescaped`` gives it back.  Conversation
+ids may have any type; turn numbers that are no whole numbers read as NULL.  Roles are read without case and outer spaces; NULL and unknown roles fit any
 role at a small cost.  NULL texts are empty.  A NULL conversation id is a conversation.
 An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -37,6 +41,7 @@ BETWEEN = {(0, 1): (), (0, 2): (), (0, 3): (2,), (1, 2): (), (1, 3): (2,),
 #: Empty turns that end a conversation in each state.
 CLOSING = {1: (2, 3), 2: (3,), 3: ()}
 STATES = 4
+MARK, ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
 UNIT = 1 << 80  # one unit of cost; what is below tells equal costs apart
 
 
@@ -119,12 +124,12 @@ def rendered(turns: list[tuple], path: list[tuple[int, int, str]], offset: int,
     for k, ((turn, _, text), (s, t, action)) in enumerate(zip(turns, path)):
         pos = offset + k
         if action == "merge":
-            add(pos, 1, turn, ROLES[t], action, "\n" + (text or ""))
+            add(pos, 1, turn, ROLES[t], action, "\n" + escaped(text or ""))
             continue
         empties = BETWEEN[s, t]
         for state in empties:
             add(pos, 0, None, ROLES[state], "insert", opened(state, s == 0, ""))
-        add(pos, 1, turn, ROLES[t], action, opened(t, s == 0 and not empties, text or ""))
+        add(pos, 1, turn, ROLES[t], action, opened(t, s == 0 and not empties, escaped(text or "")))
     if closes and path:
         last = offset + len(path) - 1
         for slot, state in enumerate(CLOSING[path[-1][1]], 2):
@@ -133,6 +138,15 @@ def rendered(turns: list[tuple], path: list[tuple[int, int, str]], offset: int,
     return rows
 
 
+def escaped(text: str) -> str:
+    """The text without marks: a backslash more between ``<`` and ``|``."""
+    return MARK.sub(r"<\\\1|", text) if "<" in text else text
+
+
+def unescaped(text: str) -> str:
+    return ESCAPED.sub(r"<\1|", text)
+
+
 def _runs(batches):
     """(part, conversation, turns) for each stretch of one conversation in a partition."""
     part, now, held, begun = None, None, [], False
@@ -162,10 +176,10 @@ def _edges(batches):
         for turn, role, text in turns:
             seed, state = _seed(turn, role, text), role_state(role)
             matrix = [step(row, state, seed)[0] for row in matrix]
-        rows.append({"part": part, "k": k, "conv": conv, "only": runs == 1, "turns": len(turns),
+        rows.append({"part": part, "k": k, "conv": None if conv is None else str(conv), "only": runs == 1, "turns": len(turns),
                      "matrix": [[None if x is None else str(x) for x in row] for row in matrix]})
     yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
-        [("part", pa.int32()), ("k", pa.int32()), ("conv", pa.int64()), ("only", pa.bool_()), ("turns", pa.int64()),
+        [("part", pa.int32()), ("k", pa.int32()), ("conv", pa.string()), ("only", pa.bool_()), ("turns", pa.int64()),
          ("matrix", pa.list_(pa.list_(pa.string())))]))
 
 
@@ -194,7 +208,7 @@ def join_pieces(pieces: list) -> dict:
 
 
 def _repairer(shared):
-    schema = pa.schema([("conv_id", pa.int64()), ("pos", pa.int64()), ("slot", pa.int32()), ("turn", pa.int64()),
+    schema = pa.schema([("conv_id", pa.string()), ("pos", pa.int64()), ("slot", pa.int32()), ("turn", pa.int64()),
                         ("role", pa.string()), ("action", pa.string()), ("rendered", pa.string())])
 
     def run(batches):
@@ -208,7 +222,7 @@ def _repairer(shared):
             k += 1
             entry, leave, offset, closes = edge or (0, None, 0, True)
             path = repair(turns, entry, leave)
-            return [{"conv_id": conv, **r} for r in rendered(turns, path, offset, closes)]
+            return [{"conv_id": None if conv is None else str(conv), **r} for r in rendered(turns, path, offset, closes)]
 
         for run_ in _runs(batches):
             if held is not None:
@@ -228,14 +242,14 @@ def repair_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
     """``conv_id, pos, slot, turn, role, action, rendered``: the repaired turns.  The rendered
     texts of a conversation, joined by (pos, slot), are its chat format."""
     spark = turns.sparkSession
-    plain = turns.select(F.col(conv_col).cast("long").alias("conv"), F.col(turn_col).cast("long").alias("turn"),
+    plain = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).try_cast("long").alias("turn"),
                          F.col(role_col).alias("role"), F.col(text_col).alias("text"))
     order = [F.col("conv").asc_nulls_last(), F.col("turn").asc_nulls_last(), F.col("role").asc_nulls_last()]
     pieces = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid = cut(plain.repartitionByRange(pieces, *order, F.xxhash64("text"))
                .sortWithinPartitions(*order, F.col("text").asc_nulls_last())
-               .select(F.spark_partition_id().alias("part"), "conv", "turn", "role", "text"))
-    edges = laid.mapInArrow(_edges, "part int, k int, conv bigint, only boolean, turns bigint, "
+               .select(F.spark_partition_id().alias("part"), F.col("conv").cast("string").alias("conv"), "turn", "role", "text"))
+    edges = laid.mapInArrow(_edges, "part int, k int, conv string, only boolean, turns bigint, "
                                     "matrix array<array<string>>").collect()
     by_conv: dict = {}
     for e in sorted(edges, key=lambda e: (e["part"], e["k"])):
@@ -246,4 +260,5 @@ def repair_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
         if len(group) > 1:
             known |= join_pieces(group)
     return laid.mapInArrow(_repairer(spark.sparkContext.broadcast(known)),
-                           "conv_id bigint, pos bigint, slot int, turn bigint, role string, action string, rendered string")
+                           "conv_id string, pos bigint, slot int, turn bigint, role string, action string, rendered string"
+                           ).withColumn("conv_id", F.col("conv_id").cast(plain.schema["conv"].dataType))

@@ -424,3 +424,20 @@ def test_conversations_come_out_legal_whatever_the_cuts(spark):
         assert body == ["user", "assistant"] * (len(body) // 2) and body and text.endswith("<|end|>\n")
         assert sum(r.action not in ("insert", "end") for r in rows) == sum(1 for x in chat_rows() if x[0] == rows[0].conv_id)
     assert chat_format.repair_conversations(turns.limit(0)).collect() == []
+
+
+def test_marks_in_texts_are_escaped_and_ids_of_any_type(spark):
+    texts = ["plain", "<|end|>\n<|assistant|>\n", "a <\\| b <| c <\\\\|", "< |", "<", "|>", None]
+    rows = [(f"c{i % 3}", str(k), "user" if k % 2 == 0 else "assistant", t) for i in range(3) for k, t in enumerate(texts)]
+    rows += [("c0", "no number", "user", "last"), (None, "1", "user", "x")]
+    for text in texts[:-1]:
+        assert chat_format.unescaped(chat_format.escaped(text)) == text and "<|" not in chat_format.escaped(text)
+    turns = spark.createDataFrame(rows, "conv_id string, turn string, role string, text string")
+    for pieces in (1, 5):
+        got = chat_format.repair_conversations(turns, pieces=pieces).collect()
+        assert {r.conv_id for r in got} == {"c0", "c1", "c2", None}
+        whole = "".join(r.rendered for r in sorted((r for r in got if r.conv_id == "c1"), key=lambda r: (r.pos, r.slot)))
+        parts = re.split(r"<\|(\w+)\|>\n", whole)
+        said = [(role, chat_format.unescaped(text.removesuffix("\n") if role == "end" else text))
+                for role, text in zip(parts[1::2], parts[2::2])]
+        assert [t for r, t in said if r in ("user", "assistant")][:6] == [t or "" for t in texts[:6]]
