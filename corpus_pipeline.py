@@ -2,6 +2,15 @@
 
 ``run(spark, sf_dir)`` writes every stage's result as Parquet under the shared checkpoint
 folder and reads it back for the next stage.
+
+Rows are documents of their own all the way.  A NULL text has no words: it is not toxic,
+equals an empty text, is near nothing, has size 0 and is mixed by the whole part of its
+source's rate, and encodes to no tokens.  A NULL id loses against any other in the exact and
+near stages and is mixed like a document; a NULL source is a source.  Rows that repeat an id
+are told apart by their texts, rows that repeat both are one from the exact stage on.  Labels
+without a document teach nothing; without labels of both classes no document is dropped, unless
+all labels are toxic.  An empty table gives no rows at every stage.  Further columns go along
+up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
