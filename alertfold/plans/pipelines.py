@@ -32,7 +32,7 @@ from alertfold.operators.order import ORDER_COL
 from alertfold.operators.resolve import resolve_date
 from alertfold.operators.small import per_file_broadcast
 from alertfold.session import prepare, scratch_dir
-from alertfold.sinks.files import exists, publish_month_files, write_partitioned
+from alertfold.sinks.files import publish_month_files, replace_folders, write_partitioned
 from alertfold.sources import csv as C
 
 KEY = "Référence"
@@ -92,8 +92,10 @@ def recompose(spark: SparkSession, source: str | Sequence[str],
                       cascade=opts.cascade, unit=opts.unit, file_col=C.PATH, order_col=ORDER_COL)
     df = df.withColumn("ym", D.month_key(F.col("dt")))
     if opts.dedup_scope == "month" and has_key:
-        dated = dedup.dedup_first(df.where(F.col("dt").isNotNull()), ["ym", opts.key], ORDER_COL, opts.null_key)
-        df = dated.unionByName(df.where(F.col("dt").isNull()))
+        # undated rows all stay: each is a group of its own, so that one pass does for both
+        own = F.when(F.col("dt").isNull(), F.concat_ws("|", f"{ORDER_COL}.path", f"{ORDER_COL}.block", f"{ORDER_COL}.pos"))
+        df = df.withColumn("__ym", F.coalesce("ym", F.lit(""))).withColumn("__own", F.coalesce(own, F.lit("")))
+        df = dedup.dedup_first(df, ["__ym", opts.key, "__own"], ORDER_COL, opts.null_key).drop("__ym", "__own")
     df = quality.classify(df, "dt")
     return df, header
 
@@ -265,38 +267,11 @@ def write_routed(routed: DataFrame, header: str, out: str) -> None:
 
 
 # ---------------------------------------------------------------- writers of the other variants
-def write_capped(df: DataFrame, out: str, drop: Sequence[str] = ("dt",), bom: bool = False,
-                 header_fix: str | None = None) -> None:
-    """Months sorted by date (then input order) under ``status=ok/ym=...``, the date column
-    as ISO text in its own place; audits of undated and over-cap rows (key, parsed date,
-    source file) under ``_audit/status=...``.  The key is looked up under the name that the
-    header repair gives it."""
-    key = strip_accents_name(KEY) if header_fix == "accents" else KEY
-    keep = [c for c in df.columns if not c.startswith("_") and c not in ("status", "dt", *drop)]
-    iso = F.date_format("dt", "yyyy-MM-dd HH:mm:ss")
-    ok = (df.where(F.col("status") == quality.OK)
-          .select(*[iso.alias(c) if c == DATE else F.col(f"`{c}`") for c in keep],
-                  "status", D.month_key(F.col("dt")).alias("ym"), "dt", ORDER_COL))
-    write_partitioned(ok, out, ["status", "ym"], order=["dt", ORDER_COL], bom=bom, drop=["dt", ORDER_COL])
-    audit = quality.audit_rows(df.where(F.col("status") != quality.OK), [key, DATE], F.col(C.SOURCE))
-    audit = audit.withColumn("status", F.when(F.col(DATE).isNull(), F.lit(quality.UNDATED)).otherwise(F.lit(quality.OVER_CAP)))
-    write_partitioned(audit.withColumn("ym", F.lit(None).cast("string")), out + "/_audit", ["status"], bom=bom,
-                      drop=["ym"])
-
-
-def write_capped_named(df: DataFrame, target: str, bom: bool = False, header_fix: str | None = None) -> dict[str, int]:
-    """The capped variant's files under their names in ``target``: months
-    (``alertes_YYYY_MM.csv``, by date, then input order), ``lignes_invalides.csv`` (key, date and
-    source of undated rows), ``lignes_filtrees.csv`` (of rows beyond the cap) and
-    ``alertes_lignes_invalides.csv`` (undated rows with all columns).  Returns the rows by status.
-
-    One write, partitioned by status and month, reads the input and counts it on the way; its
-    rows are whole lines, so that rejected rows can hold more cells than months do.  The audits
-    are then made from the rejected rows' own part of that output, which is all that is read
-    again."""
+def _capped_once(df: DataFrame, keep: Sequence[str], bom: bool) -> tuple[str, dict[str, int], DataFrame | None]:
+    """The one write of the capped variant: whole lines under ``status=.../ym=...`` of a scratch
+    folder.  Returns the folder, the rows by status counted on the way, and the rejected rows
+    read back: the cells of ``keep``, the date as ISO text, the source file, ``status``, ``ym``."""
     spark, sep = df.sparkSession, ";"
-    key = strip_accents_name(KEY) if header_fix == "accents" else KEY
-    keep = [c for c in df.columns if not c.startswith("_") and c not in ("status", "dt")]
     iso = F.date_format("dt", "yyyy-MM-dd HH:mm:ss")
     ok = F.col("status") == quality.OK
 
@@ -313,15 +288,56 @@ def write_capped_named(df: DataFrame, target: str, bom: bool = False, header_fix
             .observe(counts, *[F.count_if(F.col("status") == x).alias(x) for x in STATUSES]))
     work = scratch_dir(spark, "capped")
     write_partitioned(data, work, ["status", "ym"], order=["dt", ORDER_COL], bom=bom, drop=["dt", ORDER_COL], raw=True)
-    if exists(spark, f"{work}/status={quality.OK}"):
-        publish_month_files(spark, f"{work}/status={quality.OK}", target)
-    found = counts.get
+    found = {x: int(counts.get[x]) for x in STATUSES}
     rejected = [f"{work}/status={x}" for x in STATUSES[1:] if found[x]]
-    if rejected:
-        schema = ", ".join(f"a{i} string" for i in range(len(keep) + 2))
-        rows = (spark.read.schema(schema).option("sep", sep).option("escape", '"').option("header", True)
-                .option("basePath", work).csv(rejected)
-                .toDF(*[f"a{i}" for i in range(len(keep) + 2)], "status", "ym"))
+    if not rejected:
+        return work, found, None
+    schema = ", ".join(f"a{i} string" for i in range(len(keep) + 2))
+    rows = (spark.read.schema(schema).option("sep", sep).option("escape", '"').option("header", True)
+            .option("basePath", work).csv(rejected).toDF(*[f"a{i}" for i in range(len(keep) + 2)], "status", "ym"))
+    return work, found, rows
+
+
+def _capped_columns(df: DataFrame, drop: Sequence[str], header_fix: str | None) -> tuple[list[str], str]:
+    keep = [c for c in df.columns if not c.startswith("_") and c not in ("status", "dt", *drop)]
+    return keep, strip_accents_name(KEY) if header_fix == "accents" else KEY
+
+
+def write_capped(df: DataFrame, out: str, drop: Sequence[str] = ("dt",), bom: bool = False,
+                 header_fix: str | None = None) -> None:
+    """Months sorted by date (then input order) under ``status=ok/ym=...``, the date column
+    as ISO text in its own place; audits of undated and over-cap rows (key, parsed date,
+    source file) under ``_audit/status=...``.  The key is looked up under the name that the
+    header repair gives it.  The input is read once (``_capped_once``); earlier months that
+    this run does not carry stay."""
+    keep, key = _capped_columns(df, drop, header_fix)
+    work, found, rows = _capped_once(df, keep, bom)
+    if found[quality.OK]:
+        replace_folders(df.sparkSession, f"{work}/status={quality.OK}", f"{out.rstrip('/')}/status={quality.OK}")
+    if rows is None:
+        return
+    undated = F.col("status") == quality.UNDATED
+    cells = [F.col(f"a{keep.index(key)}").alias(key)] if key in keep else []
+    audit = rows.select(*cells, F.col(f"a{len(keep)}").alias(DATE), F.col(f"a{len(keep) + 1}").alias("Source"),
+                        F.when(undated, F.lit(quality.UNDATED)).otherwise(F.lit(quality.OVER_CAP)).alias("status"))
+    write_partitioned(audit, out + "/_audit", ["status"], bom=bom)
+
+
+def write_capped_named(df: DataFrame, target: str, bom: bool = False, header_fix: str | None = None) -> dict[str, int]:
+    """The capped variant's files under their names in ``target``: months
+    (``alertes_YYYY_MM.csv``, by date, then input order), ``lignes_invalides.csv`` (key, date and
+    source of undated rows), ``lignes_filtrees.csv`` (of rows beyond the cap) and
+    ``alertes_lignes_invalides.csv`` (undated rows with all columns).  Returns the rows by status.
+
+    One write, partitioned by status and month, reads the input and counts it on the way; its
+    rows are whole lines, so that rejected rows can hold more cells than months do.  The audits
+    are then made from the rejected rows' own part of that output, which is all that is read
+    again."""
+    keep, key = _capped_columns(df, (), header_fix)
+    work, found, rows = _capped_once(df, keep, bom)
+    if found[quality.OK]:
+        publish_month_files(df.sparkSession, f"{work}/status={quality.OK}", target)
+    if rows is not None:
         undated, date, source = F.col("status") == quality.UNDATED, F.col(f"a{len(keep)}"), F.col(f"a{len(keep) + 1}")
         of = F.when(undated, F.lit(AUDIT_INVALID)).otherwise(F.lit(AUDIT_FILTERED))
         key_cell = [F.col(f"a{keep.index(key)}").alias(key)] if key in keep else []
@@ -329,7 +345,7 @@ def write_capped_named(df: DataFrame, target: str, bom: bool = False, header_fix
         full = [F.col(f"a{i}").alias(c) for i, c in enumerate(keep)]
         _publish_audit(rows.where(undated).select(*full, date.alias("Date_parsed"), source.alias("Source"),
                                                   F.lit(AUDIT_INVALID_FULL).alias("name")), target, bom)
-    return {x: int(found[x]) for x in STATUSES}
+    return found
 
 
 def _publish_audit(rows: DataFrame, target: str, bom: bool) -> None:

@@ -366,10 +366,11 @@ select o_orderkey, name, target,
 def q_rename_collisions(spark, sf):
     n = export_names(spark, sf)
     t = n.select("o_orderkey", "name", N.rewrite_name(F.col("name"), "en").alias("target"))
-    ranked = rank.rank_within(t, ["target"], ["o_orderkey"], out="pos")
+    # names no rule knows take no part in the positions, however many they are
+    ranked = rank.rank_within(t.where(F.col("target").isNotNull()), ["target"], ["o_orderkey"], out="pos")
     existing = n.select(F.col("name").alias("__existing")).distinct()
     j = ranked.join(existing, ranked["target"] == existing["__existing"], "left")
-    status = (F.when(F.col("target").isNull(), F.lit("unrecognised"))
-              .when((F.col("pos") > 1) | F.col("__existing").isNotNull(), F.lit("skipped"))
+    status = (F.when((F.col("pos") > 1) | F.col("__existing").isNotNull(), F.lit("skipped"))
               .otherwise(F.lit("renamed")))
-    return j.select("o_orderkey", "name", "target", status.alias("status"))
+    unknown = t.where(F.col("target").isNull()).select("o_orderkey", "name", "target", F.lit("unrecognised").alias("status"))
+    return j.select("o_orderkey", "name", "target", status.alias("status")).unionByName(unknown)

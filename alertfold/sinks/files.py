@@ -171,6 +171,19 @@ def delete_dir(spark: SparkSession, path: str) -> None:
     fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
 
 
+def replace_folders(spark: SparkSession, src: str, dst: str) -> None:
+    """Move each sub-folder of ``src`` to ``dst``, in place of one of its name (metadata only, one
+    rename per folder)."""
+    fs, jvm = _fs(spark, dst)
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(Path(dst))
+    for st in fs.listStatus(Path(src)):
+        if st.isDirectory():
+            to = Path(dst, st.getPath().getName())
+            fs.delete(to, True)
+            fs.rename(st.getPath(), to)
+
+
 def touch(spark: SparkSession, path: str) -> None:
     fs, jvm = _fs(spark, path)
     fs.create(jvm.org.apache.hadoop.fs.Path(path), True).close()
