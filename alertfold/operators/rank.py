@@ -22,12 +22,18 @@ _SHIFT = 33  # monotonically_increasing_id = (partition index << 33) + row posit
 
 
 def rank_within(df: DataFrame, group: Sequence[str | Column], order: Sequence[str | Column],
-                out: str = "pos") -> DataFrame:
+                out: str = "pos", join_back: bool = False) -> DataFrame:
     """Add ``out`` = 1-based position of the row inside its group, by ``order``.
 
     Ties in ``order`` are broken arbitrarily, so pass a unique order for a
     deterministic result.
+
+    The rows are materialised once in their order.  For wide rows ``join_back`` materialises
+    only (group, order) and joins the positions to the rows by them, which takes an order
+    that is unique within the group.
     """
+    if join_back:
+        return _joined_back(df, group, order, out)
     gcols = [F.col(g) if isinstance(g, str) else g for g in group]
     ocols = [F.col(o) if isinstance(o, str) else o for o in order]
     gnames = [f"__g{i}" for i in range(len(gcols))]
@@ -53,6 +59,18 @@ def rank_within(df: DataFrame, group: Sequence[str | Column], order: Sequence[st
     return joined.select(*keep, pos.alias(out))
 
 
+def _joined_back(df: DataFrame, group: Sequence[str | Column], order: Sequence[str | Column], out: str) -> DataFrame:
+    keys = [F.col(c) if isinstance(c, str) else c for c in (*group, *order)]
+    names = [f"__r{i}" for i in range(len(keys))]
+    narrow = df.select(*[k.alias(n) for k, n in zip(keys, names)])
+    placed = rank_within(narrow, names[:len(group)], names[len(group):], out="__pos")
+    rows = df.select("*", *[k.alias(f"{n}_own") for k, n in zip(keys, names)])
+    same = F.lit(True)
+    for n in names:
+        same = same & rows[f"{n}_own"].eqNullSafe(placed[n])
+    return rows.join(placed, same).select(*[rows[c] for c in df.columns], placed["__pos"].alias(out))
+
+
 def exact_median(df: DataFrame, col: str, out: str = "median", accuracy: int = 10_000,
                  max_collect: int = 100_000, rounds: int = 6) -> DataFrame:
     """One row: the exact median of ``col`` (NULLs ignored), mean of the two middle

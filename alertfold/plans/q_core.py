@@ -300,7 +300,7 @@ select ord, {S.month('dt')} as ym, row_number() over (partition by {S.month('dt'
 from r where dt is not null""", extra=S.DEDUP_CTE + S.resolved_cte()))
 def q_sorted_months(spark, sf):
     r = quality.keep_dated(recomposed(spark, sf)).withColumn("ym", D.month_key(F.col("dt")))
-    return rank.rank_within(r, ["ym"], ["dt", "ord"]).select("ord", "ym", "pos")
+    return rank.rank_within(r.select("ord", "ym", "dt"), ["ym"], ["dt", "ord"]).select("ord", "ym", "pos")
 
 
 @query("input_order", "O2", S.with_alerts(f"""
@@ -308,7 +308,7 @@ select ord, {S.month('dt')} as ym, row_number() over (partition by {S.month('dt'
 from r where dt is not null""", extra=S.DEDUP_CTE + S.resolved_cte()))
 def q_input_order(spark, sf):
     r = quality.keep_dated(recomposed(spark, sf)).withColumn("ym", D.month_key(F.col("dt")))
-    return rank.rank_within(r, ["ym"], ["ord"]).select("ord", "ym", "pos")
+    return rank.rank_within(r.select("ord", "ym"), ["ym"], ["ord"]).select("ord", "ym", "pos")
 
 
 @query("project_header", "P1", S.with_alerts("select ref, date_raw, ts_raw, body from d1", extra=S.DEDUP_CTE))

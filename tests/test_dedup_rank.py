@@ -94,3 +94,21 @@ def test_exact_median_by_narrowing(spark, case):
         got = rank.exact_median(df, "x", **kw).first()["median"]
         assert got == float(np.median(vals)), (case, kw)
     assert rank.exact_median_sorted(df, "x").first()["median"] == float(np.median(vals))
+
+
+def test_positions_joined_back_to_wide_rows(spark):
+    import random
+    from collections import defaultdict
+
+    from alertfold.operators.rank import rank_within
+    rng = random.Random(6)
+    rows = [(i, None if rng.random() < 0.3 else rng.randint(0, 4), rng.random(), "payload" * 20) for i in range(3000)]
+    df = spark.createDataFrame(rows, "i int, g int, o double, wide string")
+    got = rank_within(df, ["g"], ["o", "i"], join_back=True)
+    assert got.columns == [*df.columns, "pos"]
+    want, groups = {}, defaultdict(list)
+    for i, g, o, _ in rows:
+        groups[g].append((o, i))
+    for members in groups.values():
+        want.update({i: k for k, (_, i) in enumerate(sorted(members), 1)})
+    assert {r.i: r.pos for r in got.collect()} == want
