@@ -28,6 +28,8 @@ CORRUPT = "_corrupt_record"
 # Largest file list written into a scan's plan as a path predicate (larger lists go
 # to the file index, so task binaries stay small).
 MAX_PATH_PREDICATE = 10_000
+# Distinct headers up to which each has a scan of its own
+MAX_HEADER_SCANS = 8
 SOURCE = "_src"     # file name
 PATH = "_path"      # full file path (the file identity)
 
@@ -567,8 +569,9 @@ def read_aligned(spark: SparkSession, root: str | Sequence[str], opts: CsvOption
 
 def read_by_name(spark: SparkSession, files: Sequence[str], opts: CsvOptions = CsvOptions(),
                  roots: Sequence[str] | None = None) -> DataFrame:
-    """Each file with its own (trimmed) header; files are grouped by header so that one
-    scan runs per distinct header, then the scans are unioned by name (missing -> NULL).
+    """Each file with its own (trimmed) header, missing columns NULL.  Up to ``MAX_HEADER_SCANS``
+    distinct headers are scanned one by one and unioned by name, which prunes columns; more
+    are one scan by position, whose cells every file puts in their places.
 
     With ``roots``, a scan of up to ``MAX_PATH_PREDICATE`` files lists the roots (glob,
     recursive) and keeps its files by a ``_metadata.file_path`` membership predicate,
@@ -580,6 +583,8 @@ def read_by_name(spark: SparkSession, files: Sequence[str], opts: CsvOptions = C
         by_header.setdefault(tuple(split_header(line, opts)), []).append(path)
     if not by_header:
         raise NoSourceFiles("every source file is empty")
+    if len(by_header) > MAX_HEADER_SCANS:
+        return _read_by_places(spark, by_header, opts, roots)
     out = None
     for names, paths in sorted(by_header.items(), key=lambda kv: min(kv[1])):
         reader = opts.reader(spark).schema(_string_schema(names)).option("header", True)
@@ -595,6 +600,43 @@ def read_by_name(spark: SparkSession, files: Sequence[str], opts: CsvOptions = C
     return out
 
 
+def _read_by_places(spark: SparkSession, by_header: dict[tuple[str, ...], list[str]], opts: CsvOptions,
+                    roots: Sequence[str] | None) -> DataFrame:
+    """One scan for files of any headers: cells by position, then one permutation per file (a
+    short row each, broadcast under the driver's own file count)."""
+    ordered = sorted(by_header.items(), key=lambda kv: min(kv[1]))
+    header: dict[str, str] = {}   # names are one column whatever their case, as in a union
+    for names, _ in ordered:
+        for n in names:
+            header.setdefault(n.lower(), n)
+    rows = []
+    for names, paths in ordered:
+        at = {n.lower(): i for i, n in enumerate(names)}
+        places = [at.get(n, -1) for n in header]
+        rows += [(p, places) for p in paths]
+    width = max(len(names) for names, _ in ordered)
+    reader = opts.reader(spark).schema(_string_schema([f"c{i}" for i in range(width)])).option("header", True)
+    if roots and len(rows) <= MAX_PATH_PREDICATE:
+        df = (reader.option("pathGlobFilter", opts.glob).option("recursiveFileLookup", opts.recursive)
+              .csv(list(roots)).where(F.col("_metadata.file_path").isin(sorted(p for p, _ in rows))))
+    else:
+        df = reader.csv([reader_path(p) for p, _ in rows])
+    df = (with_file_order(df).withColumn(SOURCE, file_name())
+          .withColumn(PATH, F.col("_metadata.file_path")).drop(CORRUPT))
+    places = per_file_broadcast(spark.createDataFrame(rows, "__p string, __places array<int>"), len(rows))
+    cells = F.array(*[F.col(f"c{i}") for i in range(width)])
+    df = df.withColumn("__cells", cells).join(places, F.col(PATH) == F.col("__p"))
+    cols = []
+    for j, n in enumerate(header.values()):
+        cell = F.get(F.col("__cells"), F.get("__places", j))
+        if opts.repair_values:
+            cell = repair_mojibake(cell)
+        cell = na_to_null(cell) if opts.na_tokens else F.coalesce(cell, F.lit(""))
+        # a column the file does not have stays NULL, whatever an empty cell is
+        cols.append(F.when(F.get("__places", j) >= 0, cell).alias(n))
+    return df.select(*cols, ORDER_COL, SOURCE, PATH)
+
+
 def _without_first_lines(batches):
     """Rows (path, block, pos, value) in file order, without the first row of each file."""
     import numpy as np

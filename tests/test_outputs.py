@@ -136,3 +136,26 @@ def test_date_columns_from_the_beginnings_of_files(spark, tmp_path):
     assert kept._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == len(
         {text.split("\n")[0] for text in texts.values() if text})
     assert kept.count() == 1 + 1 + 1 + 1 + 1
+
+
+def test_many_headers_are_one_scan(spark, tmp_path, monkeypatch):
+    rng = random.Random(8)
+    names = ["Référence", "Date", "Lieu", "Canal", "x y", "Etat"]
+    for k in range(14):
+        own = rng.sample(names, rng.randint(1, 6))
+        if k % 5 == 0:
+            own = [n.upper() if n == "Date" else n for n in own]
+        body = "".join(";".join(rng.choice(["", "v", '"a;b"', "NaN", f"c{k}"]) for _ in own) + rng.choice(["\n", ";more\n"]) for _ in range(6))
+        write_text(str(tmp_path / f"d{k % 3}" / f"f{k}.csv"), ";".join(f" {n} " for n in own) + "\n" + body + "short\n")
+    for opts in (C.CsvOptions(), C.CsvOptions(na_tokens=False)):
+        files = C.discover(spark, str(tmp_path), opts)
+        monkeypatch.setattr(C, "MAX_HEADER_SCANS", 100)
+        want = C.read_by_name(spark, files, opts)
+        monkeypatch.setattr(C, "MAX_HEADER_SCANS", 1)
+        for roots in (None, [str(tmp_path)]):
+            got = C.read_by_name(spark, files, opts, roots=roots)
+            columns = [c for c in want.columns if c != "_ord"]
+            assert [c for c in got.columns if not c.startswith("_")] == [c for c in columns if not c.startswith("_")]
+            assert sorted(map(str, got.select(*columns, "_ord.path", "_ord.block").collect())) == sorted(
+                map(str, want.select(*columns, "_ord.path", "_ord.block").collect()))
+            assert got._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
