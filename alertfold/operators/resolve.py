@@ -14,7 +14,7 @@ from alertfold.operators.small import bounded_broadcast
 def resolve_date(df: DataFrame, date_col: str | None, ts_col: str | None, *,
                  cascade: str = "dmy", unit: str = "median", file_col: str | None = None,
                  order_col: str | None = None, out: str = "dt",
-                 threshold: float = MS_THRESHOLD) -> DataFrame:
+                 threshold: float = MS_THRESHOLD, epoch_tz: str | None = None) -> DataFrame:
     """Add ``out`` (TIMESTAMP_NTZ): parsed ``date_col``, else the converted ``ts_col``.
 
     unit='median'    seconds vs milliseconds by the exact median of the whole column
@@ -22,6 +22,9 @@ def resolve_date(df: DataFrame, date_col: str | None, ts_col: str | None, *,
     unit='length'    by the text length of the first row of each file whose date is
                      missing and whose epoch is present (per-file table, size-checked join);
     unit='magnitude' per row (no global statistic; the streaming form).
+
+    Date texts are local wall-clock times and epochs are UTC; ``epoch_tz`` ('Europe/Paris')
+    gives the epochs' times of that zone instead, so that both columns tell the same clock.
     """
     parse = CASCADES[cascade]
     dated = df.withColumn("__d", parse(F.col(f"`{date_col}`")) if date_col else F.lit(None).cast("timestamp_ntz"))
@@ -46,5 +49,8 @@ def resolve_date(df: DataFrame, date_col: str | None, ts_col: str | None, *,
         dated = dated.join(per_file, dated[f"`{file_col}`"].eqNullSafe(per_file["__f"]), "left").drop("__f")
     else:
         raise ValueError(f"unknown unit mode {unit!r}")
-    return (dated.withColumn(out, F.coalesce(F.col("__d"), epoch_to_ts(F.col("__x"), F.coalesce(F.col("__ms"), F.lit(False)))))
+    at = epoch_to_ts(F.col("__x"), F.coalesce(F.col("__ms"), F.lit(False)))
+    if epoch_tz:
+        at = F.convert_timezone(F.lit("UTC"), F.lit(epoch_tz), at)
+    return (dated.withColumn(out, F.coalesce(F.col("__d"), at))
             .drop("__d", "__x", "__ms"))

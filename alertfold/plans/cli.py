@@ -48,6 +48,8 @@ def main(argv=None) -> int:
     r.add_argument("--drop-bad-files", action="store_true")
     r.add_argument("--exact-names", metavar="DIR", help="also publish alertes_YYYY_MM.csv files into DIR")
     r.add_argument("--no-bom", action="store_true")
+    r.add_argument("--prefer-dated", action="store_true", help="of rows with one key keep the first dated one")
+    r.add_argument("--epoch-tz", metavar="ZONE", help="zone of the date texts, e.g. Europe/Paris, for the epochs too")
 
     c = sub.add_parser("capped")
     io(c, "alertes_renommees")
@@ -57,6 +59,7 @@ def main(argv=None) -> int:
 
     m = sub.add_parser("merge")
     io(m, sep=",")
+    m.add_argument("--compare", choices=["name", "position"], default="name", help="how rows of different headers are compared")
 
     ro = sub.add_parser("route")
     io(ro, "output_by_month")
@@ -81,7 +84,8 @@ def main(argv=None) -> int:
         for path, error in sorted(failed.items()):           # one line per failed file
             print(f"{error}\t{path}", file=sys.stderr)
         opts = P.RecomposeOptions(csv=csv, null_key=a.null_key, dedup_scope=a.dedup_scope,
-                                  bad_files="drop" if a.drop_bad_files else "keep", failed="skip" if failed else "raise")
+                                  bad_files="drop" if a.drop_bad_files else "keep", failed="skip" if failed else "raise",
+                                  prefer_dated=a.prefer_dated, epoch_tz=a.epoch_tz)
         df, header = P.recompose(spark, a.input, opts)
         if a.dry_run:
             _print_counts(df)
@@ -100,7 +104,7 @@ def main(argv=None) -> int:
         else:
             P.write_capped(df, a.output, header_fix=a.header_fix)
     elif a.cmd == "merge":
-        kept, det = P.merge(spark, a.input, C.CsvOptions(sep=a.sep, encoding=a.encoding, exclude=()))
+        kept, det = P.merge(spark, a.input, C.CsvOptions(sep=a.sep, encoding=a.encoding, exclude=()), a.compare)
         if a.dry_run:
             _print_counts(kept)
             return 0

@@ -72,6 +72,8 @@ class RecomposeOptions:
     unit: str = "median"
     bad_files: str = "keep"
     failed: str = "raise"             # 'skip': files of the failure ledger are left out
+    epoch_tz: str | None = None       # zone of the date texts, for the epochs too
+    prefer_dated: bool = False        # of rows with one key the first dated one stays, not the first
 
 
 def recompose(spark: SparkSession, source: str | Sequence[str],
@@ -82,14 +84,19 @@ def recompose(spark: SparkSession, source: str | Sequence[str],
     has_key = opts.key in header
     # a whole-table statistic (median unit) follows: the aggregate form shares its exchange
     method = "agg" if opts.unit == "median" else "window"
-    if opts.dedup_scope == "global":
+    # dates come first where they decide which row stays; the median is then that of all rows
+    prefer = opts.prefer_dated and opts.dedup_scope == "global" and has_key
+    if opts.dedup_scope == "global" and not prefer:
         if has_key:
             df = dedup.dedup_first(df, [opts.key], ORDER_COL, opts.null_key, method)
         else:
             df = dedup.dedup_first(df, header, ORDER_COL, "collapse", method)   # whole-row dedup, first wins
     ts = detect_ts_name(header)
     df = resolve_date(df, opts.date if opts.date in header else None, ts,
-                      cascade=opts.cascade, unit=opts.unit, file_col=C.PATH, order_col=ORDER_COL)
+                      cascade=opts.cascade, unit=opts.unit, file_col=C.PATH, order_col=ORDER_COL, epoch_tz=opts.epoch_tz)
+    if prefer:
+        df = df.withColumn("__first", F.struct(F.col("dt").isNull().alias("undated"), F.col(ORDER_COL)))
+        df = dedup.dedup_first(df, [opts.key], "__first", opts.null_key).drop("__first")
     df = df.withColumn("ym", D.month_key(F.col("dt")))
     if opts.dedup_scope == "month" and has_key:
         # undated rows all stay: each is a group of its own, so that one pass does for both
@@ -172,8 +179,15 @@ def detect_from_heads(spark: SparkSession, files: Sequence[str], csv: C.CsvOptio
     return table, [r["path"] for r in found if not r["decided"]]
 
 
-def merge(spark: SparkSession, sources: Sequence[str], csv: C.CsvOptions = C.CsvOptions(sep=",", exclude=())):
-    """Generic merger: returns (kept rows with ``dt`` and ``ym``, per-file detection table)."""
+def merge(spark: SparkSession, sources: Sequence[str], csv: C.CsvOptions = C.CsvOptions(sep=",", exclude=()),
+          compare: str = "name"):
+    """Generic merger: returns (kept rows with ``dt`` and ``ym``, per-file detection table).
+
+    Rows are equal when they are so column by column, by the columns' names (``compare='name'``),
+    or cell by cell in the order of each file's own header, whatever the names
+    (``'position'``)."""
+    if compare not in ("name", "position"):
+        raise ValueError(f"compare must be 'name' or 'position', not {compare!r}")
     prepare(spark)
     files = C.discover(spark, list(sources), csv)
     df = C.read_by_name(spark, files, csv, roots=list(sources))
@@ -198,6 +212,16 @@ def merge(spark: SparkSession, sources: Sequence[str], csv: C.CsvOptions = C.Csv
     iso = F.date_format("dt", "yyyy-MM-dd HH:mm:ss")
     rows = rows.select(*[F.when(F.col("date_column") == c, iso).otherwise(F.col(f"`{c}`")).alias(c) for c in cols],
                        *[x for x in rows.columns if x not in cols])
+    if compare == "position":
+        own = [(p, C.split_header(line, csv)) for p, line in C.collect_header_lines(spark, files, csv)]
+        own = per_file_broadcast(spark.createDataFrame(own, "__p string, __names array<string>"), len(files))
+        by_name = F.create_map(*[x for c in cols for x in (F.lit(c), F.coalesce(F.col(f"`{c}`"), F.lit("nan")))])
+        rows = rows.withColumn("__values", by_name).join(own, F.col(C.PATH) == F.col("__p"))
+        rows = rows.withColumn("__cells", F.transform("__names", lambda n: F.get(F.map_values(F.map_filter(
+            "__values", lambda k, v: F.lower(k) == F.lower(n))), 0)))
+        kept = dedup.dedup_first(rows.withColumn("__h", F.xxhash64("__cells")), ["__h", "__cells"], ORDER_COL)
+        kept = kept.drop("__h", "__cells", "__names", "__p", "__values", "file_name")
+        return kept.withColumn("ym", F.format_string("%04d-%02d", F.year("dt"), F.month("dt"))), detected
     if csv.na_tokens:
         # 'nan' text is already NULL, and grouping treats NULLs as equal: exact as is
         key = [F.col(f"`{c}`") for c in cols]

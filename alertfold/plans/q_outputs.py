@@ -126,3 +126,14 @@ def q_unique_names_taken(spark, sf):
     n = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderkey") % 7).otherwise(F.lit(0))
     listing = o.where(F.col("o_orderkey") % 11 == 0).select(N.with_suffix(F.col("base"), n).alias("name"))
     return allocate_names(o, "base", ["o_orderkey"], listing).select("o_orderkey", "name")
+
+
+@query("recompose_prefer_dated", "D1 F10", _with(S.resolved_cte("srcs") + f""",
+first_ as (select *, row_number() over (partition by ref order by dt is null, w, src, ord) as rn from r)
+select ord, ref, {S.ts_text('dt')} as dt, case when dt is null then 'undated' else 'ok' end as status from first_ where rn = 1"""))
+def q_recompose_prefer_dated(spark, sf):
+    """Of rows with one key the first that has a date, else the first."""
+    prepare(spark)
+    df, _ = P.recompose(spark, stage(spark, sf, "base"), P.RecomposeOptions(prefer_dated=True))
+    return df.select(F.col("ord").cast("long").alias("ord"), F.col("`Référence`").alias("ref"),
+                     F.date_format("dt", "yyyy-MM-dd HH:mm:ss").alias("dt"), "status")

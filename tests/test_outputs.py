@@ -159,3 +159,31 @@ def test_many_headers_are_one_scan(spark, tmp_path, monkeypatch):
             assert sorted(map(str, got.select(*columns, "_ord.path", "_ord.block").collect())) == sorted(
                 map(str, want.select(*columns, "_ord.path", "_ord.block").collect()))
             assert got._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+
+
+def test_prefer_dated_and_epoch_zone(spark, tmp_path):
+    write_text(str(tmp_path / "Alertes_-2025-01.csv"), "Référence;Date;Timestamp;v\nA;junk;;1\nA;02/01/2025 10:00:00;;2\n"
+               "A;01/01/2025 10:00:00;;3\nB;;;4\nB;;;5\nC;;1751360400;6\nD;;1735725600;7\n")
+    df, _ = P.recompose(spark, str(tmp_path))
+    assert sorted((r["v"], r["status"]) for r in df.collect()) == [("1", "undated"), ("4", "undated"), ("6", "ok"), ("7", "ok")]
+    df, _ = P.recompose(spark, str(tmp_path), P.RecomposeOptions(prefer_dated=True, epoch_tz="Europe/Paris"))
+    assert sorted((r["v"], str(r["dt"])) for r in df.collect()) == [
+        ("2", "2025-01-02 10:00:00"), ("4", "None"), ("6", "2025-07-01 11:00:00"), ("7", "2025-01-01 11:00:00")]
+
+
+def test_month_scope_keeps_every_undated_row(spark, tmp_path):
+    write_text(str(tmp_path / "Alertes_-2025-01.csv"), "Référence;Date;v\nA;01/01/2025 10:00:00;1\nA;02/01/2025 10:00:00;2\n"
+               "A;01/02/2025 10:00:00;3\nA;;4\nA;;5\n;;6\n;03/01/2025 10:00:00;7\n;04/01/2025 10:00:00;8\n")
+    for null_key, want in (("collapse", "134567"), ("keep", "1345678")):
+        df, _ = P.recompose(spark, str(tmp_path), P.RecomposeOptions(dedup_scope="month", null_key=null_key))
+        assert "".join(sorted(r["v"] for r in df.collect())) == want
+
+
+def test_merger_compares_by_name_or_by_position(spark, tmp_path):
+    write_text(str(tmp_path / "a.csv"), "id,when,x\n1,31/01/2025,p\n2,01/02/2025,q\n")
+    write_text(str(tmp_path / "b.csv"), "x,when,id\n1,31/01/2025,p\nq,01/02/2025,2\n")
+    csv = C.CsvOptions(sep=",", exclude=())
+    by_name, _ = P.merge(spark, [str(tmp_path)], csv)
+    by_place, _ = P.merge(spark, [str(tmp_path)], csv, compare="position")
+    assert sorted((r["_src"], r["id"], r["x"]) for r in by_name.collect()) == [("a.csv", "1", "p"), ("a.csv", "2", "q"), ("b.csv", "p", "1")]
+    assert sorted((r["_src"], r["id"], r["x"]) for r in by_place.collect()) == [("a.csv", "1", "p"), ("a.csv", "2", "q"), ("b.csv", "2", "q")]
