@@ -255,19 +255,24 @@ class Gru:
         return loss, grad | {"d_word": d_x[:, :DIM], "d_char": d_x[:, DIM:] / share[:, None]}
 
 
-def train(windows: list[list[str]], y: np.ndarray, steps: int = 500, batch: int = 64, rate: float = 0.01,
+def train(windows: list, y: np.ndarray, steps: int = 500, batch: int = 64, rate: float = 0.01,
           seed: int = 3) -> Gru:
-    """Fit on windows of words with labels, by Adam; classes are drawn in equal shares."""
+    """Fit on windows of words (lists, or texts with a space between words) with labels, by Adam;
+    classes are drawn in equal shares.  Texts are split one at a time, so that their words are
+    held once."""
     rng = np.random.default_rng(seed)
     net = Gru.fresh(rng)
     p = net.p
-    ids = {w: i for i, w in enumerate(dict.fromkeys(w for win in windows for w in win))}
+    def split(win):
+        return win.split(" ") if isinstance(win, str) else win
+
+    ids = {w: i for i, w in enumerate(dict.fromkeys(w for win in windows for w in split(win)))}
     names = list(ids)
     buckets = np.array([word_bucket(w) for w in names], np.int64)
     of, bucket = char_grams(names)
     of, bucket = (x[np.argsort(of, kind="stable")] for x in (of, bucket))
     grams = np.split(bucket, np.flatnonzero(of[1:] != of[:-1]) + 1)
-    coded = [np.fromiter((ids[w] for w in win), np.int64, len(win)) for win in windows]
+    coded = [np.array([ids[w] for w in split(win)], np.int32) for win in windows]
     _informed_start(net, coded, y, buckets, grams)
     of_class = [np.flatnonzero(y == c) for c in (0, 1)]
     first = {k: np.zeros_like(v) for k, v in p.items()}

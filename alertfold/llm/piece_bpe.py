@@ -35,7 +35,7 @@ from alertfold.llm.arrow import slices
 
 INFINITE = float("inf")
 SPACE = "▁"  # how a space is written inside the vocabulary
-CACHE_BYTES = 200_000_000  # of a worker's chunks, about
+CACHE_BYTES = 120_000_000  # of a worker's chunks, about
 ENTRY_BYTES = 230          # of an entry beside its characters
 ODD_ENTRIES = 50_000
 PAIR_ENTRIES = 150_000

@@ -163,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame):
     if windows["toxic"].nunique() < 2:
         return None, rate
     windows = windows.sort_values(["id", "window"], kind="stable")
-    net = train([w.split(" ") for w in windows["window"]], windows["toxic"].to_numpy(), TRAIN_STEPS)
+    net = train(windows["window"].tolist(), windows["toxic"].to_numpy(), TRAIN_STEPS)
     shared = spark.sparkContext.broadcast(net.p)
     seen: pd.DataFrame = (texts.filter("use = 0").select(F.col("toxic").alias("key"), "text")
                           .mapInArrow(_scorer(shared), "key int, top double, mean double, n bigint").toPandas())
