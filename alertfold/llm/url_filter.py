@@ -40,7 +40,6 @@ UNIT = 1 << 32                  # log-likelihood ratios are whole numbers of 1 /
 BROADCAST_WINDOWS = 1_000_000
 BINS = 4096
 CUTS = 100_000                  # distinct scores that the driver looks through for the threshold
-BUCKETS = 1 << 18
 ALPHABET = 256
 
 # Fixed values: (rule, verdict)
@@ -68,52 +67,6 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-class Markov:
-    """The same model in arrays, for URLs in memory: hashed counts of (context, character),
-    contexts and their kinds of characters."""
-
-    def __init__(self):
-        self.pair = np.zeros((ORDER + 1, BUCKETS), np.float32)
-        self.total = np.zeros((ORDER + 1, BUCKETS), np.float32)
-        self.kinds = np.zeros((ORDER + 1, BUCKETS), np.float32)
-
-    @staticmethod
-    def keys(codes: np.ndarray, start: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-        """Per character the hashes of its context of that length and of both together.  A
-        context does not reach over the URL's start."""
-        context = np.full(len(codes), order, np.uint64)
-        at = np.arange(len(codes))
-        for back in range(1, order + 1):
-            there = at - back
-            before = np.where(there >= start, codes[np.maximum(there, 0)], np.uint64(ALPHABET))
-            context = (context * np.uint64(0x9E3779B97F4A7C15) + before + np.uint64(1))
-            context ^= context >> np.uint64(29)
-        both = (context ^ (codes + np.uint64(7)) * np.uint64(0xBF58476D1CE4E5B9)) * np.uint64(0x94D049BB133111EB)
-        return context, both ^ (both >> np.uint64(31))
-
-    def fit(self, urls: list[str]) -> Markov:
-        codes, start, _ = flatten(urls)
-        for order in range(ORDER + 1):
-            context, both = self.keys(codes, start, order)
-            self.pair[order] = np.bincount(both % np.uint64(BUCKETS), minlength=BUCKETS)
-            self.total[order] = np.bincount(context % np.uint64(BUCKETS), minlength=BUCKETS)
-            _, first = np.unique(both, return_index=True)
-            self.kinds[order] = np.bincount(context[first] % np.uint64(BUCKETS), minlength=BUCKETS)
-        return self
-
-    def log_likelihood(self, codes: np.ndarray, start: np.ndarray) -> np.ndarray:
-        """Per character."""
-        p = np.full(len(codes), 1.0 / ALPHABET)
-        for order in range(ORDER + 1):
-            context, both = self.keys(codes, start, order)
-            at = (context % np.uint64(BUCKETS)).astype(np.int64)
-            kinds = self.kinds[order][at]
-            seen = self.total[order][at]
-            count = np.minimum(self.pair[order][(both % np.uint64(BUCKETS)).astype(np.int64)], seen)
-            p = np.where(seen > 0, (count + kinds * p) / np.maximum(seen + kinds, 1), p)
-        return np.log(p)
-
-
 def flatten(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All characters in one array (code points folded to the alphabet), each with its
     URL's start, and the URLs' lengths."""
@@ -124,14 +77,6 @@ def flatten(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, np.repeat(starts, sizes), sizes
 
 
-def ratio(models: tuple[Markov, Markov], urls: list[str]) -> np.ndarray:
-    """Difference of log-likelihoods per character; 0 for an empty URL."""
-    codes, start, sizes = flatten(urls)
-    diff = models[0].log_likelihood(codes, start) - models[1].log_likelihood(codes, start)
-    owner = np.repeat(np.arange(len(urls)), sizes)
-    return np.bincount(owner, diff, minlength=len(urls)) / np.maximum(sizes, 1)
-
-
 def windows(urls: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Per character its window, the character itself in the lowest bits, and the URLs' lengths."""
     codes, start, sizes = flatten(urls)

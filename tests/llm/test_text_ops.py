@@ -1,8 +1,10 @@
 """Mixing, subword encoding, personal data, URL filter, chat repair: against brute force."""
 
 import itertools
+import os
 import random
 import re
+import sys
 import time
 
 import numpy as np
@@ -14,6 +16,10 @@ from pyspark.sql import functions as F
 from alertfold.llm import chat_format, mixing, pii, piece_bpe, url_filter
 from alertfold.llm.boosting import Boosted
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+import url_models  # noqa: E402
+from url_models import Markov, ratio  # noqa: E402
+
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -300,9 +306,9 @@ def test_markov_ratio_separates_held_out_urls():
     rng = random.Random(5)
     good = [f"http://news{rng.randint(1, 99)}.example/story/{rng.randint(1, 10 ** 6)}" for _ in range(300)]
     bad = [f"http://win-{rng.choice(['cash', 'pills'])}{rng.randint(1, 99)}.example/?ref={rng.randint(1, 10 ** 6)}" for _ in range(300)]
-    models = url_filter.Markov().fit(good[:200]), url_filter.Markov().fit(bad[:200])
-    assert (url_filter.ratio(models, good[200:]) > 0).mean() > 0.98 and (url_filter.ratio(models, bad[200:]) < 0).mean() > 0.98
-    assert url_filter.ratio(models, ["", "a"])[0] == 0
+    models = Markov().fit(good[:200]), Markov().fit(bad[:200])
+    assert (ratio(models, good[200:]) > 0).mean() > 0.98 and (ratio(models, bad[200:]) < 0).mean() > 0.98
+    assert ratio(models, ["", "a"])[0] == 0
 
 
 @pytest.fixture(scope="module")
@@ -320,10 +326,10 @@ def test_url_models_count_all_ruled_urls_and_agree_in_both_ways(spark, pages, mo
                                  "url string, verdict string, held boolean")
     ratios = url_filter.window_ratios(urls)
     local = {r.w: r.f / url_filter.UNIT for r in ratios.collect()}
-    monkeypatch.setattr(url_filter, "BUCKETS", 1 << 22)  # hashed arrays nearly free of collisions
-    models = [url_filter.Markov().fit([u for u in set(ruled) if side in u]) for side in ("/fr/", "/de/")]
+    monkeypatch.setattr(url_models, "BUCKETS", 1 << 22)  # hashed arrays nearly free of collisions
+    models = [Markov().fit([u for u in set(ruled) if side in u]) for side in ("/fr/", "/de/")]
     some = sorted(set(ruled))[:50]
-    for u, want in zip(some, url_filter.ratio(models, some)):
+    for u, want in zip(some, ratio(models, some)):
         assert np.mean([local[w] for w in url_filter.windows([u])[0].tolist()]) == pytest.approx(want, abs=0.02)
     got = {r.page_id: r for r in url_filter.judge(pages).collect()}
     assert len(got) == pages.count()
