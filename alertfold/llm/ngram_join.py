@@ -44,7 +44,7 @@ from alertfold.llm.components import components
 from alertfold.llm.exact_dedup import one_of_each
 
 FRAGMENT_GRAMS = 500_000   # n-grams that a fragment's task holds, about
-HAUL_GRAMS = 4_000_000     # n-grams, and sets, that a reading task gathers before it deals them out
+HAUL_GRAMS = 2_000_000     # n-grams, and sets, that a reading task gathers before it deals them out
 HAUL_SETS = 60_000
 ROUNDS = 3                 # at most so many rounds of two members per list
 CHECK_FRAGMENTS = 4        # fragments of the verification
