@@ -1,11 +1,14 @@
 """Mixing, subword encoding, personal data, URL filter, chat repair: against brute force."""
 
+import collections
+import hashlib
 import itertools
 import os
 import random
 import re
 import sys
 import time
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -14,7 +17,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from alertfold.llm import chat_format, mixing, pii, piece_bpe, url_filter
-from alertfold.llm.boosting import Boosted
+from alertfold.llm.boosting import Boosted, fit_table
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import url_models  # noqa: E402
@@ -278,6 +281,53 @@ def test_a_rare_kind_is_sampled(spark, monkeypatch):
     assert model is not None and model[1]["email"] <= 1
 
 
+def test_trees_of_a_table_equal_those_of_arrays(spark):
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 9, size=(900, 3)).astype(float)
+    x[:, 2] = rng.integers(0, 200, size=900) ** 2
+    kind = np.array(["a", "b", "none"])[rng.integers(0, 3, size=900)]
+    y = ((x[:, 0] > 4) ^ (x[:, 2] > 9000) ^ (rng.uniform(size=900) < 0.1)).astype(float) * (kind != "none")
+    n = rng.integers(1, 4, size=900)
+    rows = spark.createDataFrame([(k, float(a), [float(v) for v in b], int(c)) for k, a, b, c in zip(kind, y, x, n)],
+                                 "kind string, label double, x array<double>, n bigint")
+    got = fit_table(rows.repartition(7))
+    assert sorted(got) == ["a", "b"]
+    for k in got:
+        own = np.repeat(np.flatnonzero(kind == k), n[kind == k])
+        want = Boosted().fit(x[own], y[own])
+        assert len(want.trees) == len(got[k].trees) > 5
+        assert np.allclose(want.probability(x[own]), got[k].probability(x[own]), atol=1e-12, rtol=0)
+
+
+def test_every_document_teaches(spark, monkeypatch):
+    rows = [(i, f"write to user{i}@mail{i % 9}.example.com or +1 (0{i % 90 + 10}) 555-{1000 + i}") for i in range(5500)]
+    rows += [(None, f"the host 10.{i}.3.4 is up, not 300.400.500.{i}") for i in range(200)]
+    seen = []
+    monkeypatch.setattr(pii, "fit_table", lambda table: seen.append(table) or {})
+    assert pii.fit(spark.createDataFrame(rows, "doc_id long, text string")) is None
+    got = {r.kind: r.n for r in seen[0].groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    want, held = collections.Counter(), 0
+    for i, text in rows:
+        key = str(i) if i is not None else hashlib.sha256(text.encode()).hexdigest()
+        if zlib.crc32(key.encode()) % 3:
+            want.update(k for k, _, _ in pii.examples(key, text))
+        else:
+            held += 1
+    assert got == want and min(got.values()) > 200 and 0.3 < held / len(rows) < 0.37
+
+
+def test_documents_without_an_id_teach(spark):
+    rows = [(None, f"write to user{i}@mail{i % 9}.example.com today, the host 10.{i % 250}.3.4 is up") for i in range(150)]
+    trees, limits = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert limits["email"] <= 1 and limits["ip"] <= 1 and limits["card"] == limits["phone"] == 2.0
+
+
+def test_threshold_by_counts():
+    p, n, yes = np.array([0.9, 0.8, 0.7, 0.6]), np.array([50, 49, 1, 900]), np.array([50.0, 48, 0, 0])
+    assert pii._threshold(p, n, yes) == 0.7 and pii._threshold(p[1:], n[1:], yes[1:]) == 2.0
+    assert pii._threshold(p[:0], n[:0], yes[:0]) == 2.0 and pii._threshold(p / 10, n, yes) == 0.5
+
+
 # -- URLs ------------------------------------------------------------------------------
 
 def test_url_parts_and_rules(spark):
