@@ -28,6 +28,8 @@ import random
 import re
 import zlib
 from bisect import bisect
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,7 @@ from alertfold.llm.common import cut
 
 SAMPLE = None  # nothing is sampled; the name stays for a test that sets it
 STEPS = 1 << 14  # of the score, for the thresholds
+EXAMPLE_ROWS = 5000  # a task hands over at once, however many a text gives
 PRECISION = 0.98
 CONTEXT = 40
 
@@ -66,7 +69,7 @@ CUES = {
 # Frequent last labels of hosts
 SUFFIXES = frozenset("com org net edu gov mil int info biz io co ai dev app eu us uk ca au de fr es it nl at ch be pl pt "
                      "se no dk fi ie cz jp cn kr in br mx ar ru test local example invalid".split())
-LAST_LABEL = re.compile(r"[\w-]*\Z")
+LABEL = re.compile(r"[\w-]*")
 WORDS = re.compile(r"[^\W\d_]{2,12}")
 DIGIT_RUN = re.compile(r"[0-9]+")
 HAS_DIGIT = re.compile(r"[0-9]")
@@ -195,7 +198,7 @@ def features(text: str, kind: str, a: int, b: int) -> list[float]:
         float(left.isalnum()), float(left in set("._-/#@$€£") and left != ""), float(after.isalnum()),
         float(after in set("-/%@") and after != ""), float(bool(CUES[kind].search(before))),
         float(any(c.search(before) for c in CUES.values())), float(digits.startswith("0")),
-        float(kind == "email" and LAST_LABEL.search(span).group().lower() in SUFFIXES),
+        float(kind == "email" and LABEL.match(span[::-1]).group()[::-1].lower() in SUFFIXES),
     ]
 
 
@@ -246,13 +249,15 @@ def impossible(kind: str, span: str) -> bool:
     return not 7 <= len(digits) <= 15
 
 
-def examples(key: str, text: str) -> list[tuple[str, float, list[float]]]:
+def examples(key: str, text: str) -> Iterator[tuple[str, float, list[float]]]:
     """(kind, label, features) rows of one document."""
     base = base_spans(text)
-    out = [(k, 0.0, features(text, k, a, b)) for k, a, b in propose(text, base) if impossible(k, text[a:b])]
+    for k, a, b in propose(text, base):
+        if impossible(k, text[a:b]):
+            yield k, 0.0, features(text, k, a, b)
     rng = random.Random(f"{key}")
     for kind, a, b in base:
-        out.append((kind, 1.0, features(text, kind, a, b)))
+        yield kind, 1.0, features(text, kind, a, b)
         lead = rng.choice(["", "", "call ", "mail ", "card ", "ip "]) if rng.random() < 0.5 else ""
         around = WORDS.findall(text, max(0, a - 10 * CONTEXT), b + 10 * CONTEXT) if kind == "email" else []
         for label, changed in ((1.0, respell(kind, text[a:b], rng)), (0.0, break_up(kind, text[a:b], around, rng))):
@@ -260,24 +265,24 @@ def examples(key: str, text: str) -> list[tuple[str, float, list[float]]]:
             for k, x, y in propose(new, base_spans(new)):
                 inside = x >= min(a, CONTEXT) - 1 and y <= len(new) - len(text[b:b + CONTEXT]) + 1
                 if inside:
-                    out.append((k, label * (k == kind), features(new, k, x, y)))
-    return out
+                    yield k, label * (k == kind), features(new, k, x, y)
 
 
 def _example_rows(batches):
+    def all_of(batch):
+        for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            key = str(i) if i is not None else hashlib.sha256((text or "").encode()).hexdigest()
+            held = zlib.crc32(key.encode()) % 3 == 0
+            for kind, label, x in examples(key, text or ""):
+                yield kind, held, float(label), x
+
+    types = [pa.string(), pa.bool_(), pa.float64(), pa.list_(pa.float64())]
     for batch in batches:
         for part in slices(batch, 1):
-            kinds, held, labels, xs = [], [], [], []
-            for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                key = str(i) if i is not None else hashlib.sha256((text or "").encode()).hexdigest()
-                found = examples(key, text or "")
-                kinds += [kind for kind, _, _ in found]
-                labels += [float(label) for _, label, _ in found]
-                xs += [x for _, _, x in found]
-                held += [zlib.crc32(key.encode()) % 3 == 0] * len(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kinds, pa.string()), pa.array(held, pa.bool_()), pa.array(labels, pa.float64()),
-                 pa.array(xs, pa.list_(pa.float64()))], names=["kind", "held", "label", "x"])
+            found = all_of(part)
+            while rows := list(islice(found, EXAMPLE_ROWS)):
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), types)],
+                                                 names=["kind", "held", "label", "x"])
 
 
 class Judges:

@@ -12,6 +12,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -322,6 +323,16 @@ def test_documents_without_an_id_teach(spark):
     assert limits["email"] <= 1 and limits["ip"] <= 1 and limits["card"] == limits["phone"] == 2.0
 
 
+def test_examples_of_long_and_dense_texts():
+    for text, least in (("a" * 200_000 + "@b.com", 1), ("a@" + "b." * 100_000 + "com", 1), ("ann@mail.example.com " * 5000, 10_000)):
+        began = time.process_time()
+        batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text]})
+        sizes = [b.num_rows for b in pii._example_rows([batch])]
+        assert time.process_time() - began < 6 and sum(sizes) >= least and max(sizes) <= 5000, text[:5]
+    text = "to ann@mail.example.com, bob@host.zzz"
+    assert [pii.features(text, *s)[-1] for s in pii.base_spans(text)] == [1.0, 0.0]
+
+
 def test_threshold_by_counts():
     p, n, yes = np.array([0.9, 0.8, 0.7, 0.6]), np.array([50, 49, 1, 900]), np.array([50.0, 48, 0, 0])
     assert pii._threshold(p, n, yes) == 0.7 and pii._threshold(p[1:], n[1:], yes[1:]) == 2.0
